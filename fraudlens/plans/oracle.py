@@ -19,8 +19,9 @@ def _with(view: str, body: str) -> str:
 
 def r(expr: str, places: int = 4) -> str:
     """Same two-step rounding as the Spark side (see queries.round_places)."""
+    fine = f"{10 ** (places + 4)}.0e0"
     scale = f"{10 ** places}.0e0"
-    return f"round(({expr}) * {scale}) / {scale}"
+    return f"round(round(({expr}) * {fine}) / {fine} * {scale}) / {scale}"
 
 
 def tx_sql(body: str) -> str:

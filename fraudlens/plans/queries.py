@@ -30,12 +30,19 @@ ROUND_COLUMNS = {
 ROUND_PLACES = 4
 
 
-def round_places(c, places: int = ROUND_PLACES):
-    """round(x * 10^p) / 10^p: each step is one IEEE operation, so Spark and
-    DuckDB agree bit for bit (``round(x, p)`` differs between the engines
-    on values that print as an exact half)."""
+def _round_step(x, places: int):
     scale = float(10 ** places)
-    return F.round(F.col(c) * F.lit(scale)) / F.lit(scale)
+    return F.round(x * F.lit(scale)) / F.lit(scale)
+
+
+def round_places(c, places: int = ROUND_PLACES):
+    """Round in two steps, each made of single IEEE operations so Spark and
+    DuckDB agree bit for bit: first snap to ``places + 4`` digits (this
+    removes the last-bit noise of order-dependent sums, e.g. a mean of
+    cents that is exactly ...5 at the fifth place), then round to
+    ``places``.  ``round(x, p)`` itself differs between the two engines on
+    values that print as an exact half."""
+    return _round_step(_round_step(F.col(c), places + 4), places)
 
 
 def rounded(df: DataFrame, cols=None, places: int = ROUND_PLACES) -> DataFrame:
