@@ -22,19 +22,19 @@ def _col(c) -> Column:
 
 def try_double(c) -> Column:
     """String -> double; malformed text becomes null."""
-    return F.try_cast(_col(c), "double")
+    return _col(c).try_cast("double")
 
 
 def try_int_legacy(c) -> Column:
     """String -> int with the non-ANSI rules: "1.0" -> 1, "-1.9" -> -1
     (truncation), malformed text, NaN, infinity and overflow -> null."""
-    return F.try_cast(F.try_cast(_col(c), "double"), "int")
+    return _col(c).try_cast("double").try_cast("int")
 
 
 def parse_float_lenient(c) -> Column:
     """Parse the leading numeric prefix of a string; no prefix -> null."""
     prefix = F.regexp_extract(_col(c).cast("string"), LENIENT_FLOAT_PATTERN, 1)
-    return F.try_cast(F.nullif(prefix, F.lit("")), "double")
+    return F.nullif(prefix, F.lit("")).try_cast("double")
 
 
 def encode_cell(c) -> Column:

@@ -180,3 +180,81 @@ SELECT country, fraud_probability, count(*) AS line_count FROM (
     + CASE WHEN country IN ('ASIA', 'AMERICA') THEN 0.05e0 ELSE 0.0e0 END AS fraud_probability
   FROM sc) t GROUP BY country, fraud_probability"""),
 })
+
+
+# ---------------------------------------------------------------------------
+# Sources, codecs, casts, sinks
+# ---------------------------------------------------------------------------
+
+from fraudlens.functions.casts import LENIENT_FLOAT_PATTERN  # noqa: E402
+
+_P = 33554432
+_TX_FRAUD_BODY = """count(CASE WHEN fraud_label = 1 THEN 1 END) AS fraud_count,
+  count(transaction_id) AS total_transactions,
+  count(CASE WHEN fraud_label = 1 THEN 1 END) / nullif(count(transaction_id), 0) * 100 AS fraud_percentage"""
+
+
+def _legacy_int(text: str) -> str:
+    return f"TRY_CAST(trunc(TRY_CAST({text} AS DOUBLE)) AS INTEGER)"
+
+
+ORACLE.update({
+    "src_envelope_batch": tx_sql(f"""
+SELECT fixture_partition AS "partition", count(*) AS messages, count(transaction_id) AS with_id,
+  count(CASE WHEN fraud_label = 1 THEN 1 END) AS fraud_count
+FROM tx
+WHERE (fixture_partition <> 1 OR fixture_offset >= {100_000 * _P})
+  AND (fixture_partition <> 0 OR fixture_offset < {400_000 * _P})
+GROUP BY fixture_partition"""),
+    "decode_transactions": tx_sql("""
+SELECT transaction_id, user_id, product_id, category, sub_category, price, quantity, total_amount,
+  payment_method, "timestamp", user_device, user_city, user_age, user_gender, user_income, fraud_label
+FROM tx"""),
+    "decode_narrow_fraud_category": tx_sql(f"SELECT category, {_TX_FRAUD_BODY} FROM tx GROUP BY category"),
+    "encode_roundtrip": tx_sql(f"SELECT category, {_TX_FRAUD_BODY} FROM tx GROUP BY category"),
+    "audit_count": tx_sql("SELECT count(*) AS total_rows, count(transaction_id) AS rows_with_id FROM tx"),
+    "preview_100": tx_sql("""
+SELECT fixture_partition AS "partition", fixture_offset AS "offset", transaction_id, category, total_amount
+FROM tx ORDER BY fixture_partition, fixture_offset LIMIT 100"""),
+    "cast_transactions": tx_sql(f"""
+SELECT transaction_id, price,
+  {_legacy_int("CAST(quantity AS VARCHAR) || '.7'")} AS quantity,
+  total_amount,
+  {_legacy_int("CASE WHEN user_age % 10 = 0 THEN 'abc' ELSE CAST(user_age AS VARCHAR) END")} AS user_age,
+  {_legacy_int("CAST(CAST(user_income AS BIGINT) * 100000 AS VARCHAR)")} AS user_income,
+  {_legacy_int("'-' || CAST(fraud_label AS VARCHAR) || '.9'")} AS fraud_label
+FROM tx"""),
+    "parse_float_lenient": f"""
+SELECT raw, TRY_CAST(NULLIF(regexp_extract(raw, '{LENIENT_FLOAT_PATTERN}', 1), '') AS DOUBLE) AS parsed,
+  count(*) AS n
+FROM (SELECT CASE l_linenumber % 4
+    WHEN 0 THEN CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || 'kg'
+    WHEN 1 THEN ' -' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || 'e2x'
+    WHEN 2 THEN l_returnflag
+    ELSE '.' || CAST(l_linenumber AS VARCHAR) END AS raw
+  FROM lineitem) t
+GROUP BY raw""",
+    "normalize_supply": sc_sql("""
+SELECT project_code, pq, country, vendor, product_group, shipment_mode, freight_cost_usd, fraud_label FROM sc"""),
+    "wide_cells": sc_sql("\nUNION ALL\n".join(
+        f"SELECT pq AS row_key, 'cf1' AS family, '{c}' AS qualifier, coalesce({c}, '') AS value FROM sc"
+        for c in ["country", "product_group", "fraud_label", "vendor"])),
+    "publish_readback": tx_sql("\nUNION ALL\n".join(
+        f"SELECT '{name}' AS topic, CAST({expr} AS VARCHAR) AS key_value, {_TX_FRAUD_BODY} FROM tx GROUP BY {expr}"
+        for name, expr in [("fraud_category", "category"), ("fraud_payment", "payment_method"),
+                           ("fraud_device", "user_device"), ("fraud_city", "user_city"),
+                           ("fraud_age", AGE_CASE), ("fraud_income", INCOME_CASE)])),
+    "wide_upsert": sc_sql("""
+SELECT pq, country, vendor, freight_cost_usd, fraud_label, _partition, _offset FROM (
+  SELECT pq, country, vendor, freight_cost_usd, fraud_label,
+    fixture_partition AS _partition, fixture_offset AS _offset,
+    row_number() OVER (PARTITION BY pq ORDER BY l_shipdate DESC, fixture_partition DESC,
+                                                 fixture_offset DESC) AS rn
+  FROM sc) t WHERE rn = 1"""),
+    "ingest_csv": sc_sql("""
+SELECT project_code, pq, country, vendor, product_group, shipment_mode, line_item_quantity,
+  weight_kilograms, freight_cost_usd, fraud_label FROM sc"""),
+    "oversample": sc_sql("\nUNION ALL\n".join(
+        f"SELECT country, {k} AS copy, count(*) AS n, count(DISTINCT pq) AS distinct_pq FROM sc GROUP BY country"
+        for k in (1, 2, 3))),
+})

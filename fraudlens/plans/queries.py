@@ -58,12 +58,12 @@ def register(name: str):
     return deco
 
 
-def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixtures.transactions(spark, sf_dir)
+def tx(spark: SparkSession, sf_dir: str, with_source: bool = False) -> DataFrame:
+    return fixtures.transactions(spark, sf_dir, with_source)
 
 
-def sc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixtures.supply_lines(spark, sf_dir)
+def sc(spark: SparkSession, sf_dir: str, with_source: bool = False) -> DataFrame:
+    return fixtures.supply_lines(spark, sf_dir, with_source)
 
 
 VIEWS = {"tx": tx, "sc": sc}
@@ -151,3 +151,208 @@ def q_fraud_probability(spark, sf_dir):
     return (sc(spark, sf_dir).select("country", p.alias("fraud_probability"))
             .groupBy("country", "fraud_probability")
             .agg(F.count(F.lit(1)).alias("line_count")))
+
+
+# ---------------------------------------------------------------------------
+# Sources, payload codecs, casts and sinks.  Topics are written once per
+# process and data folder under the shared checkpoint location.
+# ---------------------------------------------------------------------------
+
+_TOPICS: dict[tuple, object] = {}
+TX_TOPIC, SC_TOPIC = "transactions", "supply_chain_data"
+
+# Offset bounds used by the bounded-read query (fixed values).
+BOUNDED_START = {TX_TOPIC: {"0": -2, "1": 100_000 * 33554432, "2": -2}}
+BOUNDED_END = {TX_TOPIC: {"0": 400_000 * 33554432, "1": -1, "2": -1}}
+
+
+def fixture_topics(spark: SparkSession, sf_dir: str):
+    """File transport holding the ``tx`` and ``sc`` envelopes of ``sf_dir``."""
+    from fraudlens.session import shared_dir
+    from fraudlens.sinks.publish import write_envelopes
+    from fraudlens.sources.envelope import files
+    key = (id(spark), sf_dir)
+    if key not in _TOPICS:
+        t = files(shared_dir(spark, "topics"))
+        env = fixtures.transaction_envelope(spark, sf_dir, TX_TOPIC).unionByName(
+            fixtures.supply_envelope(spark, sf_dir, SC_TOPIC))
+        write_envelopes(spark, env, t)
+        _TOPICS[key] = t
+    return _TOPICS[key]
+
+
+def _tx_records(spark, sf_dir, fields=None, keep=()):
+    from fraudlens.sources.envelope import decode_transactions, read_batch
+    env = read_batch(spark, fixture_topics(spark, sf_dir), TX_TOPIC)
+    return decode_transactions(env, fields, keep)
+
+
+@register("src_envelope_batch")
+def q_src_envelope_batch(spark, sf_dir):
+    from fraudlens.sources.envelope import decode_transactions, read_batch
+    env = read_batch(spark, fixture_topics(spark, sf_dir), TX_TOPIC,
+                     BOUNDED_START, BOUNDED_END)
+    rec = decode_transactions(env, ["transaction_id", "fraud_label"], keep=("partition",))
+    return rec.groupBy("partition").agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.count("transaction_id").alias("with_id"),
+        F.count(F.when(F.col("fraud_label") == 1, 1)).alias("fraud_count"))
+
+
+@register("decode_transactions")
+def q_decode_transactions(spark, sf_dir):
+    from fraudlens.schemas import TRANSACTION_FIELDS
+    return _tx_records(spark, sf_dir).select(*TRANSACTION_FIELDS)
+
+
+@register("decode_narrow_fraud_category")
+def q_decode_narrow_fraud_category(spark, sf_dir):
+    from fraudlens.operators.reports import inputs_of
+    rec = _tx_records(spark, sf_dir, inputs_of(["fraud_category"]))
+    return report("fraud_category", rec)
+
+
+@register("audit_count")
+def q_audit_count(spark, sf_dir):
+    rec = _tx_records(spark, sf_dir, ["transaction_id"])
+    return rec.agg(F.count(F.lit(1)).alias("total_rows"),
+                   F.count("transaction_id").alias("rows_with_id"))
+
+
+@register("preview_100")
+def q_preview_100(spark, sf_dir):
+    from fraudlens.sources.envelope import decode_transactions, preview, read_batch
+    env = read_batch(spark, fixture_topics(spark, sf_dir), TX_TOPIC)
+    top = preview(env, 100)
+    return decode_transactions(top, ["transaction_id", "category", "total_amount"],
+                               keep=("partition", "offset"))
+
+
+@register("cast_transactions")
+def q_cast_transactions(spark, sf_dir):
+    """The six casts over text made from the whole ``tx`` table: exact
+    numbers, fractional ints, junk, overflow and signed fractions."""
+    from fraudlens.sources.envelope import cast_transactions
+    t = tx(spark, sf_dir)
+    s = lambda c: F.col(c).cast("string")
+    text = t.select(
+        "transaction_id",
+        s("price").alias("price"),
+        F.concat(s("quantity"), F.lit(".7")).alias("quantity"),
+        s("total_amount").alias("total_amount"),
+        F.when(F.col("user_age") % 10 == 0, F.lit("abc")).otherwise(s("user_age")).alias("user_age"),
+        (F.col("user_income").cast("long") * 100000).cast("string").alias("user_income"),
+        F.concat(F.lit("-"), s("fraud_label"), F.lit(".9")).alias("fraud_label"),
+    )
+    return cast_transactions(text)
+
+
+@register("parse_float_lenient")
+def q_parse_float_lenient(spark, sf_dir):
+    from fraudlens.functions import parse_float_lenient
+    li = fixtures.table(spark, sf_dir, "lineitem")
+    q = F.col("l_quantity").cast("int").cast("string")
+    m = F.col("l_linenumber") % 4
+    raw = (F.when(m == 0, F.concat(q, F.lit("kg")))
+            .when(m == 1, F.concat(F.lit(" -"), q, F.lit("e2x")))
+            .when(m == 2, F.col("l_returnflag"))
+            .otherwise(F.concat(F.lit("."), F.col("l_linenumber").cast("string"))))
+    return li.select(raw.alias("raw")).groupBy("raw").agg(F.count(F.lit(1)).alias("n")).select(
+        "raw", parse_float_lenient("raw").alias("parsed"), "n")
+
+
+@register("normalize_supply")
+def q_normalize_supply(spark, sf_dir):
+    """Supply lines renamed to the prefixed, spaced spelling and back."""
+    from fraudlens.operators.rows import normalize_supply
+    from fraudlens.schemas import DISPLAY_NAMES, FAMILY_PREFIX
+    cols = ["project_code", "pq", "country", "vendor", "product_group",
+            "shipment_mode", "freight_cost_usd", "fraud_label"]
+    t = sc(spark, sf_dir).select(*cols)
+    spelled = t.select(*[F.col(c).alias(FAMILY_PREFIX + DISPLAY_NAMES[c]) for c in cols])
+    return normalize_supply(spelled)
+
+
+@register("encode_roundtrip")
+def q_encode_roundtrip(spark, sf_dir):
+    """Report -> JSON messages -> decoded with the report's schema."""
+    from fraudlens.sources.envelope import decode, encode
+    rep = report("fraud_category", tx(spark, sf_dir))
+    return decode(encode(rep), rep.schema)
+
+
+@register("wide_cells")
+def q_wide_cells(spark, sf_dir):
+    from fraudlens.operators.cells import to_cells
+    return to_cells(sc(spark, sf_dir), "pq",
+                    ["country", "product_group", "fraud_label", "vendor"])
+
+
+@register("publish_readback")
+def q_publish_readback(spark, sf_dir):
+    """Six fraud reports published to six topics in one write, read back."""
+    from fraudlens.operators.reports import ECOMMERCE_FRAUD
+    from fraudlens.plans.jobs import publish_reports
+    from fraudlens.session import shared_dir
+    from fraudlens.sources.envelope import files, read_batch
+    t = files(shared_dir(spark, "reports"))
+    publish_reports(spark, tx(spark, sf_dir), ECOMMERCE_FRAUD, t)
+    parts = []
+    for name in ECOMMERCE_FRAUD:
+        spec = REPORTS[name]
+        v = F.col("value").cast("string")
+        parts.append(read_batch(spark, t, spec.output_topic).select(
+            F.col("topic"),
+            F.get_json_object(v, f"$.{spec.key}").alias("key_value"),
+            F.get_json_object(v, "$.fraud_count").cast("long").alias("fraud_count"),
+            F.get_json_object(v, "$.total_transactions").cast("long").alias("total_transactions"),
+            F.get_json_object(v, "$.fraud_percentage").cast("double").alias("fraud_percentage")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("wide_upsert")
+def q_wide_upsert(spark, sf_dir):
+    """Supply lines upserted in two batches (split by ship date) into a
+    keyed table; key = purchase quote, latest (time, partition, offset)."""
+    from fraudlens.session import shared_dir
+    from fraudlens.sinks.keyed import read_table, upsert
+    base = sc(spark, sf_dir, with_source=True).select(
+        "pq", "country", "vendor", "freight_cost_usd", "fraud_label",
+        F.col("l_shipdate").alias("_ts"), fixtures.fixture_partition().alias("_partition"),
+        fixtures.fixture_offset().alias("_offset"))
+    path = shared_dir(spark, "keyed-table")
+    cut = F.lit("1995-06-17").cast("timestamp")
+    order = ["_ts", "_partition", "_offset"]
+    upsert(spark, base.where(F.col("_ts") < cut), path, "pq", order, buckets=8)
+    upsert(spark, base.where(F.col("_ts") >= cut), path, "pq", order, buckets=8)
+    return read_table(spark, path).drop("_ts")
+
+
+@register("ingest_csv")
+def q_ingest_csv(spark, sf_dir):
+    """Supply lines written as a generator-style CSV (spaced headers), then
+    ingested: CSV -> canonical record -> topic; read back and decoded."""
+    from fraudlens.plans.jobs import ingest_csv
+    from fraudlens.schemas import DISPLAY_NAMES, SUPPLY_SCHEMA
+    from fraudlens.session import shared_dir
+    from fraudlens.sinks.files import write_csv
+    from fraudlens.sources.envelope import decode, files, read_batch
+    cols = ["project_code", "pq", "country", "vendor", "product_group", "shipment_mode",
+            "line_item_quantity", "weight_kilograms", "freight_cost_usd", "fraud_label"]
+    csv_dir = shared_dir(spark, "csv")
+    write_csv(sc(spark, sf_dir).select(*[F.col(c).alias(DISPLAY_NAMES[c]) for c in cols]), csv_dir)
+    t = files(shared_dir(spark, "ingest"))
+    ingest_csv(spark, csv_dir, t, "supply_chain_transactions")
+    rec = decode(read_batch(spark, t, "supply_chain_transactions"), SUPPLY_SCHEMA, cols)
+    return rec
+
+
+@register("oversample")
+def q_oversample(spark, sf_dir):
+    from fraudlens.operators.rows import oversample
+    return (oversample(sc(spark, sf_dir).select("pq", "country"), 3)
+            .groupBy("country", "copy").agg(F.count(F.lit(1)).alias("n"),
+                                            F.count_distinct("pq").alias("distinct_pq")))

@@ -56,7 +56,4 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint location, for job
     outputs that later stages read back (survives executor loss)."""
     base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/fraudlens/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    return path
+    return f"{base.rstrip('/')}/fraudlens/{name}-{uuid.uuid4().hex[:12]}"

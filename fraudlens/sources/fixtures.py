@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from fraudlens.plans.joins import join_dimension
 
 
+SOURCE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -36,10 +39,11 @@ def _unless_size50(c: str) -> Column:
     return F.when(F.col("p_size") != 50, F.col(c))
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """View ``tx``: typed e-commerce transactions (after the six casts)."""
+def transactions(spark: SparkSession, sf_dir: str, with_source: bool = False) -> DataFrame:
+    """View ``tx``: typed e-commerce transactions (after the six casts).
+    ``with_source`` adds the line-item key columns and order date."""
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_returnflag")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
@@ -73,11 +77,13 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 2 == 0, "F").otherwise("M").alias("user_gender"),
         F.floor(F.col("c_acctbal") * 20).cast("int").alias("user_income"),
         _label(as_string=False).cast("int").alias("fraud_label"),
+        *([F.col(c) for c in SOURCE_COLUMNS] + [F.col("o_orderdate")] if with_source else []),
     )
 
 
-def supply_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """View ``sc``: canonical supply-chain lines with a string label."""
+def supply_lines(spark: SparkSession, sf_dir: str, with_source: bool = False) -> DataFrame:
+    """View ``sc``: canonical supply-chain lines with a string label.
+    ``with_source`` adds the line-item key columns and ship date."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
@@ -126,9 +132,50 @@ def supply_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_quantity") != 50, F.col("l_extendedprice") / F.lit(50.0)).alias("freight_cost_usd"),
         (F.col("l_extendedprice") * F.col("l_tax")).alias("line_item_insurance_usd"),
         _label(as_string=True).alias("fraud_label"),
+        *([F.col(c) for c in SOURCE_COLUMNS] + [F.col("l_shipdate")] if with_source else []),
+    )
+
+
+def fixture_partition() -> Column:
+    """Topic partition of a line in the fixture envelopes (3 partitions)."""
+    return (F.col("l_linenumber") % 3).cast("int")
+
+
+def fixture_offset() -> Column:
+    """Offset of a line in the fixture envelopes: the unique line key
+    (order, line number, part, supplier) packed into one number; unique
+    per partition for the driver tables up to sf0.1."""
+    return ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * F.lit(33554432)
+            + F.col("l_partkey") * 1000 + F.col("l_suppkey") % 1000)
+
+
+def _envelope(records: DataFrame, fields: list[str], topic: str, ts: str) -> DataFrame:
+    value = F.to_json(F.struct(*[F.col(c) for c in fields]))
+    return records.select(
+        F.lit(None).cast("binary").alias("key"),
+        value.cast("binary").alias("value"),
+        F.lit(topic).alias("topic"),
+        fixture_partition().alias("partition"),
+        fixture_offset().alias("offset"),
+        F.col(ts).cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
     )
 
 
+def transaction_envelope(spark: SparkSession, sf_dir: str, topic: str = "transactions") -> DataFrame:
+    """The ``tx`` records as JSON messages in the Kafka envelope."""
+    from fraudlens.schemas import TRANSACTION_FIELDS
+    return _envelope(transactions(spark, sf_dir, with_source=True),
+                     TRANSACTION_FIELDS, topic, "o_orderdate")
+
+
+def supply_envelope(spark: SparkSession, sf_dir: str, topic: str = "supply_chain_data") -> DataFrame:
+    """The ``sc`` records as JSON messages in the Kafka envelope."""
+    from fraudlens.schemas import SUPPLY_FIELDS
+    return _envelope(supply_lines(spark, sf_dir, with_source=True),
+                     SUPPLY_FIELDS, topic, "l_shipdate")
+
+
 # DuckDB/ANSI text of the same two views, for oracle queries.  Only the
 # columns the oracles read are spelled out.
 TX_SQL = """
@@ -149,7 +196,10 @@ SELECT
   CAST(floor(c_acctbal * 20) AS INTEGER) AS user_income,
   CASE WHEN l_returnflag = 'R' AND l_linenumber >= 5 THEN 1
        WHEN l_returnflag = 'N' AND l_linenumber = 1 THEN NULL ELSE 0 END AS fraud_label,
-  l_orderkey, l_linenumber
+  strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS "timestamp",
+  l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  l_linenumber % 3 AS fixture_partition,
+  (l_orderkey * 8 + l_linenumber) * 33554432 + l_partkey * 1000 + l_suppkey % 1000 AS fixture_offset
 FROM lineitem
 JOIN orders ON l_orderkey = o_orderkey
 JOIN customer ON o_custkey = c_custkey
@@ -177,7 +227,9 @@ SELECT
   l_extendedprice * l_tax AS line_item_insurance_usd,
   CASE WHEN l_returnflag = 'R' AND l_linenumber >= 5 THEN '1'
        WHEN l_returnflag = 'N' AND l_linenumber = 1 THEN NULL ELSE '0' END AS fraud_label,
-  l_orderkey, l_linenumber
+  l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  l_linenumber % 3 AS fixture_partition,
+  (l_orderkey * 8 + l_linenumber) * 33554432 + l_partkey * 1000 + l_suppkey % 1000 AS fixture_offset
 FROM lineitem
 JOIN supplier ON l_suppkey = s_suppkey
 JOIN nation ON s_nationkey = n_nationkey
