@@ -258,3 +258,32 @@ SELECT project_code, pq, country, vendor, product_group, shipment_mode, line_ite
         f"SELECT country, {k} AS copy, count(*) AS n, count(DISTINCT pq) AS distinct_pq FROM sc GROUP BY country"
         for k in (1, 2, 3))),
 })
+
+
+# ---------------------------------------------------------------------------
+# Streaming and machine learning
+# ---------------------------------------------------------------------------
+
+ORACLE.update({
+    "stream_decode": ORACLE["decode_transactions"],
+    "stream_fraud_category": ORACLE["fraud_category"],
+    "stream_fraud_fan_out": ORACLE["publish_readback"],
+    "index_shipment_mode": sc_sql("""
+SELECT shipment_mode,
+  CAST(row_number() OVER (ORDER BY count(*) DESC, shipment_mode) - 1 AS DOUBLE) AS shipment_mode_index,
+  count(*) AS n
+FROM sc GROUP BY shipment_mode"""),
+    "auc_fraud_probability": sc_sql(f"""
+, s AS (
+  SELECT 0.05e0
+    + CASE WHEN freight_cost_usd > 1500 THEN 0.1e0 ELSE 0.0e0 END
+    + CASE WHEN shipment_mode = 'Air' THEN 0.05e0 ELSE 0.0e0 END
+    + CASE WHEN country IN ('ASIA', 'AMERICA') THEN 0.05e0 ELSE 0.0e0 END AS score,
+    CASE WHEN fraud_label = '1' THEN 1 ELSE 0 END AS y
+  FROM sc)
+, g AS (SELECT score, sum(y) AS pos, sum(1 - y) AS neg FROM s GROUP BY score)
+, c AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY score
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below FROM g)
+SELECT {r("sum(pos * (neg_below + 0.5e0 * neg)) / ((SELECT sum(pos) FROM g) * (SELECT sum(neg) FROM g))", 10)} AS auc
+FROM c"""),
+})

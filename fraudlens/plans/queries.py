@@ -356,3 +356,132 @@ def q_oversample(spark, sf_dir):
     return (oversample(sc(spark, sf_dir).select("pq", "country"), 3)
             .groupBy("country", "copy").agg(F.count(F.lit(1)).alias("n"),
                                             F.count_distinct("pq").alias("distinct_pq")))
+
+
+# ---------------------------------------------------------------------------
+# Streaming: the fixture topic replayed as a file stream, a few files per
+# micro-batch, into a sink in the shared folder; the sink is read back.
+# ---------------------------------------------------------------------------
+
+STREAM_FILES_PER_TRIGGER = 2
+
+
+def _tx_stream(spark, sf_dir):
+    from fraudlens.sources.envelope import read_stream
+    return read_stream(spark, fixture_topics(spark, sf_dir), TX_TOPIC,
+                       max_per_trigger=STREAM_FILES_PER_TRIGGER)
+
+
+@register("stream_raw")
+def q_stream_raw(spark, sf_dir):
+    from fraudlens.session import shared_dir
+    from fraudlens.streaming import stream as st
+    out = shared_dir(spark, "stream-raw-out")
+    q = st.to_files(st.raw_values(_tx_stream(spark, sf_dir)), out, st.checkpoint_dir(spark, "raw"))
+    st.run_to_end(q)
+    return spark.read.parquet(out)
+
+
+@register("stream_decode")
+def q_stream_decode(spark, sf_dir):
+    from fraudlens.schemas import TRANSACTION_FIELDS
+    from fraudlens.session import shared_dir
+    from fraudlens.sources.envelope import decode_transactions
+    from fraudlens.streaming import stream as st
+    out = shared_dir(spark, "stream-decode-out")
+    q = st.to_files(decode_transactions(_tx_stream(spark, sf_dir)), out,
+                    st.checkpoint_dir(spark, "decode"))
+    st.run_to_end(q)
+    return spark.read.parquet(out).select(*TRANSACTION_FIELDS)
+
+
+@register("stream_fraud_category")
+def q_stream_fraud_category(spark, sf_dir):
+    from fraudlens.operators.reports import inputs_of
+    from fraudlens.session import shared_dir
+    from fraudlens.sources.envelope import decode_transactions
+    from fraudlens.streaming import stream as st
+    out = shared_dir(spark, "stream-report-out")
+    rec = decode_transactions(_tx_stream(spark, sf_dir), inputs_of(["fraud_category"]))
+    q = st.to_table_snapshot(st.running_report(rec, "fraud_category"), out,
+                             st.checkpoint_dir(spark, "report"))
+    st.run_to_end(q)
+    return spark.read.parquet(out)
+
+
+@register("stream_fraud_fan_out")
+def q_stream_fraud_fan_out(spark, sf_dir):
+    """All six e-commerce fraud reports from one stateful stream, published
+    to their topics by foreachBatch after every micro-batch."""
+    from fraudlens.operators.reports import ECOMMERCE_FRAUD, inputs_of
+    from fraudlens.session import shared_dir
+    from fraudlens.sinks.publish import publish_many
+    from fraudlens.sources.envelope import decode_transactions, files, read_batch
+    from fraudlens.streaming import stream as st
+    t = files(shared_dir(spark, "stream-topics"))
+    rec = decode_transactions(_tx_stream(spark, sf_dir), inputs_of(ECOMMERCE_FRAUD))
+    last = {}
+
+    def sink(epoch, frames):
+        last["epoch"] = epoch
+        publish_many(spark, {REPORTS[n].output_topic: df for n, df in frames.items()}, t)
+
+    st.run_to_end(st.fan_out(rec, ECOMMERCE_FRAUD, sink, st.checkpoint_dir(spark, "fan-out")))
+    # The newest message per topic and key is the current report row.
+    parts = []
+    for name in ECOMMERCE_FRAUD:
+        spec = REPORTS[name]
+        v = F.col("value").cast("string")
+        env = read_batch(spark, t, spec.output_topic)
+        latest = env.groupBy(F.get_json_object(v, f"$.{spec.key}").alias("key_value")).agg(
+            F.max_by("value", "offset").alias("value"))
+        v = F.col("value").cast("string")
+        parts.append(latest.select(
+            F.lit(spec.output_topic).alias("topic"), "key_value",
+            F.get_json_object(v, "$.fraud_count").cast("long").alias("fraud_count"),
+            F.get_json_object(v, "$.total_transactions").cast("long").alias("total_transactions"),
+            F.get_json_object(v, "$.fraud_percentage").cast("double").alias("fraud_percentage")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ---------------------------------------------------------------------------
+# Machine learning
+# ---------------------------------------------------------------------------
+
+@register("index_shipment_mode")
+def q_index_shipment_mode(spark, sf_dir):
+    from pyspark.ml.feature import StringIndexer
+    data = sc(spark, sf_dir).select("shipment_mode")
+    model = StringIndexer(inputCol="shipment_mode", outputCol="shipment_mode_index",
+                          handleInvalid="keep").fit(data)
+    return model.transform(data).groupBy("shipment_mode", "shipment_mode_index").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@register("auc_fraud_probability")
+def q_auc_fraud_probability(spark, sf_dir):
+    """AUC of the additive risk score against the label (null label = 0)."""
+    from fraudlens.functions import fraud_probability
+    from fraudlens.ml.model import LABEL, area_under_roc, with_label
+    scored = with_label(sc(spark, sf_dir)).select(
+        fraud_probability(regions=["ASIA", "AMERICA"]).alias("score"), LABEL)
+    auc = area_under_roc(scored, "score", LABEL)
+    return rounded(spark.createDataFrame([(auc,)], "auc double"), ["auc"], 10)
+
+
+@register("score_transactions")
+def q_score_transactions(spark, sf_dir):
+    """Train on the 80% hash split of the supply lines, score the rest."""
+    from fraudlens.ml.model import train_and_evaluate
+    _, pred, _ = train_and_evaluate(sc(spark, sf_dir))
+    return pred.select("pq", "label", "fraud_score", "prediction")
+
+
+@register("train_test_split")
+def q_train_test_split(spark, sf_dir):
+    from fraudlens.operators.rows import hash_split
+    return hash_split(sc(spark, sf_dir).select("pq", "country"), ["pq"]).groupBy(
+        "split", "country").agg(F.count(F.lit(1)).alias("n"))

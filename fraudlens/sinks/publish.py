@@ -20,7 +20,7 @@ DEFAULT_PARTITIONS = 3
 def _next_offset(spark: SparkSession, transport: Transport) -> int:
     """First free offset on a file transport (offsets grow across writes)."""
     try:
-        existing = spark.read.schema(ENVELOPE_SCHEMA).parquet(transport.root)
+        existing = spark.read.parquet(transport.root)
         top = existing.agg(F.max("offset")).first()[0]
     except Exception:  # no topic written yet
         return 0

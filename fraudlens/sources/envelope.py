@@ -98,6 +98,15 @@ def _kafka_reader(reader, transport: Transport, topic: str):
     return r
 
 
+# On the file transport the topic is the folder name, not a stored column.
+_FILE_SCHEMA = StructType([f for f in ENVELOPE_SCHEMA.fields if f.name != "topic"])
+
+
+def _with_topic(df: DataFrame, topic: str) -> DataFrame:
+    return df.select(*[F.lit(topic).alias("topic") if f.name == "topic" else F.col(f.name)
+                       for f in ENVELOPE_SCHEMA.fields])
+
+
 def read_batch(spark: SparkSession, transport: Transport, topic: str,
                starting="earliest", ending="latest") -> DataFrame:
     """Bounded read of a whole topic (or an offset range of it)."""
@@ -106,8 +115,7 @@ def read_batch(spark: SparkSession, transport: Transport, topic: str,
         start = starting if isinstance(starting, str) else json.dumps(starting)
         end = ending if isinstance(ending, str) else json.dumps(ending)
         return r.option("startingOffsets", start).option("endingOffsets", end).load()
-    df = (spark.read.schema(ENVELOPE_SCHEMA).option("basePath", transport.root)
-          .parquet(transport.topic_path(topic)))
+    df = _with_topic(spark.read.schema(_FILE_SCHEMA).parquet(transport.topic_path(topic)), topic)
     if starting in (None, "earliest") and ending in (None, "latest"):
         return df
     return df.where(offset_filter(topic, starting, ending))
@@ -122,10 +130,10 @@ def read_stream(spark: SparkSession, transport: Transport, topic: str,
         if max_per_trigger:
             r = r.option("maxOffsetsPerTrigger", int(max_per_trigger))
         return r.load()
-    r = spark.readStream.schema(ENVELOPE_SCHEMA).option("basePath", transport.root)
+    r = spark.readStream.schema(_FILE_SCHEMA)
     if max_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_per_trigger))
-    return r.parquet(transport.topic_path(topic))
+    return _with_topic(r.parquet(transport.topic_path(topic)), topic)
 
 
 # ---------------------------------------------------------------------------
