@@ -5,21 +5,21 @@ fields instead of 13; nulls and unseen values get their own index rather
 than failing), a mean ``Imputer`` for missing numerics, a
 ``VectorAssembler`` and a logistic regression (10 iterations).  Train/test
 rows are chosen by a seeded hash of the record key, so the split does not
-change with partitioning.  The area under ROC uses the exact curve
-(``numBins=0``), computed by Spark over the whole test set.
+change with partitioning.  The area under ROC is exact (ties count one
+half) and computed by Spark over the whole test set (``fraudlens.ml.auc``).
 """
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudlens.functions import is_fraud_str
+from fraudlens.ml import auc
 from fraudlens.operators.rows import split_frames
 from fraudlens.schemas import ML_CATEGORICAL_FIELDS, ML_NUMERIC_FIELDS
 
@@ -65,11 +65,9 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def area_under_roc(df: DataFrame, score_col: str, label_col: str = LABEL) -> float:
-    """Exact AUC (ties count one half), evaluated by Spark ML."""
-    ev = BinaryClassificationEvaluator(rawPredictionCol=score_col, labelCol=label_col,
-                                       metricName="areaUnderROC", numBins=0)
-    return float(ev.evaluate(df.select(F.col(score_col).cast("double").alias(score_col),
-                                       F.col(label_col).cast("double").alias(label_col))))
+    """Exact AUC (ties count one half), computed by Spark over the whole
+    input (see ``fraudlens.ml.auc``)."""
+    return auc.area_under_roc(df, score_col, label_col)
 
 
 def train_and_evaluate(records: DataFrame, key_cols=("pq",), seed: int = SEED):

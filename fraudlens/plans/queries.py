@@ -465,11 +465,11 @@ def q_index_shipment_mode(spark, sf_dir):
 def q_auc_fraud_probability(spark, sf_dir):
     """AUC of the additive risk score against the label (null label = 0)."""
     from fraudlens.functions import fraud_probability
-    from fraudlens.ml.model import LABEL, area_under_roc, with_label
+    from fraudlens.ml.auc import auc_frame
+    from fraudlens.ml.model import LABEL, with_label
     scored = with_label(sc(spark, sf_dir)).select(
         fraud_probability(regions=["ASIA", "AMERICA"]).alias("score"), LABEL)
-    auc = area_under_roc(scored, "score", LABEL)
-    return rounded(spark.createDataFrame([(auc,)], "auc double"), ["auc"], 10)
+    return rounded(auc_frame(scored, "score", LABEL), ["auc"], 10)
 
 
 @register("score_transactions")
