@@ -1,4 +1,14 @@
-"""Join helpers with an explicit size check before any broadcast."""
+"""Join helpers with an explicit size check before any broadcast.
+
+* ``join_dimension``: the dimension is broadcast only after a bounded
+  row-count probe proves it small; otherwise both sides are shuffled
+  (sort-merge join), never the fact broadcast by a file-size estimate.
+* ``join_large``: two tables that grow with the data (e.g. line items and
+  orders): always a shuffle join on the key.
+* ``spread``: input that arrives in fewer splits than the cluster has task
+  slots (e.g. one big Parquet row group) is spread round-robin; on a
+  cluster reading many files it is a no-op.
+"""
 
 from __future__ import annotations
 
@@ -6,21 +16,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A dimension is broadcast only when it is proven to hold at most this many
-# rows; the check reads at most MAX_BROADCAST_ROWS + 1 rows.
+# rows; the probe reads at most MAX_BROADCAST_ROWS + 1 rows.
 MAX_BROADCAST_ROWS = 100_000
 
+_BOUNDED: dict[tuple, bool] = {}
+
 
 def is_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded probe)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (bounded probe,
+    memoised per logical plan within the process)."""
+    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    if key not in _BOUNDED:
+        _BOUNDED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _BOUNDED[key]
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: Column,
                    how: str = "inner",
                    max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join a (possibly huge) fact side to a dimension.  The dimension is
-    broadcast only after a bounded row-count check; otherwise the join is
-    left to Catalyst and AQE (shuffle join)."""
+    """Join a (possibly huge) fact side to a dimension: broadcast after a
+    bounded row-count check, else a shuffle (sort-merge) join."""
     if is_bounded(dim, max_rows):
         return fact.join(F.broadcast(dim), on, how)
-    return fact.join(dim, on, how)
+    return fact.join(dim.hint("merge"), on, how)
+
+
+def join_large(left: DataFrame, right: DataFrame, on: Column, how: str = "inner") -> DataFrame:
+    """Shuffle join of two sides that both grow with the data."""
+    return left.hint("merge").join(right, on, how)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster's task slots when the input has
+    fewer splits than slots (planning only, no job)."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudlens.operators.rows import latest_per_key
@@ -40,21 +40,29 @@ def _table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def _latest_with_counts(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
+    """Latest row per key plus ``_n``, the number of input rows of the key.
+    Null keys form one group of their own, which carries the reject count."""
+    value_cols = [c for c in df.columns if c != key]
+    return (df.groupBy(key)
+              .agg(F.max_by(F.struct(*value_cols), F.struct(*order_cols)).alias("_row"),
+                   F.count(F.lit(1)).alias("_n"))
+              .select(key, "_row.*", "_n"))
+
+
 def upsert(spark: SparkSession, updates: DataFrame, table_path: str, key: str,
            order_cols: list[str], buckets: int = DEFAULT_BUCKETS) -> UpsertResult:
-    obs = Observation("upsert")
-    observed = updates.observe(
-        obs, F.count(F.lit(1)).alias("rows_in"),
-        F.count(F.when(F.col(key).isNull(), 1)).alias("rejected"))
-    batch = latest_per_key(observed.where(F.col(key).isNotNull()), key, order_cols)
+    batch = _latest_with_counts(updates, key, order_cols)
     batch = batch.withColumn(BUCKET, F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int"))
 
-    # Stage the batch: the observation completes and later steps re-read a
-    # written table instead of recomputing the input.
+    # Stage the deduplicated batch in the shared folder: later steps re-read
+    # a written table instead of recomputing the input.
     stage1 = shared_dir(spark, "upsert-batch")
     batch.write.parquet(stage1)
-    stats = obs.get
-    batch = spark.read.parquet(stage1)
+    staged = spark.read.parquet(stage1)
+    stats = staged.agg(F.sum("_n").alias("rows_in"),
+                       F.sum(F.when(F.col(key).isNull(), F.col("_n"))).alias("rejected")).first()
+    batch = staged.where(F.col(key).isNotNull()).drop("_n")
 
     if _table_exists(spark, table_path):
         existing = spark.read.parquet(table_path)
@@ -76,7 +84,7 @@ def upsert(spark: SparkSession, updates: DataFrame, table_path: str, key: str,
            .option("partitionOverwriteMode", "dynamic")
            .partitionBy(BUCKET).parquet(table_path))
     n_touched = result.select(BUCKET).distinct().count()
-    return UpsertResult(int(stats["rows_in"]), int(stats["rejected"]), n_touched)
+    return UpsertResult(int(stats["rows_in"] or 0), int(stats["rejected"] or 0), n_touched)
 
 
 def read_table(spark: SparkSession, table_path: str) -> DataFrame:

@@ -2,10 +2,10 @@
 
 ``transactions`` (view ``tx``) and ``supply_lines`` (view ``sc``) shape the
 TPC-H-like tables into the two record families; grain is the line item.
-The fact side is never broadcast.  The fixed-size geography tables (nation,
-region) are broadcast only after a bounded row-count check; every other
-join is left to Catalyst and AQE (sort-merge, or broadcast when the
-measured size is under the threshold).
+The fact side is never broadcast.  Dimensions (nation, region, customer,
+supplier, part) are broadcast only after a bounded row-count check and
+shuffle-joined otherwise; line items and orders, which both grow with the
+data, always meet in a shuffle join on the order key.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlens.plans.joins import join_dimension
+from fraudlens.plans.joins import join_dimension, join_large, spread
 
 
 SOURCE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -55,9 +55,9 @@ def transactions(spark: SparkSession, sf_dir: str, with_source: bool = False) ->
     # Orders are enriched with their customer and nation first: that join
     # runs at order grain (a quarter of the line items) before the big one.
     cust = join_dimension(customer, nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    ord_c = orders.join(cust, orders.o_custkey == cust.c_custkey)
-    df = (li.join(ord_c, li.l_orderkey == ord_c.o_orderkey)
-            .join(part, li.l_partkey == part.p_partkey))
+    ord_c = join_dimension(orders, cust, F.col("o_custkey") == F.col("c_custkey"))
+    df = join_large(li, ord_c, F.col("l_orderkey") == F.col("o_orderkey"))
+    df = join_dimension(df, part, F.col("l_partkey") == F.col("p_partkey"))
     key = F.col("c_custkey")
     return df.select(
         F.when(F.col("l_linenumber") != 7, _line_id("T-")).alias("transaction_id"),
@@ -96,8 +96,9 @@ def supply_lines(spark: SparkSession, sf_dir: str, with_source: bool = False) ->
 
     geo = join_dimension(nation, region, F.col("n_regionkey") == F.col("r_regionkey"))
     supp = join_dimension(supplier, geo, F.col("s_nationkey") == F.col("n_nationkey"))
-    df = (li.join(supp, li.l_suppkey == supp.s_suppkey)
-            .join(part, li.l_partkey == part.p_partkey))
+    # Only dimension joins follow, so nothing else would spread the scan.
+    df = join_dimension(spread(li), supp, F.col("l_suppkey") == F.col("s_suppkey"))
+    df = join_dimension(df, part, F.col("l_partkey") == F.col("p_partkey"))
     ship = F.date_format("l_shipdate", "yyyy-MM-dd")
     mode = F.col("l_linenumber") % 3
     return df.select(

@@ -80,7 +80,7 @@ def test_grouping_id_separates_null_key_from_other_sets(spark):
 
 
 def test_histogram_edges(spark):
-    df = spark.createDataFrame([(float(x),) for x in [0, 5, 10, 20, None]], "freight_cost_usd double")
+    df = spark.createDataFrame([(None if x is None else float(x),) for x in [0, 5, 10, 20, None]], "freight_cost_usd double")
     h = {r["bin"]: r["count"] for r in dashboard.histogram(df, "freight_cost_usd", bins=4).collect()}
     assert h == {0: 1, 1: 1, 2: 1, 3: 1}           # max lands in the last bin
     const = spark.createDataFrame([(7.0,), (7.0,)], "freight_cost_usd double")
