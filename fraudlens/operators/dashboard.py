@@ -97,3 +97,47 @@ def weight_vs_freight(df: DataFrame, fraction: float | None = None,
     from fraudlens.functions import hash_unit
     return (df.where(hash_unit(seed, F.col("pq")) < F.lit(float(fraction)))
               .select("weight_kilograms", "freight_cost_usd", "fraud_label"))
+
+
+def dashboard_tables(df: DataFrame, bins: int = HISTOGRAM_BINS) -> dict[str, DataFrame]:
+    """All dashboard tables in three passes instead of seven.
+
+    Pass 1 is one grouping-sets aggregate (checkpointed, a few hundred rows)
+    serving both label shares, the shipment-mode counts, the quantity sums and
+    the freight bounds; pass 2 bins the freight costs; pass 3 sums freight
+    per project code (high cardinality, its own shuffle)."""
+    from fraudlens.operators.reports import report
+    lab = F.col("fraud_label").cast("string")
+    keys = ["product_group", "country", "shipment_mode"]
+    agg = (df.select(*keys, "fraud_label", "line_item_quantity", "freight_cost_usd")
+             .groupingSets([["product_group"], ["country"], ["shipment_mode"], []], *keys)
+             .agg(F.grouping_id().alias("_gid"),
+                  F.count(lab).alias("_n_lab"),
+                  F.count(F.when(lab == "0", 1)).alias("_c0"),
+                  F.count(F.when(lab == "1", 1)).alias("_c1"),
+                  F.count(F.lit(1)).alias("_n"),
+                  F.sum("line_item_quantity").alias("_qty"),
+                  F.min("freight_cost_usd").alias("_lo"),
+                  F.max("freight_cost_usd").alias("_hi"))
+             .checkpoint(eager=True))
+    gid = {k: sum(1 << (len(keys) - 1 - j) for j, o in enumerate(keys) if o != k) for k in keys}
+
+    def slice_(k):
+        return agg.where((F.col("_gid") == gid[k]) & F.col(k).isNotNull())
+
+    def shares(k):
+        return (slice_(k).where(F.col("_n_lab") > 0)
+                .select(k, (F.col("_c0") / F.col("_n_lab") * F.lit(100)).alias("pct_label_0"),
+                        (F.col("_c1") / F.col("_n_lab") * F.lit(100)).alias("pct_label_1")))
+
+    bounds = agg.where(F.col("_gid") == (1 << len(keys)) - 1).select("_lo", "_hi").first()
+    return {
+        "label_share_product_group": shares("product_group"),
+        "label_share_country": shares("country"),
+        "shipment_mode_counts": slice_("shipment_mode").select(
+            "shipment_mode", F.col("_n").alias("count")).orderBy(F.desc("count"), "shipment_mode"),
+        "quantity_by_product_group": slice_("product_group").select(
+            "product_group", F.coalesce(F.col("_qty"), F.lit(0)).alias("total_quantity")),
+        "freight_histogram": histogram(df, "freight_cost_usd", bins, (bounds["_lo"], bounds["_hi"])),
+        "freight_by_project": report("freight_by_project", df),
+    }

@@ -51,14 +51,23 @@ def publish_reports(spark: SparkSession, records: DataFrame, names, transport: T
     return frames
 
 
+def decoder_for(family: str):
+    """Envelope -> typed records of a family, decoding only ``fields``."""
+    from fraudlens.sources.envelope import decode_transactions
+    if family == "tx":
+        return decode_transactions
+    return lambda env, fields=None, keep=(): decode(env, SUPPLY_SCHEMA, fields, keep)
+
+
 def publish_script(spark: SparkSession, transport: Transport, source_topic: str,
-                   set_name: str, decoder) -> dict[str, DataFrame]:
-    """The report scripts as one job: read the topic once, decode only the
-    fields the set reads, fused aggregate, publish all topics together."""
+                   set_name: str, sink: Transport | None = None) -> dict[str, DataFrame]:
+    """One report script as one job: read the topic once, decode only the
+    fields the set reads, fused aggregate, publish every report together."""
     names = REPORT_SETS[set_name]
+    family = REPORTS[names[0]].family
     env = read_batch(spark, transport, source_topic)
-    records = decoder(env, inputs_of(names))
-    return publish_reports(spark, records, names, transport)
+    records = decoder_for(family)(env, inputs_of(names))
+    return publish_reports(spark, records, names, sink or transport)
 
 
 def ingest_csv(spark: SparkSession, path: str, transport: Transport, topic: str,
@@ -96,3 +105,41 @@ def keyed_cells(spark: SparkSession, table_path: str, key: str, family: str = "c
     t = read_table(spark, table_path)
     cols = [c for c in t.columns if c not in (key, "_ts", "_partition", "_offset")]
     return to_cells(t, key, cols, family)
+
+
+def show_reports(frames: dict[str, DataFrame], n: int = 20, truncate: bool = True) -> None:
+    """Print the first rows of each report (the scripts' ``show()``)."""
+    for name, df in frames.items():
+        print(f"== {name}")
+        df.show(n, truncate)
+
+
+def store_reports(spark: SparkSession, frames: dict[str, DataFrame], table_path: str,
+                  version_col: str = "_version"):
+    """Insights into the keyed store: one row per (report, key), row key
+    ``<report>#<key>`` (the key as text, empty for null), newest version
+    wins.  Measures are kept as a JSON document per row."""
+    parts = []
+    for name, df in frames.items():
+        spec = REPORTS[name]
+        key = (F.coalesce(F.col(spec.key).cast("string"), F.lit("")) if spec.key else F.lit(""))
+        parts.append(df.select(
+            F.concat(F.lit(name + "#"), key).alias("row_key"),
+            F.lit(name).alias("report"),
+            F.to_json(F.struct(*[F.col(m.name) for m in spec.measures])).alias("measures")))
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    rows = rows.withColumn(version_col, F.current_timestamp())
+    return upsert(spark, rows, table_path, "row_key", [version_col], buckets=8)
+
+
+def generate_csv(spark: SparkSession, path: str, rows: int = 1_000_000, seed: int = 42,
+                 base: float = 0.05, **kw) -> None:
+    """The generator job: synthetic supply lines written as a header CSV
+    with the display spellings (``Project Code``, ``Freight Cost (USD)``...)."""
+    from fraudlens.schemas import DISPLAY_NAMES
+    from fraudlens.sinks.files import write_csv
+    from fraudlens.sources.synth import synth_supply
+    df = synth_supply(spark, rows, seed, base, **kw).drop("id")
+    write_csv(df.select(*[F.col(c).alias(DISPLAY_NAMES.get(c, c)) for c in df.columns]), path)

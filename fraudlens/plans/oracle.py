@@ -287,3 +287,13 @@ FROM sc GROUP BY shipment_mode"""),
 SELECT {r("sum(pos * (neg_below + 0.5e0 * neg)) / ((SELECT sum(pos) FROM g) * (SELECT sum(neg) FROM g))", 10)} AS auc
 FROM c"""),
 })
+
+ORACLE.update({
+    "report_store": tx_sql("\nUNION ALL\n".join(
+        f"SELECT '{name}#' || coalesce(CAST({expr} AS VARCHAR), '') AS row_key, '{name}' AS report, {_TX_FRAUD_BODY} "
+        f"FROM tx GROUP BY {expr}"
+        for name, expr in [("fraud_category", "category"), ("fraud_payment", "payment_method"),
+                           ("fraud_device", "user_device"), ("fraud_city", "user_city"),
+                           ("fraud_age", AGE_CASE), ("fraud_income", INCOME_CASE)])),
+    "dashboard_label_share_country": ORACLE["label_share_country"],
+})

@@ -485,3 +485,29 @@ def q_train_test_split(spark, sf_dir):
     from fraudlens.operators.rows import hash_split
     return hash_split(sc(spark, sf_dir).select("pq", "country"), ["pq"]).groupBy(
         "split", "country").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("report_store")
+def q_report_store(spark, sf_dir):
+    """The six fraud reports stored in the keyed table twice (a rerun must
+    not duplicate rows) and read back."""
+    from fraudlens.operators.reports import ECOMMERCE_FRAUD
+    from fraudlens.plans.jobs import report_set, store_reports
+    from fraudlens.session import shared_dir
+    from fraudlens.sinks.keyed import read_table
+    path = shared_dir(spark, "report-store")
+    frames = report_set(tx(spark, sf_dir), ECOMMERCE_FRAUD)
+    store_reports(spark, frames, path)
+    store_reports(spark, frames, path)
+    m = F.col("measures")
+    return read_table(spark, path).select(
+        "row_key", "report",
+        F.get_json_object(m, "$.fraud_count").cast("long").alias("fraud_count"),
+        F.get_json_object(m, "$.total_transactions").cast("long").alias("total_transactions"),
+        F.get_json_object(m, "$.fraud_percentage").cast("double").alias("fraud_percentage"))
+
+
+@register("dashboard_label_share_country")
+def q_dashboard_label_share_country(spark, sf_dir):
+    """Label share by country from the fused three-pass dashboard job."""
+    return dashboard.dashboard_tables(sc(spark, sf_dir))["label_share_country"]

@@ -98,3 +98,25 @@ def run_to_end(q: StreamingQuery, timeout_s: float = 600) -> None:
 
 def checkpoint_dir(spark: SparkSession, name: str) -> str:
     return shared_dir(spark, f"stream-{name}")
+
+
+def to_topic(df: DataFrame, transport, topic: str, checkpoint: str, mode: str = "append",
+             trigger: dict | None = None) -> StreamingQuery:
+    """Publish a streaming DataFrame as JSON messages.  Kafka: the native
+    streaming sink; file transport: each micro-batch is published by
+    ``foreachBatch`` (complete mode republishes the full current result)."""
+    from fraudlens.sinks.publish import publish
+    from fraudlens.sources.envelope import encode
+    if transport.kind == "kafka":
+        enc = encode(df).select("key", "value")
+        w = (_writer(enc, checkpoint, mode, trigger).format("kafka")
+             .option("kafka.bootstrap.servers", transport.bootstrap_servers)
+             .option("topic", topic))
+        for k, v in transport.options.items():
+            w = w.option(k, v)
+        return w.start()
+    spark = df.sparkSession
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        publish(spark, batch, transport, topic)
+    return _writer(df, checkpoint, mode, trigger).foreachBatch(write).start()

@@ -95,3 +95,17 @@ def test_value_counts_order(spark):
 
 def test_report_inputs_are_narrow():
     assert REPORTS["fraud_age"].inputs == ["user_age", "fraud_label", "transaction_id"]
+
+
+def test_dashboard_tables_equal_single_queries(spark):
+    from fraudlens.plans.queries import QUERIES
+    sc = fixtures.supply_lines(spark, SF_SMALL)
+    fusedd = dashboard.dashboard_tables(sc)
+    for name, df in fusedd.items():
+        single = QUERIES[name](spark, SF_SMALL)
+        a = sorted(map(tuple, df.collect()), key=str)
+        b = sorted(map(tuple, single.collect()), key=str)
+        if name in ("freight_histogram", "freight_by_project"):
+            a = [tuple(round(x, 4) if isinstance(x, float) else x for x in r) for r in a]
+            b = [tuple(round(x, 4) if isinstance(x, float) else x for x in r) for r in b]
+        assert a == b, name
