@@ -5,7 +5,8 @@ replaces the whole row.  "Newest" is a total order given by the caller,
 normally (timestamp, partition, offset) of the message.
 
 Layout: ``<table>/_bucket=<b>/`` with ``b = pmod(xxhash64(key), buckets)``.
-An upsert reads only the buckets its batch touches, merges, stages the
+An upsert reads only the buckets its batch touches (a partition filter on
+the scan; the touched set has at most ``buckets`` entries), merges, stages the
 merged buckets in the shared checkpoint folder (a lineage cut that survives
 executor loss) and replaces exactly those buckets with Spark's dynamic
 partition overwrite.  Rows with a null key are rejected and counted.
@@ -61,14 +62,16 @@ def upsert(spark: SparkSession, updates: DataFrame, table_path: str, key: str,
     batch.write.parquet(stage1)
     staged = spark.read.parquet(stage1)
     stats = staged.agg(F.sum("_n").alias("rows_in"),
-                       F.sum(F.when(F.col(key).isNull(), F.col("_n"))).alias("rejected")).first()
+                       F.sum(F.when(F.col(key).isNull(), F.col("_n"))).alias("rejected"),
+                       F.collect_set(F.when(F.col(key).isNotNull(), F.col(BUCKET))).alias("touched")
+                       ).first()
+    touched = sorted(stats["touched"])        # at most ``buckets`` small ints
     batch = staged.where(F.col(key).isNotNull()).drop("_n")
 
     if _table_exists(spark, table_path):
         existing = spark.read.parquet(table_path)
-        # The set of touched buckets is bounded by ``buckets``: safe to broadcast.
-        touched = batch.select(BUCKET).distinct()
-        old = existing.join(F.broadcast(touched), BUCKET, "left_semi")
+        # Partition pruning: only the folders of touched buckets are read.
+        old = existing.where(F.col(BUCKET).isin(touched))
         cols = batch.columns
         merged = latest_per_key(old.select(*cols).unionByName(batch).drop(BUCKET),
                                 key, order_cols)
@@ -83,8 +86,7 @@ def upsert(spark: SparkSession, updates: DataFrame, table_path: str, key: str,
     (result.write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic")
            .partitionBy(BUCKET).parquet(table_path))
-    n_touched = result.select(BUCKET).distinct().count()
-    return UpsertResult(int(stats["rows_in"] or 0), int(stats["rejected"] or 0), n_touched)
+    return UpsertResult(int(stats["rows_in"] or 0), int(stats["rejected"] or 0), len(touched))
 
 
 def read_table(spark: SparkSession, table_path: str) -> DataFrame:
