@@ -297,3 +297,5 @@ ORACLE.update({
                            ("fraud_age", AGE_CASE), ("fraud_income", INCOME_CASE)])),
     "dashboard_label_share_country": ORACLE["label_share_country"],
 })
+
+ORACLE["stream_fraud_category_updates"] = ORACLE["fraud_category"]

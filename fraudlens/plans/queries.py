@@ -511,3 +511,20 @@ def q_report_store(spark, sf_dir):
 def q_dashboard_label_share_country(spark, sf_dir):
     """Label share by country from the fused three-pass dashboard job."""
     return dashboard.dashboard_tables(sc(spark, sf_dir))["label_share_country"]
+
+
+@register("stream_fraud_category_updates")
+def q_stream_fraud_category_updates(spark, sf_dir):
+    """Running fraud-by-category in update mode, upserted per micro-batch
+    into the keyed table; the table then equals the batch report."""
+    from fraudlens.operators.reports import inputs_of
+    from fraudlens.session import shared_dir
+    from fraudlens.sinks.keyed import read_table
+    from fraudlens.sources.envelope import decode_transactions
+    from fraudlens.streaming import stream as st
+    table = shared_dir(spark, "stream-updates-table")
+    rec = decode_transactions(_tx_stream(spark, sf_dir), inputs_of(["fraud_category"]))
+    q = st.to_keyed_table(st.running_report(rec, "fraud_category"), "fraud_category", table,
+                          st.checkpoint_dir(spark, "updates"))
+    st.run_to_end(q)
+    return read_table(spark, table).drop("_row_key", "_epoch")

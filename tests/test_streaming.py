@@ -61,3 +61,32 @@ def test_unbounded_state_refused(spark, scratch):
     rec = decode_transactions(read_stream(spark, t, "tx"))
     with pytest.raises(ValueError):
         st.running_report(rec, "income_analytics")
+
+
+def test_topic_sink_complete_mode(spark, scratch):
+    t = files(scratch("st4"))
+    _write_file(spark, t, [_rec(i, "A" if i % 2 else "B", 1) for i in range(6)], 0)
+    _write_file(spark, t, [_rec(9, "A", 0)], 10)
+    rec = decode_transactions(read_stream(spark, t, "tx", max_per_trigger=1))
+    out = files(scratch("st4-out"))
+    q = st.to_topic(st.running_report(rec, "fraud_category"), out, "fraud_category",
+                    scratch("st4-ckpt"), mode="complete")
+    st.run_to_end(q)
+    from fraudlens.sources.envelope import decode
+    from pyspark.sql import functions as F
+    env = read_batch(spark, out, "fraud_category")
+    schema = "category string, fraud_count long, total_transactions long, fraud_percentage double"
+    from pyspark.sql.types import _parse_datatype_string
+    latest = {}
+    for r in decode(env, _parse_datatype_string(schema), keep=("offset",)).collect():
+        if r.category not in latest or r.offset > latest[r.category][0]:
+            latest[r.category] = (r.offset, r.fraud_count, r.total_transactions)
+    assert {k: v[1:] for k, v in latest.items()} == {"A": (3, 4), "B": (3, 3)}
+
+
+def test_console_sink_runs(spark, scratch):
+    t = files(scratch("st5"))
+    _write_file(spark, t, [_rec(0, "A", 0)], 0)
+    q = st.to_console(st.raw_values(read_stream(spark, t, "tx")), checkpoint=scratch("st5-ckpt"))
+    st.run_to_end(q)
+    assert q.lastProgress["numInputRows"] == 1
