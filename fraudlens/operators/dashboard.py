@@ -99,14 +99,23 @@ def weight_vs_freight(df: DataFrame, fraction: float | None = None,
               .select("weight_kilograms", "freight_cost_usd", "fraud_label"))
 
 
-def dashboard_tables(df: DataFrame, bins: int = HISTOGRAM_BINS) -> dict[str, DataFrame]:
-    """All dashboard tables in three passes instead of seven.
+def _bin_expr(x, lo: float, hi: float, bins: int):
+    width = hi - lo
+    if width == 0:
+        return F.when(x.isNotNull(), F.lit(0))
+    return F.least(F.floor((x - F.lit(lo)) / F.lit(width) * F.lit(bins)),
+                   F.lit(bins - 1)).cast("int")
+
 
-    Pass 1 is one grouping-sets aggregate (checkpointed, a few hundred rows)
-    serving both label shares, the shipment-mode counts, the quantity sums and
-    the freight bounds; pass 2 bins the freight costs; pass 3 sums freight
-    per project code (high cardinality, its own shuffle)."""
-    from fraudlens.operators.reports import report
+def dashboard_tables(df: DataFrame, bins: int = HISTOGRAM_BINS) -> dict[str, DataFrame]:
+    """All six dashboard tables in two passes instead of seven.
+
+    Pass 1, one grouping-sets aggregate (checkpointed, a few hundred rows),
+    serves both label shares, the shipment-mode counts, the quantity sums
+    and the freight bounds.  Pass 2, a second grouping-sets aggregate with
+    the bounds as literals, serves the freight histogram and the freight
+    sum per project code (high cardinality; partial aggregation keeps it to
+    one row per code and task before the shuffle)."""
     lab = F.col("fraud_label").cast("string")
     keys = ["product_group", "country", "shipment_mode"]
     agg = (df.select(*keys, "fraud_label", "line_item_quantity", "freight_cost_usd")
@@ -130,14 +139,36 @@ def dashboard_tables(df: DataFrame, bins: int = HISTOGRAM_BINS) -> dict[str, Dat
                 .select(k, (F.col("_c0") / F.col("_n_lab") * F.lit(100)).alias("pct_label_0"),
                         (F.col("_c1") / F.col("_n_lab") * F.lit(100)).alias("pct_label_1")))
 
-    bounds = agg.where(F.col("_gid") == (1 << len(keys)) - 1).select("_lo", "_hi").first()
-    return {
+    out = {
         "label_share_product_group": shares("product_group"),
         "label_share_country": shares("country"),
         "shipment_mode_counts": slice_("shipment_mode").select(
             "shipment_mode", F.col("_n").alias("count")).orderBy(F.desc("count"), "shipment_mode"),
         "quantity_by_product_group": slice_("product_group").select(
             "product_group", F.coalesce(F.col("_qty"), F.lit(0)).alias("total_quantity")),
-        "freight_histogram": histogram(df, "freight_cost_usd", bins, (bounds["_lo"], bounds["_hi"])),
-        "freight_by_project": report("freight_by_project", df),
     }
+    bounds = agg.where(F.col("_gid") == (1 << len(keys)) - 1).select("_lo", "_hi").first()
+    lo, hi = bounds["_lo"], bounds["_hi"]
+    x = F.col("freight_cost_usd")
+    if lo is None:                       # no freight value at all
+        out["freight_histogram"] = histogram(df, "freight_cost_usd", bins, (None, None))
+        lo_f = hi_f = 0.0
+        bin_col = F.lit(None).cast("int")
+    else:
+        lo_f, hi_f = float(lo), float(hi)
+        bin_col = _bin_expr(x, lo_f, hi_f, bins)
+    second = (df.select("project_code", "freight_cost_usd", bin_col.alias("bin"))
+                .groupingSets([["project_code"], ["bin"]], "project_code", "bin")
+                .agg(F.grouping_id().alias("_gid"),
+                     F.coalesce(F.sum("freight_cost_usd"), F.lit(0.0)).alias("total_freight_cost"),
+                     F.count(F.lit(1)).alias("count")))
+    out["freight_by_project"] = second.where(
+        (F.col("_gid") == 1) & F.col("project_code").isNotNull()).select(
+        "project_code", "total_freight_cost")
+    if lo is not None:
+        width = hi_f - lo_f
+        edge = lambda k: F.lit(lo_f) + F.lit(width) * k / F.lit(float(bins))
+        out["freight_histogram"] = second.where(
+            (F.col("_gid") == 2) & F.col("bin").isNotNull()).select(
+            "bin", edge(F.col("bin")).alias("bin_lo"), edge(F.col("bin") + 1).alias("bin_hi"), "count")
+    return out
