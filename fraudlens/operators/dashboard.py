@@ -103,8 +103,9 @@ def _bin_expr(x, lo: float, hi: float, bins: int):
     width = hi - lo
     if width == 0:
         return F.when(x.isNotNull(), F.lit(0))
-    return F.least(F.floor((x - F.lit(lo)) / F.lit(width) * F.lit(bins)),
-                   F.lit(bins - 1)).cast("int")
+    # ``least`` skips nulls, so a null value must stay null explicitly.
+    return F.when(x.isNotNull(), F.least(F.floor((x - F.lit(lo)) / F.lit(width) * F.lit(bins)),
+                                         F.lit(bins - 1)).cast("int"))
 
 
 def dashboard_tables(df: DataFrame, bins: int = HISTOGRAM_BINS) -> dict[str, DataFrame]:
