@@ -22,6 +22,7 @@ from fraudlens.functions import is_fraud_str
 from fraudlens.ml import auc
 from fraudlens.operators.rows import split_frames
 from fraudlens.schemas import ML_CATEGORICAL_FIELDS, ML_NUMERIC_FIELDS
+from fraudlens.session import cut_lineage
 
 LABEL = "label"
 MAX_ITER = 10
@@ -75,7 +76,7 @@ def train_and_evaluate(records: DataFrame, key_cols=("pq",), seed: int = SEED):
     predictions, AUC).  The labelled input is checkpointed once so the
     indexer fit, imputer fit, the regression and the evaluation do not each
     re-read and re-parse the source."""
-    data = with_label(records).checkpoint(eager=True)
+    data = cut_lineage(with_label(records))
     train, test = split(data, key_cols, seed=seed)
     model = fit(train)
     pred = score(model, test)

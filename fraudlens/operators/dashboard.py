@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fraudlens.session import cut_lineage
+
 # Fixed value: number of bins of the freight-cost histogram.
 HISTOGRAM_BINS = 20
 
@@ -119,7 +121,7 @@ def dashboard_tables(df: DataFrame, bins: int = HISTOGRAM_BINS) -> dict[str, Dat
     one row per code and task before the shuffle)."""
     lab = F.col("fraud_label").cast("string")
     keys = ["product_group", "country", "shipment_mode"]
-    agg = (df.select(*keys, "fraud_label", "line_item_quantity", "freight_cost_usd")
+    agg = cut_lineage(df.select(*keys, "fraud_label", "line_item_quantity", "freight_cost_usd")
              .groupingSets([["product_group"], ["country"], ["shipment_mode"], []], *keys)
              .agg(F.grouping_id().alias("_gid"),
                   F.count(lab).alias("_n_lab"),
@@ -128,8 +130,7 @@ def dashboard_tables(df: DataFrame, bins: int = HISTOGRAM_BINS) -> dict[str, Dat
                   F.count(F.lit(1)).alias("_n"),
                   F.sum("line_item_quantity").alias("_qty"),
                   F.min("freight_cost_usd").alias("_lo"),
-                  F.max("freight_cost_usd").alias("_hi"))
-             .checkpoint(eager=True))
+                  F.max("freight_cost_usd").alias("_hi")))
     gid = {k: sum(1 << (len(keys) - 1 - j) for j, o in enumerate(keys) if o != k) for k in keys}
 
     def slice_(k):

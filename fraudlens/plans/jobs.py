@@ -20,6 +20,7 @@ from fraudlens.sinks.publish import publish_many
 from fraudlens.sources.csv import read_csv
 from fraudlens.sources.envelope import Transport, decode, read_batch
 from fraudlens.operators.cells import to_cells
+from fraudlens.session import cut_lineage
 
 
 def report_set(df: DataFrame, names, strategy: str = "fused") -> dict[str, DataFrame]:
@@ -35,7 +36,7 @@ def report_set(df: DataFrame, names, strategy: str = "fused") -> dict[str, DataF
     fusable = [n for n in names if not REPORTS[n].drop_null_keys]
     out = {}
     if fusable:
-        agg = fused.fused_aggregate(df, fusable).checkpoint(eager=True)
+        agg = cut_lineage(fused.fused_aggregate(df, fusable))
         out.update(fused.split_fused(agg, fusable))
     for n in names:
         if n not in out:

@@ -57,3 +57,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     outputs that later stages read back (survives executor loss)."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/fraudlens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cut_lineage(df):
+    """Reliable checkpoint into the shared checkpoint folder (eager): later
+    stages re-read the written result instead of recomputing it, and an
+    executor loss does not replay the upstream plan."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
