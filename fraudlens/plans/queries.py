@@ -363,7 +363,7 @@ def q_oversample(spark, sf_dir):
 # micro-batch, into a sink in the shared folder; the sink is read back.
 # ---------------------------------------------------------------------------
 
-STREAM_FILES_PER_TRIGGER = 2
+STREAM_FILES_PER_TRIGGER = 4
 
 
 def _tx_stream(spark, sf_dir):
