@@ -277,3 +277,10 @@ def inputs_of(names) -> list[str]:
     for n in names:
         cols += REPORTS[n].inputs
     return list(dict.fromkeys(cols))
+
+
+def available_reports(df: DataFrame, names=None) -> list[str]:
+    """Reports whose input columns all exist in ``df`` (schema only, no job):
+    a view is emitted only when its columns are present."""
+    have = set(df.columns)
+    return [n for n in (names or REPORTS) if set(REPORTS[n].inputs) <= have]

@@ -319,12 +319,14 @@ def q_wide_upsert(spark, sf_dir):
     keyed table; key = purchase quote, latest (time, partition, offset)."""
     from fraudlens.session import shared_dir
     from fraudlens.sinks.keyed import read_table, upsert
-    base = sc(spark, sf_dir, with_source=True).select(
+    from fraudlens.session import cut_lineage
+    # Both batches come from one derived table: written once, read twice.
+    base = cut_lineage(sc(spark, sf_dir, with_source=True).select(
         "pq", "country", "vendor", "freight_cost_usd", "fraud_label",
         F.col("l_shipdate").alias("_ts"), fixtures.fixture_partition().alias("_partition"),
-        fixtures.fixture_offset().alias("_offset"))
+        fixtures.fixture_offset().alias("_offset")))
     path = shared_dir(spark, "keyed-table")
-    cut = F.lit("1995-06-17").cast("timestamp")
+    cut = F.lit("1998-06-02").cast("timestamp_ntz")        # median ship date
     order = ["_ts", "_partition", "_offset"]
     upsert(spark, base.where(F.col("_ts") < cut), path, "pq", order, buckets=8)
     upsert(spark, base.where(F.col("_ts") >= cut), path, "pq", order, buckets=8)

@@ -114,3 +114,11 @@ def test_dashboard_tables_equal_single_queries(spark):
                     assert math.isclose(x, y, rel_tol=1e-9), (name, ra, rb)
                 else:
                     assert x == y, (name, ra, rb)
+
+
+def test_available_reports(spark):
+    from fraudlens.operators.reports import available_reports
+    df = spark.createDataFrame([], "product_group string, fraud_label string, project_code string")
+    got = available_reports(df)
+    assert "fraud_product_group" in got and "fraud_country" not in got
+    assert "fraud_category" not in got
