@@ -89,11 +89,15 @@ def offset_filter(topic: str, starting="earliest", ending="latest") -> Column:
     return cond
 
 
-def _kafka_reader(reader, transport: Transport, topic: str):
+def _kafka_reader(reader, transport: Transport, topic: str, parallelism: int):
+    """Kafka source.  ``minPartitions`` defaults to the cluster's task slots
+    so that a topic partition holding a large share of the messages is
+    split into several offset ranges (tasks) instead of one."""
     r = (reader.format("kafka")
          .option("kafka.bootstrap.servers", transport.bootstrap_servers)
          .option("subscribe", topic))
-    for k, v in transport.options.items():
+    opts = {"minPartitions": str(parallelism), **transport.options}
+    for k, v in opts.items():
         r = r.option(k, v)
     return r
 
@@ -111,7 +115,7 @@ def read_batch(spark: SparkSession, transport: Transport, topic: str,
                starting="earliest", ending="latest") -> DataFrame:
     """Bounded read of a whole topic (or an offset range of it)."""
     if transport.kind == "kafka":
-        r = _kafka_reader(spark.read, transport, topic)
+        r = _kafka_reader(spark.read, transport, topic, spark.sparkContext.defaultParallelism)
         start = starting if isinstance(starting, str) else json.dumps(starting)
         end = ending if isinstance(ending, str) else json.dumps(ending)
         return r.option("startingOffsets", start).option("endingOffsets", end).load()
@@ -126,7 +130,8 @@ def read_stream(spark: SparkSession, transport: Transport, topic: str,
     """Unbounded read.  Kafka streams start at ``latest`` by default; a file
     topic streams every file not yet seen by the query's checkpoint."""
     if transport.kind == "kafka":
-        r = _kafka_reader(spark.readStream, transport, topic).option("startingOffsets", starting)
+        r = _kafka_reader(spark.readStream, transport, topic,
+                          spark.sparkContext.defaultParallelism).option("startingOffsets", starting)
         if max_per_trigger:
             r = r.option("maxOffsetsPerTrigger", int(max_per_trigger))
         return r.load()
