@@ -49,7 +49,9 @@ def join_large(left: DataFrame, right: DataFrame, on: Column, how: str = "inner"
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin the rows over the cluster's task slots when the input has
     fewer splits than slots (planning only, no job)."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:        # sessions without RDD access: leave as is
+        return df
+    return df.repartition(slots) if splits < slots else df

@@ -41,11 +41,16 @@ def get_session(master: str | None = None, app: str = "fraudlens",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder; set a local one only if the
     cluster did not name one (tests, single machine)."""
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:        # no SparkContext handle (remote session)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the cluster")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="fraudlens-ckpt-")
     sc.setCheckpointDir(configured)
