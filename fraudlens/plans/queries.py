@@ -530,3 +530,22 @@ def q_stream_fraud_category_updates(spark, sf_dir):
                           st.checkpoint_dir(spark, "updates"))
     st.run_to_end(q)
     return read_table(spark, table).drop("_row_key", "_epoch")
+
+
+@register("draw_label")
+def q_draw_label(spark, sf_dir):
+    """Seeded Bernoulli labels from the risk rule over every supply line:
+    drawn rate per (region, probability) stratum (xxhash64 draws: no SQL)."""
+    from fraudlens.functions import draw_label, fraud_probability
+    p = fraud_probability(regions=["ASIA", "AMERICA"])
+    t = sc(spark, sf_dir).select("pq", "country", p.alias("p"))
+    return (t.select("country", "p", draw_label(F.col("p"), 42, F.col("pq")).alias("y"))
+             .groupBy("country", "p").agg(F.count(F.lit(1)).alias("n"),
+                                          F.avg("y").alias("drawn_rate")))
+
+
+@register("weight_vs_freight_sample")
+def q_weight_vs_freight_sample(spark, sf_dir):
+    """Scatter points with a seeded 10 % hash sample (the sample is the
+    feature; identical at any partitioning)."""
+    return dashboard.weight_vs_freight(sc(spark, sf_dir), fraction=0.1, seed=42)

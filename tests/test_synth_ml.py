@@ -69,3 +69,12 @@ def test_indexer_order_ties_alphabetical(spark):
     m = StringIndexer(inputCol="x", outputCol="i", handleInvalid="keep").fit(df)
     got = {r.x: r.i for r in m.transform(df).collect()}
     assert got == {"c": 0.0, "a": 1.0, "b": 2.0, None: 3.0}
+
+
+def test_hash_sample_partition_independent(spark):
+    from fraudlens.operators.dashboard import weight_vs_freight
+    df = synth_supply(spark, rows=5000, seed=5).withColumn(
+        "fraud_label", F.col("fraud_label").cast("string"))
+    a = weight_vs_freight(df.repartition(2), fraction=0.2, seed=9)
+    b = weight_vs_freight(df.repartition(9), fraction=0.2, seed=9)
+    assert _rows(a) == _rows(b) and 800 < a.count() < 1200
