@@ -84,10 +84,9 @@ def ingest_csv(spark: SparkSession, path: str, transport: Transport, topic: str,
         n = records.count()            # the broker assigns offsets: count first
         publish_many(spark, {topic: records}, transport, partitions)
         return n
-    from fraudlens.sinks.publish import _next_offset
-    first = _next_offset(spark, transport)
-    publish_many(spark, {topic: records}, transport, partitions)
-    # Count what was written: only the offset column of the new range is read.
+    first = publish_many(spark, {topic: records}, transport, partitions)
+    # Count what was written: the offset filter skips the files of earlier
+    # writes by their footer statistics; only the new range is read.
     return read_batch(spark, transport, topic).where(F.col("offset") >= first).count()
 
 

@@ -12,19 +12,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudlens.sources.envelope import Transport, encode
-from fraudlens.schemas import ENVELOPE_SCHEMA
 
 DEFAULT_PARTITIONS = 3
 
 
-def _next_offset(spark: SparkSession, transport: Transport) -> int:
-    """First free offset on a file transport (offsets grow across writes)."""
+OFFSET_MARKER = "_offsets"       # underscore folders are skipped by file listing
+
+
+def _partitions(df: DataFrame) -> int:
     try:
-        existing = spark.read.parquet(transport.root)
-        top = existing.agg(F.max("offset")).first()[0]
-    except Exception:  # no topic written yet
-        return 0
-    return 0 if top is None else int(top) + 1
+        n = df.rdd.getNumPartitions()
+    except Exception:
+        n = 0
+    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(n, shuffle, 1)
+
+
+def reserve_offsets(spark: SparkSession, transport: Transport, df: DataFrame) -> int:
+    """Reserve an offset range for one write on the file transport and
+    return its base.  ``monotonically_increasing_id`` stays below
+    (partitions + 1) * 2^33, so the reservation is an upper bound taken from
+    the plan's partition count (times 4 for safety); no existing message is
+    read.  The next free offset lives in a one-row marker file."""
+    marker = f"{transport.root.rstrip('/')}/{OFFSET_MARKER}"
+    try:
+        base = int(spark.read.parquet(marker).first()["next_offset"])
+    except Exception:  # first write to this folder
+        base = 0
+    span = (4 * _partitions(df) + 1) << 33
+    (spark.createDataFrame([(base + span,)], "next_offset long").coalesce(1)
+          .write.mode("overwrite").parquet(marker))
+    return base
 
 
 def to_envelope(encoded: DataFrame, partitions: int = DEFAULT_PARTITIONS,
@@ -57,8 +75,9 @@ def write_envelopes(spark: SparkSession, envelopes: DataFrame, transport: Transp
 
 
 def publish_many(spark: SparkSession, frames: dict[str, DataFrame], transport: Transport,
-                 partitions: int = DEFAULT_PARTITIONS, key_cols: dict | None = None) -> None:
-    """Publish several DataFrames, each to its own topic, in one write."""
+                 partitions: int = DEFAULT_PARTITIONS, key_cols: dict | None = None):
+    """Publish several DataFrames, each to its own topic, in one write.
+    Returns the base offset of the write on the file transport."""
     key_cols = key_cols or {}
     parts = []
     for topic, df in frames.items():
@@ -70,13 +89,14 @@ def publish_many(spark: SparkSession, frames: dict[str, DataFrame], transport: T
         union = union.unionByName(p)
     if transport.kind == "kafka":
         write_envelopes(spark, union, transport)
-        return
-    base = _next_offset(spark, transport)
+        return None
+    base = reserve_offsets(spark, transport, union)
     write_envelopes(spark, to_envelope(union, partitions, base), transport)
+    return base
 
 
 def publish(spark: SparkSession, df: DataFrame, transport: Transport, topic: str,
-            partitions: int = DEFAULT_PARTITIONS, key_col: str | None = None) -> None:
+            partitions: int = DEFAULT_PARTITIONS, key_col: str | None = None):
     """Publish one DataFrame as JSON messages to ``topic``."""
-    publish_many(spark, {topic: df}, transport, partitions,
+    return publish_many(spark, {topic: df}, transport, partitions,
                  {topic: key_col} if key_col else None)
