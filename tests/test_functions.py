@@ -28,9 +28,9 @@ def test_try_double(spark):
 
 
 def test_parse_float_lenient(spark):
-    got = _one(spark, ["12kg", "abc", " -3.5e2x", ".5", "1.", "0x1F", "", None],
+    got = _one(spark, ["12kg", "abc", " -3.5e2x", ".5", "1.", "0x1F", "", None, "NaN"],
                parse_float_lenient)
-    assert got == [12.0, None, -350.0, 0.5, 1.0, 0.0, None, None]
+    assert got == [12.0, None, -350.0, 0.5, 1.0, 0.0, None, None, None]   # never NaN
 
 
 def test_age_buckets(spark):

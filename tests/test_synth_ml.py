@@ -78,3 +78,12 @@ def test_hash_sample_partition_independent(spark):
     a = weight_vs_freight(df.repartition(2), fraction=0.2, seed=9)
     b = weight_vs_freight(df.repartition(9), fraction=0.2, seed=9)
     assert _rows(a) == _rows(b) and 800 < a.count() < 1200
+
+
+def test_unseen_category_in_test_split(spark):
+    from pyspark.ml.feature import StringIndexer
+    train = spark.createDataFrame([("a",), ("b",), ("a",)], "x string")
+    test = spark.createDataFrame([("a",), ("zzz",), (None,)], "x string")
+    m = StringIndexer(inputCol="x", outputCol="i", handleInvalid="keep").fit(train)
+    got = [r.i for r in m.transform(test).collect()]
+    assert got == [0.0, 2.0, 2.0]          # unseen and null share the extra index
