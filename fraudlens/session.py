@@ -7,7 +7,6 @@ a test run) does ``shared_dir`` pick a local default.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
