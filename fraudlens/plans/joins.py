@@ -16,18 +16,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A dimension is broadcast only when it is proven to hold at most this many
-# rows; the probe reads at most MAX_BROADCAST_ROWS + 1 rows.
+# rows; the probe stops after MAX_BROADCAST_ROWS + 1 rows.
 MAX_BROADCAST_ROWS = 100_000
 
 _BOUNDED: dict[tuple, bool] = {}
 
 
 def is_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded probe,
-    memoised per logical plan within the process)."""
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    ``take`` scans partitions incrementally and stops once ``max_rows + 1``
+    rows are found, so probing a huge table touches a partition or two, not
+    all of them; at most ``max_rows + 1`` one-column rows reach the driver.
+    Memoised per logical plan within the process."""
     key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
     if key not in _BOUNDED:
-        _BOUNDED[key] = df.limit(max_rows + 1).count() <= max_rows
+        probe = df.select(F.lit(1).alias("_one")).take(max_rows + 1)
+        _BOUNDED[key] = len(probe) <= max_rows
     return _BOUNDED[key]
 
 
