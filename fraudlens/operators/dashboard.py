@@ -7,7 +7,7 @@ Only the small result ever leaves the cluster.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudlens.session import cut_lineage
@@ -37,14 +37,14 @@ def label_share(df: DataFrame, key: str, label: str = "fraud_label",
 def label_share_long(df: DataFrame, key: str, label: str = "fraud_label") -> DataFrame:
     """Long form for any set of label values: (key, label, share_pct).
 
-    The per-key denominator joins back on the (small) aggregated table, so
-    no raw rows ever share one task."""
+    Raw rows are first reduced to one row per (key, label) by partial
+    aggregation; the per-key denominator is then a window over those
+    aggregated rows (one row per label value per key), never over raw rows."""
     pairs = (df.where(F.col(key).isNotNull() & F.col(label).isNotNull())
                .groupBy(key, label).agg(F.count(F.lit(1)).alias("_c")))
-    totals = pairs.groupBy(key).agg(F.sum("_c").alias("_t"))
-    return (pairs.join(totals, key)
-                 .select(key, F.col(label).cast("string").alias("label"),
-                         (F.col("_c") / F.col("_t") * F.lit(100)).alias("share_pct")))
+    total = F.sum("_c").over(Window.partitionBy(key))
+    return pairs.select(key, F.col(label).cast("string").alias("label"),
+                        (F.col("_c") / total * F.lit(100)).alias("share_pct"))
 
 
 def value_bounds(df: DataFrame, c: str) -> tuple:
