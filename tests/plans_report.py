@@ -42,7 +42,9 @@ def main(argv) -> int:
          Q.QUERIES["fraud_category"](spark, sf)),
         ("Dashboard pass 2: freight histogram and per-project sums in one grouping-sets aggregate",
          "Bin edges enter as literals; project codes (high cardinality) are partially aggregated.",
-         dashboard.dashboard_tables(Q.sc(spark, sf))["freight_by_project"]),
+         dashboard.freight_pass(Q.sc(spark, sf), dashboard._bin_expr(
+             __import__("pyspark.sql.functions", fromlist=["col"]).col("freight_cost_usd"),
+             18.0364, 2099.9576, 20))),
         ("Keyed table read-back with bucket pruning",
          "Reading one bucket of the keyed table prunes partitions (PartitionFilters).",
          None),
