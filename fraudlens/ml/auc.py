@@ -24,17 +24,6 @@ from pyspark.sql import functions as F
 _PART_SCHEMA = "lo double, pos double, neg double, partial double"
 
 
-def _partition_sums(batches):
-    frames = [b for b in batches if len(b)]
-    if not frames:
-        return
-    g = pd.concat(frames).sort_values("score", kind="mergesort")
-    neg_below = g["neg"].cumsum() - g["neg"]
-    partial = float((g["pos"] * (neg_below + 0.5 * g["neg"])).sum())
-    yield pd.DataFrame({"lo": [float(g["score"].iloc[0])], "pos": [float(g["pos"].sum())],
-                        "neg": [float(g["neg"].sum())], "partial": [partial]})
-
-
 def auc_frame(df: DataFrame, score: str, label: str, partitions: int | None = None) -> DataFrame:
     """One-row DataFrame ``auc`` (null when a class is absent)."""
     y = F.col(label).cast("double")
@@ -42,9 +31,22 @@ def auc_frame(df: DataFrame, score: str, label: str, partitions: int | None = No
            .groupBy(F.col(score).cast("double").alias("score"))
            .agg(F.sum(F.when(y == 1.0, 1.0).otherwise(0.0)).alias("pos"),
                 F.sum(F.when(y == 1.0, 0.0).otherwise(1.0)).alias("neg")))
+
+    def partition_sums(batches):
+        # Defined here so it travels to the Python workers by value: they
+        # need pandas, not this package.
+        frames = [b for b in batches if len(b)]
+        if not frames:
+            return
+        g = pd.concat(frames).sort_values("score", kind="mergesort")
+        neg_below = g["neg"].cumsum() - g["neg"]
+        partial = float((g["pos"] * (neg_below + 0.5 * g["neg"])).sum())
+        yield pd.DataFrame({"lo": [float(g["score"].iloc[0])], "pos": [float(g["pos"].sum())],
+                            "neg": [float(g["neg"].sum())], "partial": [partial]})
+
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = (g.repartitionByRange(n, "score").sortWithinPartitions("score")
-              .mapInPandas(_partition_sums, _PART_SCHEMA))
+              .mapInPandas(partition_sums, _PART_SCHEMA))
     # ``parts`` has at most one row per range partition.
     before = Window.orderBy("lo").rowsBetween(Window.unboundedPreceding, -1)
     combined = parts.select(
