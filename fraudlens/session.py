@@ -24,6 +24,23 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (pass as ``conf=CLUSTER_CONF`` or put
+# them in the cluster's defaults).  Many initial shuffle partitions that AQE
+# coalesces to ~256 MB keep every reducer's share small enough not to spill
+# heavily; AQE splits skewed join partitions; input splits of 256 MB; the
+# RocksDB state store keeps streaming state off the JVM heap.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def get_session(master: str | None = None, app: str = "fraudlens",
                 conf: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
