@@ -42,3 +42,13 @@ def test_keyed_table_reads_only_touched_buckets(spark, scratch):
     upsert(spark, df, path, "k", ["v"], buckets=8)
     plan = _plan(spark.read.parquet(path).where(F.col("_bucket").isin([1, 2])))
     assert re.search(r"PartitionFilters: \[_bucket#\d+ IN \(1,2\)\]", plan)
+
+
+def test_dimension_broadcast_only_within_bound(spark):
+    from fraudlens.plans.joins import join_dimension
+    fact = spark.range(0, 5000).selectExpr("id % 300 AS k", "id AS v")
+    dim = spark.range(0, 300).selectExpr("id AS k2", "id * 2 AS w")
+    small = _plan(join_dimension(fact, dim, F.col("k") == F.col("k2"), max_rows=1000))
+    assert "BroadcastHashJoin" in small
+    big = _plan(join_dimension(fact, dim, F.col("k") == F.col("k2"), max_rows=100))
+    assert "BroadcastExchange" not in big and "SortMergeJoin" in big
