@@ -418,7 +418,7 @@ def q_stream_fraud_fan_out(spark, sf_dir):
     from fraudlens.operators.reports import ECOMMERCE_FRAUD, inputs_of
     from fraudlens.session import shared_dir
     from fraudlens.sinks.publish import publish_many
-    from fraudlens.sources.envelope import decode_transactions, files, read_batch
+    from fraudlens.sources.envelope import compacted, decode_transactions, files, read_batch
     from fraudlens.streaming import stream as st
     t = files(shared_dir(spark, "stream-topics"))
     rec = decode_transactions(_tx_stream(spark, sf_dir), inputs_of(ECOMMERCE_FRAUD))
@@ -435,11 +435,10 @@ def q_stream_fraud_fan_out(spark, sf_dir):
         spec = REPORTS[name]
         v = F.col("value").cast("string")
         env = read_batch(spark, t, spec.output_topic)
-        latest = env.groupBy(F.get_json_object(v, f"$.{spec.key}").alias("key_value")).agg(
-            F.max_by("value", "offset").alias("value"))
-        v = F.col("value").cast("string")
+        latest = compacted(env, F.get_json_object(v, f"$.{spec.key}"))
         parts.append(latest.select(
-            F.lit(spec.output_topic).alias("topic"), "key_value",
+            F.lit(spec.output_topic).alias("topic"),
+            F.get_json_object(v, f"$.{spec.key}").alias("key_value"),
             F.get_json_object(v, "$.fraud_count").cast("long").alias("fraud_count"),
             F.get_json_object(v, "$.total_transactions").cast("long").alias("total_transactions"),
             F.get_json_object(v, "$.fraud_percentage").cast("double").alias("fraud_percentage")))

@@ -200,3 +200,13 @@ def preview(env: DataFrame, n: int = 100) -> DataFrame:
     """First ``n`` messages in (partition, offset) order: a top-n sort
     (TakeOrderedAndProject) that keeps n rows per task, never the topic."""
     return env.orderBy("partition", "offset").limit(n)
+
+
+def compacted(env: DataFrame, key: Column) -> DataFrame:
+    """Newest message per key, as a log-compacted topic would keep it: one
+    aggregate (``max_by`` value by (partition, offset)) whose partial phase
+    collapses a hot key inside each task.  Republished reports (streaming
+    complete mode, reruns) read back as their current value."""
+    return (env.groupBy(key.alias("_key"))
+               .agg(F.max_by("value", F.struct("offset", "partition")).alias("value"))
+               .select("value"))

@@ -79,3 +79,16 @@ def test_publish_roundtrip_and_offsets_grow(spark, scratch):
     assert env.select("offset").distinct().count() == 4
     back = sorted(tuple(r) for r in decode(env, SMALL).collect())
     assert back == sorted([("a", 1.0, 1), ("b", None, 2)] * 2)
+
+
+def test_compacted_keeps_newest_message_per_key(spark, scratch):
+    from fraudlens.sources.envelope import compacted
+    t = files(scratch("compact"))
+    first = spark.createDataFrame([("a", 1.0, 1), ("b", 2.0, 1)], SMALL)
+    second = spark.createDataFrame([("a", 9.0, 2)], SMALL)
+    publish(spark, first, t, "r")
+    publish(spark, second, t, "r")
+    env = read_batch(spark, t, "r")
+    v = F.col("value").cast("string")
+    latest = decode(compacted(env, F.get_json_object(v, "$.s")), SMALL)
+    assert sorted(tuple(r) for r in latest.collect()) == [("a", 9.0, 2), ("b", 2.0, 1)]
