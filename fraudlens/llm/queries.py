@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from fraudlens.llm import op1_token_counts, op3_bpe_codec
+from fraudlens.llm import op1_token_counts, op2_decontaminate, op3_bpe_codec, op6_toxicity, op8_language_id
 
 QUERIES = {
     "op1_token_counts": op1_token_counts.query,
+    "op2_decontaminate": op2_decontaminate.query,
     "op3_bpe_codec": op3_bpe_codec.query,
+    "op6_toxicity": op6_toxicity.query,
+    "op8_language_id": op8_language_id.query,
+}
+ORACLE: dict[str, str] = {
+    "op2_decontaminate": op2_decontaminate.ORACLE,
 }
-ORACLE: dict[str, str] = {}
