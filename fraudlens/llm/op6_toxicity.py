@@ -53,6 +53,8 @@ LIMIT = 0.7
 OUTPUTS = "score double, predicted int"
 _WORD = re.compile(r"[^\W\d_]+")
 _START, _END = b"\x01\x02\x03", b"\x04\x05"
+_ANCHOR_END = b"\x07"            # keeps a match of the anchor from running into a window
+_TAIL = bytes(range(0x0E, 0x18))  # zstandard starts no match in the last 8 bytes of its input
 _SIDE = 32                       # lengths are clipped to 0.._SIDE-1
 
 
@@ -78,7 +80,7 @@ class Scorer:
     bounded counts, sent to the workers as plain values."""
 
     def __init__(self, ordinary: bytes, toxic: bytes):
-        self.anchor = ordinary[:ANCHOR_BYTES]
+        self.anchor = ordinary[:ANCHOR_BYTES] + _ANCHOR_END
         self.contents = (ordinary + self.anchor, ordinary + toxic + self.anchor)
         self.ratio = np.zeros(_SIDE * _SIDE)
         self.weights: np.ndarray | None = None
@@ -103,10 +105,10 @@ class Scorer:
         """word -> its pair of compressed lengths as one number."""
         if self._ready is None:
             ordinary, toxic = self._compressors()
-            low = [len(c.compress(self.anchor + _START)) for c in (ordinary, toxic)]
+            low = [len(c.compress(self.anchor + _START + _TAIL)) for c in (ordinary, toxic)]
 
             def cell(word: str) -> int:
-                data = self.anchor + window(word)
+                data = self.anchor + window(word) + _TAIL
                 a, b = (min(_SIDE - 1, max(0, len(c.compress(data)) - at))
                         for c, at in zip((ordinary, toxic), low))
                 return a * _SIDE + b
