@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fraudlens.llm import op1_token_counts, op2_decontaminate, op3_bpe_codec, op6_toxicity, op8_language_id
+from fraudlens.llm import op1_token_counts, op10_jaccard_join, op2_decontaminate, op3_bpe_codec, op6_toxicity, op8_language_id
 
 QUERIES = {
     "op1_token_counts": op1_token_counts.query,
@@ -10,7 +10,9 @@ QUERIES = {
     "op3_bpe_codec": op3_bpe_codec.query,
     "op6_toxicity": op6_toxicity.query,
     "op8_language_id": op8_language_id.query,
+    "op10_jaccard_join": op10_jaccard_join.query,
 }
 ORACLE: dict[str, str] = {
     "op2_decontaminate": op2_decontaminate.ORACLE,
+    "op10_jaccard_join": op10_jaccard_join.ORACLE,
 }
