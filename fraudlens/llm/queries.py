@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from fraudlens.llm import op1_token_counts, op10_jaccard_join, op2_decontaminate, op3_bpe_codec, op6_toxicity, op8_language_id
+from fraudlens.llm import op1_token_counts, op10_jaccard_join, op2_decontaminate, op3_bpe_codec, op5_embedding_dedup, op6_toxicity, op8_language_id
 
 QUERIES = {
     "op1_token_counts": op1_token_counts.query,
     "op2_decontaminate": op2_decontaminate.query,
     "op3_bpe_codec": op3_bpe_codec.query,
+    "op5_embedding_dedup": op5_embedding_dedup.query,
     "op6_toxicity": op6_toxicity.query,
     "op8_language_id": op8_language_id.query,
     "op10_jaccard_join": op10_jaccard_join.query,
 }
 ORACLE: dict[str, str] = {
     "op2_decontaminate": op2_decontaminate.ORACLE,
+    "op5_embedding_dedup": op5_embedding_dedup.ORACLE,
     "op10_jaccard_join": op10_jaccard_join.ORACLE,
 }

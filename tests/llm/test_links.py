@@ -123,3 +123,66 @@ def test_components_of_paths_and_stars(spark):
     touched = {x for link in real for x in link}
     assert set(got) == touched and all(got[x] == want[x] for x in touched)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def cosine_brute(vectors, cosine=0.9):
+    ok = [v is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v) and any(v)
+          for v in vectors]
+    x = [np.array(v, float) / np.linalg.norm(v) if g else None for v, g in zip(vectors, ok)]
+    links = [(i, j) for i in range(len(x)) for j in range(len(x)) if i != j and ok[i] and ok[j]
+             and len(x[i]) == len(x[j]) and x[i] @ x[j] >= cosine]
+    degree = np.zeros(len(x), int)
+    for i, _ in links:
+        degree[i] += 1
+    return degree, closure(len(x), links)
+
+
+def vectors_table(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, node int")
+
+
+@pytest.mark.parametrize("block", [1_024, 16])
+def test_embeddings_equal_brute_force(spark, monkeypatch, block):
+    from fraudlens.llm import op5_embedding_dedup as emb
+    monkeypatch.setattr(emb, "BLOCK", block)
+    monkeypatch.setattr(emb, "HOT_ROWS", 16)
+    rng = np.random.default_rng(7)
+    base = rng.standard_normal((60, 32))
+    near = [b + rng.standard_normal(32) * s for b in base[:25] for s in (0.05, 0.2, 0.3)]
+    hot = [base[0] + rng.standard_normal(32) * 0.05 for _ in range(150)]
+    rows = [v.astype(np.float32).tolist() for v in [*base, *near, *hot]]
+    rows += [rows[0], rows[0], [2 * x for x in rows[3]], [-x for x in rows[3]]]
+    rows += [None, [], [0.0] * 32, [float("nan")] + [1.0] * 31, [None] + [1.0] * 31, [float("inf")] * 32,
+             [1.0, 0.0], [2.0, 0.1], [3e38] * 32, [3.0] * 32, [1e-40] * 32]
+    got = as_dict(emb.near_duplicates(vectors_table(spark, [(i, v, i % 3, 1) for i, v in enumerate(rows)])), "vec_id")
+    degree, root = cosine_brute(rows)
+    assert len(got) == len(rows)
+    for i in range(len(rows)):
+        assert (got[i].n_links, got[i].component_id, got[i].kept) == (degree[i], root[i], root[i] == i), i
+
+
+def test_embedding_recall_at_the_limit():
+    """Pairs exactly at cosine 0.9 meet in a bucket and pass the sketch."""
+    from fraudlens.llm import op5_embedding_dedup as emb
+    rng = np.random.default_rng(8)
+    k, tables = emb.plan(50_000)
+    hasher = emb.Hasher(64, k, tables)
+    x = emb.unit(rng.standard_normal((1_500, 64)))
+    y = rng.standard_normal((1_500, 64))
+    y = emb.unit(y - (y * x).sum(axis=1, keepdims=True) * x)
+    y = 0.9 * x + np.sqrt(1 - 0.81) * y
+    met = (hasher.keys(x) == hasher.keys(y)).any(axis=1)
+    alike = emb.differ(hasher.sketches(x), hasher.sketches(y)) <= emb.SKETCH_LIMIT
+    assert (met & alike).mean() > 0.93 and alike.mean() > 0.999
+
+
+def test_embedding_odd_tables(spark):
+    from fraudlens.llm import op5_embedding_dedup as emb
+    assert emb.near_duplicates(vectors_table(spark, [])).count() == 0
+    same = [1.0, 2.0, 3.0]
+    got = emb.near_duplicates(vectors_table(spark, [(1, same, 0, 0), (1, same, 0, 0), (None, same, 0, 0),
+                                                    (4, same, 0, 0), (5, None, None, None)])).collect()
+    assert len(got) == 5
+    assert sorted(r.n_links for r in got) == [0, 0, 2, 2, 2]
+    assert {r.component_id for r in got if r.vec_id in (1, 4)} == {1}
+    assert [r.component_id for r in got if r.vec_id is None] == [None]
