@@ -10,10 +10,9 @@ of long unsplit stretches.
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
 
-import numpy as np
-
 # Fixed value: the splitting pattern of byte-level BPE files ("use_regex"),
 # written with the standard library's classes.  Used only for texts made of
 # the characters of _PLAIN, on which both spellings agree.
@@ -114,6 +113,8 @@ class Encoder:
 
     # -- encoding -----------------------------------------------------------
     def mapped(self, pretoken: str) -> str:
+        if pretoken.isascii() and pretoken.isprintable():      # all but the blank stand for themselves
+            return pretoken.replace(" ", self.to_alphabet[32])
         return pretoken.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.to_alphabet)
 
     def tokenize(self, mapped: str) -> list[int]:
@@ -122,7 +123,7 @@ class Encoder:
     def encode_pretoken(self, pretoken: str) -> bytes:
         mapped = self.mapped(pretoken)
         ids = self.tree(mapped) if len(mapped) > UNSPLIT_CHARS else self.tokenize(mapped)
-        return np.array(ids, dtype="<u4").tobytes()
+        return array("I", ids).tobytes()
 
     def tree(self, mapped: str) -> list[int]:
         """Encode one long pre-token by halves and join the halves."""

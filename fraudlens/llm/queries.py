@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fraudlens.llm import op1_token_counts, op10_jaccard_join, op2_decontaminate, op3_bpe_codec, op5_embedding_dedup, op6_toxicity, op8_language_id
+from fraudlens.llm import op1_token_counts, op10_jaccard_join, op2_decontaminate, op3_bpe_codec, op5_embedding_dedup, op6_toxicity, op8_language_id, op9_bitplane_store
 
 QUERIES = {
     "op1_token_counts": op1_token_counts.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_embedding_dedup": op5_embedding_dedup.query,
     "op6_toxicity": op6_toxicity.query,
     "op8_language_id": op8_language_id.query,
+    "op9_bitplane_store": op9_bitplane_store.query,
     "op10_jaccard_join": op10_jaccard_join.query,
 }
 ORACLE: dict[str, str] = {
