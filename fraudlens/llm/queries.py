@@ -2,14 +2,27 @@
 
 from __future__ import annotations
 
-from fraudlens.llm import op1_token_counts, op10_jaccard_join, op2_decontaminate, op3_bpe_codec, op5_embedding_dedup, op6_toxicity, op8_language_id, op9_bitplane_store
+from fraudlens.llm import (
+    op1_token_counts,
+    op2_decontaminate,
+    op3_bpe_codec,
+    op4_html_text,
+    op5_embedding_dedup,
+    op6_toxicity,
+    op7_chat_format,
+    op8_language_id,
+    op9_bitplane_store,
+    op10_jaccard_join,
+)
 
 QUERIES = {
     "op1_token_counts": op1_token_counts.query,
     "op2_decontaminate": op2_decontaminate.query,
     "op3_bpe_codec": op3_bpe_codec.query,
+    "op4_html_text": op4_html_text.query,
     "op5_embedding_dedup": op5_embedding_dedup.query,
     "op6_toxicity": op6_toxicity.query,
+    "op7_chat_format": op7_chat_format.query,
     "op8_language_id": op8_language_id.query,
     "op9_bitplane_store": op9_bitplane_store.query,
     "op10_jaccard_join": op10_jaccard_join.query,
