@@ -46,30 +46,47 @@ LEVEL = 1
 
 
 # -- planes -------------------------------------------------------------------
+_STEPS = [(np.uint64(shift), np.uint64(mask)) for shift, mask in
+          ((7, 0x00AA00AA00AA00AA), (14, 0x0000CCCC0000CCCC), (28, 0x00000000F0F0F0F0))]
+
+
+def transposed(column: np.ndarray) -> np.ndarray:
+    """(bytes, 8) bit matrix of a byte column: byte j of row g holds bit j of
+    the column's bytes 8g to 8g + 7.  Its own inverse on flat arrays."""
+    x = np.ascontiguousarray(column).view("<u8").copy()
+    for shift, mask in _STEPS:                       # swap ever larger blocks of an 8 x 8 bit square
+        t = (x ^ (x >> shift)) & mask
+        x ^= t ^ (t << shift)
+    return x.view(np.uint8).reshape(-1, 8)
+
+
 def to_planes(ids: np.ndarray, unit: int = 1) -> list[bytes]:
     """Planes of ``unit`` bits (1 or 8) of uint32 ids, lowest first, without
     the zero planes at the top."""
-    raw = np.ascontiguousarray(ids, dtype="<u4").view(np.uint8).reshape(-1, 4)
+    ids = np.concatenate([np.asarray(ids, dtype="<u4"), np.zeros(-len(ids) % 8 if unit == 1 else 0, "<u4")])
+    used = (int(ids.max()).bit_length() if len(ids) else 0) + 7 >> 3
+    columns = [((ids >> np.uint32(8 * k)) & np.uint32(255)).astype(np.uint8) for k in range(used)]
     if unit == 8:
-        planes = [raw[:, k].tobytes() for k in range(4)]
-    else:
-        planes = [p.tobytes() for k in range(4)
-                  for p in np.packbits(np.unpackbits(raw[:, k:k + 1], axis=1, bitorder="little").T, axis=1)]
+        return [c.tobytes() for c in columns]
+    planes = [m[:, j].tobytes() for m in map(transposed, columns) for j in range(8)]
     while planes and not any(planes[-1]):
         planes.pop()
     return planes
 
 
 def from_planes(planes: list[bytes], n: int, unit: int = 1) -> np.ndarray:
-    raw = np.zeros((n, 4), dtype=np.uint8)
-    if unit == 8:
-        for k, p in enumerate(planes):
-            raw[:, k] = np.frombuffer(p, np.uint8)
-    else:
-        for k in range(0, len(planes), 8):
-            own = np.stack([np.unpackbits(np.frombuffer(p, np.uint8), count=n) for p in planes[k:k + 8]])
-            raw[:, k // 8] = np.packbits(own.T, axis=1, bitorder="little")[:, 0]
-    return raw.view("<u4")[:, 0]
+    ids = np.zeros(n, dtype="<u4")
+    step = 1 if unit == 8 else 8
+    for k in range(0, len(planes), step):
+        if unit == 8:
+            column = np.frombuffer(planes[k], np.uint8)
+        else:
+            m = np.zeros((-(-n // 8), 8), dtype=np.uint8)
+            for j, p in enumerate(planes[k:k + 8]):
+                m[:, j] = np.frombuffer(p, np.uint8)
+            column = transposed(m.ravel()).ravel()[:n]
+        ids |= column.astype("<u4") << np.uint32(8 * (k // step))
+    return ids
 
 
 def pack(ids: np.ndarray, unit: int = 1) -> tuple[bytes, list[int]]:
