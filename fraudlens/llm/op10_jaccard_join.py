@@ -12,15 +12,17 @@ differ in at most D shingles, so of ``D + 1 + spare`` groups at least one that
 is not empty holds exactly the same shingles in both (rows with more than
 ``spare`` empty groups, and sets too small for groups, use the D + 1 smallest
 shingles instead, which cannot all be missed either).  Every set sends one row
-per group (band, group, content); rows that meet make a family, families are
-the components of that relation, and each family has its own R-tree.  A
-family of more than ``BLOCK_SETS`` sets is compared block by block.
+per group (band, group, content).  Sets that meet in a row and that the bound
+on their points does not keep apart (a shared passage fills whole groups, but
+not the point) make a family; families are the components of that relation,
+and each has its own R-tree.  A family of more than ``BLOCK_SETS`` sets is
+compared block by block.
 
 Skew: equal sets are one set from the start (one representative, smallest
-id), equal group rows of a task are reduced before the shuffle, group rows
-are streamed and never gathered, and inside a family only links that join two
-components so far apart are verified and kept, so a group of n near copies
-costs about n verifications and n rows, not n * n.
+id); near copies in one task send only what their leader has not sent (see
+``thinned``); and inside a family only links that join two components so far
+apart are verified and kept, so a group of n near copies costs about n
+verifications and n rows, not n * n.
 
 Defined cases: null and empty texts (and a null id) have no links; a null id
 gets a null component; repeated rows have the same component; a text with
@@ -46,15 +48,18 @@ PERCENT = 85
 BAND = 1.5                   # ratio of a size band's ends
 SMALL = 32                   # smaller sets use their smallest shingles only
 BLOCK_SETS, BLOCK_BYTES = 2_000, 32 << 20
-FLUSH_ROWS = 1_000_000       # group rows reduced together before the shuffle
+FLUSH_ROWS = 3_000_000       # shingles of a task looked at together before the shuffle
+HOT_ROWS, NEAR = 16, 0.02    # thinning of a task's near copies
+SHORT_RUN = 64
+DIMS = 64                    # groups of the points that families are told apart by
 LEAF = 32                    # points in a leaf, children of an inner node
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
 # -- sets ---------------------------------------------------------------------
-def _word_hash(word: bytes) -> int:
+def _word_hash(word: bytes) -> bytes:
     import xxhash
-    return xxhash.xxh3_64_intdigest(word)
+    return xxhash.xxh3_64_digest(word)
 
 
 _words = Cache(_word_hash)
@@ -71,13 +76,14 @@ def shingles(text: str | None, n: int = N) -> np.ndarray:
     words = (text or "").encode("utf-8").lower().split()     # bytes: A-Z, ASCII white space
     if not words:
         return np.zeros(0, dtype=np.uint64)
-    h = np.array(list(map(_words.__getitem__, words)), dtype=np.uint64)
+    h = np.frombuffer(b"".join(map(_words.__getitem__, words)), dtype=">u8").astype(np.uint64)
     _words.trim()
     n = min(n, len(h))
     out = np.full(len(h) - n + 1, n, dtype=np.uint64)
     for k in range(n):
-        out = mix(out * _K[0] + h[k:len(h) - n + 1 + k])
-    return np.unique(out)
+        out *= _K[0]
+        out += h[k:len(h) - n + 1 + k]
+    return np.unique(mix(out))
 
 
 def fingerprint(s: np.ndarray) -> tuple[int, int]:
@@ -88,18 +94,18 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
 
 
 def sets_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, n, f1, f2): set size and fingerprint of every row."""
+    """(doc, n, f1, f2, point): size, fingerprint and point of every row's set."""
     def run(batches):
         for batch in batches:
             sets = [shingles(t) for t in batch.column(1).to_pylist()]
             prints = [fingerprint(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([p[0] for p in prints], pa.int64()),
-                 pa.array([p[1] for p in prints], pa.int64())], names=["doc", "n", "f1", "f2"])
+                 pa.array([p[0] for p in prints], pa.int64()), pa.array([p[1] for p in prints], pa.int64()),
+                 pa.array([point_bytes(s) for s in sets], pa.binary())], names=["doc", "n", "f1", "f2", "point"])
 
     source = docs.select(docs[id_col].cast("long").alias("doc"), docs[text_col])
-    return arrow_map(source, run, "doc long, n long, f1 long, f2 long")
+    return arrow_map(source, run, "doc long, n long, f1 long, f2 long, point binary")
 
 
 # -- families -----------------------------------------------------------------
@@ -126,13 +132,14 @@ def group_rows(s: np.ndarray, percent: int) -> np.ndarray:
     n, keys = len(s), []
     by_hash = n * percent / 100 < SMALL              # a partner may be small
     if n >= SMALL:
+        mixed = mix(s * _K[2])
         for band in bands(n, percent):
             need = differing(BAND ** (band + 1), percent) + 1
             spare = 1 + need // 24
             groups = need + spare
             place = ((s >> np.uint64(32)) * np.uint64(groups)) >> np.uint64(32)   # ascending
             first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-            content = np.add.reduceat(mix(s * _K[2]), first)
+            content = np.add.reduceat(mixed, first)
             keys.append(mix(content + mix(place[first] * _K[0] + np.uint64(band + 1))))
             by_hash = by_hash or groups - len(first) > spare
     if by_hash:
@@ -141,25 +148,84 @@ def group_rows(s: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(keys)
 
 
-def family_links(docs: DataFrame, text_col: str, percent: int) -> DataFrame:
-    """(a, b): fingerprints (f1) of sets that share a key, as stars."""
+def thinned(found: list[tuple[int, np.ndarray, np.ndarray]]):
+    """(keys, nodes) of the sets of one task.  A set that differs from a
+    leader in at most ``NEAR`` of its shingles, in a key of ``HOT_ROWS`` sets or
+    more, sends only the keys that its leader has not, and one pair of rows
+    that links the two; the bound for families leaves room for that."""
+    keys = np.concatenate([k for _, _, k in found])
+    owner = np.repeat(np.arange(len(found)), [len(k) for _, _, k in found])
+    _, name, count = np.unique(keys, return_inverse=True, return_counts=True)
+    hot = np.unique(owner[count[name] >= HOT_ROWS])
+    leaders: list[int] = []
+    out_keys, out_nodes = [], []
+    lead_of = {}
+    for i in hot:
+        s = found[i][1]
+        lead = next((k for k in leaders if near(s, found[k][1])), None)
+        if lead is not None:
+            lead_of[i] = lead
+        elif len(leaders) < 64:
+            leaders.append(i)
+    for i, (node, _, own) in enumerate(found):
+        lead = lead_of.get(i)
+        if lead is not None:
+            own = np.setdiff1d(own, found[lead][2])
+            pair = mix(np.array([found[lead][0] ^ node], dtype=np.int64).view(np.uint64) + _K[0])
+            out_keys += [pair, pair]
+            out_nodes += [np.array([found[lead][0]]), np.array([node])]
+        out_keys.append(own)
+        out_nodes.append(np.full(len(own), node))
+    return np.concatenate(out_keys), np.concatenate(out_nodes)
+
+
+def overlap(a: np.ndarray, b: np.ndarray) -> int:
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    return int((b[at] == a).sum())
+
+
+def near(a: np.ndarray, b: np.ndarray) -> bool:
+    small, large = sorted((len(a), len(b)))
+    return large - small <= NEAR * small and len(a) + len(b) - 2 * overlap(a, b) <= NEAR * small
+
+
+def may_link(points: np.ndarray, sizes: np.ndarray, at: np.ndarray, n: int, percent: int) -> np.ndarray:
+    """Whether the count-vector bound lets sets link to a set of size n at
+    point ``at``, or to a set that one of the two leads."""
+    room = 4 * NEAR * np.minimum(sizes, n)       # both may be led
+    bound = np.minimum(points, at).sum(axis=1) + room
+    return bound * (100 + percent) >= percent * (sizes + n)
+
+
+def point(s: np.ndarray, dims: int) -> np.ndarray:
+    """Shingle counts of ``dims`` groups (a power of two)."""
+    place = (s & np.uint64(0xFFFFFFFF)) * np.uint64(dims) >> np.uint64(32)
+    return np.bincount(place.astype(np.int64), minlength=dims).astype(np.int32)
+
+
+def point_bytes(s: np.ndarray) -> bytes:
+    """The point in ``DIMS`` groups, byte planes apart (the upper ones are
+    mostly zero and compress away)."""
+    return point(s, DIMS).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def point_of(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0].astype(np.int32)
+
+
+def shared_keys(docs: DataFrame, text_col: str, percent: int) -> DataFrame:
+    """(run, node): the sets that share a key.  Runs of few sets are named by
+    their sets, so that the many keys that two copies share are one run."""
     def emit(batches):
-        rows, held = [], 0
+        found, held = [], 0
         seen: set[int] = set()                       # sets this task has already sent
 
-        def reduced():
-            keys = np.concatenate([k for k, _ in rows])
-            nodes = np.repeat(np.array([f for _, f in rows], dtype=np.int64), [len(k) for k, _ in rows])
-            order = np.lexsort((nodes, keys))
-            keys, nodes = keys[order], nodes[order]
-            first = np.concatenate([[True], keys[1:] != keys[:-1]])
-            root = nodes[first][np.cumsum(first) - 1]
-            linked = root != nodes
-            pairs = np.unique(np.stack([root[linked], nodes[linked]], axis=1), axis=0)
-            own = mix(pairs[:, 0].view(np.uint64) * _K[0] + pairs[:, 1].view(np.uint64))
-            yield pa.RecordBatch.from_arrays(        # a pair travels as two rows of a key of its own
-                [pa.array(np.concatenate([keys[first], own, own]).view(np.int64)),
-                 pa.array(np.concatenate([nodes[first], pairs[:, 0], pairs[:, 1]]))], names=["key", "node"])
+        def sent():
+            keys, nodes = thinned(found)
+            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(nodes)],
+                                              names=["key", "node"])
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -171,32 +237,107 @@ def family_links(docs: DataFrame, text_col: str, percent: int) -> DataFrame:
                     continue
                 if len(seen) < FLUSH_ROWS:
                     seen.add(node)
-                keys = group_rows(s, percent)
-                rows.append((keys, node))
-                held += len(keys)
+                found.append((node, s, group_rows(s, percent)))
+                held += len(s)
                 if held >= FLUSH_ROWS:
-                    yield from reduced()
-                    rows, held = [], 0
-        if rows:
-            yield from reduced()
+                    yield sent()
+                    found, held = [], 0
+        if found:
+            yield sent()
 
     def meet(batches):
-        """Rows come sorted by key: link every node of a key to its first."""
-        key = root = None
+        """Rows come sorted by key and node.  Only keys of several sets go on;
+        a key of more than SHORT_RUN rows keeps its name, its rows stream."""
+        held, long_key = None, None
+
+        def runs(keys, nodes):
+            new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])])
+            keys, nodes = keys[new], nodes[new]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            sizes = np.diff(np.append(first, len(keys)))
+            name = np.repeat(mix(np.add.reduceat(mix(nodes.view(np.uint64) + _K[1]), first)).view(np.int64), sizes)
+            name = np.where(np.repeat(sizes > SHORT_RUN, sizes), keys, name)
+            several = np.repeat(sizes > 1, sizes)
+            rows = np.unique(np.stack([name[several], nodes[several]], axis=1), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], names=["run", "node"])
+
         for batch in batches:
             keys, nodes = (batch.column(i).to_numpy() for i in (0, 1))
-            first = np.concatenate([[len(keys) > 0 and keys[0] != key], keys[1:] != keys[:-1]])
-            run = np.cumsum(first)
-            roots = np.concatenate([[root if root is not None else 0], nodes[first]])[run]
-            linked = roots != nodes
-            pairs = np.unique(np.stack([roots[linked], nodes[linked]], axis=1), axis=0)
-            if len(keys):
-                key, root = keys[-1], roots[-1]
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            if held is not None:
+                keys, nodes = np.concatenate([held[0], keys]), np.concatenate([held[1], nodes])
+            if not len(keys):
+                continue
+            cut = int(np.searchsorted(keys, keys[-1]))
+            if long_key is not None:                 # the rest of a long run goes out as it comes
+                n = int(np.searchsorted(keys, long_key, side="right"))
+                if n:
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[:n]), pa.array(nodes[:n])], names=["run", "node"])
+                keys, nodes, cut = keys[n:], nodes[n:], max(0, cut - n)
+                long_key = None if len(keys) else long_key
+            if cut:
+                yield runs(keys[:cut], nodes[:cut])
+            held = (keys[cut:], nodes[cut:])
+            if len(held[0]) > 64 * SHORT_RUN and held[1][0] != held[1][-1]:
+                long_key = held[0][0]
+                yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1])], names=["run", "node"])
+                held = None
+        if held is not None and len(held[0]):
+            yield runs(*held)
 
     rows = arrow_map(docs.select(docs[text_col]), emit, "key long, node long")
     dealt = rows.repartition("key").sortWithinPartitions("key", "node")
-    return arrow_map(dealt, meet, "a long, b long")
+    return arrow_map(dealt, meet, "run long, node long").distinct()
+
+
+def family_links(docs: DataFrame, sets: DataFrame, text_col: str, percent: int) -> DataFrame:
+    """(a, b): fingerprints (f1) of sets that share a key and that the
+    count-vector bound does not keep apart."""
+    def compare(batches):
+        def links(nodes, sizes, points):
+            name = list(range(len(nodes)))
+
+            def root(i):
+                while name[i] != i:
+                    name[i] = name[name[i]]
+                    i = name[i]
+                return i
+
+            out = []
+            for i in range(1, len(nodes)):
+                for k in np.flatnonzero(may_link(points[:i], sizes[:i], points[i], sizes[i], percent)):
+                    if root(k) != root(i):
+                        name[root(k)] = root(i)
+                        out.append((nodes[k], nodes[i]))
+            return out
+
+        def done():
+            out = []
+            if len(rows) > 1:
+                out = links([r[0] for r in rows], np.array([r[1] for r in rows]),
+                            np.stack([point_of(r[2]) for r in rows]))
+            return out
+
+        run, rows, pairs = None, [], []
+        for batch in batches:
+            for key, *row in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if key != run:
+                    pairs += done()
+                    run, rows = key, []
+                rows.append(row)
+            if pairs:
+                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()),
+                                                  pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
+                pairs = []
+        pairs += done()
+        if pairs:
+            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()),
+                                              pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
+
+    runs = shared_keys(docs, text_col, percent)
+    points = sets.groupBy("f1").agg(F.min(F.struct("n", "point")).alias("p"))
+    rows = runs.join(points, runs["node"] == points["f1"]).select("run", "node", "p.n", "p.point")
+    dealt = rows.repartition("run").sortWithinPartitions("run", "node")
+    return arrow_map(dealt, compare, "a long, b long")
 
 
 # -- the tree -----------------------------------------------------------------
@@ -208,7 +349,7 @@ class CountTree:
         self.percent = percent
         sizes = np.array([len(s) for s in sets])
         self.dims = int(2 ** np.clip(np.round(np.log2(max(1.0, np.median(sizes)) / 3)), 4, 10))
-        points = np.stack([self.point(s) for s in sets])
+        points = np.stack([point(s, self.dims) for s in sets])
         # Sort-tile packing: by size, then inside slabs of LEAF * LEAF points
         # by the coordinates that vary most.
         wide = np.argsort(-points.var(axis=0), kind="stable")[:4]
@@ -224,10 +365,6 @@ class CountTree:
                               np.maximum.reduceat(high, cut))
             self.levels.append((top, low, high))
 
-    def point(self, s: np.ndarray) -> np.ndarray:
-        place = (s & np.uint64(0xFFFFFFFF)) * np.uint64(self.dims) >> np.uint64(32)
-        return np.bincount(place.astype(np.int64), minlength=self.dims).astype(np.int32)
-
     def _may_link(self, at: np.ndarray, n: int, corner, low, high) -> np.ndarray:
         """overlap >= percent/(100+percent) * (sum of sizes), with the bound
         for the overlap and the smallest partner size that fits."""
@@ -238,7 +375,7 @@ class CountTree:
 
     def search(self, s: np.ndarray) -> np.ndarray:
         """Indices (into the given sets) of all points that may link to s."""
-        at, n = self.point(s), len(s)
+        at, n = point(s, self.dims), len(s)
         found = np.arange(1 if self.levels else len(self.points))
         for k in range(len(self.levels) - 1, -1, -1):
             top, low, high = self.levels[k]
@@ -251,10 +388,7 @@ class CountTree:
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    if len(a) > len(b):
-        a, b = b, a
-    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-    both = int((b[at] == a).sum())
+    both = overlap(a, b)
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
@@ -341,7 +475,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sets = staged(sets_of(docs, id_col, text_col), "sets")
     own = sets.where("doc is not null and n > 0")
     reps = staged(own.groupBy("f1", "f2").agg(F.min("doc").alias("rep"), F.first("n").alias("n")), "set-reps")
-    families = staged(components(family_links(docs.where(docs[id_col].isNotNull()), text_col, percent))
+    families = staged(components(family_links(docs.where(docs[id_col].isNotNull()), own, text_col, percent))
                       .select(F.col("node").alias("f1"), F.col("component").alias("family")), "families")
     members = staged(reps.join(families, "f1").select(F.col("rep").alias("doc"), "n", "family"), "members")
     links = verified_links(docs, members, id_col, text_col, percent)
