@@ -15,7 +15,7 @@ AIR_INCREMENT = 0.05
 RISKY_REGIONS = ["Asia", "South America"]
 REGION_INCREMENT = 0.05
 
-_UNIT_GRID = 1_000_000
+_UNIT_BITS = 52                  # 13 hex digits: every value is exact in a double
 
 
 def _col(c) -> Column:
@@ -51,10 +51,13 @@ def fraud_probability(
 
 
 def hash_unit(seed: int, *cols) -> Column:
-    """Deterministic uniform draw in [0, 1) from a hash of ``cols`` and the
-    seed.  Unlike ``rand(seed)`` it does not depend on partitioning."""
-    h = F.xxhash64(F.lit(int(seed)), *[_col(c) for c in cols])
-    return F.pmod(h, F.lit(_UNIT_GRID)).cast("double") / F.lit(float(_UNIT_GRID))
+    """Deterministic uniform draw in [0, 1): the first 13 hex digits of the
+    md5 of "<seed>|<text of each column>" (null as the empty text) over 2^52.
+    Unlike ``rand(seed)`` it does not depend on partitioning, and any engine
+    with md5 repeats it."""
+    parts = [F.lit(str(int(seed)))] + [F.coalesce(_col(c).cast("string"), F.lit("")) for c in cols]
+    digits = F.substring(F.md5(F.concat_ws("|", *parts)), 1, _UNIT_BITS // 4)
+    return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << _UNIT_BITS))
 
 
 def draw_label(p, seed: int, *key_cols) -> Column:

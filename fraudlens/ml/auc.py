@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_PART_SCHEMA = "lo double, pos double, neg double, partial double"
+_PART_SCHEMA = "lo double, pos long, neg long, partial double"
 
 
 def auc_frame(df: DataFrame, score: str, label: str, partitions: int | None = None) -> DataFrame:
@@ -29,20 +29,23 @@ def auc_frame(df: DataFrame, score: str, label: str, partitions: int | None = No
     y = F.col(label).cast("double")
     g = (df.where(F.col(score).isNotNull() & y.isNotNull())
            .groupBy(F.col(score).cast("double").alias("score"))
-           .agg(F.sum(F.when(y == 1.0, 1.0).otherwise(0.0)).alias("pos"),
-                F.sum(F.when(y == 1.0, 0.0).otherwise(1.0)).alias("neg")))
+           .agg(F.sum(F.when(y == 1.0, 1).otherwise(0)).alias("pos"),
+                F.sum(F.when(y == 1.0, 0).otherwise(1)).alias("neg")))
 
     def partition_sums(batches):
         # Defined here so it travels to the Python workers by value: they
-        # need pandas, not this package.
-        frames = [b for b in batches if len(b)]
-        if not frames:
-            return
-        g = pd.concat(frames).sort_values("score", kind="mergesort")
-        neg_below = g["neg"].cumsum() - g["neg"]
-        partial = float((g["pos"] * (neg_below + 0.5 * g["neg"])).sum())
-        yield pd.DataFrame({"lo": [float(g["score"].iloc[0])], "pos": [float(g["pos"].sum())],
-                            "neg": [float(g["neg"].sum())], "partial": [partial]})
+        # need pandas, not this package.  Rows come sorted by score, so
+        # running sums over the batches are enough: constant memory.
+        lo, pos, neg, partial = None, 0, 0, 0.0
+        for b in batches:
+            if not len(b):
+                continue
+            lo = float(b["score"].iloc[0]) if lo is None else lo
+            below = neg + b["neg"].cumsum() - b["neg"]
+            partial += float((b["pos"] * (below + 0.5 * b["neg"])).sum())
+            pos, neg = pos + int(b["pos"].sum()), neg + int(b["neg"].sum())
+        if lo is not None:
+            yield pd.DataFrame({"lo": [lo], "pos": [pos], "neg": [neg], "partial": [partial]})
 
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = (g.repartitionByRange(n, "score").sortWithinPartitions("score")
@@ -51,10 +54,10 @@ def auc_frame(df: DataFrame, score: str, label: str, partitions: int | None = No
     before = Window.orderBy("lo").rowsBetween(Window.unboundedPreceding, -1)
     combined = parts.select(
         "pos", "neg",
-        (F.col("partial") + F.col("pos") * F.coalesce(F.sum("neg").over(before), F.lit(0.0)))
+        (F.col("partial") + F.col("pos") * F.coalesce(F.sum("neg").over(before), F.lit(0)))
         .alias("contrib"))
     return combined.agg(
-        F.try_divide(F.sum("contrib"), F.sum("pos") * F.sum("neg")).alias("auc"))
+        F.try_divide(F.sum("contrib"), F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
 
 
 def area_under_roc(df: DataFrame, score: str, label: str) -> float | None:

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, Imputer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from fraudlens.functions import is_fraud_str
 from fraudlens.ml import auc
 from fraudlens.operators.rows import split_frames
 from fraudlens.schemas import ML_CATEGORICAL_FIELDS, ML_NUMERIC_FIELDS
-from fraudlens.session import cut_lineage
+from fraudlens.session import shared_dir
 
 LABEL = "label"
 MAX_ITER = 10
@@ -36,19 +36,31 @@ def with_label(df: DataFrame, label_col: str = "fraud_label") -> DataFrame:
     return df.withColumn(LABEL, F.when(is_fraud_str(label_col), 1.0).otherwise(0.0))
 
 
+def labelled_or_null(df: DataFrame, label_col: str = "fraud_label") -> DataFrame:
+    """As ``with_label``, but a row without a label has none: it is neither
+    trained on nor counted in the area under the curve."""
+    return with_label(df, label_col).withColumn(LABEL, F.when(F.col(label_col).isNotNull(), F.col(LABEL)))
+
+
 def build_pipeline(categorical=ML_CATEGORICAL_FIELDS, numeric=ML_NUMERIC_FIELDS,
-                   max_iter: int = MAX_ITER) -> Pipeline:
-    cat = list(categorical)
+                   max_iter: int = MAX_ITER, hashed=(), hash_features: int = 1 << 18) -> Pipeline:
+    """``hashed`` names categorical fields with an open domain (vendors,
+    brands, sites): they are hashed into ``hash_features`` slots, so that no
+    list of their values is gathered on the driver or kept in the model.  The
+    others are indexed by frequency."""
+    cat = [c for c in categorical if c not in set(hashed)]
     num = list(numeric)
     idx = [f"{c}_index" for c in cat]
     imp = [f"{c}_imputed" for c in num]
     indexer = StringIndexer(inputCols=cat, outputCols=idx, handleInvalid="keep",
                             stringOrderType="frequencyDesc")
     imputer = Imputer(inputCols=num, outputCols=imp, strategy="mean")
-    assembler = VectorAssembler(inputCols=imp + idx, outputCol="features",
+    hasher = [FeatureHasher(inputCols=list(hashed), outputCol="hashed", numFeatures=hash_features,
+                            categoricalCols=list(hashed))] if hashed else []
+    assembler = VectorAssembler(inputCols=imp + idx + ["hashed"] * bool(hashed), outputCol="features",
                                 handleInvalid="error")
     lr = LogisticRegression(featuresCol="features", labelCol=LABEL, maxIter=max_iter)
-    return Pipeline(stages=[indexer, imputer, assembler, lr])
+    return Pipeline(stages=[*([indexer] if cat else []), imputer, *hasher, assembler, lr])
 
 
 def split(df: DataFrame, key_cols=("pq",), weights=SPLIT, seed: int = SEED):
@@ -71,15 +83,24 @@ def area_under_roc(df: DataFrame, score_col: str, label_col: str = LABEL) -> flo
     return auc.area_under_roc(df, score_col, label_col)
 
 
-def train_and_evaluate(records: DataFrame, key_cols=("pq",), seed: int = SEED):
-    """80/20 split, fit, score the test split; returns (model, test
-    predictions, AUC).  The labelled input is checkpointed once so the
-    indexer fit, imputer fit, the regression and the evaluation do not each
-    re-read and re-parse the source."""
-    data = cut_lineage(with_label(records))
-    train, test = split(data, key_cols, seed=seed)
-    model = fit(train)
-    pred = score(model, test)
+def train_and_score(records: DataFrame, key_cols=("pq",), seed: int = SEED, **kw):
+    """80/20 split, fit on the labelled training rows, score all test rows;
+    returns (model, test predictions).  Only the key, the inputs and the label
+    are staged, once, as Parquet, so that the indexer, the imputer, the
+    regression and the scoring each read the columns they need."""
+    spark = records.sparkSession
+    fields = list(dict.fromkeys([*key_cols, *ML_CATEGORICAL_FIELDS, *ML_NUMERIC_FIELDS]))
+    narrow = labelled_or_null(records).select(*fields, LABEL)
+    path = shared_dir(spark, "model-input")
+    narrow.write.parquet(path)
+    train, test = split(spark.read.schema(narrow.schema).parquet(path), key_cols, seed=seed)
+    model = fit(train.where(F.col(LABEL).isNotNull()), **kw)
+    return model, score(model, test)
+
+
+def train_and_evaluate(records: DataFrame, key_cols=("pq",), seed: int = SEED, **kw):
+    """``train_and_score`` and the test split's exact area under the curve."""
+    model, pred = train_and_score(records, key_cols, seed, **kw)
     return model, pred, area_under_roc(pred, "fraud_score")
 
 

@@ -47,33 +47,37 @@ def label_share_long(df: DataFrame, key: str, label: str = "fraud_label") -> Dat
                         (F.col("_c") / total * F.lit(100)).alias("share_pct"))
 
 
+def finite(c):
+    """The value, or null if it is NaN or infinite: neither has a bin."""
+    x = F.col(c) if isinstance(c, str) else c
+    x = x.cast("double")
+    return F.when(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), x)
+
+
 def value_bounds(df: DataFrame, c: str) -> tuple:
-    """(min, max) of a column: one small aggregate, two scalars returned."""
-    row = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi")).first()
+    """(min, max) of a column's finite values: one small aggregate."""
+    row = df.agg(F.min(finite(c)).alias("lo"), F.max(finite(c)).alias("hi")).first()
     return row["lo"], row["hi"]
 
 
 def histogram(df: DataFrame, c: str, bins: int = HISTOGRAM_BINS,
               bounds: tuple | None = None) -> DataFrame:
     """Equal-width histogram over [min, max]; the maximum falls in the last
-    bin, a constant column puts everything in bin 0, nulls are dropped.
+    bin, a constant column puts everything in bin 0; nulls, NaN and infinite
+    values are dropped.
 
     The bounds come from one small aggregate (two scalars) and enter the
     binning pass as literals, so the counting pass is a plain partial +
     final aggregate with no join."""
     lo, hi = bounds if bounds is not None else value_bounds(df, c)
-    x = F.col(c)
     if lo is None:
         return (df.where(F.lit(False))
                   .select(F.lit(0).alias("bin"), F.lit(0.0).alias("bin_lo"),
                           F.lit(0.0).alias("bin_hi"), F.lit(0).cast("long").alias("count")))
     lo, hi = float(lo), float(hi)
-    width = hi - lo
-    if width == 0:
-        b = F.lit(0)
-    else:
-        b = F.least(F.floor((x - F.lit(lo)) / F.lit(width) * F.lit(bins)),
-                    F.lit(bins - 1)).cast("int")
+    width, x = hi - lo, finite(c)
+    b = F.lit(0) if width == 0 else F.least(
+        F.floor((x - F.lit(lo)) / F.lit(width) * F.lit(bins)), F.lit(bins - 1)).cast("int")
     counts = df.where(x.isNotNull()).select(b.alias("bin")).groupBy("bin").agg(
         F.count(F.lit(1)).alias("count"))
     edge = lambda k: F.lit(lo) + F.lit(width) * k / F.lit(float(bins))
@@ -101,34 +105,14 @@ def weight_vs_freight(df: DataFrame, fraction: float | None = None,
               .select("weight_kilograms", "freight_cost_usd", "fraud_label"))
 
 
-def _bin_expr(x, lo: float, hi: float, bins: int):
-    width = hi - lo
-    if width == 0:
-        return F.when(x.isNotNull(), F.lit(0))
-    # ``least`` skips nulls, so a null value must stay null explicitly.
-    return F.when(x.isNotNull(), F.least(F.floor((x - F.lit(lo)) / F.lit(width) * F.lit(bins)),
-                                         F.lit(bins - 1)).cast("int"))
-
-
-def freight_pass(df: DataFrame, bin_col) -> DataFrame:
-    """Pass 2 of the dashboard: freight sum per project code and count per
-    histogram bin in one grouping-sets aggregate (``_gid`` 1 and 2)."""
-    return (df.select("project_code", "freight_cost_usd", bin_col.alias("bin"))
-              .groupingSets([["project_code"], ["bin"]], "project_code", "bin")
-              .agg(F.grouping_id().alias("_gid"),
-                   F.coalesce(F.sum("freight_cost_usd"), F.lit(0.0)).alias("total_freight_cost"),
-                   F.count(F.lit(1)).alias("count")))
-
-
 def dashboard_tables(df: DataFrame, bins: int = HISTOGRAM_BINS) -> dict[str, DataFrame]:
-    """All six dashboard tables in two passes instead of seven.
-
-    Pass 1, one grouping-sets aggregate (checkpointed, a few hundred rows),
-    serves both label shares, the shipment-mode counts, the quantity sums
-    and the freight bounds.  Pass 2, a second grouping-sets aggregate with
-    the bounds as literals, serves the freight histogram and the freight
-    sum per project code (high cardinality; partial aggregation keeps it to
-    one row per code and task before the shuffle)."""
+    """All six dashboard tables.
+
+    One grouping-sets aggregate (checkpointed, a few hundred rows) serves both
+    label shares, the shipment-mode counts, the quantity sums and the freight
+    bounds.  The histogram (bounds as literals) and the freight sum per
+    project code (nearly unique keys) are plain aggregates of their own and
+    stay lazy: whoever does not read them does not pay for them."""
     lab = F.col("fraud_label").cast("string")
     keys = ["product_group", "country", "shipment_mode"]
     agg = cut_lineage(df.select(*keys, "fraud_label", "line_item_quantity", "freight_cost_usd")
@@ -139,8 +123,8 @@ def dashboard_tables(df: DataFrame, bins: int = HISTOGRAM_BINS) -> dict[str, Dat
                   F.count(F.when(lab == "1", 1)).alias("_c1"),
                   F.count(F.lit(1)).alias("_n"),
                   F.sum("line_item_quantity").alias("_qty"),
-                  F.min("freight_cost_usd").alias("_lo"),
-                  F.max("freight_cost_usd").alias("_hi")))
+                  F.min(finite("freight_cost_usd")).alias("_lo"),
+                  F.max(finite("freight_cost_usd")).alias("_hi")))
     gid = {k: sum(1 << (len(keys) - 1 - j) for j, o in enumerate(keys) if o != k) for k in keys}
 
     def slice_(k):
@@ -160,25 +144,7 @@ def dashboard_tables(df: DataFrame, bins: int = HISTOGRAM_BINS) -> dict[str, Dat
             "product_group", F.coalesce(F.col("_qty"), F.lit(0)).alias("total_quantity")),
     }
     bounds = agg.where(F.col("_gid") == (1 << len(keys)) - 1).select("_lo", "_hi").first()
-    lo, hi = bounds["_lo"], bounds["_hi"]
-    x = F.col("freight_cost_usd")
-    if lo is None:                       # no freight value at all
-        out["freight_histogram"] = histogram(df, "freight_cost_usd", bins, (None, None))
-        lo_f = hi_f = 0.0
-        bin_col = F.lit(None).cast("int")
-    else:
-        lo_f, hi_f = float(lo), float(hi)
-        bin_col = _bin_expr(x, lo_f, hi_f, bins)
-    # Both remaining tables are slices of this aggregate: written once (about
-    # one row per project code) instead of re-scanning the input per table.
-    second = cut_lineage(freight_pass(df, bin_col))
-    out["freight_by_project"] = second.where(
-        (F.col("_gid") == 1) & F.col("project_code").isNotNull()).select(
-        "project_code", "total_freight_cost")
-    if lo is not None:
-        width = hi_f - lo_f
-        edge = lambda k: F.lit(lo_f) + F.lit(width) * k / F.lit(float(bins))
-        out["freight_histogram"] = second.where(
-            (F.col("_gid") == 2) & F.col("bin").isNotNull()).select(
-            "bin", edge(F.col("bin")).alias("bin_lo"), edge(F.col("bin") + 1).alias("bin_hi"), "count")
+    out["freight_histogram"] = histogram(df, "freight_cost_usd", bins, (bounds["_lo"], bounds["_hi"]))
+    out["freight_by_project"] = (df.where(F.col("project_code").isNotNull()).groupBy("project_code")
+                                 .agg(F.coalesce(F.sum("freight_cost_usd"), F.lit(0.0)).alias("total_freight_cost")))
     return out

@@ -86,9 +86,3 @@ def available(df: DataFrame, columns) -> bool:
 def is_empty(df: DataFrame) -> bool:
     """Empty-input guard: reads at most one row."""
     return df.isEmpty()
-
-
-def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = 42):
-    """The plain ``randomSplit`` form (depends on partitioning and row order;
-    ``split_frames`` is the repeatable choice)."""
-    return df.randomSplit(list(weights), seed)

@@ -17,10 +17,11 @@ from fraudlens.operators.rows import conform, normalize_supply
 from fraudlens.schemas import SUPPLY_NUMERIC_FIELDS, SUPPLY_SCHEMA
 from fraudlens.sinks.keyed import upsert
 from fraudlens.sinks.publish import publish_many
+from fraudlens.sinks.store_log import delete_path
 from fraudlens.sources.csv import read_csv
-from fraudlens.sources.envelope import Transport, decode, read_batch
+from fraudlens.sources.envelope import Transport, decode, decode_supply, decode_transactions, read_batch
 from fraudlens.operators.cells import to_cells
-from fraudlens.session import cut_lineage
+from fraudlens.session import cut_lineage, shared_dir
 
 
 def report_set(df: DataFrame, names, strategy: str = "fused") -> dict[str, DataFrame]:
@@ -48,16 +49,19 @@ def publish_reports(spark: SparkSession, records: DataFrame, names, transport: T
                     strategy: str = "fused") -> dict[str, DataFrame]:
     """Compute a report set and publish each report to its topic (one write)."""
     frames = report_set(records, names, strategy)
-    publish_many(spark, {REPORTS[n].output_topic: frames[n] for n in frames}, transport)
+    publish_many(spark, {REPORTS[n].output_topic: frames[n] for n in frames}, transport,
+                 key_cols=report_keys(frames))
     return frames
 
 
+def report_keys(names) -> dict[str, str]:
+    """Output topic -> key column of each report that has one."""
+    return {REPORTS[n].output_topic: REPORTS[n].key for n in names if REPORTS[n].key}
+
+
 def decoder_for(family: str):
     """Envelope -> typed records of a family, decoding only ``fields``."""
-    from fraudlens.sources.envelope import decode_transactions
-    if family == "tx":
-        return decode_transactions
-    return lambda env, fields=None, keep=(): decode(env, SUPPLY_SCHEMA, fields, keep)
+    return decode_transactions if family == "tx" else decode_supply
 
 
 def publish_script(spark: SparkSession, transport: Transport, source_topic: str,
@@ -72,31 +76,38 @@ def publish_script(spark: SparkSession, transport: Transport, source_topic: str,
 
 
 def ingest_csv(spark: SparkSession, path: str, transport: Transport, topic: str,
-               partitions: int = 3) -> int:
+               partitions: int = 3, multi_line: bool = False) -> int:
     """The producer as one Spark job: CSV (any known header spelling) ->
     canonical record (numeric fields parsed leniently) -> JSON messages.
     Returns the number of messages written."""
-    raw = normalize_supply(read_csv(spark, path))
+    raw = normalize_supply(read_csv(spark, path, multi_line=multi_line))
     typed = raw.select(*[parse_float_lenient(c).alias(c) if c in SUPPLY_NUMERIC_FIELDS
                          else F.col(c) for c in raw.columns])
     records = conform(typed, SUPPLY_SCHEMA)
     if transport.kind == "kafka":
-        n = records.count()            # the broker assigns offsets: count first
-        publish_many(spark, {topic: records}, transport, partitions)
+        # The broker reports no count: the records are staged once (the CSV is
+        # read once) and counted by the staged files' footers.
+        path = shared_dir(spark, "ingest")
+        records.write.parquet(path)
+        staged = spark.read.schema(records.schema).parquet(path)
+        publish_many(spark, {topic: staged}, transport, partitions)
+        n = staged.count()
+        delete_path(spark, path)
         return n
-    first = publish_many(spark, {topic: records}, transport, partitions)
-    # Count what was written: the offset filter skips the files of earlier
-    # writes by their footer statistics; only the new range is read.
-    return read_batch(spark, transport, topic).where(F.col("offset") >= first).count()
+    return publish_many(spark, {topic: records}, transport, partitions)
 
 
 def load_keyed_store(spark: SparkSession, transport: Transport, topic: str, schema,
-                     table_path: str, key: str, buckets: int = 64):
-    """Topic -> latest row per key in a keyed table (the HBase load)."""
-    env = read_batch(spark, transport, topic).select(
+                     table_path: str, key: str, buckets: int | None = None, where=None):
+    """Topic -> latest row per key in a keyed table (the HBase load).
+    ``where`` limits the load to some messages (by timestamp, say); supply
+    records are read in any spelling."""
+    env = read_batch(spark, transport, topic)
+    env = (env if where is None else env.where(where)).select(
         "value", F.col("timestamp").alias("_ts"), F.col("partition").alias("_partition"),
         F.col("offset").alias("_offset"))
-    records = decode(env, schema, keep=("_ts", "_partition", "_offset"))
+    kept = ("_ts", "_partition", "_offset")
+    records = decode_supply(env, keep=kept) if schema is SUPPLY_SCHEMA else decode(env, schema, keep=kept)
     return upsert(spark, records, table_path, key, ["_ts", "_partition", "_offset"], buckets)
 
 
@@ -114,24 +125,27 @@ def show_reports(frames: dict[str, DataFrame], n: int = 20, truncate: bool = Tru
         df.show(n, truncate)
 
 
-def store_reports(spark: SparkSession, frames: dict[str, DataFrame], table_path: str,
-                  version_col: str = "_version"):
-    """Insights into the keyed store: one row per (report, key), row key
-    ``<report>#<key>`` (the key as text, empty for null), newest version
-    wins.  Measures are kept as a JSON document per row."""
+def report_row_key(name: str, key: str | None):
+    """``<report>#<key>``; a report without a key, or the group of the null
+    key, is ``<report>`` alone, so that null and "" stay apart."""
+    if key is None:
+        return F.lit(name)
+    return F.coalesce(F.concat(F.lit(name + "#"), F.col(key).cast("string")), F.lit(name))
+
+
+def store_reports(spark: SparkSession, frames: dict[str, DataFrame], table_path: str):
+    """Insights into the keyed store: one row per (report, key), the newest
+    commit wins.  Measures are kept as a JSON document per row."""
     parts = []
     for name, df in frames.items():
         spec = REPORTS[name]
-        key = (F.coalesce(F.col(spec.key).cast("string"), F.lit("")) if spec.key else F.lit(""))
         parts.append(df.select(
-            F.concat(F.lit(name + "#"), key).alias("row_key"),
-            F.lit(name).alias("report"),
+            report_row_key(name, spec.key).alias("row_key"), F.lit(name).alias("report"),
             F.to_json(F.struct(*[F.col(m.name) for m in spec.measures])).alias("measures")))
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
-    rows = rows.withColumn(version_col, F.current_timestamp())
-    return upsert(spark, rows, table_path, "row_key", [version_col], buckets=8)
+    return upsert(spark, rows, table_path, "row_key", buckets=8)
 
 
 def generate_csv(spark: SparkSession, path: str, rows: int = 1_000_000, seed: int = 42,

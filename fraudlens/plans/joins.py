@@ -1,7 +1,7 @@
 """Join helpers with an explicit size check before any broadcast.
 
 * ``join_dimension``: the dimension is broadcast only after a bounded
-  row-count probe proves it small; otherwise both sides are shuffled
+  probe of its rows and bytes proves it small; otherwise both sides are shuffled
   (sort-merge join), never the fact broadcast by a file-size estimate.
 * ``join_large``: two tables that grow with the data (e.g. line items and
   orders): always a shuffle join on the key.
@@ -16,32 +16,49 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A dimension is broadcast only when it is proven to hold at most this many
-# rows; the probe stops after MAX_BROADCAST_ROWS + 1 rows.
+# rows and bytes (of JSON text); the probe reads MAX_BROADCAST_ROWS + 1 rows.
 MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 _BOUNDED: dict[tuple, bool] = {}
 
 
-def is_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def _file_identity(df: DataFrame) -> tuple | None:
+    """(path, length, modification time) of every input file; None for data
+    that is not read from files (it is probed each time)."""
+    sc = df.sparkSession.sparkContext
+    found = []
+    for name in sorted(df.inputFiles()):
+        path = sc._jvm.org.apache.hadoop.fs.Path(name)
+        status = path.getFileSystem(sc._jsc.hadoopConfiguration()).getFileStatus(path)
+        found.append((name, status.getLen(), status.getModificationTime()))
+    return tuple(found) or None
 
-    ``take`` scans partitions incrementally and stops once ``max_rows + 1``
-    rows are found, so probing a huge table touches a partition or two, not
-    all of them; at most ``max_rows + 1`` one-column rows reach the driver.
-    Memoised per logical plan within the process."""
-    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    if key not in _BOUNDED:
-        probe = df.select(F.lit(1).alias("_one")).take(max_rows + 1)
-        _BOUNDED[key] = len(probe) <= max_rows
+
+def is_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+               max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
+
+    The probe counts and measures at most ``max_rows + 1`` rows on the
+    executors (``limit`` stops early); two numbers reach the driver.  The
+    answer is kept as long as the input files are the same."""
+    files = _file_identity(df)
+    key = (df.semanticHash(), files, max_rows, max_bytes)
+    if files is None or key not in _BOUNDED:
+        size = F.octet_length(F.to_json(F.struct(*[df[c] for c in df.columns])))
+        rows, total = df.select(size.alias("n")).limit(max_rows + 1).agg(
+            F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+        _BOUNDED[key] = rows <= max_rows and total <= max_bytes
     return _BOUNDED[key]
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: Column,
                    how: str = "inner",
-                   max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                   max_rows: int = MAX_BROADCAST_ROWS,
+                  max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Join a (possibly huge) fact side to a dimension: broadcast after a
-    bounded row-count check, else a shuffle (sort-merge) join."""
-    if is_bounded(dim, max_rows):
+    check of its rows and bytes, else a shuffle (sort-merge) join."""
+    if is_bounded(dim, max_rows, max_bytes):
         return fact.join(F.broadcast(dim), on, how)
     return fact.join(dim.hint("merge"), on, how)
 

@@ -186,8 +186,17 @@ SELECT country, fraud_probability, count(*) AS line_count FROM (
 # Sources, codecs, casts, sinks
 # ---------------------------------------------------------------------------
 
-from fraudlens.functions.casts import LENIENT_FLOAT_PATTERN  # noqa: E402
-
+# Fixed value: the leading number of a text, as JavaScript's parseFloat reads
+# it (written here on its own, not taken from the code under test).
+LEADING_NUMBER = r"^\s*([+-]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?)"
+
+# The supply record's fields in order.
+_SC_FIELDS = """project_code, pq, po_so, country, managed_by, fulfill_via, vendor_inco_term, shipment_mode,
+  pq_first_sent_to_client_date, po_sent_to_vendor_date, scheduled_delivery_date, delivered_to_client_date,
+  delivery_recorded_date, product_group, sub_classification, vendor, item_description, molecule_brand, dosage,
+  dosage_form, unit_of_measure_per_pack, line_item_quantity, line_item_value, pack_price, unit_price,
+  manufacturing_site, first_line_designation, weight_kilograms, freight_cost_usd, line_item_insurance_usd,
+  fraud_label"""
 _P = 33554432
 _TX_FRAUD_BODY = """count(CASE WHEN fraud_label = 1 THEN 1 END) AS fraud_count,
   count(transaction_id) AS total_transactions,
@@ -225,7 +234,7 @@ SELECT transaction_id, price,
   {_legacy_int("'-' || CAST(fraud_label AS VARCHAR) || '.9'")} AS fraud_label
 FROM tx"""),
     "parse_float_lenient": f"""
-SELECT raw, TRY_CAST(NULLIF(regexp_extract(raw, '{LENIENT_FLOAT_PATTERN}', 1), '') AS DOUBLE) AS parsed,
+SELECT raw, TRY_CAST(NULLIF(regexp_extract(raw, '{LEADING_NUMBER}', 1), '') AS DOUBLE) AS parsed,
   count(*) AS n
 FROM (SELECT CASE l_linenumber % 4
     WHEN 0 THEN CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || 'kg'
@@ -244,13 +253,13 @@ SELECT project_code, pq, country, vendor, product_group, shipment_mode, freight_
         for name, expr in [("fraud_category", "category"), ("fraud_payment", "payment_method"),
                            ("fraud_device", "user_device"), ("fraud_city", "user_city"),
                            ("fraud_age", AGE_CASE), ("fraud_income", INCOME_CASE)])),
-    "wide_upsert": sc_sql("""
-SELECT pq, country, vendor, freight_cost_usd, fraud_label, _partition, _offset FROM (
-  SELECT pq, country, vendor, freight_cost_usd, fraud_label,
-    fixture_partition AS _partition, fixture_offset AS _offset,
+    "wide_upsert": sc_sql(f"""
+SELECT {_SC_FIELDS}, _partition, _offset FROM (
+  SELECT {_SC_FIELDS}, fixture_partition AS _partition, fixture_offset AS _offset,
     row_number() OVER (PARTITION BY pq ORDER BY l_shipdate DESC, fixture_partition DESC,
                                                  fixture_offset DESC) AS rn
   FROM sc) t WHERE rn = 1"""),
+    "decode_supply_spelled": sc_sql(f"SELECT l_linenumber % 5 AS spelling, {_SC_FIELDS} FROM sc"),
     "ingest_csv": sc_sql("""
 SELECT project_code, pq, country, vendor, product_group, shipment_mode, line_item_quantity,
   weight_kilograms, freight_cost_usd, fraud_label FROM sc"""),
@@ -290,12 +299,82 @@ FROM c"""),
 
 ORACLE.update({
     "report_store": tx_sql("\nUNION ALL\n".join(
-        f"SELECT '{name}#' || coalesce(CAST({expr} AS VARCHAR), '') AS row_key, '{name}' AS report, {_TX_FRAUD_BODY} "
-        f"FROM tx GROUP BY {expr}"
-        for name, expr in [("fraud_category", "category"), ("fraud_payment", "payment_method"),
+        f"SELECT CASE WHEN {expr} IS NULL THEN '{name}' ELSE '{name}#' || CAST({expr} AS VARCHAR) END AS row_key, "
+        f"'{name}' AS report, {_TX_FRAUD_BODY} FROM tx GROUP BY {expr}"
+        for name, expr in [("fraud_category", "CASE WHEN category IS NOT NULL AND user_device = 'Tablet' "
+                                              "THEN '' ELSE category END"), ("fraud_payment", "payment_method"),
                            ("fraud_device", "user_device"), ("fraud_city", "user_city"),
                            ("fraud_age", AGE_CASE), ("fraud_income", INCOME_CASE)])),
-    "dashboard_label_share_country": ORACLE["label_share_country"],
+    **{f"dashboard_{name}": ORACLE[name] for name in (
+        "label_share_product_group", "label_share_country", "shipment_mode_counts", "quantity_by_product_group",
+        "freight_by_project", "freight_histogram")},
+    "stream_income_analytics": ORACLE["income_analytics"],
+    "stream_raw": tx_sql("""
+SELECT 'transactions' AS topic, fixture_partition AS partition, fixture_offset AS "offset", transaction_id, category,
+  CAST(fraud_label AS VARCHAR) AS fraud_label FROM tx"""),
+})
+
+
+def unit(seed: int, *texts: str) -> str:
+    """The seeded draw in [0, 1): 52 bits of the md5 of seed and texts."""
+    text = " || '|' || ".join([f"'{seed}'", *texts])
+    return f"(CAST('0x' || substr(md5({text}), 1, 13) AS UBIGINT) / 4503599627370496.0e0)"
+
+
+_RISK = """0.05e0
+    + CASE WHEN freight_cost_usd > 1500 THEN 0.1e0 ELSE 0.0e0 END
+    + CASE WHEN shipment_mode = 'Air' THEN 0.05e0 ELSE 0.0e0 END
+    + CASE WHEN country IN ('ASIA', 'AMERICA') THEN 0.05e0 ELSE 0.0e0 END"""
+# The model's categorical fields.
+_CATEGORICAL = ("country managed_by fulfill_via vendor_inco_term shipment_mode product_group sub_classification "
+                "vendor first_line_designation molecule_brand dosage dosage_form manufacturing_site").split()
+ORACLE.update({
+    "train_test_split": sc_sql(f"""
+SELECT CAST(CASE WHEN {unit(42, 'pq')} < 0.8e0 THEN 0 ELSE 1 END AS INTEGER) AS split, country, count(*) AS n
+FROM sc GROUP BY 1, 2"""),
+    "draw_label": sc_sql(f"""
+SELECT country, p, count(*) AS n, avg(CASE WHEN {unit(42, "'label'", 'pq')} < p THEN 1 ELSE 0 END) AS drawn_rate
+FROM (SELECT pq, country, {_RISK} AS p FROM sc) t GROUP BY country, p"""),
+    "weight_vs_freight_sample": sc_sql(f"""
+SELECT weight_kilograms, freight_cost_usd, fraud_label FROM sc WHERE {unit(42, 'pq')} < 0.1e0"""),
+    "score_transactions_rows": sc_sql(f"""
+SELECT pq, CASE fraud_label WHEN '1' THEN 1.0e0 WHEN '0' THEN 0.0e0 END AS label, true AS in_range, true AS consistent
+FROM sc WHERE {unit(42, 'pq')} >= 0.8e0"""),
+    "index_all_columns": sc_sql("\nUNION ALL\n".join(f"""
+SELECT '{c}' AS field, {c} AS value, CAST(CASE WHEN {c} IS NULL THEN (SELECT count(DISTINCT {c}) FROM sc)
+    ELSE row_number() OVER (ORDER BY {c} IS NULL, count(*) DESC, {c}) - 1 END AS DOUBLE) AS idx, count(*) AS n
+FROM sc GROUP BY {c}""" for c in _CATEGORICAL)),
 })
 
+
+def _stacked(names: list[tuple[str, str | None, list[str]]]) -> str:
+    """Reports stacked: report, key as text, all measures of the set."""
+    measures = list(dict.fromkeys(m for _, _, own in names for m in own))
+    return "\nUNION ALL\n".join(
+        f"SELECT '{n}' AS report, CAST({key or 'NULL'} AS VARCHAR) AS key_value, "
+        + ", ".join(m if m in own else f"NULL AS {m}" for m in measures) + f" FROM ({ORACLE[n]}) t"
+        for n, key, own in names)
+
+
+ORACLE["ecommerce_summary_fused"] = _stacked([
+    ("category_analytics", "category", ["avg_transaction_amount", "transaction_count", "max_transaction_amount",
+                                        "min_transaction_amount"]),
+    ("payment_method_analytics", "payment_method", ["transaction_count"]),
+    ("age_group_analytics", "age_group", ["transaction_count"]),
+    ("city_analytics", "user_city", ["transaction_count"]),
+    ("device_analytics", "user_device", ["transaction_count"]),
+    ("income_analytics", "user_income", ["avg_transaction_amount"]),
+    ("fraud_analytics", "category", ["fraud_percentage"])])
+ORACLE["supply_summary_fused"] = _stacked([
+    ("product_group_analytics", "product_group", ["avg_line_item_value", "total_orders", "max_line_item_value",
+                                                  "min_line_item_value"]),
+    ("vendor_analytics", "vendor", ["total_orders", "avg_freight_cost"]),
+    ("country_analytics", "country", ["total_orders", "total_freight_cost", "avg_line_item_value"]),
+    ("shipment_mode_analytics", "shipment_mode", ["total_orders", "avg_weight", "total_freight_cost"]),
+    ("freight_cost_analytics", None, ["avg_freight_cost", "max_freight_cost", "min_freight_cost"])])
+ORACLE["publish_script_spelled"] = _stacked([
+    (n, key, ["fraud_count", "total_orders", "fraud_percentage"]) for n, key in [
+        ("fraud_product_group", "product_group"), ("fraud_country", "country"), ("fraud_vendor", "vendor"),
+        ("fraud_shipment_mode", "shipment_mode"), ("fraud_freight_cost", "cost_group")]])
+
 ORACLE["stream_fraud_category_updates"] = ORACLE["fraud_category"]

@@ -315,22 +315,44 @@ def q_publish_readback(spark, sf_dir):
 
 @register("wide_upsert")
 def q_wide_upsert(spark, sf_dir):
-    """Supply lines upserted in two batches (split by ship date) into a
-    keyed table; key = purchase quote, latest (time, partition, offset)."""
+    """The whole supply topic loaded into a keyed table (the HBase load):
+    key = purchase quote, all other 30 fields, latest (time, partition,
+    offset) wins; loaded in two batches, split at the median ship date."""
+    from fraudlens.plans.jobs import load_keyed_store
+    from fraudlens.schemas import SUPPLY_FIELDS, SUPPLY_SCHEMA
     from fraudlens.session import shared_dir
-    from fraudlens.sinks.keyed import read_table, upsert
-    from fraudlens.session import cut_lineage
-    # Both batches come from one derived table: written once, read twice.
-    base = cut_lineage(sc(spark, sf_dir, with_source=True).select(
-        "pq", "country", "vendor", "freight_cost_usd", "fraud_label",
-        F.col("l_shipdate").alias("_ts"), fixtures.fixture_partition().alias("_partition"),
-        fixtures.fixture_offset().alias("_offset")))
+    from fraudlens.sinks.keyed import read_table
     path = shared_dir(spark, "keyed-table")
-    cut = F.lit("1998-06-02").cast("timestamp_ntz")        # median ship date
-    order = ["_ts", "_partition", "_offset"]
-    upsert(spark, base.where(F.col("_ts") < cut), path, "pq", order, buckets=8)
-    upsert(spark, base.where(F.col("_ts") >= cut), path, "pq", order, buckets=8)
-    return read_table(spark, path).drop("_ts")
+    topics = fixture_topics(spark, sf_dir)
+    cut = F.lit("1998-06-02").cast("timestamp")
+    load_keyed_store(spark, topics, SC_TOPIC, SUPPLY_SCHEMA, path, "pq", buckets=8,
+                     where=F.col("timestamp") < cut)
+    load_keyed_store(spark, topics, SC_TOPIC, SUPPLY_SCHEMA, path, "pq", buckets=8,
+                     where=F.col("timestamp") >= cut)
+    return read_table(spark, path).select(*SUPPLY_FIELDS, "_partition", "_offset")
+
+
+@register("decode_supply_spelled")
+def q_decode_supply_spelled(spark, sf_dir):
+    """All supply lines as messages, each in one of five spellings (plain,
+    spaced, underscored, and the latter two under the family prefix), some
+    with their numbers as text, decoded to the 31 canonical fields."""
+    from fraudlens.schemas import DISPLAY_NAMES, FAMILY_PREFIX, SUPPLY_FIELDS, SUPPLY_NUMERIC_FIELDS
+    from fraudlens.sources.envelope import decode_supply
+    named = [lambda c: c, lambda c: DISPLAY_NAMES[c], lambda c: DISPLAY_NAMES[c].replace(" ", "_"),
+             lambda c: FAMILY_PREFIX + DISPLAY_NAMES[c], lambda c: FAMILY_PREFIX + DISPLAY_NAMES[c].replace(" ", "_")]
+
+    def message(k):
+        text = k >= 3                              # cells of a wide-column store are text
+        return F.to_json(F.struct(*[(F.col(c).cast("string") if text and c in SUPPLY_NUMERIC_FIELDS else F.col(c))
+                                    .alias(named[k](c)) for c in SUPPLY_FIELDS]))
+    lines = sc(spark, sf_dir, with_source=True)
+    spelling = F.col("l_linenumber") % 5
+    value = message(4)
+    for k in range(4):
+        value = F.when(spelling == k, message(k)).otherwise(value)
+    env = lines.select(spelling.alias("spelling"), value.cast("binary").alias("value"))
+    return decode_supply(env, keep=("spelling",))
 
 
 @register("ingest_csv")
@@ -374,8 +396,7 @@ def _tx_stream(spark, sf_dir):
                        max_per_trigger=STREAM_FILES_PER_TRIGGER)
 
 
-@register("stream_raw")
-def q_stream_raw(spark, sf_dir):
+def stream_raw(spark, sf_dir):
     from fraudlens.session import shared_dir
     from fraudlens.streaming import stream as st
     out = shared_dir(spark, "stream-raw-out")
@@ -384,6 +405,15 @@ def q_stream_raw(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@register("stream_raw")
+def q_stream_raw(spark, sf_dir):
+    """Raw messages of the stream: their position, and three fields cut from
+    the text (the JSON text itself is Spark's and no other engine's)."""
+    field = lambda name: F.get_json_object("value", f"$.{name}").alias(name)
+    return stream_raw(spark, sf_dir).select("topic", "partition", "offset", field("transaction_id"),
+                                            field("category"), field("fraud_label"))
+
+
 @register("stream_decode")
 def q_stream_decode(spark, sf_dir):
     from fraudlens.schemas import TRANSACTION_FIELDS
@@ -418,17 +448,18 @@ def q_stream_fraud_fan_out(spark, sf_dir):
     from fraudlens.operators.reports import ECOMMERCE_FRAUD, inputs_of
     from fraudlens.session import shared_dir
     from fraudlens.sinks.publish import publish_many
+    from fraudlens.plans.jobs import report_keys
     from fraudlens.sources.envelope import compacted, decode_transactions, files, read_batch
     from fraudlens.streaming import stream as st
     t = files(shared_dir(spark, "stream-topics"))
     rec = decode_transactions(_tx_stream(spark, sf_dir), inputs_of(ECOMMERCE_FRAUD))
-    last = {}
+    checkpoint = st.checkpoint_dir(spark, "fan-out")
 
     def sink(epoch, frames):
-        last["epoch"] = epoch
-        publish_many(spark, {REPORTS[n].output_topic: df for n, df in frames.items()}, t)
+        publish_many(spark, {REPORTS[n].output_topic: df for n, df in frames.items()}, t,
+                     key_cols=report_keys(frames), written_by=(checkpoint, epoch))
 
-    st.run_to_end(st.fan_out(rec, ECOMMERCE_FRAUD, sink, st.checkpoint_dir(spark, "fan-out")))
+    st.run_to_end(st.fan_out(rec, ECOMMERCE_FRAUD, sink, checkpoint))
     # The newest message per topic and key is the current report row.
     parts = []
     for name in ECOMMERCE_FRAUD:
@@ -476,11 +507,34 @@ def q_auc_fraud_probability(spark, sf_dir):
 @register("score_transactions")
 def q_score_transactions(spark, sf_dir):
     """Train on the 80% hash split of the supply lines, score the rest."""
-    from fraudlens.ml.model import train_and_evaluate
-    _, pred, _ = train_and_evaluate(sc(spark, sf_dir))
+    from fraudlens.ml.model import train_and_score
+    _, pred = train_and_score(sc(spark, sf_dir))
     return pred.select("pq", "label", "fraud_score", "prediction")
 
 
+@register("score_transactions_rows")
+def q_score_transactions_rows(spark, sf_dir):
+    """What holds for any model: the scored rows are the test split with its
+    labels, scores are probabilities, predictions their rounding."""
+    p = F.col("fraud_score")
+    return q_score_transactions(spark, sf_dir).select(
+        "pq", "label", p.between(0.0, 1.0).alias("in_range"),
+        (F.col("prediction") == F.when(p > 0.5, 1.0).otherwise(0.0)).alias("consistent"))
+
+
+@register("index_all_columns")
+def q_index_all_columns(spark, sf_dir):
+    """The indexer of the fraud model over its 13 categorical fields."""
+    from fraudlens.ml.model import build_pipeline
+    from fraudlens.schemas import ML_CATEGORICAL_FIELDS
+    data = sc(spark, sf_dir).select(*ML_CATEGORICAL_FIELDS)
+    indexed = build_pipeline().getStages()[0].fit(data).transform(data)
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value"),
+                                         F.col(f"{c}_index").alias("idx")) for c in ML_CATEGORICAL_FIELDS]))
+    return indexed.select(cells.alias("c")).select("c.*").groupBy("field", "value", "idx").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 @register("train_test_split")
 def q_train_test_split(spark, sf_dir):
     from fraudlens.operators.rows import hash_split
@@ -491,13 +545,16 @@ def q_train_test_split(spark, sf_dir):
 @register("report_store")
 def q_report_store(spark, sf_dir):
     """The six fraud reports stored in the keyed table twice (a rerun must
-    not duplicate rows) and read back."""
+    not duplicate rows) and read back; the category is null in some lines
+    and empty in others, and the two groups must stay apart."""
     from fraudlens.operators.reports import ECOMMERCE_FRAUD
     from fraudlens.plans.jobs import report_set, store_reports
     from fraudlens.session import shared_dir
     from fraudlens.sinks.keyed import read_table
     path = shared_dir(spark, "report-store")
-    frames = report_set(tx(spark, sf_dir), ECOMMERCE_FRAUD)
+    blank = F.when(F.col("category").isNotNull() & (F.col("user_device") == "Tablet"), "")
+    frames = report_set(tx(spark, sf_dir).withColumn("category", blank.otherwise(F.col("category"))),
+                        ECOMMERCE_FRAUD)
     store_reports(spark, frames, path)
     store_reports(spark, frames, path)
     m = F.col("measures")
@@ -508,10 +565,86 @@ def q_report_store(spark, sf_dir):
         F.get_json_object(m, "$.fraud_percentage").cast("double").alias("fraud_percentage"))
 
 
-@register("dashboard_label_share_country")
-def q_dashboard_label_share_country(spark, sf_dir):
-    """Label share by country from the fused three-pass dashboard job."""
-    return dashboard.dashboard_tables(sc(spark, sf_dir))["label_share_country"]
+DASHBOARD = ("label_share_product_group", "label_share_country", "shipment_mode_counts",
+             "quantity_by_product_group", "freight_by_project", "freight_histogram")
+
+
+def _dashboard_query(name: str) -> QueryFn:
+    def query(spark, sf_dir):
+        frame = dashboard.dashboard_tables(sc(spark, sf_dir))[name]
+        return rounded(frame, ["bin_lo", "bin_hi"], 6) if name == "freight_histogram" else rounded(frame)
+    return query
+
+
+for _name in DASHBOARD:
+    QUERIES[f"dashboard_{_name}"] = _dashboard_query(_name)
+
+
+def _fused_query(set_name: str) -> QueryFn:
+    """A whole report set through the fused aggregate, its reports stacked:
+    report, key as text, every measure of the set (null where a report has
+    none of that name)."""
+    from fraudlens.operators.reports import REPORT_SETS
+
+    def query(spark, sf_dir):
+        from fraudlens.plans.jobs import report_set
+        names = REPORT_SETS[set_name]
+        frames = report_set(VIEWS[REPORTS[names[0]].family](spark, sf_dir), names)
+        out = None
+        for n, df in frames.items():
+            key = F.col(REPORTS[n].key).cast("string") if REPORTS[n].key else F.lit(None).cast("string")
+            part = rounded(df).select(F.lit(n).alias("report"), key.alias("key_value"),
+                                      *[c for c in df.columns if c != REPORTS[n].key])
+            out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+        return out
+    return query
+
+
+QUERIES["ecommerce_summary_fused"] = _fused_query("ecommerce_summary")
+QUERIES["supply_summary_fused"] = _fused_query("supply_summary")
+
+
+@register("publish_script_spelled")
+def q_publish_script_spelled(spark, sf_dir):
+    """The supply fraud script over a topic whose records carry the
+    wide-column spelling (``cf1:`` and display names): read, decoded, reported,
+    published and read back."""
+    from fraudlens.operators.reports import SUPPLY_FRAUD
+    from fraudlens.plans.jobs import publish_script
+    from fraudlens.schemas import DISPLAY_NAMES, FAMILY_PREFIX, SUPPLY_FIELDS
+    from fraudlens.session import shared_dir
+    from fraudlens.sinks.publish import publish
+    from fraudlens.sources.envelope import files, read_batch
+    t = files(shared_dir(spark, "spelled"))
+    lines = sc(spark, sf_dir).select(*[F.col(c).alias(FAMILY_PREFIX + DISPLAY_NAMES[c]) for c in SUPPLY_FIELDS])
+    publish(spark, lines, t, SC_TOPIC)
+    publish_script(spark, t, SC_TOPIC, "supply_fraud")
+    out = None
+    for name in SUPPLY_FRAUD:
+        spec, v = REPORTS[name], F.col("value").cast("string")
+        part = read_batch(spark, t, spec.output_topic).select(
+            F.lit(name).alias("report"), F.get_json_object(v, f"$.{spec.key}").alias("key_value"),
+            F.get_json_object(v, "$.fraud_count").cast("long").alias("fraud_count"),
+            F.get_json_object(v, "$.total_orders").cast("long").alias("total_orders"),
+            F.get_json_object(v, "$.fraud_percentage").cast("double").alias("fraud_percentage"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("stream_income_analytics")
+def q_stream_income_analytics(spark, sf_dir):
+    """A report with an open key domain as a stream: update mode, upserted
+    per micro-batch; the table then equals the batch report."""
+    from fraudlens.operators.reports import inputs_of
+    from fraudlens.session import shared_dir
+    from fraudlens.sinks.keyed import read_table
+    from fraudlens.sources.envelope import decode_transactions
+    from fraudlens.streaming import stream as st
+    table = shared_dir(spark, "stream-income-table")
+    rec = decode_transactions(_tx_stream(spark, sf_dir), inputs_of(["income_analytics"]))
+    st.run_to_end(st.to_keyed_table(st.running_report(rec, "income_analytics"), "income_analytics", table,
+                                    st.checkpoint_dir(spark, "income")))
+    return rounded(read_table(spark, table).drop("_row_key"))
 
 
 @register("stream_fraud_category_updates")
@@ -528,13 +661,13 @@ def q_stream_fraud_category_updates(spark, sf_dir):
     q = st.to_keyed_table(st.running_report(rec, "fraud_category"), "fraud_category", table,
                           st.checkpoint_dir(spark, "updates"))
     st.run_to_end(q)
-    return read_table(spark, table).drop("_row_key", "_epoch")
+    return read_table(spark, table).drop("_row_key")
 
 
 @register("draw_label")
 def q_draw_label(spark, sf_dir):
     """Seeded Bernoulli labels from the risk rule over every supply line:
-    drawn rate per (region, probability) stratum (xxhash64 draws: no SQL)."""
+    drawn rate per (region, probability) stratum."""
     from fraudlens.functions import draw_label, fraud_probability
     p = fraud_probability(regions=["ASIA", "AMERICA"])
     t = sc(spark, sf_dir).select("pq", "country", p.alias("p"))

@@ -39,46 +39,27 @@ TRANSACTION_WIRE_SCHEMA = StructType(
 # six money/weight fields are doubles; the label stays a string ("1" is
 # fraud, "1.0" is not).
 # ---------------------------------------------------------------------------
-SUPPLY_STRING_FIELDS = [
-    "project_code", "pq", "po_so", "country", "managed_by", "fulfill_via",
-    "vendor_inco_term", "shipment_mode", "pq_first_sent_to_client_date",
-    "po_sent_to_vendor_date", "scheduled_delivery_date",
-    "delivered_to_client_date", "delivery_recorded_date", "product_group",
-    "sub_classification", "vendor", "item_description", "molecule_brand",
-    "dosage", "dosage_form", "unit_of_measure_per_pack",
+SUPPLY_RECORD = [
+    ("project_code", "string"), ("pq", "string"), ("po_so", "string"), ("country", "string"),
+    ("managed_by", "string"), ("fulfill_via", "string"), ("vendor_inco_term", "string"),
+    ("shipment_mode", "string"), ("pq_first_sent_to_client_date", "string"),
+    ("po_sent_to_vendor_date", "string"), ("scheduled_delivery_date", "string"),
+    ("delivered_to_client_date", "string"), ("delivery_recorded_date", "string"),
+    ("product_group", "string"), ("sub_classification", "string"), ("vendor", "string"),
+    ("item_description", "string"), ("molecule_brand", "string"), ("dosage", "string"),
+    ("dosage_form", "string"), ("unit_of_measure_per_pack", "string"),
+    ("line_item_quantity", "double"), ("line_item_value", "double"), ("pack_price", "double"),
+    ("unit_price", "double"), ("manufacturing_site", "string"), ("first_line_designation", "string"),
+    ("weight_kilograms", "double"), ("freight_cost_usd", "double"),
+    ("line_item_insurance_usd", "double"), ("fraud_label", "string"),
 ]
-SUPPLY_DOUBLE_FIELDS = [
-    "line_item_quantity", "line_item_value", "pack_price", "unit_price",
-]
-SUPPLY_TAIL_STRING_FIELDS = ["manufacturing_site", "first_line_designation"]
-SUPPLY_TAIL_DOUBLE_FIELDS = [
-    "weight_kilograms", "freight_cost_usd", "line_item_insurance_usd",
-]
-SUPPLY_FIELDS = (
-    SUPPLY_STRING_FIELDS + SUPPLY_DOUBLE_FIELDS + SUPPLY_TAIL_STRING_FIELDS
-    + SUPPLY_TAIL_DOUBLE_FIELDS + ["fraud_label"]
-)
-SUPPLY_NUMERIC_FIELDS = SUPPLY_DOUBLE_FIELDS + SUPPLY_TAIL_DOUBLE_FIELDS
-
-
-def _supply_type(name: str):
-    return DoubleType() if name in SUPPLY_NUMERIC_FIELDS else StringType()
-
+SUPPLY_FIELDS = [name for name, _ in SUPPLY_RECORD]
+SUPPLY_NUMERIC_FIELDS = [name for name, kind in SUPPLY_RECORD if kind == "double"]
+SUPPLY_SCHEMA = StructType([
+    StructField(name, DoubleType() if kind == "double" else StringType(), True)
+    for name, kind in SUPPLY_RECORD])
 
-SUPPLY_SCHEMA = StructType(
-    [StructField(name, _supply_type(name), True) for name in SUPPLY_FIELDS]
-)
-
-# Generator-only extras (shipment status, carrier, units, shipping cost, time).
-GENERATOR_EXTRA_SCHEMA = StructType([
-    StructField("shipment_status", StringType(), True),
-    StructField("carrier", StringType(), True),
-    StructField("units", IntegerType(), True),
-    StructField("shipping_cost", DoubleType(), True),
-    StructField("timestamp", TimestampType(), True),
-])
-
-# Categorical inputs of the fraud classifier, in model order.
+# Categorical and numeric inputs of the fraud classifier, in model order.
 ML_CATEGORICAL_FIELDS = [
     "country", "managed_by", "fulfill_via", "vendor_inco_term",
     "shipment_mode", "product_group", "sub_classification", "vendor",
@@ -170,3 +151,8 @@ def supply_aliases() -> dict[str, str]:
         out[spelling] = canon
         out[FAMILY_PREFIX + spelling] = canon
     return out
+
+
+def spellings(canon: str) -> list[str]:
+    """Every known spelling of a field, the canonical one first."""
+    return [canon] + [s for s, c in supply_aliases().items() if c == canon and s != canon]

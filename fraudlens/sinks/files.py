@@ -1,4 +1,4 @@
-"""File sinks: CSV with header, Parquet tables."""
+"""File sinks: CSV with header (RFC 4180)."""
 
 from __future__ import annotations
 
@@ -6,11 +6,6 @@ from pyspark.sql import DataFrame
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
-
-
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None) -> None:
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    """Quotes inside a field are doubled; null is an empty field, the empty
+    text a quoted one."""
+    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)

@@ -1,29 +1,42 @@
 """Keyed upsert into a wide-column style Parquet table (latest wins).
 
-Each put writes every qualifier of a row, so the newest version of a row key
-replaces the whole row.  "Newest" is a total order given by the caller,
-normally (timestamp, partition, offset) of the message.
-
-Layout: ``<table>/_bucket=<b>/`` with ``b = pmod(xxhash64(key), buckets)``.
-An upsert reads only the buckets its batch touches (a partition filter on
-the scan; the touched set has at most ``buckets`` entries), merges, stages the
-merged buckets in the shared checkpoint folder (a lineage cut that survives
-executor loss) and replaces exactly those buckets with Spark's dynamic
-partition overwrite.  Rows with a null key are rejected and counted.
+A put replaces the columns it carries in the row of its key; columns it does
+not carry keep their value.  "Newest" is a total order given by the caller,
+normally (timestamp, partition, offset) of the message; without one, the
+later commit wins.
+
+Layout of a table folder::
+
+    _log/00000000000000000000.json    the table: key, buckets, order columns
+    _log/<n>.json                     commit n: its parts and who wrote it
+    part-<n>-<id>/_bucket=<b>/        the rows of one commit
+
+An upsert reduces its batch to one row per key (one exchange), writes it as a
+new part and publishes it by creating the next commit file, exclusively; the
+stored rows are neither read, shuffled nor rewritten, readers see all of a
+commit or nothing of it, and a failed writer leaves only an unnamed folder.
+``read_table`` merges the parts of the newest commit; a table of one part is
+read as it is.  ``compact`` writes the merged table as one part (an upsert
+does that by itself once ``MAX_PARTS`` parts are live).  Key, bucket count and
+order belong to the table: an upsert that names others is refused.  Rows with
+a null key are rejected and counted.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlens.operators.rows import latest_per_key
-from fraudlens.session import shared_dir
+from fraudlens.sinks.store_log import CommitConflict, Folder
 
-BUCKET = "_bucket"
+BUCKET, COMMIT, COUNT = "_bucket", "_commit", "_n"
 DEFAULT_BUCKETS = 64
+MAX_PARTS = 16
+NULL_KEYS = -1                   # the bucket that only counts rejected rows
+_LOG = "_log"
 
 
 @dataclass
@@ -33,61 +46,143 @@ class UpsertResult:
     touched_buckets: int
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:
-        return False
+def _file(n: int) -> str:
+    return f"{_LOG}/{n:020d}.json"
+
+
+def _commits(folder: Folder) -> list[int]:
+    return [int(x[:-5]) for x in folder.names(_LOG) if x.endswith(".json")]
+
 
+def _table(folder: Folder) -> dict | None:
+    """Key, buckets and order of the table, None if there is none."""
+    return folder.read(_file(0)) if folder.exists(_file(0)) else None
 
-def _latest_with_counts(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
-    """Latest row per key plus ``_n``, the number of input rows of the key.
-    Null keys form one group of their own, which carries the reject count."""
-    value_cols = [c for c in df.columns if c != key]
-    return (df.groupBy(key)
-              .agg(F.max_by(F.struct(*value_cols), F.struct(*order_cols)).alias("_row"),
-                   F.count(F.lit(1)).alias("_n"))
-              .select(key, "_row.*", "_n"))
+
+def _reduced(rows: DataFrame, key: str, order: list[str], buckets: int) -> DataFrame:
+    """The newest row per key with its bucket and the number of input rows."""
+    values = [c for c in rows.columns if c != key]
+    newest = F.struct(*order) if order else F.lit(0)
+    one = rows.groupBy(key).agg(F.max_by(F.struct(F.lit(0).alias("_"), *values), newest).alias("_row"),
+                                F.count(F.lit(1)).alias(COUNT))
+    bucket = F.when(F.col(key).isNull(), NULL_KEYS).otherwise(
+        F.pmod(F.xxhash64(key), F.lit(buckets))).cast("int")
+    return one.select(key, *[F.col("_row")[c].alias(c) for c in values], COUNT, bucket.alias(BUCKET))
+
+
+def _write_part(rows: DataFrame, folder: Folder, n: int) -> str:
+    """Write rows that have a bucket; files are sized by adaptive execution,
+    so a bucket is spread over many tasks only if it is large."""
+    name = f"part-{n:020d}-{uuid.uuid4().hex[:12]}"
+    rows.hint("rebalance", F.col(BUCKET)).write.partitionBy(BUCKET).parquet(f"{folder.path}/{name}")
+    return name
 
 
 def upsert(spark: SparkSession, updates: DataFrame, table_path: str, key: str,
-           order_cols: list[str], buckets: int = DEFAULT_BUCKETS) -> UpsertResult:
-    batch = _latest_with_counts(updates, key, order_cols)
-    batch = batch.withColumn(BUCKET, F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int"))
-
-    # Stage the deduplicated batch in the shared folder: later steps re-read
-    # a written table instead of recomputing the input.
-    stage1 = shared_dir(spark, "upsert-batch")
-    batch.write.parquet(stage1)
-    staged = spark.read.parquet(stage1)
-    stats = staged.agg(F.sum("_n").alias("rows_in"),
-                       F.sum(F.when(F.col(key).isNull(), F.col("_n"))).alias("rejected"),
-                       F.collect_set(F.when(F.col(key).isNotNull(), F.col(BUCKET))).alias("touched")
-                       ).first()
-    touched = sorted(stats["touched"])        # at most ``buckets`` small ints
-    batch = staged.where(F.col(key).isNotNull()).drop("_n")
-
-    if _table_exists(spark, table_path):
-        existing = spark.read.parquet(table_path)
-        # Partition pruning: only the folders of touched buckets are read.
-        old = existing.where(F.col(BUCKET).isin(touched))
-        cols = batch.columns
-        merged = latest_per_key(old.select(*cols).unionByName(batch).drop(BUCKET),
-                                key, order_cols)
-        merged = merged.withColumn(BUCKET, F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int"))
-        stage2 = shared_dir(spark, "upsert-merged")
-        merged.write.parquet(stage2)
-        result = spark.read.parquet(stage2)
-    else:
-        result = batch
-    # Keys are unique after the merge, so buckets are even by construction;
-    # each task writes its own file per bucket (no extra shuffle).
-    (result.write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic")
-           .partitionBy(BUCKET).parquet(table_path))
-    return UpsertResult(int(stats["rows_in"] or 0), int(stats["rejected"] or 0), len(touched))
-
-
-def read_table(spark: SparkSession, table_path: str) -> DataFrame:
-    return spark.read.parquet(table_path).drop(BUCKET)
+           order_cols: list[str] | None = None, buckets: int | None = None,
+           written_by: tuple[str, int] | None = None) -> UpsertResult:
+    """Merge ``updates`` into the table.  ``buckets`` is fixed when the table
+    is made (default 64) and checked afterwards.  ``written_by`` = (writer,
+    number): a number that the writer has already committed is skipped, so a
+    replayed micro-batch changes nothing."""
+    folder, order = Folder(spark, table_path), list(order_cols or [])
+    table = _table(folder)
+    if table is None:
+        table = {"key": key, "buckets": buckets or DEFAULT_BUCKETS, "order": order}
+        try:
+            folder.create(_file(0), {**table, "parts": [], "writers": {}})
+        except CommitConflict:                   # made by another writer meanwhile
+            table = _table(folder)
+    wanted = {"key": key, "order": order, "buckets": buckets or table["buckets"]}
+    for what, value in wanted.items():
+        if table[what] != value:
+            raise ValueError(f"{table_path}: the table has {what}={table[what]!r}, not {value!r}")
+    last = folder.read(_file(max(_commits(folder))))
+    if written_by and last["writers"].get(written_by[0], -1) >= written_by[1]:
+        return UpsertResult(0, 0, 0)
+    n = max(_commits(folder)) + 1
+    name = _write_part(_reduced(updates, key, order, table["buckets"]), folder, n)
+    stats = spark.read.parquet(f"{folder.path}/{name}").groupBy(BUCKET).agg(F.sum(COUNT).alias(COUNT)).collect()
+    counts = {r[BUCKET]: r[COUNT] for r in stats}              # at most buckets + 1 rows
+    columns = [c for c in updates.columns if c != key]
+    while True:
+        parts = last["parts"] + [{"name": name, "commit": n, "columns": columns}]
+        writers = {**last["writers"], **({written_by[0]: written_by[1]} if written_by else {})}
+        try:
+            folder.create(_file(n), {"parts": parts, "writers": writers})
+            break
+        except CommitConflict:                   # the part stays as it is, only its number moves on
+            n = max(max(_commits(folder)), n) + 1
+            last = folder.read(_file(max(_commits(folder))))
+    if len(parts) >= MAX_PARTS:
+        compact(spark, table_path)
+    return UpsertResult(sum(counts.values()), counts.get(NULL_KEYS, 0), len(set(counts) - {NULL_KEYS}))
+
+
+def _merged(spark: SparkSession, folder: Folder, table: dict, parts: list[dict]) -> DataFrame:
+    """All parts as one table with a row per key, still with its bucket."""
+    key, order = table["key"], table["order"]
+    frames = [spark.read.parquet(f"{folder.path}/{p['name']}").where(F.col(BUCKET) >= 0).drop(COUNT) for p in parts]
+    if len(frames) == 1:
+        return frames[0]
+    rows = None
+    for p, frame in zip(parts, frames):
+        frame = frame.withColumn(COMMIT, F.lit(p["commit"]))
+        rows = frame if rows is None else rows.unionByName(frame, allowMissingColumns=True)
+    holders: dict[tuple, list[str]] = {}         # columns that the same parts carry
+    for c in dict.fromkeys(c for p in parts for c in p["columns"]):
+        holders.setdefault(tuple(p["commit"] for p in parts if c in p["columns"]), []).append(c)
+    newest = F.struct(*order, COMMIT)
+    groups = []
+    for k, (commits, columns) in enumerate(holders.items()):
+        at = newest if len(commits) == len(parts) else F.when(F.col(COMMIT).isin(list(commits)), newest)
+        groups.append(F.max_by(F.struct(*columns), at).alias(f"_g{k}"))
+    one = rows.groupBy(BUCKET, key).agg(*groups)
+    return one.select(key, *[F.col(f"_g{k}")[c].alias(c) for k, columns in enumerate(holders.values())
+                             for c in columns], BUCKET)
+
+
+def _newest(folder: Folder) -> tuple[dict, dict]:
+    table = _table(folder)
+    if table is None:
+        raise FileNotFoundError(f"no keyed table at {folder.path}")
+    return table, folder.read(_file(max(_commits(folder))))
+
+
+def read_table(spark: SparkSession, table_path: str, keys_like: list | None = None) -> DataFrame:
+    """The table's current rows.  With ``keys_like`` only those keys, read
+    from their buckets alone."""
+    folder = Folder(spark, table_path)
+    table, last = _newest(folder)
+    if not last["parts"]:
+        raise FileNotFoundError(f"nothing was committed to {table_path}")
+    rows = _merged(spark, folder, table, last["parts"])
+    if keys_like is not None:
+        of = spark.createDataFrame([(k,) for k in keys_like], rows.select(table["key"]).schema)
+        bucket = F.pmod(F.xxhash64(table["key"]), F.lit(table["buckets"])).cast("int").alias(BUCKET)
+        wanted = sorted({r[0] for r in of.select(bucket).collect()})
+        rows = rows.where(F.col(BUCKET).isin(wanted) & F.col(table["key"]).isin(list(keys_like)))
+    return rows.drop(BUCKET)
+
+
+def compact(spark: SparkSession, table_path: str) -> None:
+    """Write the table as one part; parts that neither of the two newest
+    commits names are removed."""
+    folder = Folder(spark, table_path)
+    table, last = _newest(folder)
+    if len(last["parts"]) < 2:
+        return
+    n = max(_commits(folder)) + 1
+    merged = _merged(spark, folder, table, last["parts"])
+    name = _write_part(merged.withColumn(COUNT, F.lit(0)), folder, n)
+    columns = list(dict.fromkeys(c for p in last["parts"] for c in p["columns"]))
+    try:
+        folder.create(_file(n), {"parts": [{"name": name, "commit": n, "columns": columns}],
+                                 "writers": last["writers"]})
+    except CommitConflict:                       # a commit came in between: the next upsert tries again
+        folder.delete(name)
+        return
+    live = {p["name"] for c in _commits(folder)[-2:] for p in folder.read(_file(c))["parts"]}
+    for old in folder.names():
+        if old.startswith("part-") and old not in live and old < f"part-{n:020d}":
+            folder.delete(old)

@@ -11,51 +11,61 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fraudlens.sinks.store_log import Folder
 from fraudlens.sources.envelope import Transport, encode
 
 DEFAULT_PARTITIONS = 3
 
 
-OFFSET_MARKER = "_offsets"       # underscore folders are skipped by file listing
+OFFSET_LOG = "_offsets"          # underscore folders are skipped by file listing
+TASK_STRIDE = 1 << 20            # more than the tasks of any write
+NULL_KEY = "\u0000"              # message key of the group whose report key is null
 
 
-def _partitions(df: DataFrame) -> int:
-    try:
-        n = df.rdd.getNumPartitions()
-    except Exception:
-        n = 0
-    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(n, shuffle, 1)
+class OffsetRange:
+    """One write's offsets on the file transport.
 
+    The log holds one file per write, created exclusively, with the next free
+    offset and the writers' last numbers.  A write claims its file before it
+    writes and publishes it afterwards; an unreadable log is an error, never
+    "the first write"."""
 
-def reserve_offsets(spark: SparkSession, transport: Transport, df: DataFrame) -> int:
-    """Reserve an offset range for one write on the file transport and
-    return its base.  ``monotonically_increasing_id`` stays below
-    (partitions + 1) * 2^33, so the reservation is an upper bound taken from
-    the plan's partition count (times 4 for safety); no existing message is
-    read.  The next free offset lives in a one-row marker file."""
-    marker = f"{transport.root.rstrip('/')}/{OFFSET_MARKER}"
-    try:
-        base = int(spark.read.parquet(marker).first()["next_offset"])
-    except Exception:  # first write to this folder
-        base = 0
-    span = (4 * _partitions(df) + 1) << 33
-    (spark.createDataFrame([(base + span,)], "next_offset long").coalesce(1)
-          .write.mode("overwrite").parquet(marker))
-    return base
+    def __init__(self, spark: SparkSession, transport: Transport, written_by=None):
+        self.spark, self.transport, self.written_by = spark, transport, written_by
+        self.folder = Folder(spark, f"{transport.root.rstrip('/')}/{OFFSET_LOG}")
+        done = [int(x[:-5]) for x in self.folder.names() if x.endswith(".json")]
+        last = self.folder.read(f"{max(done):020d}.json") if done else {"next": 0, "writers": {}}
+        self.base, self.writers, self.number = last["next"], last["writers"], max(done, default=-1) + 1
+
+    @property
+    def replayed(self) -> bool:
+        return bool(self.written_by) and self.writers.get(self.written_by[0], -1) >= self.written_by[1]
+
+    def claim(self) -> None:
+        self.folder.claim(f"{self.number:020d}.json")
+
+    def publish(self, top: int | None) -> None:
+        """``top``: the largest offset written, None if nothing was."""
+        writers = {**self.writers, **({self.written_by[0]: self.written_by[1]} if self.written_by else {})}
+        after = self.base if top is None else top + 1
+        self.folder.publish(f"{self.number:020d}.json", {"next": after, "writers": writers})
 
 
 def to_envelope(encoded: DataFrame, partitions: int = DEFAULT_PARTITIONS,
                 base_offset: int = 0) -> DataFrame:
     """(key, value, topic) -> full envelope for the file transport.
 
-    The partition is a hash of the key (of the value when the key is null),
-    offsets are unique and increasing within a write but not dense."""
+    The partition is a hash of the key (of the value when the key is null).
+    Offsets are unique and increase within a task: the n-th row of task t gets
+    ``base + n * TASK_STRIDE + t``, so a write takes about as many offsets as
+    its largest task has rows, times the stride."""
     route = F.coalesce(F.col("key"), F.col("value"))
+    place = F.monotonically_increasing_id()                    # task << 33 | n
+    task, n = F.shiftrightunsigned(place, 33), place.bitwiseAND((1 << 33) - 1)
     return encoded.select(
         "key", "value", "topic",
         F.pmod(F.xxhash64(route), F.lit(partitions)).cast("int").alias("partition"),
-        (F.lit(base_offset) + F.monotonically_increasing_id()).alias("offset"),
+        (F.lit(base_offset) + n * F.lit(TASK_STRIDE) + task).alias("offset"),
         F.current_timestamp().alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
@@ -75,28 +85,49 @@ def write_envelopes(spark: SparkSession, envelopes: DataFrame, transport: Transp
 
 
 def publish_many(spark: SparkSession, frames: dict[str, DataFrame], transport: Transport,
-                 partitions: int = DEFAULT_PARTITIONS, key_cols: dict | None = None):
+                 partitions: int = DEFAULT_PARTITIONS, key_cols: dict | None = None,
+                 written_by: tuple[str, int] | None = None) -> int | None:
     """Publish several DataFrames, each to its own topic, in one write.
-    Returns the base offset of the write on the file transport."""
+
+    ``key_cols`` names per topic the column whose text is the message key (a
+    null key gets ``NULL_KEY``), so that all versions of a row share a
+    partition.  File transport: returns the number of messages, taken from the
+    footers of the files written; ``written_by`` = (writer, number) skips a
+    number that the writer has already published.  Kafka: returns None; the
+    connector is not part of this repository, so that branch is untested."""
     key_cols = key_cols or {}
     parts = []
     for topic, df in frames.items():
         k = key_cols.get(topic)
-        enc = encode(df, F.col(k).cast("string") if k else None)
-        parts.append(enc.withColumn("topic", F.lit(topic)))
+        key = F.coalesce(F.col(k).cast("string"), F.lit(NULL_KEY)) if k else None
+        parts.append(encode(df, key).withColumn("topic", F.lit(topic)))
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
     if transport.kind == "kafka":
         write_envelopes(spark, union, transport)
         return None
-    base = reserve_offsets(spark, transport, union)
-    write_envelopes(spark, to_envelope(union, partitions, base), transport)
-    return base
+    offsets = OffsetRange(spark, transport, written_by)
+    if offsets.replayed:
+        return 0
+    offsets.claim()
+    before = _files(spark, transport, frames)
+    write_envelopes(spark, to_envelope(union, partitions, offsets.base), transport)
+    new = sorted(_files(spark, transport, frames) - before)
+    written = spark.read.parquet(*new) if new else None
+    n = written.count() if new else 0                          # from the footers
+    offsets.publish(written.agg(F.max("offset")).first()[0] if n else None)
+    return n
+
+
+def _files(spark: SparkSession, transport: Transport, topics) -> set[str]:
+    return {f"{transport.topic_path(t)}/{name}" for t in topics
+            for name in Folder(spark, transport.topic_path(t)).names() if name.startswith("part-")}
 
 
 def publish(spark: SparkSession, df: DataFrame, transport: Transport, topic: str,
-            partitions: int = DEFAULT_PARTITIONS, key_col: str | None = None):
+            partitions: int = DEFAULT_PARTITIONS, key_col: str | None = None,
+            written_by: tuple[str, int] | None = None):
     """Publish one DataFrame as JSON messages to ``topic``."""
     return publish_many(spark, {topic: df}, transport, partitions,
-                 {topic: key_col} if key_col else None)
+                        {topic: key_col} if key_col else None, written_by)

@@ -1,0 +1,75 @@
+"""Small commit log for folders of data: exclusive creation of numbered
+files through Hadoop's FileSystem, so it works wherever Spark writes.
+
+Listing decides whether something exists; any other error is raised, never
+taken for "not there".
+"""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import SparkSession
+
+
+class CommitConflict(RuntimeError):
+    """Another writer committed the same number first."""
+
+
+class Folder:
+    def __init__(self, spark: SparkSession, path: str):
+        self.path = path.rstrip("/")
+        jvm = spark.sparkContext._jvm
+        self._jvm, conf = jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        self._fs = self._at("").getFileSystem(conf)
+
+    def _at(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+
+    def exists(self, name: str) -> bool:
+        return self._fs.exists(self._at(name))
+
+    def names(self, name: str = "") -> list[str]:
+        """Names in a folder; empty if the folder does not exist."""
+        if not self._fs.exists(self._at(name)):
+            return []
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._at(name)))
+
+    def read(self, name: str) -> dict:
+        stream = self._fs.open(self._at(name))
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode("utf-8"))
+        finally:
+            stream.close()
+
+    def create(self, name: str, value: dict) -> None:
+        """Write a new file; CommitConflict if it is already there.  The file
+        appears under its name only when it is complete: it is written aside
+        and renamed, after an exclusive claim of the name."""
+        self.claim(name)
+        self.publish(name, value)
+
+    def claim(self, name: str) -> None:
+        """Take a name that nobody else has taken or published."""
+        if self._fs.exists(self._at(name)) or not self._fs.createNewFile(self._at(f"{name}.claim")):
+            raise CommitConflict(f"{self.path}/{name}")
+
+    def publish(self, name: str, value: dict) -> None:
+        """Complete a claimed name."""
+        aside = self._at(f"{name}.tmp")
+        stream = self._fs.create(aside, True)
+        try:
+            stream.write(bytearray(json.dumps(value).encode("utf-8")))
+        finally:
+            stream.close()
+        if not self._fs.rename(aside, self._at(name)):
+            raise CommitConflict(f"{self.path}/{name}")
+        self._fs.delete(self._at(f"{name}.claim"), False)
+
+    def delete(self, name: str) -> None:
+        self._fs.delete(self._at(name), True)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a staging folder of this library."""
+    Folder(spark, path).delete("")

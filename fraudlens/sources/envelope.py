@@ -19,14 +19,16 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from fraudlens.functions import try_double, try_int_legacy
 from fraudlens.schemas import (
     ENVELOPE_SCHEMA,
+    SUPPLY_SCHEMA,
     TRANSACTION_DOUBLES,
     TRANSACTION_INTS,
     TRANSACTION_WIRE_SCHEMA,
+    spellings,
 )
 
 EARLIEST, LATEST = -2, -1
@@ -169,6 +171,27 @@ def decode(env: DataFrame, schema: StructType, fields=None,
         *keep, "_data.*")
 
 
+def decode_supply(env: DataFrame, fields=None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """JSON ``value`` -> supply record under its canonical names, whatever
+    spelling the producer used (plain, spaced or underscored display names,
+    with or without the column family prefix).  Only the wanted fields are
+    parsed, in all their spellings, and the first that is present counts.
+    Numbers may come as JSON numbers or as text; what is no number is null."""
+    wanted = narrow_schema(SUPPLY_SCHEMA, fields)
+    names = {f.name: spellings(f.name) for f in wanted}
+    wire = StructType([StructField(s, StringType()) for own in names.values() for s in own])
+    # Some spellings differ in case only, which column resolution would not
+    # tell apart: the parsed struct's fields are renamed by position.
+    place = {s: f"_{k}" for k, s in enumerate(wire.fieldNames())}
+    plain = StructType([StructField(place[s], StringType()) for s in wire.fieldNames()])
+    data = F.from_json(F.col("value").cast("string"), wire).cast(plain)
+
+    def value(f):
+        found = F.coalesce(*[F.col("_data")[place[s]] for s in names[f.name]])
+        return (try_double(found) if isinstance(f.dataType, DoubleType) else found).alias(f.name)
+    return env.select(*[F.col(k) for k in keep], data.alias("_data")).select(*keep, *[value(f) for f in wanted])
+
+
 def encode(df: DataFrame, key: Column | None = None) -> DataFrame:
     """Record -> envelope payload: ``value`` = JSON of all columns (null
     fields are omitted, as ``to_json`` does), ``key`` null unless given."""
@@ -203,8 +226,10 @@ def preview(env: DataFrame, n: int = 100) -> DataFrame:
 
 
 def compacted(env: DataFrame, key: Column) -> DataFrame:
-    """Newest message per key, as a log-compacted topic would keep it: one
-    aggregate (``max_by`` value by (partition, offset)) whose partial phase
+    """Newest message per key, as a log-compacted topic would keep it.  The
+    publisher gives all messages of a key the same message key, so they lie in
+    one partition and their offsets order them.  One aggregate (``max_by``
+    value by (offset, partition)) whose partial phase
     collapses a hot key inside each task.  Republished reports (streaming
     complete mode, reruns) read back as their current value."""
     return (env.groupBy(key.alias("_key"))

@@ -214,6 +214,20 @@ SELECT
   'PQ-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS pq,
   'POSO-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS po_so,
   r_name AS country,
+  'Manager ' || CAST(l_suppkey % 3 AS VARCHAR) AS managed_by,
+  'INCO-' || CAST(l_suppkey % 5 + 1 AS VARCHAR) AS vendor_inco_term,
+  strftime(l_shipdate, '%Y-%m-%d') AS pq_first_sent_to_client_date,
+  strftime(l_shipdate, '%Y-%m-%d') AS po_sent_to_vendor_date,
+  strftime(l_shipdate, '%Y-%m-%d') AS scheduled_delivery_date,
+  strftime(l_shipdate, '%Y-%m-%d') AS delivered_to_client_date,
+  strftime(l_shipdate, '%Y-%m-%d') AS delivery_recorded_date,
+  CASE WHEN p_size <> 50 THEN p_name END AS item_description,
+  p_brand AS molecule_brand,
+  CAST(p_size AS VARCHAR) || ' mg' AS dosage,
+  CASE WHEN l_partkey % 2 = 0 THEN 'Tablet' ELSE 'Capsule' END AS dosage_form,
+  CAST(p_size AS VARCHAR) AS unit_of_measure_per_pack,
+  'Site ' || CAST(l_suppkey % 4 AS VARCHAR) AS manufacturing_site,
+  CASE WHEN l_discount > 0.05e0 THEN 'Yes' ELSE 'No' END AS first_line_designation,
   s_name AS vendor,
   CASE WHEN p_size <> 50 THEN p_type END AS product_group,
   CASE WHEN p_size <> 50 THEN p_brand END AS sub_classification,

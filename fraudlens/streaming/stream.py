@@ -2,9 +2,10 @@
 
 * ``raw_values`` / ``decoded``: stateless projections, append mode.
 * ``running_report``: a report spec as a stateful streaming aggregate
-  (complete or update mode).  State holds one row per key, so complete
-  mode is refused for unbounded keys (``drop_null_keys`` dashboard sums over
-  project codes, raw income).
+  (complete or update mode).  State holds one row per key.  Complete mode
+  hands the whole state on after every micro-batch, so it is refused for
+  reports whose key domain grows with the data (``UNBOUNDED_KEYS``); update
+  mode, which hands on the changed rows only, takes any report.
 * ``fan_out``: many reports from one stream: the fused grouping-sets
   aggregate is the single stateful operator, and ``foreachBatch`` slices and
   publishes every report per micro-batch.
@@ -23,7 +24,7 @@ from fraudlens.operators import fused
 from fraudlens.operators.reports import REPORTS, ReportSpec, run_report
 from fraudlens.session import shared_dir
 
-# Reports whose key domain grows with the data: never kept whole in state.
+# Key columns whose domain grows with the data: no complete mode.
 UNBOUNDED_KEYS = {"user_income", "project_code", "transaction_id", "pq"}
 
 
@@ -35,12 +36,17 @@ def raw_values(env: DataFrame) -> DataFrame:
 
 def running_report(records: DataFrame, spec: ReportSpec | str) -> DataFrame:
     spec = REPORTS[spec] if isinstance(spec, str) else spec
-    if spec.key in UNBOUNDED_KEYS:
-        raise ValueError(f"{spec.name}: key {spec.key!r} is unbounded; "
-                         "state would grow with the data")
     return run_report(spec, records)
 
 
+def _bounded(keys, mode: str) -> None:
+    """Refuse complete mode for keys whose domain grows with the data."""
+    unbounded = sorted(set(keys) & UNBOUNDED_KEYS)
+    if mode == "complete" and unbounded:
+        raise ValueError(f"key {unbounded[0]!r} is unbounded: every micro-batch would hand on a state "
+                         "that grows with the data; use update mode")
+
+
 def _writer(df: DataFrame, checkpoint: str, mode: str, trigger: dict | None):
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True}))
@@ -56,6 +62,8 @@ def to_table_snapshot(df: DataFrame, path: str, checkpoint: str,
                       trigger: dict | None = None) -> StreamingQuery:
     """Complete-mode aggregate; each micro-batch replaces the snapshot at
     ``path`` (the result is small: one row per key)."""
+    _bounded(df.columns, "complete")
+
     def write(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(path)
     return _writer(df, checkpoint, "complete", trigger).foreachBatch(write).start()
@@ -75,6 +83,7 @@ def fan_out(records: DataFrame, names, sink, checkpoint: str,
     {name: DataFrame})`` receives the full current value of every report
     after each micro-batch (complete mode)."""
     names = list(names)
+    _bounded([REPORTS[n].key for n in names], "complete")
     agg = fused.fused_aggregate(records, names)
 
     def write(batch: DataFrame, epoch: int) -> None:
@@ -86,9 +95,10 @@ def fan_out(records: DataFrame, names, sink, checkpoint: str,
     return _writer(agg, checkpoint, "complete", trigger).foreachBatch(write).start()
 
 
-def run_to_end(q: StreamingQuery, timeout_s: float = 600) -> None:
-    """Wait for an availableNow query; raise if it failed or hung."""
-    finished = q.awaitTermination(timeout_s)
+def run_to_end(q: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for an availableNow query, without limit unless one is given;
+    raise if it failed or did not finish."""
+    finished = q.awaitTermination(timeout_s) if timeout_s else (q.awaitTermination(), True)[1]
     if not finished:
         q.stop()
         raise TimeoutError(f"stream {q.name or q.id} did not finish in {timeout_s}s")
@@ -107,6 +117,7 @@ def to_topic(df: DataFrame, transport, topic: str, checkpoint: str, mode: str =
     ``foreachBatch`` (complete mode republishes the full current result)."""
     from fraudlens.sinks.publish import publish
     from fraudlens.sources.envelope import encode
+    _bounded(df.columns if mode == "complete" else (), mode)
     if transport.kind == "kafka":
         enc = encode(df).select("key", "value")
         w = (_writer(enc, checkpoint, mode, trigger).format("kafka")
@@ -118,23 +129,23 @@ def to_topic(df: DataFrame, transport, topic: str, checkpoint: str, mode: str =
     spark = df.sparkSession
 
     def write(batch: DataFrame, epoch: int) -> None:
-        publish(spark, batch, transport, topic)
+        publish(spark, batch, transport, topic, written_by=(checkpoint, int(epoch)))   # a replay is skipped
     return _writer(df, checkpoint, mode, trigger).foreachBatch(write).start()
 
 
 def to_keyed_table(df: DataFrame, spec: ReportSpec | str, table_path: str, checkpoint: str,
                    trigger: dict | None = None, buckets: int = 8) -> StreamingQuery:
     """Update mode: each micro-batch emits only the keys whose aggregate
-    changed, and ``foreachBatch`` upserts them into the keyed table (row key
-    ``<report>#<key>``, newest epoch wins).  A replayed epoch after a failure
-    writes the same rows with the same version, so the sink is idempotent."""
+    changed, and ``foreachBatch`` upserts them into the keyed table (row key as
+    in ``report_row_key``; the later commit wins, so a new run with a fresh
+    checkpoint replaces what an older one left).  A replayed epoch of the same
+    checkpoint is skipped by the table."""
+    from fraudlens.plans.jobs import report_row_key
     from fraudlens.sinks.keyed import upsert
     spec = REPORTS[spec] if isinstance(spec, str) else spec
     spark = df.sparkSession
-    key_text = F.coalesce(F.col(spec.key).cast("string"), F.lit("")) if spec.key else F.lit("")
 
     def write(batch: DataFrame, epoch: int) -> None:
-        rows = batch.select(F.concat(F.lit(spec.name + "#"), key_text).alias("_row_key"),
-                            *batch.columns, F.lit(int(epoch)).alias("_epoch"))
-        upsert(spark, rows, table_path, "_row_key", ["_epoch"], buckets)
+        rows = batch.select(report_row_key(spec.name, spec.key).alias("_row_key"), *batch.columns)
+        upsert(spark, rows, table_path, "_row_key", buckets=buckets, written_by=(checkpoint, int(epoch)))
     return _writer(df, checkpoint, "update", trigger).foreachBatch(write).start()

@@ -22,14 +22,28 @@ def _plan(df) -> str:
 
 def main(argv) -> int:
     sf = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    from pyspark.sql import functions as F
+
+    from fraudlens.functions import fraud_probability
+    from fraudlens.ml.auc import auc_frame
+    from fraudlens.ml.model import LABEL, with_label
     from fraudlens.operators import dashboard, fused
     from fraudlens.operators.reports import ECOMMERCE_FRAUD, inputs_of
     from fraudlens.plans import queries as Q
-    from fraudlens.session import get_session
+    from fraudlens.session import get_session, shared_dir
+    from fraudlens.sinks import keyed
     from fraudlens.sources.envelope import decode_transactions, read_batch
     spark = get_session("local[8]", conf={"spark.sql.shuffle.partitions": "16"})
     t = Q.fixture_topics(spark, sf)
     env = read_batch(spark, t, Q.TX_TOPIC, Q.BOUNDED_START, Q.BOUNDED_END)
+
+    def keyed_lookup(spark, sf):
+        path = shared_dir(spark, "plans-table")
+        rows = Q.sc(spark, sf).select("pq", "country", F.lit(1).alias("v"))
+        for _ in range(2):
+            keyed.upsert(spark, rows, path, "pq", ["v"], buckets=8)
+        return keyed.read_table(spark, path, ["PQ-1-1", "PQ-2-1"])
+
     sections = [
         ("Report script: bounded topic read -> narrow JSON decode -> six fraud reports fused",
          "Offset bounds reach the Parquet scan as PushedFilters; from_json carries only the 8 fields the "
@@ -40,26 +54,23 @@ def main(argv) -> int:
          "Dimensions are broadcast only after the bounded row-count probe; line items and orders, which "
          "both grow with the data, are joined by sort-merge on the order key; ReadSchema shows pruning.",
          Q.QUERIES["fraud_category"](spark, sf)),
-        ("Dashboard pass 2: freight histogram and per-project sums in one grouping-sets aggregate",
-         "Bin edges enter as literals; project codes (high cardinality) are partially aggregated.",
-         dashboard.freight_pass(Q.sc(spark, sf), dashboard._bin_expr(
-             __import__("pyspark.sql.functions", fromlist=["col"]).col("freight_cost_usd"),
-             18.0364, 2099.9576, 20))),
-        ("Keyed table read-back with bucket pruning",
-         "Reading one bucket of the keyed table prunes partitions (PartitionFilters).",
-         None),
+        ("Dashboard: freight histogram with known bounds",
+         "Bin edges enter as literals; one partial and one final aggregate.",
+         dashboard.histogram(Q.sc(spark, sf), "freight_cost_usd", 20, (18.0364, 2099.9576))),
+        ("Upsert: the batch that is written (stored rows are not read)",
+         "One exchange by key reduces the batch, a rebalance sizes the files per bucket.",
+         keyed._reduced(Q.sc(spark, sf).select("pq", "country", F.lit(1).alias("v")), "pq", ["v"], 8).hint(
+             "rebalance", F.col("_bucket"))),
+        ("Keyed table: lookup of two keys in a table of two commits",
+         "Only the keys' buckets are read (PartitionFilters); the merge aggregates those rows alone.",
+         keyed_lookup(spark, sf)),
+        ("Area under the curve of the risk score",
+         "Ties collapse in the partial aggregate; one range exchange; running sums per partition.",
+         auc_frame(with_label(Q.sc(spark, sf)).select(fraud_probability().alias("s"), LABEL), "s", LABEL)),
     ]
     out = ["# PLANS", "", f"Generated by `python tests/plans_report.py` on `{sf}` "
            "(expression ids removed). Regenerate after plan-affecting changes.", ""]
     for title, note, df in sections:
-        if df is None:
-            from fraudlens.session import shared_dir
-            from fraudlens.sinks.keyed import upsert
-            from pyspark.sql import functions as F
-            path = shared_dir(spark, "plans-table")
-            rows = Q.sc(spark, sf).select("pq", "country", F.lit(1).alias("v"))
-            upsert(spark, rows, path, "pq", ["v"], buckets=8)
-            df = spark.read.parquet(path).where(F.col("_bucket").isin([1, 2]))
         out += [f"## {title}", "", note, "", "```", _plan(df), "```", ""]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
         f.write("\n".join(out))

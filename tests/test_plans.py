@@ -35,13 +35,44 @@ def test_line_items_and_orders_meet_in_shuffle_join(spark):
         assert not any("lineitem" in line for line in head)
 
 
-def test_keyed_table_reads_only_touched_buckets(spark, scratch):
-    from fraudlens.sinks.keyed import upsert
+def test_upsert_neither_reads_nor_shuffles_the_stored_rows(spark, scratch, monkeypatch):
+    """The plans of an upsert's writes hold no scan of the table, and the
+    batch is exchanged once by key and once to size the files."""
+    from fraudlens.sinks import keyed
+    path = scratch("plan-table")
+    df = spark.createDataFrame([(f"k{i}", i) for i in range(50)], "k string, v int")
+    keyed.upsert(spark, df, path, "k", ["v"], buckets=8)
+    plans = []
+    write = keyed._write_part
+    monkeypatch.setattr(keyed, "_write_part", lambda rows, folder, n: (plans.append(_plan(rows)), write(rows, folder, n))[1])
+    keyed.upsert(spark, df, path, "k", ["v"], buckets=8)
+    assert len(plans) == 1 and "FileScan" not in plans[0]
+    assert plans[0].count("Exchange hashpartitioning") == 1
+
+
+def test_keyed_lookup_reads_only_its_buckets(spark, scratch):
+    from fraudlens.sinks.keyed import read_table, upsert
     path = scratch("plan-table")
     df = spark.createDataFrame([(f"k{i}", i) for i in range(50)], "k string, v int")
     upsert(spark, df, path, "k", ["v"], buckets=8)
-    plan = _plan(spark.read.parquet(path).where(F.col("_bucket").isin([1, 2])))
-    assert re.search(r"PartitionFilters: \[_bucket#\d+ IN \(1,2\)\]", plan)
+    upsert(spark, df.where("v < 5").withColumn("v", F.col("v") + 100), path, "k", ["v"], buckets=8)
+    found = read_table(spark, path, ["k1", "k40", "none"])
+    assert {r.k: r.v for r in found.collect()} == {"k1": 101, "k40": 40}
+    assert all(re.search(r"_bucket#\d+", p) for p in re.findall(r"PartitionFilters: \[(.*?)\]", _plan(found)))
+
+
+def test_label_share_does_not_pay_for_the_second_pass(spark):
+    from fraudlens.operators import dashboard
+    frames = dashboard.dashboard_tables(Q.sc(spark, SF_SMALL))
+    assert "lineitem" not in _plan(frames["label_share_country"])          # from the checkpointed aggregate
+    assert "lineitem" in _plan(frames["freight_by_project"])               # still lazy
+
+
+def test_model_input_is_staged_narrow(spark):
+    from fraudlens.ml.model import train_and_score
+    _, pred = train_and_score(Q.sc(spark, SF_SMALL))
+    scan = [line for line in _plan(pred.select("pq", "prediction")).split("\n") if "FileScan parquet" in line]
+    assert len(scan) == 1 and "item_description" not in "".join(pred.columns)
 
 
 def test_dimension_broadcast_only_within_bound(spark):
@@ -52,6 +83,18 @@ def test_dimension_broadcast_only_within_bound(spark):
     assert "BroadcastHashJoin" in small
     big = _plan(join_dimension(fact, dim, F.col("k") == F.col("k2"), max_rows=100))
     assert "BroadcastExchange" not in big and "SortMergeJoin" in big
+    wide = dim.withColumn("text", F.repeat(F.lit("x"), 1000))
+    heavy = _plan(join_dimension(fact, wide, F.col("k") == F.col("k2"), max_rows=1000, max_bytes=10_000))
+    assert "BroadcastExchange" not in heavy
+
+
+def test_broadcast_memo_follows_the_files(spark, scratch):
+    from fraudlens.plans.joins import is_bounded
+    path = scratch("dim")
+    spark.range(10).write.parquet(path)
+    assert is_bounded(spark.read.parquet(path), 100)
+    spark.range(1000).write.mode("overwrite").parquet(path)
+    assert not is_bounded(spark.read.parquet(path), 100)
 
 
 def test_hot_key_is_preaggregated_and_exact(spark, scratch):

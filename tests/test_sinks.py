@@ -1,6 +1,7 @@
 """Keyed upsert (latest wins, null keys rejected, idempotent rerun), cells,
 CSV round trip and the ingest job."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from fraudlens.operators.cells import to_cells
@@ -32,6 +33,157 @@ def test_upsert_latest_wins(spark, scratch):
     assert again == got
 
 
+def _stored(spark, path, key="k"):
+    return {r[key]: r for r in read_table(spark, path).collect()}
+
+
+def test_bucket_count_key_and_order_belong_to_the_table(spark, scratch):
+    path = scratch("table")
+    df = spark.createDataFrame([(f"k{i}", i) for i in range(20)], "k string, v int")
+    upsert(spark, df, path, "k", ["v"], buckets=64)
+    for other in (dict(key="k", order_cols=["v"], buckets=8), dict(key="v", order_cols=["v"]),
+                  dict(key="k", order_cols=[])):
+        with pytest.raises(ValueError):
+            upsert(spark, df, path, **other)
+    upsert(spark, df, path, "k", ["v"])
+    assert read_table(spark, path).count() == 20
+
+
+def test_absent_columns_keep_their_value(spark, scratch):
+    path = scratch("table")
+    full = spark.createDataFrame([(f"k{i}", 1, f"a{i}", f"b{i}") for i in range(20)], "k string, v int, a string, b string")
+    upsert(spark, full, path, "k", ["v"], buckets=4)
+    upsert(spark, spark.createDataFrame([("k3", 2, "new")], "k string, v int, a string"), path, "k", ["v"])
+    upsert(spark, spark.createDataFrame([("k4", 3, None)], "k string, v int, b string"), path, "k", ["v"])
+    got = _stored(spark, path)
+    assert len(got) == 20 and (got["k3"].a, got["k3"].b, got["k3"].v) == ("new", "b3", 2)
+    assert (got["k4"].a, got["k4"].b) == ("a4", None)      # a null that was put is a value
+    assert all((got[f"k{i}"].a, got[f"k{i}"].b) == (f"a{i}", f"b{i}") for i in range(5, 20))
+
+
+def test_unreadable_table_is_an_error_and_loses_nothing(spark, scratch):
+    import glob
+    path = scratch("table")
+    local = path.removeprefix("file:")
+    df = spark.createDataFrame([(f"k{i}", i) for i in range(20)], "k string, v int")
+    upsert(spark, df, path, "k", ["v"], buckets=4)
+    log = glob.glob(f"{local}/_log/*1.json")[0]
+    good = open(log).read()
+    import os
+    os.remove(f"{local}/_log/.{os.path.basename(log)}.crc")
+    open(log, "w").write("{broken")
+    with pytest.raises(Exception):
+        upsert(spark, df.limit(2), path, "k", ["v"])
+    open(log, "w").write(good)
+    assert read_table(spark, path).count() == 20
+
+
+def test_null_and_empty_report_keys_stay_apart(spark, scratch):
+    from fraudlens.operators.reports import report
+    from fraudlens.plans.jobs import store_reports
+    rows = [("t1", None, 1), ("t2", "", 0), ("t3", "", 1), ("t4", "x", 0)]
+    df = spark.createDataFrame(rows, "transaction_id string, category string, fraud_label int")
+    path = scratch("reports")
+    store_reports(spark, {"fraud_category": report("fraud_category", df)}, path)
+    assert set(_stored(spark, path, "row_key")) == {"fraud_category", "fraud_category#", "fraud_category#x"}
+
+
+def test_failed_writer_leaves_no_trace_and_compaction_keeps_rows(spark, scratch, monkeypatch):
+    from fraudlens.sinks import keyed
+    path = scratch("table")
+    put = lambda i: upsert(spark, spark.createDataFrame([("k", i, "x")], "k string, v int, a string"), path, "k", ["v"],
+                           buckets=2)
+    put(1)
+    with monkeypatch.context() as m:
+        m.setattr(keyed.Folder, "create", lambda *a: (_ for _ in ()).throw(OSError("disk gone")))
+        with pytest.raises(OSError):
+            put(2)
+    assert _stored(spark, path)["k"].v == 1
+    monkeypatch.setattr(keyed, "MAX_PARTS", 3)
+    for i in (3, 5, 4):
+        put(i)
+    assert _stored(spark, path)["k"].v == 5
+    folder = keyed.Folder(spark, path)
+    assert len(keyed._newest(folder)[1]["parts"]) < 3
+
+
+def test_concurrent_commit_is_refused_or_moved_on(spark, scratch):
+    from fraudlens.sinks.store_log import CommitConflict, Folder
+    f = Folder(spark, scratch("log"))
+    f.create("1.json", {"a": 1})
+    with pytest.raises(CommitConflict):
+        f.create("1.json", {"a": 2})
+    f.claim("2.json")
+    with pytest.raises(CommitConflict):
+        f.create("2.json", {"a": 2})
+    assert f.read("1.json") == {"a": 1} and f.names("absent") == []
+
+
+def test_offsets_go_on_and_stay_small(spark, scratch):
+    from fraudlens.sinks.publish import OFFSET_LOG, publish
+    t = files(scratch("offsets"))
+    df = spark.range(30).selectExpr("cast(id as string) as x").repartition(3)
+    tops = []
+    for _ in range(3):
+        assert publish(spark, df, t, "a") == 30
+        tops.append(read_batch(spark, t, "a").agg(F.max("offset")).first()[0])
+    assert read_batch(spark, t, "a").select("offset").distinct().count() == 90
+    assert tops == sorted(set(tops)) and tops[-1] < 3 * 31 * (1 << 21)      # far from 2^63
+    import glob
+    import os
+    last = sorted(glob.glob(f"{t.root.removeprefix('file:')}/{OFFSET_LOG}/*.json"))[-1]
+    os.remove(f"{os.path.dirname(last)}/.{os.path.basename(last)}.crc")
+    open(last, "w").write("junk")
+    with pytest.raises(Exception):
+        publish(spark, df, t, "a")                     # not taken for "the first write"
+
+
+def test_report_messages_share_a_partition_by_key(spark, scratch):
+    from fraudlens.sinks.publish import publish
+    t = files(scratch("keyed-topic"))
+    for v in range(4):
+        publish(spark, spark.createDataFrame([("a", v), (None, v), ("", v)], "k string, v int"), t, "r", key_col="k")
+    rows = read_batch(spark, t, "r").select(F.col("key").cast("string").alias("k"), "partition").distinct().collect()
+    assert len(rows) == 3
+
+
+def test_csv_quotes_commas_backslashes_and_headers(spark, scratch):
+    rows = [('P1', 'He said "hi", ok', 'Asia'), ('P2', 'ends in \\', 'x,y'), ('P3', 'tab\t"', ''), ('P4', None, '"')]
+    df = spark.createDataFrame(rows, "Project string, Vendor string, Country string")
+    path = scratch("csv")
+    write_csv(df.coalesce(1), path)
+    assert sorted(map(tuple, read_csv(spark, path).collect())) == sorted(rows)
+    raw = "".join(r.value + "\n" for r in spark.read.text(path).collect())
+    assert '"He said ""hi"", ok"' in raw and '\\"' not in raw.replace('\\""', '')
+    lines = scratch("csv2")
+    write_csv(spark.createDataFrame([("a\nb", "c")], "x string, y string"), lines)
+    assert [tuple(r) for r in read_csv(spark, lines, multi_line=True).collect()] == [("a\nb", "c")]
+    other = scratch("csv3")
+    write_csv(df.coalesce(1), other)
+    write_csv(df.select("Country", "Project", "Vendor").coalesce(1), other, mode="append")
+    with pytest.raises(Exception):
+        read_csv(spark, other).collect()               # reordered headers are refused, not shifted
+
+
+def test_histogram_drops_nan_and_infinite(spark):
+    from fraudlens.operators.dashboard import histogram
+    values = [0.0, 1.0, 2.0, 10.0, float("nan"), float("inf"), float("-inf"), None]
+    got = histogram(spark.createDataFrame([(v,) for v in values], "x double"), "x", 5).collect()
+    assert sorted((r.bin, r["count"]) for r in got) == [(0, 2), (1, 1), (4, 1)]
+
+
+def test_supply_records_in_every_spelling(spark):
+    import json
+
+    from fraudlens.schemas import SUPPLY_FIELDS, spellings
+    from fraudlens.sources.envelope import decode_supply
+    rows = [(json.dumps({s: "7" for s in [spellings(c)[k % len(spellings(c))] for c in SUPPLY_FIELDS]}),)
+            for k in range(9)] + [("not json",), ("{}",)]
+    got = decode_supply(spark.createDataFrame(rows, "value string")).collect()
+    assert all(r[c] is not None for r in got[:9] for c in SUPPLY_FIELDS)
+    assert all(v is None for r in got[9:] for v in r)
+
+
 def test_cells(spark):
     df = spark.createDataFrame([("r1", "a", None)], "pq string, x string, y string")
     got = sorted(tuple(r) for r in to_cells(df, "pq").collect())

@@ -59,8 +59,40 @@ def test_unbounded_state_refused(spark, scratch):
     t = files(scratch("st3"))
     _write_file(spark, t, [_rec(0, "A", 0)], 0)
     rec = decode_transactions(read_stream(spark, t, "tx"))
-    with pytest.raises(ValueError):
-        st.running_report(rec, "income_analytics")
+    running = st.running_report(rec, "income_analytics")
+    for refused in (lambda: st.to_table_snapshot(running, scratch("o"), scratch("c")),
+                    lambda: st.fan_out(rec, ["income_analytics"], print, scratch("c")),
+                    lambda: st.to_topic(running, t, "x", scratch("c"), mode="complete")):
+        with pytest.raises(ValueError, match="unbounded"):
+            refused()
+
+
+def test_open_key_streams_in_update_mode_and_replays_change_nothing(spark, scratch):
+    from fraudlens.sinks.keyed import read_table, upsert
+    t = files(scratch("st6"))
+    rows = [dict(_rec(i, "A", 0), user_income=str(i % 3), total_amount="2.5") for i in range(9)]
+    _write_file(spark, t, rows[:6], 0)
+    _write_file(spark, t, rows[6:], 10)
+    table = scratch("st6-table")
+
+    def run(checkpoint):
+        rec = decode_transactions(read_stream(spark, t, "tx", max_per_trigger=1))
+        st.run_to_end(st.to_keyed_table(st.running_report(rec, "income_analytics"), "income_analytics",
+                                        table, checkpoint))
+        return {r.user_income: r.avg_transaction_amount for r in read_table(spark, table).collect()}
+
+    first = scratch("st6-ckpt")
+    assert run(first) == {0: 2.5, 1: 2.5, 2: 2.5}
+    stale = spark.createDataFrame([("income_analytics#0", 0, -1.0)], "_row_key string, user_income int, "
+                                  "avg_transaction_amount double")
+    replay = upsert(spark, stale, table, "_row_key", buckets=8, written_by=(first, 0))
+    assert replay.rows_in == 0                          # epoch 0 of that run is already in the table
+    assert run(scratch("st6-ckpt2"))[0] == 2.5          # a new run restarts at epoch 0 and still wins
+
+
+def test_run_to_end_has_no_default_limit():
+    import inspect
+    assert inspect.signature(st.run_to_end).parameters["timeout_s"].default is None
 
 
 def test_topic_sink_complete_mode(spark, scratch):

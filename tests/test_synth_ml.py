@@ -48,7 +48,8 @@ def test_pipeline_fit_save_load(spark, scratch):
     assert 0.0 <= auc <= 1.0 and pred.count() > 0
     path = scratch("model")
     M.save(model, path)
-    again = M.score(M.load(path), pred.select(df.columns + ["label"]))
+    inputs = ["pq", *M.ML_CATEGORICAL_FIELDS, *M.ML_NUMERIC_FIELDS]
+    again = M.score(M.load(path), pred.select(inputs))
     a = sorted((r.pq, round(r.fraud_score, 12)) for r in pred.collect())
     b = sorted((r.pq, round(r.fraud_score, 12)) for r in again.collect())
     assert a == b
@@ -63,10 +64,47 @@ def test_auc_equals_rank_sum(spark):
     assert abs(M.area_under_roc(df, "score", "label") - brute) < 1e-12
 
 
+def test_unlabelled_rows_are_neither_trained_on_nor_counted(spark):
+    df = synth_supply(spark, rows=2000, seed=3).withColumn(
+        "fraud_label", F.when(F.col("id") % 4 != 0, F.col("fraud_label").cast("string")))
+    labelled = df.where(F.col("fraud_label").isNotNull())
+    _, pred, auc = M.train_and_evaluate(df)
+    _, only, auc_only = M.train_and_evaluate(labelled)
+    assert abs(auc - auc_only) < 1e-9 and pred.count() > only.count()
+    assert pred.where("label is null").count() > 0
+
+
+def test_open_domains_can_be_hashed(spark):
+    df = synth_supply(spark, rows=1500, seed=4).withColumn("fraud_label", F.col("fraud_label").cast("string"))
+    model, pred, auc = M.train_and_evaluate(df, hashed=("vendor", "molecule_brand", "manufacturing_site"),
+                                            hash_features=1 << 10)
+    indexed = model.stages[0].getInputCols()
+    assert "vendor" not in indexed and len(indexed) == 10 and 0.0 <= auc <= 1.0 and pred.count() > 0
+
+
+def test_auc_over_many_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = [((i * 37 % 101) / 101, float(i % 3 == 0)) for i in range(500)]
+        df = spark.createDataFrame(rows, "score double, label double")
+        pos, neg = [s for s, y in rows if y], [s for s, y in rows if not y]
+        brute = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+        assert abs(M.area_under_roc(df, "score", "label") - brute) < 1e-12
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_hash_unit_has_no_coarse_grid(spark):
+    from fraudlens.functions import hash_unit
+    u = spark.range(200_000).select(hash_unit(1, F.col("id")).alias("u"))
+    n, distinct, lo, hi, mean = u.agg(F.count("u"), F.countDistinct("u"), F.min("u"), F.max("u"), F.avg("u")).first()
+    assert n == distinct and 0 <= lo and hi < 1 and abs(mean - 0.5) < 0.005
+
+
 def test_indexer_order_ties_alphabetical(spark):
-    from pyspark.ml.feature import StringIndexer
-    df = spark.createDataFrame([(v,) for v in ["b", "a", "c", "c", None]], "x string")
-    m = StringIndexer(inputCol="x", outputCol="i", handleInvalid="keep").fit(df)
+    df = spark.createDataFrame([(v, 1.0) for v in ["b", "a", "c", "c", None]], "x string, y double")
+    m = M.build_pipeline(["x"], ["y"]).getStages()[0].fit(df)
+    m = m.setOutputCols(["i"])
     got = {r.x: r.i for r in m.transform(df).collect()}
     assert got == {"c": 0.0, "a": 1.0, "b": 2.0, None: 3.0}
 
@@ -81,9 +119,9 @@ def test_hash_sample_partition_independent(spark):
 
 
 def test_unseen_category_in_test_split(spark):
-    from pyspark.ml.feature import StringIndexer
-    train = spark.createDataFrame([("a",), ("b",), ("a",)], "x string")
-    test = spark.createDataFrame([("a",), ("zzz",), (None,)], "x string")
-    m = StringIndexer(inputCol="x", outputCol="i", handleInvalid="keep").fit(train)
-    got = [r.i for r in m.transform(test).collect()]
+    train = spark.createDataFrame([("a", 1.0, 0.0), ("b", 2.0, 1.0), ("a", 1.5, 0.0)],
+                                  "x string, y double, label double")
+    test = spark.createDataFrame([("a", 1.0), ("zzz", 1.0), (None, 1.0)], "x string, y double")
+    model = M.build_pipeline(["x"], ["y"]).fit(train)
+    got = [r.x_index for r in M.score(model, test).collect()]
     assert got == [0.0, 2.0, 2.0]          # unseen and null share the extra index
