@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from fraudlens.session import cut_lineage, ensure_checkpoint_dir, shared_dir  # noqa: F401
 
 TEXT = "__text"
+BITMAP_BITS = 25
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +71,30 @@ def arrow_map(df: DataFrame, fn, schema) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def maybe_in(rows: DataFrame, id_col: str, ids: DataFrame, inside: bool = True) -> DataFrame:
+    """The rows whose id may be among ``ids`` (one long column), or with
+    ``inside=False`` those whose id certainly is not.  No row is shuffled: the
+    ids become a bitmap of their hashes, 16 bits for each and at most
+    ``BITMAP_BITS`` (8 MB as a broadcast table of words), so that an exact join
+    behind it moves little more than it keeps.  With more ids the bitmap fills
+    up and filters less; results never change."""
+    (name,) = ids.columns
+    n = ids.count()
+    bits = 1 << max(16, min(BITMAP_BITS, (16 * n).bit_length()))
+
+    def place(c):
+        return F.pmod(F.xxhash64(c.cast("long")), F.lit(bits))
+
+    words = ids.select(place(ids[name]).alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits"))
+    at = place(rows[id_col])
+    own = rows.select(F.struct(*rows.columns).alias("row"), F.shiftright(at, 6).alias("word"),
+                      at.bitwiseAND(63).cast("int").alias("bit"))
+    found = own.join(F.broadcast(words), "word", "left").withColumn(
+        "hit", F.coalesce(F.expr("(shiftright(bits, bit) & 1) = 1"), F.lit(False)))
+    return found.where("hit" if inside else "not hit").select("row.*")
+
+
 def map_text(docs: DataFrame, fn, outputs: str, text_col: str = "text",
              keep: list[str] | None = None) -> DataFrame:
     """Append columns that ``fn(list of texts)`` computes batch by batch.

@@ -186,3 +186,13 @@ def test_embedding_odd_tables(spark):
     assert sorted(r.n_links for r in got) == [0, 0, 2, 2, 2]
     assert {r.component_id for r in got if r.vec_id in (1, 4)} == {1}
     assert [r.component_id for r in got if r.vec_id is None] == [None]
+
+
+def test_maybe_in_splits_without_loss(spark):
+    from fraudlens.llm.common import maybe_in
+    rows = spark.range(5_000).selectExpr("if(id = 7, null, id) as doc_id", "'t' as word", "id as bits")
+    ids = spark.range(0, 5_000, 50).selectExpr("id as d")
+    inside, outside = (maybe_in(rows, "doc_id", ids, side).toPandas() for side in (True, False))
+    assert len(inside) + len(outside) == 5_000 and list(inside.columns) == ["doc_id", "word", "bits"]
+    assert set(range(0, 5_000, 50)) <= set(inside["doc_id"].dropna()) and len(inside) < 130
+    assert maybe_in(rows, "doc_id", ids.limit(0)).count() == 0
