@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fraudlens.llm.bpe import Cache
-from fraudlens.llm.common import arrow_map, staged, table
+from fraudlens.llm.common import arrow_map, maybe_in, staged, table
 from fraudlens.llm.components import components
 
 N = 4
@@ -428,8 +428,8 @@ def verified_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: s
     placed = members.join(sizes.select("family", blocks.alias("blocks")), "family").select(
         "doc", "family", "blocks", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int").alias("block"))
     texts = docs.select(docs[id_col].cast("long").alias("doc"), docs[text_col].alias("text"))
-    # An id may come with several texts: only the representative's set counts.
-    texts = placed.join(texts, "doc")
+    placed = staged(placed, "placed")
+    texts = placed.join(maybe_in(texts, "doc", placed.select("doc")), "doc")
 
     def read(batches):
         for batch in batches:
