@@ -175,8 +175,9 @@ def decode_supply(env: DataFrame, fields=None, keep: tuple[str, ...] = ()) -> Da
     """JSON ``value`` -> supply record under its canonical names, whatever
     spelling the producer used (plain, spaced or underscored display names,
     with or without the column family prefix).  Only the wanted fields are
-    parsed, in all their spellings, and the first that is present counts.
-    Numbers may come as JSON numbers or as text; what is no number is null."""
+    parsed; a record with a key that looks like another spelling is parsed for
+    all of them, and the first that is present counts.  Numbers may come as
+    JSON numbers or, there, as text; what is no number is null."""
     wanted = narrow_schema(SUPPLY_SCHEMA, fields)
     names = {f.name: spellings(f.name) for f in wanted}
     wire = StructType([StructField(s, StringType()) for own in names.values() for s in own])
@@ -184,12 +185,20 @@ def decode_supply(env: DataFrame, fields=None, keep: tuple[str, ...] = ()) -> Da
     # tell apart: the parsed struct's fields are renamed by position.
     place = {s: f"_{k}" for k, s in enumerate(wire.fieldNames())}
     plain = StructType([StructField(place[s], StringType()) for s in wire.fieldNames()])
-    data = F.from_json(F.col("value").cast("string"), wire).cast(plain)
+    text = F.col("value").cast("string")
+    spelled = F.when(text.rlike(_SPELLED_KEY), F.from_json(text, wire).cast(plain))
+    canonical = F.when(~text.rlike(_SPELLED_KEY), F.from_json(text, wanted))
 
     def value(f):
-        found = F.coalesce(*[F.col("_data")[place[s]] for s in names[f.name]])
-        return (try_double(found) if isinstance(f.dataType, DoubleType) else found).alias(f.name)
-    return env.select(*[F.col(k) for k in keep], data.alias("_data")).select(*keep, *[value(f) for f in wanted])
+        found = F.coalesce(*[F.col("_spelled")[place[s]] for s in names[f.name]])
+        found = try_double(found) if isinstance(f.dataType, DoubleType) else found
+        return F.coalesce(F.col("_data")[f.name], found).alias(f.name)
+    return env.select(*[F.col(k) for k in keep], canonical.alias("_data"), spelled.alias("_spelled")).select(
+        *keep, *[value(f) for f in wanted])
+
+
+# A JSON key with the column family prefix or an upper-case first letter.
+_SPELLED_KEY = '"(cf1:[^"]*|[A-Z][^"]*)"\\s*:'
 
 
 def encode(df: DataFrame, key: Column | None = None) -> DataFrame:
