@@ -21,6 +21,7 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -41,6 +42,9 @@ CLUSTER_CONF = {
 }
 
 
+_MADE: list[str] = []            # folders named by shared_dir
+
+
 def get_session(master: str | None = None, app: str = "fraudlens",
                 conf: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -79,7 +83,19 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint location, for job
     outputs that later stages read back (survives executor loss)."""
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/fraudlens/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/fraudlens/{name}-{uuid.uuid4().hex[:12]}"
+    _MADE.append(path)
+    return path
+
+
+def remove_shared(spark: SparkSession) -> int:
+    """Delete every folder that ``shared_dir`` named in this process: staged
+    tables, topics and job outputs.  Call it when nothing reads them any more."""
+    jvm, conf, n = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), 0
+    while _MADE:
+        path = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
 
 
 def cut_lineage(df):

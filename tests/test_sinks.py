@@ -184,6 +184,16 @@ def test_supply_records_in_every_spelling(spark):
     assert all(v is None for r in got[9:] for v in r)
 
 
+def test_shared_folders_can_be_removed(spark, monkeypatch):
+    from fraudlens import session
+    from fraudlens.sinks.store_log import Folder
+    monkeypatch.setattr(session, "_MADE", [])
+    path = session.shared_dir(spark, "gone")
+    spark.range(3).write.parquet(path)
+    session.shared_dir(spark, "never-written")
+    assert session.remove_shared(spark) == 1 and Folder(spark, path).names() == []
+
+
 def test_cells(spark):
     df = spark.createDataFrame([("r1", "a", None)], "pq string, x string, y string")
     got = sorted(tuple(r) for r in to_cells(df, "pq").collect())
