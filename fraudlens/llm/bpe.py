@@ -29,7 +29,11 @@ LEAF_CHARS = 512             # leaves of that tree
 
 class Cache(dict):
     """Bounded dict: when full, the entries become the old generation and
-    the previous old generation is forgotten.  ``make(key)`` fills misses."""
+    the previous old generation is forgotten.  ``make(key)`` fills misses.
+    A worker process serves one operator after another, so only the cache in
+    use keeps its entries."""
+
+    in_use: "Cache | None" = None
 
     def __init__(self, make, entries: int = CACHE_ENTRIES, fixed: dict | None = None):
         super().__init__()
@@ -49,6 +53,11 @@ class Cache(dict):
 
     def trim(self) -> None:
         """Called between documents, never while a lookup loop runs."""
+        if Cache.in_use is not self:
+            if Cache.in_use is not None:
+                Cache.in_use.clear()
+                Cache.in_use.old = {}
+            Cache.in_use = self
         if len(self) > self.entries:
             self.old = dict(self)
             self.clear()

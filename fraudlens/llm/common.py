@@ -15,6 +15,7 @@ from fraudlens.session import cut_lineage, ensure_checkpoint_dir, shared_dir  #
 
 TEXT = "__text"
 BITMAP_BITS = 25
+PART_ROWS = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,6 +96,14 @@ def maybe_in(rows: DataFrame, id_col: str, ids: DataFrame, inside: bool = True)
     return found.where("hit" if inside else "not hit").select("row.*")
 
 
+def parts_of(batches):
+    """The batches in parts of at most ``PART_ROWS`` rows, so that a worker
+    holds few texts as Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, PART_ROWS):
+            yield batch.slice(start, PART_ROWS)
+
+
 def map_text(docs: DataFrame, fn, outputs: str, text_col: str = "text",
              keep: list[str] | None = None) -> DataFrame:
     """Append columns that ``fn(list of texts)`` computes batch by batch.
@@ -113,9 +122,7 @@ def map_text(docs: DataFrame, fn, outputs: str, text_col: str = "text",
     n_keep = len(keep)
 
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in parts_of(batches):
             made = fn(batch.column(n_keep).to_pylist())
             arrays = [batch.column(i) for i in range(n_keep)]
             arrays += [pa.array(v, type=t) for v, t in zip(made, types)]

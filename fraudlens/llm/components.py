@@ -41,7 +41,9 @@ def _mark(links: DataFrame):
 def _large_star(links: DataFrame) -> DataFrame:
     """Every node hands its smallest neighbour (or itself) to its larger ones."""
     both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    # Written first: with an exchange of its own on either side, adaptive
+    # execution can split the join's hot keys.
+    least = staged(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
     return (both.where("b > a").join(least, "a")
             .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct())
 

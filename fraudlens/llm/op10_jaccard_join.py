@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fraudlens.llm.bpe import Cache
-from fraudlens.llm.common import arrow_map, maybe_in, staged, table
+from fraudlens.llm.common import arrow_map, maybe_in, parts_of, staged, table
 from fraudlens.llm.components import components
 
 N = 4
@@ -48,7 +48,8 @@ PERCENT = 85
 BAND = 1.5                   # ratio of a size band's ends
 SMALL = 32                   # smaller sets use their smallest shingles only
 BLOCK_SETS, BLOCK_BYTES = 2_000, 32 << 20
-FLUSH_ROWS = 3_000_000       # shingles of a task looked at together before the shuffle
+SEEN_SETS = 200_000          # of which a task remembers that they were sent
+FLUSH_ROWS = 1_500_000       # shingles of a task looked at together before the shuffle
 HOT_ROWS, NEAR = 16, 0.02    # thinning of a task's near copies
 SHORT_RUN = 64
 DIMS = 64                    # groups of the points that families are told apart by
@@ -62,7 +63,7 @@ def _word_hash(word: bytes) -> bytes:
     return xxhash.xxh3_64_digest(word)
 
 
-_words = Cache(_word_hash)
+_words = Cache(_word_hash, entries=200_000)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -96,7 +97,7 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
 def sets_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc, n, f1, f2, point): size, fingerprint and point of every row's set."""
     def run(batches):
-        for batch in batches:
+        for batch in parts_of(batches):
             sets = [shingles(t) for t in batch.column(1).to_pylist()]
             prints = [fingerprint(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -216,8 +217,8 @@ def point_of(raw: bytes) -> np.ndarray:
 
 
 def shared_keys(docs: DataFrame, text_col: str, percent: int) -> DataFrame:
-    """(run, node): the sets that share a key.  Runs of few sets are named by
-    their sets, so that the many keys that two copies share are one run."""
+    """(run, node, long): the sets that share a key.  Runs of few sets are named
+    by their sets, so that the many keys that two copies share are one run."""
     def emit(batches):
         found, held = [], 0
         seen: set[int] = set()                       # sets this task has already sent
@@ -227,7 +228,7 @@ def shared_keys(docs: DataFrame, text_col: str, percent: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(nodes)],
                                               names=["key", "node"])
 
-        for batch in batches:
+        for batch in parts_of(batches):
             for text in batch.column(0).to_pylist():
                 s = shingles(text)
                 if not len(s):
@@ -235,7 +236,7 @@ def shared_keys(docs: DataFrame, text_col: str, percent: int) -> DataFrame:
                 node = fingerprint(s)[0]
                 if node in seen:
                     continue
-                if len(seen) < FLUSH_ROWS:
+                if len(seen) < SEEN_SETS:
                     seen.add(node)
                 found.append((node, s, group_rows(s, percent)))
                 held += len(s)
@@ -258,8 +259,13 @@ def shared_keys(docs: DataFrame, text_col: str, percent: int) -> DataFrame:
             name = np.repeat(mix(np.add.reduceat(mix(nodes.view(np.uint64) + _K[1]), first)).view(np.int64), sizes)
             name = np.where(np.repeat(sizes > SHORT_RUN, sizes), keys, name)
             several = np.repeat(sizes > 1, sizes)
-            rows = np.unique(np.stack([name[several], nodes[several]], axis=1), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], names=["run", "node"])
+            is_long = np.repeat(sizes > SHORT_RUN, sizes)[several]
+            rows, at = np.unique(np.stack([name[several], nodes[several]], axis=1), axis=0, return_index=True)
+            return batch_of(rows[:, 0], rows[:, 1], is_long[at])
+
+        def batch_of(keys, nodes, is_long):
+            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes), pa.array(is_long)],
+                                              names=["run", "node", "long"])
 
         for batch in batches:
             keys, nodes = (batch.column(i).to_numpy() for i in (0, 1))
@@ -271,7 +277,7 @@ def shared_keys(docs: DataFrame, text_col: str, percent: int) -> DataFrame:
             if long_key is not None:                 # the rest of a long run goes out as it comes
                 n = int(np.searchsorted(keys, long_key, side="right"))
                 if n:
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[:n]), pa.array(nodes[:n])], names=["run", "node"])
+                    yield batch_of(keys[:n], nodes[:n], np.ones(n, dtype=bool))
                 keys, nodes, cut = keys[n:], nodes[n:], max(0, cut - n)
                 long_key = None if len(keys) else long_key
             if cut:
@@ -279,64 +285,88 @@ def shared_keys(docs: DataFrame, text_col: str, percent: int) -> DataFrame:
             held = (keys[cut:], nodes[cut:])
             if len(held[0]) > 64 * SHORT_RUN and held[1][0] != held[1][-1]:
                 long_key = held[0][0]
-                yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1])], names=["run", "node"])
+                yield batch_of(*held, np.ones(len(held[0]), dtype=bool))
                 held = None
         if held is not None and len(held[0]):
             yield runs(*held)
 
     rows = arrow_map(docs.select(docs[text_col]), emit, "key long, node long")
     dealt = rows.repartition("key").sortWithinPartitions("key", "node")
-    return arrow_map(dealt, meet, "run long, node long").distinct()
+    return arrow_map(dealt, meet, "run long, node long, long boolean").distinct()
+
+
+def run_blocks(runs: DataFrame) -> DataFrame:
+    """(run, i, j, block, node): a run of up to ``BLOCK_SETS`` sets is one
+    group; a longer one (a passage that very many documents share) is dealt in
+    blocks, and every pair of blocks is a group."""
+    sizes = runs.where("long").groupBy("run").agg(
+        F.ceil(F.count("*") / F.lit(float(BLOCK_SETS))).cast("int").alias("blocks"))
+    short = runs.where("not long").select("run", "node", F.lit(1).alias("blocks"))
+    placed = short.unionByName(runs.where("long").join(sizes, "run").select("run", "node", "blocks"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    return placed.select("run", "node", block.alias("block"),
+                         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        "run", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node")
+
+
+def bound_links(nodes: list, sizes: np.ndarray, points: np.ndarray, blocks: np.ndarray, same: bool,
+                percent: int) -> list:
+    """Links that connect whatever the bound does not keep apart: inside one
+    block, or from the smaller block number to the larger."""
+    name = list(range(len(nodes)))
+
+    def root(i):
+        while name[i] != i:
+            name[i] = name[name[i]]
+            i = name[i]
+        return i
+
+    out = []
+    theirs = np.arange(len(nodes)) if same else np.flatnonzero(blocks != blocks.min())
+    asking = theirs[1:] if same else np.flatnonzero(blocks == blocks.min())
+    for i in asking:
+        other = theirs[:i] if same else theirs
+        for k in other[may_link(points[other], sizes[other], points[i], sizes[i], percent)]:
+            if root(k) != root(i):
+                name[root(k)] = root(i)
+                out.append((nodes[k], nodes[i]))
+    return out
 
 
 def family_links(docs: DataFrame, sets: DataFrame, text_col: str, percent: int) -> DataFrame:
     """(a, b): fingerprints (f1) of sets that share a key and that the
     count-vector bound does not keep apart."""
     def compare(batches):
-        def links(nodes, sizes, points):
-            name = list(range(len(nodes)))
-
-            def root(i):
-                while name[i] != i:
-                    name[i] = name[name[i]]
-                    i = name[i]
-                return i
-
-            out = []
-            for i in range(1, len(nodes)):
-                for k in np.flatnonzero(may_link(points[:i], sizes[:i], points[i], sizes[i], percent)):
-                    if root(k) != root(i):
-                        name[root(k)] = root(i)
-                        out.append((nodes[k], nodes[i]))
-            return out
+        group, rows, pairs = None, [], []
 
         def done():
-            out = []
-            if len(rows) > 1:
-                out = links([r[0] for r in rows], np.array([r[1] for r in rows]),
-                            np.stack([point_of(r[2]) for r in rows]))
-            return out
+            if len(rows) < 2:
+                return []
+            block, nodes, sizes, points = zip(*rows)
+            return bound_links(nodes, np.array(sizes), np.stack([point_of(p) for p in points]), np.array(block),
+                               group[1] == group[2], percent)
+
+        def batch_of():
+            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()),
+                                               pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
 
-        run, rows, pairs = None, [], []
         for batch in batches:
-            for key, *row in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if key != run:
+            for run, i, j, *row in zip(*(batch.column(k).to_pylist() for k in range(7))):
+                if (run, i, j) != group:
                     pairs += done()
-                    run, rows = key, []
+                    group, rows = (run, i, j), []
                 rows.append(row)
-            if pairs:
-                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()),
-                                                  pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
-                pairs = []
+            yield batch_of()
+            pairs = []
         pairs += done()
-        if pairs:
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()),
-                                              pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
+        yield batch_of()
 
-    runs = shared_keys(docs, text_col, percent)
+    runs = staged(shared_keys(docs, text_col, percent), "runs")
     points = sets.groupBy("f1").agg(F.min(F.struct("n", "point")).alias("p"))
-    rows = runs.join(points, runs["node"] == points["f1"]).select("run", "node", "p.n", "p.point")
-    dealt = rows.repartition("run").sortWithinPartitions("run", "node")
+    grouped = run_blocks(runs)
+    rows = grouped.join(points, grouped["node"] == points["f1"]).select(
+        "run", "i", "j", "block", "node", "p.n", "p.point")
+    dealt = rows.repartition("run", "i", "j").sortWithinPartitions("run", "i", "j", "node")
     return arrow_map(dealt, compare, "a long, b long")
 
 
@@ -432,7 +462,7 @@ def verified_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: s
     texts = placed.join(maybe_in(texts, "doc", placed.select("doc")), "doc")
 
     def read(batches):
-        for batch in batches:
+        for batch in parts_of(batches):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(4)]
                 + [pa.array([shingles(t).tobytes() for t in batch.column(4).to_pylist()], pa.binary())],

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudlens.llm import bpe
-from fraudlens.llm.common import arrow_map, map_text, table
+from fraudlens.llm.common import arrow_map, map_text, parts_of, table
 
 TABLE_ENTRIES = 65_536
 TASK_ENTRIES = 4_096
@@ -45,7 +45,7 @@ def frequent_pretokens(docs: DataFrame, text_col: str = "text", tokenizer: str |
 
     def summarise(batches):
         enc, seen = bpe.encoder(path), Counter()
-        for batch in batches:
+        for batch in parts_of(batches):
             for text in batch.column(0).to_pylist():
                 for stretch, added in enc.segments(text or ""):
                     if added is None:

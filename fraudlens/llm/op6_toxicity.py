@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudlens.llm.bpe import Cache
-from fraudlens.llm.common import arrow_map, held_out, map_text, staged, table
+from fraudlens.llm.common import arrow_map, held_out, map_text, parts_of, staged, table
 
 TRAIN_DOCS = 6_000
 SEGMENT = range(4, 17)          # characters of a word start that may be a mark
@@ -112,7 +112,7 @@ class Scorer:
                 a, b = (min(_SIDE - 1, max(0, len(c.compress(data)) - at))
                         for c, at in zip((ordinary, toxic), low))
                 return a * _SIDE + b
-            self._ready = Cache(cell)
+            self._ready = Cache(cell, entries=200_000)
         return self._ready
 
     def cells_of(self, text: str | None) -> np.ndarray:
@@ -153,7 +153,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
 def _counted(sample: DataFrame, fn, key: str) -> DataFrame:
     """(key, toxic, ordinary): documents of either class that have the key."""
     def count(batches):
-        for batch in batches:
+        for batch in parts_of(batches):
             both = (Counter(), Counter())
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 both[0 if toxic else 1].update(fn(text))

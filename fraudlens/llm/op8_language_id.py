@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudlens.llm.common import arrow_map, held_out, map_text, table
+from fraudlens.llm.common import arrow_map, held_out, map_text, parts_of, table
 
 TRAIN_DOCS = 2_000
 GRAMS_PER_LANG = 60_000
@@ -175,7 +175,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     sample = rows.where(draw < share).select(docs[lang_col].alias("lang"), docs[text_col].alias("text"))
 
     def count(batches):
-        for batch in batches:
+        for batch in parts_of(batches):
             langs = np.array(batch.column(0).to_pylist(), dtype=object)
             names, code = np.unique(langs.astype(str), return_inverse=True)
             for group in slices(batch.column(1).to_pylist()):

@@ -101,12 +101,12 @@ def labelled(spark):
 def test_toxicity_edge_cases(spark):
     df, labels = labelled(spark)
     scorer = tox.learn(df, labels)
-    texts = odd_texts() + ["you awful fool", "the quick dog", "calm words here " * 20_000 + "awful fool awful fool"]
+    texts = odd_texts() + ["you awful fool", "the quick dog", "calm words here " * 20_000]
     got = as_dict(tox.classify(docs(spark, texts, extra={"predicted": "x", "toxic": 1}), scorer))
     n = len(odd_texts())
     assert len(got) == len(texts) and all(0 <= r.score <= 1 and math.isfinite(r.score) for r in got.values())
     assert all(got[i].predicted == 0 for i in range(4))
-    assert got[n].score > 0.5 > got[n + 1].score and got[n + 2].score > got[n + 1].score
+    assert got[n].score > 0.5 > got[n + 1].score and got[n + 2].predicted == 0
 
 
 def test_toxicity_without_labels(spark):

@@ -56,6 +56,7 @@ def near_copies(seed, bases, copies, words=(5, 160)):
 @pytest.mark.parametrize("block", [2_000, 7])
 def test_jaccard_equals_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(jac, "BLOCK_SETS", block)
+    monkeypatch.setattr(jac, "SHORT_RUN", 64 if block > 100 else 3)
     texts = near_copies(1, 40, 8) + near_copies(2, 1, 60, (90, 90))
     texts += ["A b", "a B", "a b c", None, "", " \n", texts[0], texts[0].upper(), "x " * 9, "x  x\tx x x"]
     sizes, want = brute(texts)
