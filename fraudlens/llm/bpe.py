@@ -21,7 +21,7 @@ _SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?[0-9]+| ?(?:[^\s\w]|
 # and letters outside Latin, spaces outside ASCII.
 _ODD = re.compile("[^\x00-\x1b\x20-\x7fÀ-ɏ‐-‧‰-⁞€]")
 
-CACHE_ENTRIES = 400_000      # per generation; two generations are kept
+CACHE_ENTRIES = 300_000      # per generation; two generations are kept
 CACHED_CHARS = 64            # longer pre-tokens are not cached
 UNSPLIT_CHARS = 1024         # longer pre-tokens are encoded by halves
 LEAF_CHARS = 512             # leaves of that tree
@@ -39,6 +39,15 @@ class Cache(dict):
         super().__init__()
         self.make, self.entries, self.old, self.fixed = make, entries, {}, fixed or {}
 
+    @classmethod
+    def release(cls) -> None:
+        """Forget the entries of the cache in use; operators that use none
+        call this, so that they need not share a worker's memory with one."""
+        if cls.in_use is not None:
+            cls.in_use.clear()
+            cls.in_use.old = {}
+            cls.in_use = None
+
     def __missing__(self, key):
         value = self.fixed.get(key)
         if value is not None:
@@ -54,9 +63,7 @@ class Cache(dict):
     def trim(self) -> None:
         """Called between documents, never while a lookup loop runs."""
         if Cache.in_use is not self:
-            if Cache.in_use is not None:
-                Cache.in_use.clear()
-                Cache.in_use.old = {}
+            Cache.release()
             Cache.in_use = self
         if len(self) > self.entries:
             self.old = dict(self)

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fraudlens.llm.bpe import Cache
 from fraudlens.llm.common import TEXT, arrow_map, arrow_type, map_text, staged, table
 
 WINDOW = 10
@@ -107,6 +108,7 @@ class Windows:
     def scan(self, docs: list[list[bytes]]):
         """For each document a list of hit (start, end) word spans, one per
         occurring window, and the set of items of those windows."""
+        Cache.release()
         get = self.vocab.get
         sizes = np.array([len(d) + 1 for d in docs])
         ids = np.zeros(int(sizes.sum()), dtype=np.uint64)

@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fraudlens.llm.bpe import Cache
 from fraudlens.llm.common import arrow_map, held_out, map_text, parts_of, table
 
 TRAIN_DOCS = 2_000
@@ -142,6 +143,7 @@ class Filters:
         return hits, total
 
     def decide(self, texts):
+        Cache.release()
         n = len(texts)
         hits, total = np.zeros((n, len(self.languages))), np.zeros(n)
         for group in slices(texts):
