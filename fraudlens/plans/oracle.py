@@ -197,7 +197,6 @@ _SC_FIELDS = """project_code, pq, po_so, country, managed_by, fulfill_via, vendo
   dosage_form, unit_of_measure_per_pack, line_item_quantity, line_item_value, pack_price, unit_price,
   manufacturing_site, first_line_designation, weight_kilograms, freight_cost_usd, line_item_insurance_usd,
   fraud_label"""
-_P = 33554432
 _TX_FRAUD_BODY = """count(CASE WHEN fraud_label = 1 THEN 1 END) AS fraud_count,
   count(transaction_id) AS total_transactions,
   count(CASE WHEN fraud_label = 1 THEN 1 END) / nullif(count(transaction_id), 0) * 100 AS fraud_percentage"""
@@ -212,8 +211,8 @@ ORACLE.update({
 SELECT fixture_partition AS "partition", count(*) AS messages, count(transaction_id) AS with_id,
   count(CASE WHEN fraud_label = 1 THEN 1 END) AS fraud_count
 FROM tx
-WHERE (fixture_partition <> 1 OR fixture_offset >= {100_000 * _P})
-  AND (fixture_partition <> 0 OR fixture_offset < {400_000 * _P})
+WHERE (fixture_partition <> 1 OR fixture_offset >= {1 << 58})
+  AND (fixture_partition <> 0 OR fixture_offset < {3 << 58})
 GROUP BY fixture_partition"""),
     "decode_transactions": tx_sql("""
 SELECT transaction_id, user_id, product_id, category, sub_category, price, quantity, total_amount,

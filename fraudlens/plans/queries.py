@@ -162,8 +162,8 @@ _TOPICS: dict[tuple, object] = {}
 TX_TOPIC, SC_TOPIC = "transactions", "supply_chain_data"
 
 # Offset bounds used by the bounded-read query (fixed values).
-BOUNDED_START = {TX_TOPIC: {"0": -2, "1": 100_000 * 33554432, "2": -2}}
-BOUNDED_END = {TX_TOPIC: {"0": 400_000 * 33554432, "1": -1, "2": -1}}
+BOUNDED_START = {TX_TOPIC: {"0": -2, "1": 1 << 58, "2": -2}}
+BOUNDED_END = {TX_TOPIC: {"0": 3 << 58, "1": -1, "2": -1}}
 
 
 def fixture_topics(spark: SparkSession, sf_dir: str):

@@ -143,11 +143,11 @@ def fixture_partition() -> Column:
 
 
 def fixture_offset() -> Column:
-    """Offset of a line in the fixture envelopes: the unique line key
-    (order, line number, part, supplier) packed into one number; unique
-    per partition for the driver tables up to sf0.1."""
-    return ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * F.lit(33554432)
-            + F.col("l_partkey") * 1000 + F.col("l_suppkey") % 1000)
+    """Offset of a line in the fixture envelopes: 60 bits of the md5 of its
+    whole key (order, line number, part, supplier), so that lines have
+    different offsets at any size of the tables, in any engine."""
+    key = F.concat_ws("-", *[F.col(c).cast("string") for c in SOURCE_COLUMNS])
+    return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")
 
 
 def _envelope(records: DataFrame, fields: list[str], topic: str, ts: str) -> DataFrame:
@@ -200,7 +200,8 @@ SELECT
   strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS "timestamp",
   l_orderkey, l_linenumber, l_partkey, l_suppkey,
   l_linenumber % 3 AS fixture_partition,
-  (l_orderkey * 8 + l_linenumber) * 33554432 + l_partkey * 1000 + l_suppkey % 1000 AS fixture_offset
+  CAST('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-'
+    || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR)), 1, 15) AS BIGINT) AS fixture_offset
 FROM lineitem
 JOIN orders ON l_orderkey = o_orderkey
 JOIN customer ON o_custkey = c_custkey
@@ -244,7 +245,8 @@ SELECT
        WHEN l_returnflag = 'N' AND l_linenumber = 1 THEN NULL ELSE '0' END AS fraud_label,
   l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey,
   l_linenumber % 3 AS fixture_partition,
-  (l_orderkey * 8 + l_linenumber) * 33554432 + l_partkey * 1000 + l_suppkey % 1000 AS fixture_offset
+  CAST('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-'
+    || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR)), 1, 15) AS BIGINT) AS fixture_offset
 FROM lineitem
 JOIN supplier ON l_suppkey = s_suppkey
 JOIN nation ON s_nationkey = n_nationkey

@@ -175,9 +175,10 @@ def test_histogram_drops_nan_and_infinite(spark):
 def test_supply_records_in_every_spelling(spark):
     import json
 
-    from fraudlens.schemas import SUPPLY_FIELDS, spellings
+    from fraudlens.schemas import SUPPLY_FIELDS, SUPPLY_NUMERIC_FIELDS, spellings
     from fraudlens.sources.envelope import decode_supply
-    rows = [(json.dumps({s: "7" for s in [spellings(c)[k % len(spellings(c))] for c in SUPPLY_FIELDS]}),)
+    value = lambda k, c: 7 if k == 0 and c in SUPPLY_NUMERIC_FIELDS else "7"     # canonical numbers are numbers
+    rows = [(json.dumps({spellings(c)[k % len(spellings(c))]: value(k, c) for c in SUPPLY_FIELDS}),)
             for k in range(9)] + [("not json",), ("{}",)]
     got = decode_supply(spark.createDataFrame(rows, "value string")).collect()
     assert all(r[c] is not None for r in got[:9] for c in SUPPLY_FIELDS)
