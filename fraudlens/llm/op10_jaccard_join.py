@@ -1,6 +1,7 @@
 """N-gram Jaccard join with a count-vector R-tree.
 
-A document is the set of its distinct 4-word shingles (as 64-bit hashes).
+A document is the set of its distinct shingles of ``words`` words (4 in the
+query; as 64-bit hashes).
 Shingles are hashed into groups; a set becomes the point of its group counts.
 The overlap of two sets is at most the sum of the coordinate-wise minima of
 their points, so an R-tree over the points, searched with that bound, leaves
@@ -26,7 +27,7 @@ verifications and n rows, not n * n.
 
 Defined cases: null and empty texts (and a null id) have no links; a null id
 gets a null component; repeated rows have the same component; a text with
-fewer than four words is one shingle; texts of any length are used whole; an
+fewer words than a shingle is one shingle; texts of any length are used whole; an
 empty table gives an empty result.  Hash equality stands for shingle
 equality (64 bits: below 1e-7 wrong matches per pair of 10,000-word texts).
 """
@@ -94,11 +95,11 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
     return tuple(x - (1 << 64) if x >> 63 else x for x in (a, b))
 
 
-def sets_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def sets_of(docs: DataFrame, id_col: str, text_col: str, words: int = N) -> DataFrame:
     """(doc, n, f1, f2, point): size, fingerprint and point of every row's set."""
     def run(batches):
         for batch in parts_of(batches):
-            sets = [shingles(t) for t in batch.column(1).to_pylist()]
+            sets = [shingles(t, words) for t in batch.column(1).to_pylist()]
             prints = [fingerprint(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
@@ -216,7 +217,7 @@ def point_of(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0].astype(np.int32)
 
 
-def shared_keys(docs: DataFrame, text_col: str, percent: int) -> DataFrame:
+def shared_keys(docs: DataFrame, text_col: str, percent: int, words: int = N) -> DataFrame:
     """(run, node, long): the sets that share a key.  Runs of few sets are named
     by their sets, so that the many keys that two copies share are one run."""
     def emit(batches):
@@ -230,7 +231,7 @@ def shared_keys(docs: DataFrame, text_col: str, percent: int) -> DataFrame:
 
         for batch in parts_of(batches):
             for text in batch.column(0).to_pylist():
-                s = shingles(text)
+                s = shingles(text, words)
                 if not len(s):
                     continue
                 node = fingerprint(s)[0]
@@ -333,7 +334,7 @@ def bound_links(nodes: list, sizes: np.ndarray, points: np.ndarray, blocks: np.n
     return out
 
 
-def family_links(docs: DataFrame, sets: DataFrame, text_col: str, percent: int) -> DataFrame:
+def family_links(docs: DataFrame, sets: DataFrame, text_col: str, percent: int, words: int = N) -> DataFrame:
     """(a, b): fingerprints (f1) of sets that share a key and that the
     count-vector bound does not keep apart."""
     def compare(batches):
@@ -361,7 +362,7 @@ def family_links(docs: DataFrame, sets: DataFrame, text_col: str, percent: int)
         pairs += done()
         yield batch_of()
 
-    runs = staged(shared_keys(docs, text_col, percent), "runs")
+    runs = staged(shared_keys(docs, text_col, percent, words), "runs")
     points = sets.groupBy("f1").agg(F.min(F.struct("n", "point")).alias("p"))
     grouped = run_blocks(runs)
     rows = grouped.join(points, grouped["node"] == points["f1"]).select(
@@ -449,7 +450,7 @@ def family_pairs(ids, sets, blocks, same: bool, percent: int):
 
 
 def verified_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: str,
-                   percent: int) -> DataFrame:
+                   percent: int, words: int = N) -> DataFrame:
     """(a, b): verified links between representatives; ``members`` has doc
     (representative id), n and family."""
     sizes = members.groupBy("family").agg(F.count("*").alias("c"), F.sum("n").alias("shingles"))
@@ -465,7 +466,7 @@ def verified_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: s
         for batch in parts_of(batches):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(4)]
-                + [pa.array([shingles(t).tobytes() for t in batch.column(4).to_pylist()], pa.binary())],
+                + [pa.array([shingles(t, words).tobytes() for t in batch.column(4).to_pylist()], pa.binary())],
                 names=["doc", "family", "blocks", "block", "set"])
 
     sets = arrow_map(texts.select("doc", "family", "blocks", "block", "text"), read,
@@ -500,15 +501,16 @@ def verified_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: s
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       percent: int = PERCENT) -> DataFrame:
-    """One row per input row: id_col, n_shingles, component_id."""
-    sets = staged(sets_of(docs, id_col, text_col), "sets")
+                       percent: int = PERCENT, words: int = N) -> DataFrame:
+    """One row per input row: id_col, n_shingles, component_id; texts are
+    linked whose sets of ``words``-word shingles reach ``percent``."""
+    sets = staged(sets_of(docs, id_col, text_col, words), "sets")
     own = sets.where("doc is not null and n > 0")
     reps = staged(own.groupBy("f1", "f2").agg(F.min("doc").alias("rep"), F.first("n").alias("n")), "set-reps")
-    families = staged(components(family_links(docs.where(docs[id_col].isNotNull()), own, text_col, percent))
+    families = staged(components(family_links(docs.where(docs[id_col].isNotNull()), own, text_col, percent, words))
                       .select(F.col("node").alias("f1"), F.col("component").alias("family")), "families")
     members = staged(reps.join(families, "f1").select(F.col("rep").alias("doc"), "n", "family"), "members")
-    links = verified_links(docs, members, id_col, text_col, percent)
+    links = verified_links(docs, members, id_col, text_col, percent, words)
     # An id that came with several texts joins their classes.
     several = own.groupBy("doc").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in ("f1", "f2")
                                        for f in (F.min, F.max)])
