@@ -184,6 +184,12 @@ class Encoder:
         self.ids_of.trim()
         return b"".join(out)
 
+    def encode_tokens(self, tokens: list[str]) -> bytes:
+        """Little-endian uint32 ids of pre-tokens and added tokens in order."""
+        out = [self.added[t].to_bytes(4, "little") if t in self.added else self.ids_of[t] for t in tokens]
+        self.ids_of.trim()
+        return b"".join(out)
+
     # -- decoding -----------------------------------------------------------
     def decode_bytes(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token_bytes.__getitem__, ids))

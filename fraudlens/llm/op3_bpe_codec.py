@@ -2,9 +2,10 @@
 
 Texts are encoded in the partition they lie in.  A text longer than
 ``PIECE_CHARS`` is cut into pieces, preferably between pre-tokens and inside
-one only where it is itself that long; the pieces are dealt over all tasks,
-encoded in parallel, and joined pairwise as a tree, one task per text.  A
-join between pre-tokens needs no repair, a join inside a pre-token
+one only where it is itself that long; the pieces are dealt over all tasks
+with the sizes of their pre-tokens (the splitting rule looks ahead, so a piece
+cannot be split anew), encoded in parallel, and joined pairwise as a tree, one
+task per text.  A join between pre-tokens needs no repair, a join inside a pre-token
 re-encodes a window around it that grows until both sides agree
 (``bpe.Encoder.join``); long unsplit stretches inside a piece are encoded by
 halves in the same way.  The result is exactly the library's.
@@ -51,27 +52,26 @@ def columns_of(enc: bpe.Encoder, raw: bytes, outputs) -> list:
     return [made[o]() for o in outputs]
 
 
-def pieces(enc: bpe.Encoder, text: str, size: int = PIECE_CHARS) -> list[tuple[str, bool]]:
-    """(piece, inside): consecutive pieces of at most about ``size``
-    characters; ``inside`` marks a piece that continues the pre-token in
-    which the piece before it ended."""
-    out: list[tuple[str, bool]] = []
+def token_pieces(enc: bpe.Encoder, text: str, size: int = PIECE_CHARS) -> list[tuple[list[str], bool]]:
+    """(tokens, inside): the text's pre-tokens and added tokens in consecutive
+    pieces of at most about ``size`` characters; ``inside`` marks a part of a
+    pre-token that continues the one in which the piece before it ended."""
+    out: list[tuple[list[str], bool]] = []
     held: list[str] = []
     n_held = 0
 
     def flush():
-        nonlocal n_held
+        nonlocal held, n_held
         if held:
-            out.append(("".join(held), False))
-            held.clear()
-            n_held = 0
+            out.append((held, False))
+            held, n_held = [], 0
 
     for stretch, added in enc.segments(text):
         for token in [stretch] if added is not None else enc.pretokens(stretch):
             if n_held + len(token) > size:
                 flush()
-            if len(token) > size:
-                out.extend((token[i:i + size], i > 0) for i in range(0, len(token), size))
+            if added is None and len(token) > size:
+                out.extend(([token[i:i + size]], i > 0) for i in range(0, len(token), size))
             else:
                 held.append(token)
                 n_held += len(token)
@@ -79,11 +79,19 @@ def pieces(enc: bpe.Encoder, text: str, size: int = PIECE_CHARS) -> list[tuple[s
     return out
 
 
-def encode_piece(enc: bpe.Encoder, piece: str, alone: bool) -> bytes:
-    """Ids of a piece: whole pre-tokens, or (``alone``) a part of one."""
+def pieces(enc: bpe.Encoder, text: str, size: int = PIECE_CHARS) -> list[tuple[str, bool]]:
+    """``token_pieces`` with the tokens of a piece joined."""
+    return [("".join(tokens), inside) for tokens, inside in token_pieces(enc, text, size)]
+
+
+def encode_piece(enc: bpe.Encoder, piece: str, alone: bool, sizes: bytes) -> bytes:
+    """Ids of a piece: its tokens of ``sizes`` characters (uint32), or
+    (``alone``) a part of one pre-token.  The piece is not split anew: the
+    rule looks ahead, so white space at its end would be split otherwise."""
     if alone:
         return np.array(enc.tree(enc.mapped(piece)), dtype="<u4").tobytes()
-    return enc.encode(piece)
+    ends = np.cumsum(np.frombuffer(sizes, "<u4")).tolist()
+    return enc.encode_tokens([piece[a:b] for a, b in zip([0, *ends], ends)])
 
 
 def join_tree(enc: bpe.Encoder, parts: list[tuple[list[int], bool]]) -> list[int]:
@@ -148,13 +156,14 @@ def _long_texts(docs: DataFrame, text_col, path, outputs, ddl, keep, size) -> Da
     cut_schema = T.StructType([
         T.StructField("row", T.LongType()), T.StructField("piece", T.IntegerType()),
         T.StructField("alone", T.BooleanType()), T.StructField("inside", T.BooleanType()),
-        T.StructField("kept", kept_type), T.StructField(TEXT, T.StringType())])
+        T.StructField("kept", kept_type), T.StructField(TEXT, T.StringType()),
+        T.StructField("sizes", T.BinaryType())])
 
     def cut(batches):
         enc = bpe.encoder(path)
         for batch in batches:
             for i in range(batch.num_rows):
-                parts = pieces(enc, batch.column(2)[i].as_py(), size)
+                parts = token_pieces(enc, batch.column(2)[i].as_py(), size)
                 n = len(parts)
                 first = pa.concat_arrays([batch.column(1).slice(i, 1),
                                           pa.nulls(n - 1, batch.column(1).type)])
@@ -163,7 +172,8 @@ def _long_texts(docs: DataFrame, text_col, path, outputs, ddl, keep, size) -> Da
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([batch.column(0)[i].as_py()] * n, pa.int64()),
                      pa.array(range(n), pa.int32()), pa.array(alone), pa.array(inside), first,
-                     pa.array([p for p, _ in parts], arrow_type(T.StringType()))],
+                     pa.array(["".join(p) for p, _ in parts], arrow_type(T.StringType())),
+                     pa.array([np.array([len(t) for t in p], "<u4").tobytes() for p, _ in parts], pa.binary())],
                     names=cut_schema.names)
 
     coded_schema = T.StructType(cut_schema.fields[:5] + [T.StructField("raw", T.BinaryType())])
@@ -171,8 +181,7 @@ def _long_texts(docs: DataFrame, text_col, path, outputs, ddl, keep, size) -> Da
     def code(batches):
         enc = bpe.encoder(path)
         for batch in batches:
-            raw = [encode_piece(enc, p, a) for p, a in zip(batch.column(5).to_pylist(),
-                                                           batch.column(2).to_pylist())]
+            raw = [encode_piece(enc, *row) for row in zip(*(batch.column(k).to_pylist() for k in (5, 2, 6)))]
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(5)]
                                              + [pa.array(raw, pa.binary())],
                                              names=coded_schema.names)

@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import pytest
 from edge import PLAIN, as_dict, docs, empty, odd_texts
 
@@ -57,6 +58,23 @@ def test_join_is_exact_on_hostile_stretches(library, monkeypatch):
         assert enc.encode(text) == b"".join(i.to_bytes(4, "little") for i in reference(library, text))
 
 
+def test_pieces_behind_blank_lines_equal_library(spark, library):
+    paragraphs = "\n\n".join(f"para {i}.  Some\t\twords <|endoftext|>\n\n \r\n\x1cit's" for i in range(4_000))
+    texts = ["a\n\n" + "b" * 70_000, "a\n\n" * 20_000, paragraphs, "漢 \u3000\u3000字\n\n" * 9_000 + "x" * 66_000]
+    want = [reference(library, t) for t in texts]
+    enc = bpe.Encoder(bpe.default_path())
+    for size in (7, 64, 500, 4_099):
+        for text, ids in zip(texts, want):
+            parts = op3_bpe_codec.token_pieces(enc, text, size)
+            inside = [x for _, x in parts] + [False]
+            alone = [inside[k] or inside[k + 1] for k in range(len(parts))]
+            coded = [(op3_bpe_codec.encode_piece(enc, "".join(p), a, np.array([len(t) for t in p], "<u4").tobytes()),
+                      a, x) for (p, x), a in zip(parts, alone)]
+            assert np.frombuffer(op3_bpe_codec._group_parts(coded, enc), "<u4").tolist() == ids, size
+    got = as_dict(op3_bpe_codec.encode_decode(docs(spark, texts), outputs=("ids",)))
+    assert [got[i].ids for i in range(len(texts))] == want
+
+
 def test_pieces_cover_the_text():
     enc = bpe.Encoder(bpe.default_path())
     for text in odd_texts():
