@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 from fraudlens.operators import fused
 from fraudlens.operators.reports import ECOMMERCE_FRAUD, inputs_of
 from fraudlens.plans import queries as Q

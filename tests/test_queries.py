@@ -4,7 +4,7 @@ entry smoke check."""
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from tables import SF_SMALL
 from oracle_check import compare, duck_connect
 
 from fraudlens.plans.oracle import ORACLE

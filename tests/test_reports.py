@@ -8,7 +8,7 @@ from fraudlens.operators import dashboard, fused
 from fraudlens.operators.reports import ECOMMERCE_FRAUD, REPORTS, report
 from fraudlens.plans.jobs import report_set
 from fraudlens.sources import fixtures
-from conftest import SF_SMALL
+from tables import SF_SMALL
 
 TX = "transaction_id string, category string, fraud_label int, user_age int, user_income int, payment_method string, user_device string, user_city string, total_amount double"
 
