@@ -13,6 +13,9 @@ from fraudlens.llm import (
     op8_language_id,
     op9_bitplane_store,
     op10_jaccard_join,
+    op11_spelling_variants,
+    op12_token_alignment,
+    op13_sequence_packing,
 )
 
 QUERIES = {
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_language_id": op8_language_id.query,
     "op9_bitplane_store": op9_bitplane_store.query,
     "op10_jaccard_join": op10_jaccard_join.query,
+    "op11_spelling_variants": op11_spelling_variants.query,
+    "op12_token_alignment": op12_token_alignment.query,
+    "op13_sequence_packing": op13_sequence_packing.query,
 }
 ORACLE: dict[str, str] = {
     "op2_decontaminate": op2_decontaminate.ORACLE,
