@@ -1,27 +1,24 @@
-"""Exact area under the ROC curve, distributed.
+"""Exact area under the ROC curve, distributed, in JVM expressions only.
 
 AUC = sum over positives of (#negatives scored lower + 1/2 #negatives tied)
 divided by P * N.  The plan:
 
 1. ``groupBy(score)`` -> (score, pos, neg): partial aggregation collapses
    ties (a score held by a third of all rows is one row per map task).
-2. ``repartitionByRange(score)``: equal scores always land in the same
-   partition, so no tie group straddles two partitions.
-3. ``mapInPandas`` per partition, sorted by score: the running sum of
-   negatives below each score gives the partition's partial sum, plus its
-   totals.  One output row per partition.
-4. The per-partition rows (bounded by the partition count) are combined in
-   score order: each partition's positives also beat every negative of the
-   partitions before it.
+2. ``repartitionByRange(score)``: the range's number is kept as a column, in a
+   written table, so that every later step sees the same ranges.
+3. A window per range, in score order: the running sum of negatives.  A range is
+   one task's share of the distinct scores, never a group of the data.
+4. One row per range: its negatives, summed over the ranges before it.  Each
+   range's positives also beat those; one row per range is joined back.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_PART_SCHEMA = "lo double, pos long, neg long, partial double"
+from fraudlens.session import cut_lineage
 
 
 def auc_frame(df: DataFrame, score: str, label: str, partitions: int | None = None) -> DataFrame:
@@ -31,31 +28,16 @@ def auc_frame(df: DataFrame, score: str, label: str, partitions: int | None = No
            .groupBy(F.col(score).cast("double").alias("score"))
            .agg(F.sum(F.when(y == 1.0, 1).otherwise(0)).alias("pos"),
                 F.sum(F.when(y == 1.0, 0).otherwise(1)).alias("neg")))
-
-    def partition_sums(batches):
-        # Defined here so it travels to the Python workers by value: they
-        # need pandas, not this package.  Rows come sorted by score, so
-        # running sums over the batches are enough: constant memory.
-        lo, pos, neg, partial = None, 0, 0, 0.0
-        for b in batches:
-            if not len(b):
-                continue
-            lo = float(b["score"].iloc[0]) if lo is None else lo
-            below = neg + b["neg"].cumsum() - b["neg"]
-            partial += float((b["pos"] * (below + 0.5 * b["neg"])).sum())
-            pos, neg = pos + int(b["pos"].sum()), neg + int(b["neg"].sum())
-        if lo is not None:
-            yield pd.DataFrame({"lo": [lo], "pos": [pos], "neg": [neg], "partial": [partial]})
-
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = (g.repartitionByRange(n, "score").sortWithinPartitions("score")
-              .mapInPandas(partition_sums, _PART_SCHEMA))
-    # ``parts`` has at most one row per range partition.
-    before = Window.orderBy("lo").rowsBetween(Window.unboundedPreceding, -1)
-    combined = parts.select(
+    ranged = cut_lineage(g.repartitionByRange(n, "score").withColumn("range", F.spark_partition_id()))
+    below = Window.partitionBy("range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    lower = F.coalesce(F.sum("neg").over(below), F.lit(0)) + 0.5 * F.col("neg")
+    per_range = ranged.select("range", "pos", "neg", (F.col("pos") * lower).alias("part")).groupBy("range").agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("part").alias("part"))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)     # one row per range
+    combined = per_range.select(
         "pos", "neg",
-        (F.col("partial") + F.col("pos") * F.coalesce(F.sum("neg").over(before), F.lit(0)))
-        .alias("contrib"))
+        (F.col("part") + F.col("pos") * F.coalesce(F.sum("neg").over(before), F.lit(0))).alias("contrib"))
     return combined.agg(
         F.try_divide(F.sum("contrib"), F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
 

@@ -63,12 +63,51 @@ def build_pipeline(categorical=ML_CATEGORICAL_FIELDS, numeric=ML_NUMERIC_FIELDS,
     return Pipeline(stages=[*([indexer] if cat else []), imputer, *hasher, assembler, lr])
 
 
+def feature_frame(df: DataFrame, **kw) -> tuple[DataFrame, list[str]]:
+    """``df`` with its assembled ``features`` and their names in order (not
+    for ``hashed`` fields, whose slots have no names)."""
+    stages = build_pipeline(**kw).getStages()[:-1]
+    return Pipeline(stages=stages).fit(df).transform(df), stages[-1].getInputCols()
+
+
+def feature_cells(df: DataFrame, keep=(), **kw) -> DataFrame:
+    """The assembled vectors in long form: (feature, value) per row."""
+    features, names = feature_frame(df, **kw)
+    cells = F.arrays_zip(F.array(*map(F.lit, names)).alias("feature"), vector_to_array("features").alias("value"))
+    return features.select(*keep, F.explode(cells).alias("c")).select(*keep, "c.feature", "c.value")
+
+
+def logistic_gradient(df: DataFrame, names, coefficients, intercept: float, reg: float) -> DataFrame:
+    """(feature, gradient): the gradient of the regularised mean log loss at
+    the given coefficients, by the standardised features, in which the
+    regression is fitted; all zero at the optimum.  ``df`` has ``features`` (a
+    vector) and the label.  Two aggregates of one expression per feature."""
+    rows = df.select(vector_to_array("features").alias("x"), F.col(LABEL).alias("y"))
+    x = [F.col("x")[j] for j in range(len(names))]
+    spread = rows.agg(*[F.stddev_samp(c).alias(f"s{j}") for j, c in enumerate(x)]).first()
+    weights = F.array(*[F.lit(float(c)) for c in coefficients])
+    margin = F.aggregate(F.zip_with("x", weights, lambda a, b: a * b), F.lit(float(intercept)), lambda a, b: a + b)
+    error = rows.withColumn("e", 1.0 / (1.0 + F.exp(-margin)) - F.col("y"))
+    total = error.agg(F.avg("e").alias("intercept"), *[F.avg(F.col("e") * c).alias(f"g{j}") for j, c in enumerate(x)])
+    out = [F.struct(F.lit("(intercept)").alias("feature"), F.col("intercept").alias("gradient"))]
+    for j, name in enumerate(names):
+        s = float(spread[f"s{j}"] or 0.0)                # a constant feature has no gradient
+        g = F.col(f"g{j}") / s + reg * s * float(coefficients[j]) if s else F.lit(0.0)
+        out.append(F.struct(F.lit(name).alias("feature"), g.alias("gradient")))
+    return total.select(F.explode(F.array(*out)).alias("r")).select("r.*")
+
+
 def split(df: DataFrame, key_cols=("pq",), weights=SPLIT, seed: int = SEED):
     return split_frames(df, list(key_cols), weights, seed)
 
 
 def fit(train: DataFrame, **kw) -> PipelineModel:
-    return build_pipeline(**kw).fit(train)
+    """The fitted pipeline without the regression's training summary: that
+    holds the session, which cannot be sent to the executors with the model
+    once the session has used ``observe``."""
+    model = build_pipeline(**kw).fit(train)
+    model.stages[-1]._java_obj.setSummary(train.sparkSession._jvm.scala.Option.empty())
+    return model
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

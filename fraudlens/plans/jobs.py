@@ -17,11 +17,10 @@ from fraudlens.operators.rows import conform, normalize_supply
 from fraudlens.schemas import SUPPLY_NUMERIC_FIELDS, SUPPLY_SCHEMA
 from fraudlens.sinks.keyed import upsert
 from fraudlens.sinks.publish import publish_many
-from fraudlens.sinks.store_log import delete_path
 from fraudlens.sources.csv import read_csv
 from fraudlens.sources.envelope import Transport, decode, decode_supply, decode_transactions, read_batch
 from fraudlens.operators.cells import to_cells
-from fraudlens.session import cut_lineage, shared_dir
+from fraudlens.session import cut_lineage
 
 
 def report_set(df: DataFrame, names, strategy: str = "fused") -> dict[str, DataFrame]:
@@ -79,26 +78,16 @@ def ingest_csv(spark: SparkSession, path: str, transport: Transport, topic: str,
                partitions: int = 3, multi_line: bool = False) -> int:
     """The producer as one Spark job: CSV (any known header spelling) ->
     canonical record (numeric fields parsed leniently) -> JSON messages.
-    Returns the number of messages written."""
+    Returns the number of messages, observed in the write (one scan of the CSV)."""
     raw = normalize_supply(read_csv(spark, path, multi_line=multi_line))
     typed = raw.select(*[parse_float_lenient(c).alias(c) if c in SUPPLY_NUMERIC_FIELDS
                          else F.col(c) for c in raw.columns])
     records = conform(typed, SUPPLY_SCHEMA)
-    if transport.kind == "kafka":
-        # The broker reports no count: the records are staged once (the CSV is
-        # read once) and counted by the staged files' footers.
-        path = shared_dir(spark, "ingest")
-        records.write.parquet(path)
-        staged = spark.read.schema(records.schema).parquet(path)
-        publish_many(spark, {topic: staged}, transport, partitions)
-        n = staged.count()
-        delete_path(spark, path)
-        return n
     return publish_many(spark, {topic: records}, transport, partitions)
 
 
 def load_keyed_store(spark: SparkSession, transport: Transport, topic: str, schema,
-                     table_path: str, key: str, buckets: int | None = None, where=None):
+                     table_path: str, key: str, where=None):
     """Topic -> latest row per key in a keyed table (the HBase load).
     ``where`` limits the load to some messages (by timestamp, say); supply
     records are read in any spelling."""
@@ -108,7 +97,7 @@ def load_keyed_store(spark: SparkSession, transport: Transport, topic: str, sche
         F.col("offset").alias("_offset"))
     kept = ("_ts", "_partition", "_offset")
     records = decode_supply(env, keep=kept) if schema is SUPPLY_SCHEMA else decode(env, schema, keep=kept)
-    return upsert(spark, records, table_path, key, ["_ts", "_partition", "_offset"], buckets)
+    return upsert(spark, records, table_path, key, ["_ts", "_partition", "_offset"])
 
 
 def keyed_cells(spark: SparkSession, table_path: str, key: str, family: str = "cf1") -> DataFrame:
@@ -135,7 +124,7 @@ def report_row_key(name: str, key: str | None):
 
 def store_reports(spark: SparkSession, frames: dict[str, DataFrame], table_path: str):
     """Insights into the keyed store: one row per (report, key), the newest
-    commit wins.  Measures are kept as a JSON document per row."""
+    put wins.  Measures are kept as a JSON document per row."""
     parts = []
     for name, df in frames.items():
         spec = REPORTS[name]
@@ -145,7 +134,7 @@ def store_reports(spark: SparkSession, frames: dict[str, DataFrame], table_path:
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
-    return upsert(spark, rows, table_path, "row_key", buckets=8)
+    return upsert(spark, rows, table_path, "row_key")
 
 
 def generate_csv(spark: SparkSession, path: str, rows: int = 1_000_000, seed: int = 42,

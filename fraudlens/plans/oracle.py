@@ -377,3 +377,30 @@ ORACLE["publish_script_spelled"] = _stacked([
         ("fraud_shipment_mode", "shipment_mode"), ("fraud_freight_cost", "cost_group")]])
 
 ORACLE["stream_fraud_category_updates"] = ORACLE["fraud_category"]
+
+# The model's numeric fields.
+_NUMERIC = ("line_item_quantity line_item_value pack_price unit_price weight_kilograms freight_cost_usd "
+            "line_item_insurance_usd").split()
+_LIMITED = "transaction_id, CAST(fraud_label AS INTEGER) AS fraud_label"
+ORACLE.update({
+    "stream_rate_limited": tx_sql(f"SELECT {_LIMITED}, TRUE AS bounded, TRUE AS several FROM tx"),
+    "stream_restart": tx_sql(f"SELECT {_LIMITED}, category FROM tx"),
+    "stream_from_latest": tx_sql(f"SELECT {_LIMITED}, category FROM tx WHERE fixture_offset >= {1 << 59}"),
+    "stream_publish_complete": ORACLE["fraud_category"],
+    "stream_observed_counts": ORACLE["audit_count"],
+    "ingest_csv_count": sc_sql("SELECT count(*) AS observed, count(*) AS read_back FROM sc"),
+    "csv_roundtrip": tx_sql("""
+SELECT transaction_id, 'said "' || category || '", ' || user_city AS quoted, chr(92) || user_device || chr(92) AS slashed,
+  CASE user_age % 3 WHEN 0 THEN 'empty' WHEN 1 THEN ',"' ELSE 'missing' END AS odd FROM tx"""),
+    "feature_cells": sc_sql("\nUNION ALL\n".join([
+        *[f"SELECT '{c}_imputed' AS feature, {r(f'coalesce({c}, (SELECT avg({c}) FROM sc))', 6)} AS value, "
+          "count(*) AS n FROM sc GROUP BY 2" for c in _NUMERIC],
+        *[f"""
+SELECT '{c}_index' AS feature, CAST(CASE WHEN {c} IS NULL THEN (SELECT count(DISTINCT {c}) FROM sc)
+    ELSE row_number() OVER (ORDER BY {c} IS NULL, count(*) DESC, {c}) - 1 END AS DOUBLE) AS value, count(*) AS n
+FROM sc GROUP BY {c}""" for c in _CATEGORICAL]])),
+    "lr_gradient": "\nUNION ALL\n".join(
+        f"SELECT '{f}' AS feature, TRUE AS optimal" for f in
+        ["(intercept)", *[f"{c}_imputed" for c in _NUMERIC], *[f"{c}_index" for c in _CATEGORICAL]]),
+    "model_reload": sc_sql(f"SELECT count(*) AS scored, 0 AS differing FROM sc WHERE {unit(42, 'pq')} >= 0.8e0"),
+})

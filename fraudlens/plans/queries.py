@@ -325,9 +325,9 @@ def q_wide_upsert(spark, sf_dir):
     path = shared_dir(spark, "keyed-table")
     topics = fixture_topics(spark, sf_dir)
     cut = F.lit("1998-06-02").cast("timestamp")
-    load_keyed_store(spark, topics, SC_TOPIC, SUPPLY_SCHEMA, path, "pq", buckets=8,
+    load_keyed_store(spark, topics, SC_TOPIC, SUPPLY_SCHEMA, path, "pq",
                      where=F.col("timestamp") < cut)
-    load_keyed_store(spark, topics, SC_TOPIC, SUPPLY_SCHEMA, path, "pq", buckets=8,
+    load_keyed_store(spark, topics, SC_TOPIC, SUPPLY_SCHEMA, path, "pq",
                      where=F.col("timestamp") >= cut)
     return read_table(spark, path).select(*SUPPLY_FIELDS, "_partition", "_offset")
 
@@ -453,13 +453,12 @@ def q_stream_fraud_fan_out(spark, sf_dir):
     from fraudlens.streaming import stream as st
     t = files(shared_dir(spark, "stream-topics"))
     rec = decode_transactions(_tx_stream(spark, sf_dir), inputs_of(ECOMMERCE_FRAUD))
-    checkpoint = st.checkpoint_dir(spark, "fan-out")
 
     def sink(epoch, frames):
         publish_many(spark, {REPORTS[n].output_topic: df for n, df in frames.items()}, t,
-                     key_cols=report_keys(frames), written_by=(checkpoint, epoch))
+                     key_cols=report_keys(frames))
 
-    st.run_to_end(st.fan_out(rec, ECOMMERCE_FRAUD, sink, checkpoint))
+    st.run_to_end(st.fan_out(rec, ECOMMERCE_FRAUD, sink, st.checkpoint_dir(spark, "fan-out")))
     # The newest message per topic and key is the current report row.
     parts = []
     for name in ECOMMERCE_FRAUD:
@@ -681,3 +680,184 @@ def q_weight_vs_freight_sample(spark, sf_dir):
     """Scatter points with a seeded 10 % hash sample (the sample is the
     feature; identical at any partitioning)."""
     return dashboard.weight_vs_freight(sc(spark, sf_dir), fraction=0.1, seed=42)
+
+
+# ---------------------------------------------------------------------------
+# Stream control, observed counts, file round trips, and the model's parts
+# ---------------------------------------------------------------------------
+
+HALF = 1 << 59                   # fixture offsets are spread over [0, 2^60)
+FILE_RECORDS, TRIGGER_RECORDS = 1000, 4000
+
+
+def _halves(spark, sf_dir):
+    env = fixtures.transaction_envelope(spark, sf_dir, TX_TOPIC)
+    return env.where(F.col("offset") < HALF), env.where(F.col("offset") >= HALF)
+
+
+def _to_end(df, out, checkpoint):
+    from fraudlens.streaming import stream as st
+    q = st.to_files(df, out, checkpoint)
+    st.run_to_end(q)
+    return q
+
+
+@register("stream_rate_limited")
+def q_stream_rate_limited(spark, sf_dir):
+    """The whole topic in micro-batches of at most ``TRIGGER_RECORDS`` records:
+    its rows, and what the query reported about its batches."""
+    from fraudlens.session import shared_dir
+    from fraudlens.sinks.publish import write_envelopes
+    from fraudlens.sources.envelope import decode_transactions, files, read_stream
+    from fraudlens.streaming import stream as st
+    t = files(shared_dir(spark, "limited-topic"), records_per_file=FILE_RECORDS)
+    write_envelopes(spark, fixtures.transaction_envelope(spark, sf_dir, TX_TOPIC), t)
+    rec = decode_transactions(read_stream(spark, t, TX_TOPIC, max_per_trigger=TRIGGER_RECORDS),
+                              ["transaction_id", "fraud_label"])
+    out = shared_dir(spark, "limited-out")
+    sizes = st.batch_sizes(_to_end(rec, out, st.checkpoint_dir(spark, "limited")))
+    return spark.read.parquet(out).select(
+        "transaction_id", "fraud_label", F.lit(max(sizes) <= TRIGGER_RECORDS).alias("bounded"),
+        F.lit(len(sizes) > 1).alias("several"))
+
+
+@register("stream_restart")
+def q_stream_restart(spark, sf_dir):
+    """A stream that ends, gets new files and starts again from its
+    checkpoint: every message once."""
+    from fraudlens.session import shared_dir
+    from fraudlens.sinks.publish import write_envelopes
+    from fraudlens.sources.envelope import decode_transactions, files, read_stream
+    from fraudlens.streaming import stream as st
+    t, out, checkpoint = files(shared_dir(spark, "restart-topic")), shared_dir(spark, "restart-out"), \
+        st.checkpoint_dir(spark, "restart")
+    for part in _halves(spark, sf_dir):
+        write_envelopes(spark, part, t)
+        rec = decode_transactions(read_stream(spark, t, TX_TOPIC), ["transaction_id", "category", "fraud_label"])
+        _to_end(rec, out, checkpoint)
+    return spark.read.parquet(out)
+
+
+@register("stream_from_latest")
+def q_stream_from_latest(spark, sf_dir):
+    """A stream that starts at the topic's end: only what is published after
+    its first start, also when it is started again."""
+    from fraudlens.session import shared_dir
+    from fraudlens.sinks.publish import write_envelopes
+    from fraudlens.sources.envelope import decode_transactions, files, read_stream
+    from fraudlens.streaming import stream as st
+    t, out, checkpoint = files(shared_dir(spark, "latest-topic")), shared_dir(spark, "latest-out"), \
+        st.checkpoint_dir(spark, "latest")
+    for part in _halves(spark, sf_dir):
+        write_envelopes(spark, part, t)
+        env = read_stream(spark, t, TX_TOPIC, starting="latest", checkpoint=checkpoint)
+        _to_end(decode_transactions(env, ["transaction_id", "category", "fraud_label"]), out, checkpoint)
+    return spark.read.parquet(out)
+
+
+@register("stream_publish_complete")
+def q_stream_publish_complete(spark, sf_dir):
+    """Running fraud-by-category published to its topic after every
+    micro-batch (complete mode); the newest message per key is the report."""
+    from fraudlens.operators.reports import inputs_of
+    from fraudlens.session import shared_dir
+    from fraudlens.sources.envelope import compacted, decode, decode_transactions, files, read_batch
+    from fraudlens.streaming import stream as st
+    spec, t = REPORTS["fraud_category"], files(shared_dir(spark, "complete-topic"))
+    running = st.running_report(decode_transactions(_tx_stream(spark, sf_dir), inputs_of([spec.name])), spec)
+    st.run_to_end(st.to_topic(running, t, spec.output_topic, st.checkpoint_dir(spark, "complete"), "complete",
+                              key_col=spec.key))
+    env = read_batch(spark, t, spec.output_topic)
+    return decode(compacted(env, F.col("key")), running.schema)
+
+
+@register("stream_observed_counts")
+def q_stream_observed_counts(spark, sf_dir):
+    """The audit counts of the whole topic, observed while a stream writes it."""
+    from fraudlens.session import shared_dir
+    from fraudlens.sources.envelope import decode_transactions
+    from fraudlens.streaming import stream as st
+    rec = st.counted(decode_transactions(_tx_stream(spark, sf_dir), ["transaction_id"]), "audit",
+                     rows_with_id="transaction_id")
+    q = _to_end(rec, shared_dir(spark, "observed-out"), st.checkpoint_dir(spark, "observed"))
+    totals = st.observed_totals(q, "audit")
+    return spark.createDataFrame([(totals["rows"], totals["rows_with_id"])], "total_rows long, rows_with_id long")
+
+
+@register("ingest_csv_count")
+def q_ingest_csv_count(spark, sf_dir):
+    """Messages as the ingest's own write observed them, and as read back."""
+    from fraudlens.plans.jobs import ingest_csv
+    from fraudlens.schemas import DISPLAY_NAMES
+    from fraudlens.session import shared_dir
+    from fraudlens.sinks.files import write_csv
+    from fraudlens.sources.envelope import files, read_batch
+    path, t = shared_dir(spark, "csv"), files(shared_dir(spark, "ingest"))
+    write_csv(sc(spark, sf_dir).select(*[F.col(c).alias(DISPLAY_NAMES[c]) for c in ("project_code", "pq", "vendor")]),
+              path)
+    written = ingest_csv(spark, path, t, "supply_chain_transactions")
+    return read_batch(spark, t, "supply_chain_transactions").agg(
+        F.lit(written).cast("long").alias("observed"), F.count(F.lit(1)).alias("read_back"))
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    """Texts with quotes, commas, backslashes, empty and missing values,
+    written as CSV and read back."""
+    from fraudlens.session import shared_dir
+    from fraudlens.sinks.files import write_csv
+    from fraudlens.sources.csv import read_csv
+    path = shared_dir(spark, "csv-roundtrip")
+    rest = F.col("user_age") % 3
+    write_csv(tx(spark, sf_dir).select(
+        "transaction_id", F.concat(F.lit('said "'), "category", F.lit('", '), "user_city").alias("quoted"),
+        F.concat(F.lit("\\"), "user_device", F.lit("\\")).alias("slashed"),
+        F.when(rest == 0, "").when(rest == 1, ',"').alias("odd")), path)
+    odd = F.col("odd")
+    return read_csv(spark, path).withColumn("odd", F.when(odd.isNull(), "missing").when(odd == "", "empty").otherwise(odd))
+
+
+@register("feature_cells")
+def q_feature_cells(spark, sf_dir):
+    """The assembled feature vectors of all supply lines in long form: how
+    often each feature has each value (imputed numbers, category indices)."""
+    from fraudlens.ml.model import feature_cells
+    return rounded(feature_cells(sc(spark, sf_dir)), ["value"], 6).groupBy("feature", "value").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+GRADIENT_TOLERANCE = 1e-5
+
+
+@register("lr_gradient")
+def q_lr_gradient(spark, sf_dir):
+    """Whether a converged regression is the optimum of its own loss: the
+    gradient at its coefficients, computed in SQL over all labelled lines."""
+    from pyspark.ml.classification import LogisticRegression
+
+    from fraudlens.ml.model import LABEL, feature_frame, labelled_or_null, logistic_gradient
+    from fraudlens.schemas import ML_CATEGORICAL_FIELDS, ML_NUMERIC_FIELDS
+    from fraudlens.session import cut_lineage
+    rows = labelled_or_null(sc(spark, sf_dir)).where(F.col(LABEL).isNotNull()).select(
+        *ML_CATEGORICAL_FIELDS, *ML_NUMERIC_FIELDS, LABEL)
+    frame, names = feature_frame(rows)
+    data = cut_lineage(frame.select("features", LABEL))
+    fitted = LogisticRegression(labelCol=LABEL, regParam=0.01, maxIter=500, tol=1e-12).fit(data)
+    found = logistic_gradient(data, names, fitted.coefficients.toArray().tolist(), fitted.intercept, 0.01)
+    return found.select("feature", (F.abs("gradient") < GRADIENT_TOLERANCE).alias("optimal"))
+
+
+@register("model_reload")
+def q_model_reload(spark, sf_dir):
+    """The fraud model fitted, saved, loaded and scored again: how many test
+    rows, and how many of them get another score."""
+    from fraudlens.ml.model import LABEL, load, save, score, train_and_score
+    from fraudlens.schemas import ML_CATEGORICAL_FIELDS, ML_NUMERIC_FIELDS
+    from fraudlens.session import shared_dir
+    model, pred = train_and_score(sc(spark, sf_dir))
+    path = shared_dir(spark, "model")
+    save(model, path)
+    again = score(load(path), pred.select("pq", *ML_CATEGORICAL_FIELDS, *ML_NUMERIC_FIELDS, LABEL,
+                                          F.col("fraud_score").alias("before")))
+    return again.agg(F.count(F.lit(1)).alias("scored"),
+                     F.count(F.when(~F.col("fraud_score").eqNullSafe(F.col("before")), 1)).alias("differing"))

@@ -1,188 +1,229 @@
-"""Keyed upsert into a wide-column style Parquet table (latest wins).
-
+"""Keyed puts into a wide-column style table (latest wins).
+
+A put is a write of the data source ``keyed_puts`` under Spark's own write
+protocol: every task writes its rows as one Parquet file, ``commit`` names the
+files of the successful attempts in one small marker, ``abort`` removes the
+folder.  A put without its marker does not exist for readers, so a failed task
+or job leaves nothing, and no writer ever waits for, checks or overwrites
+another: puts only add.
+
+As in a wide-column store, rows carry their version, and reading decides: the
+newest row of a key is the largest by the table's order columns (normally
+timestamp, partition, offset of the message), then by the time of the put.
+Since the largest of a set does not depend on the order in which its parts
+arrive, concurrent writers, replays and repeated loads need no coordination.
 A put replaces the columns it carries in the row of its key; columns it does
-not carry keep their value.  "Newest" is a total order given by the caller,
-normally (timestamp, partition, offset) of the message; without one, the
-later commit wins.
-
-Layout of a table folder::
-
-    _log/00000000000000000000.json    the table: key, buckets, order columns
-    _log/<n>.json                     commit n: its parts and who wrote it
-    part-<n>-<id>/_bucket=<b>/        the rows of one commit
-
-An upsert reduces its batch to one row per key (one exchange), writes it as a
-new part and publishes it by creating the next commit file, exclusively; the
-stored rows are neither read, shuffled nor rewritten, readers see all of a
-commit or nothing of it, and a failed writer leaves only an unnamed folder.
-``read_table`` merges the parts of the newest commit; a table of one part is
-read as it is.  ``compact`` writes the merged table as one part (an upsert
-does that by itself once ``MAX_PARTS`` parts are live).  Key, bucket count and
-order belong to the table: an upsert that names others is refused.  Rows with
-a null key are rejected and counted.
+not carry keep their value.
+
+``compact`` writes the newest rows as one more put and then removes the puts it
+read; a reader that meets both sees the same rows.
+
+Key and order belong to the table (``_table.json``); a put that names others is
+refused.  Rows with a null key are rejected and counted, by ``observe`` on the
+write itself.  Files are written by pyarrow, so the table's file system must be
+one that pyarrow reaches from the executors (a shared mount, HDFS, S3, GCS).
 """
 
 from __future__ import annotations
 
+import threading
+import time
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fraudlens.sinks.store_log import CommitConflict, Folder
+from fraudlens.folder import Folder
 
-BUCKET, COMMIT, COUNT = "_bucket", "_commit", "_n"
-DEFAULT_BUCKETS = 64
-MAX_PARTS = 16
-NULL_KEYS = -1                   # the bucket that only counts rejected rows
-_LOG = "_log"
+FORMAT, MARKER, TABLE, PUT = "keyed_puts", "_committed.json", "_table.json", "_put"
 
 
 @dataclass
 class UpsertResult:
     rows_in: int
     rejected_null_keys: int
-    touched_buckets: int
-
-
-def _file(n: int) -> str:
-    return f"{_LOG}/{n:020d}.json"
-
-
-def _commits(folder: Folder) -> list[int]:
-    return [int(x[:-5]) for x in folder.names(_LOG) if x.endswith(".json")]
-
 
-def _table(folder: Folder) -> dict | None:
-    """Key, buckets and order of the table, None if there is none."""
-    return folder.read(_file(0)) if folder.exists(_file(0)) else None
 
-
-def _reduced(rows: DataFrame, key: str, order: list[str], buckets: int) -> DataFrame:
-    """The newest row per key with its bucket and the number of input rows."""
-    values = [c for c in rows.columns if c != key]
-    newest = F.struct(*order) if order else F.lit(0)
-    one = rows.groupBy(key).agg(F.max_by(F.struct(F.lit(0).alias("_"), *values), newest).alias("_row"),
-                                F.count(F.lit(1)).alias(COUNT))
-    bucket = F.when(F.col(key).isNull(), NULL_KEYS).otherwise(
-        F.pmod(F.xxhash64(key), F.lit(buckets))).cast("int")
-    return one.select(key, *[F.col("_row")[c].alias(c) for c in values], COUNT, bucket.alias(BUCKET))
+def put_source():
+    """The data source class.  It is made in a function so that it travels to
+    the executors by value: they need pyarrow, not this package."""
+    from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+
+    class PutWriter(DataSourceArrowWriter):
+        def __init__(self, path: str, marker: str):
+            self.path, self.marker = path, marker
+
+        def _store(self):
+            from pyarrow import fs
+            if self.path.startswith("file:"):
+                return fs.LocalFileSystem(), "/" + self.path[5:].lstrip("/")
+            return fs.FileSystem.from_uri(self.path)
+
+        def write(self, iterator):
+            import pyarrow.parquet as pq
+            from pyspark import TaskContext
+            task, out = TaskContext.get(), None
+            store, folder = self._store()
+            done = WriterCommitMessage()
+            done.file, done.rows = f"part-{task.partitionId():06d}-{task.taskAttemptId()}.parquet", 0
+            for batch in iterator:
+                if not batch.num_rows:
+                    continue
+                if out is None:
+                    store.create_dir(folder)
+                    out = pq.ParquetWriter(f"{folder}/{done.file}", batch.schema, filesystem=store, compression="snappy")
+                out.write_batch(batch)
+                done.rows += batch.num_rows
+            if out is not None:
+                out.close()
+            return done
+
+        def commit(self, messages):
+            import json
+            store, folder = self._store()
+            files = [m.file for m in messages if m is not None and m.rows]
+            if files:
+                with store.open_output_stream(f"{folder}/{self.marker}") as out:
+                    out.write(json.dumps({"files": files}).encode())
+
+        def abort(self, messages):
+            from pyarrow import fs
+            store, folder = self._store()
+            if store.get_file_info(folder).type != fs.FileType.NotFound:
+                store.delete_dir(folder)
+
+    class KeyedPuts(DataSource):
+        @classmethod
+        def name(cls):
+            return "keyed_puts"
+
+        def writer(self, schema, overwrite):
+            return PutWriter(self.options["path"], self.options["marker"])
+
+    return KeyedPuts
+
+
+_registered: set[str] = set()
+_registering = threading.Lock()
+
+
+def register(spark: SparkSession) -> None:
+    """Make ``keyed_puts`` known to the session, once: registering anew would
+    take the name away for a moment, also from a writer in another thread."""
+    with _registering:
+        own = f"{spark.sparkContext.applicationId}/{spark._jsparkSession.sessionUUID()}"
+        if own not in _registered:
+            spark.dataSource.register(put_source())
+            _registered.add(own)
+    # The source is looked up in the thread's active session, which other threads than the first lack.
+    spark._jvm.org.apache.spark.sql.classic.SparkSession.setActiveSession(spark._jsparkSession)
+
+
+def _absolute(path: str) -> str:
+    return path if ":" in path.split("/")[0] else "file:" + path
+
+
+def _write_put(rows: DataFrame, folder: Folder, at: int) -> str:
+    """One put with the version ``at``; its folder name tells the columns."""
+    register(rows.sparkSession)
+    columns = uuid.uuid5(uuid.NAMESPACE_OID, "\0".join(sorted(rows.columns))).hex[:12]
+    name = f"put-{columns}-{at:020d}-{uuid.uuid4().hex[:12]}"
+    rows.write.format(FORMAT).mode("append").option("marker", MARKER).save(_absolute(f"{folder.path}/{name}"))
+    return name
 
 
-def _write_part(rows: DataFrame, folder: Folder, n: int) -> str:
-    """Write rows that have a bucket; files are sized by adaptive execution,
-    so a bucket is spread over many tasks only if it is large."""
-    name = f"part-{n:020d}-{uuid.uuid4().hex[:12]}"
-    rows.hint("rebalance", F.col(BUCKET)).write.partitionBy(BUCKET).parquet(f"{folder.path}/{name}")
-    return name
+def _puts(folder: Folder) -> list[str]:
+    return [n for n in folder.names() if n.startswith("put-") and folder.exists(f"{n}/{MARKER}")]
 
 
 def upsert(spark: SparkSession, updates: DataFrame, table_path: str, key: str,
-           order_cols: list[str] | None = None, buckets: int | None = None,
-           written_by: tuple[str, int] | None = None) -> UpsertResult:
-    """Merge ``updates`` into the table.  ``buckets`` is fixed when the table
-    is made (default 64) and checked afterwards.  ``written_by`` = (writer,
-    number): a number that the writer has already committed is skipped, so a
-    replayed micro-batch changes nothing."""
-    folder, order = Folder(spark, table_path), list(order_cols or [])
-    table = _table(folder)
-    if table is None:
-        table = {"key": key, "buckets": buckets or DEFAULT_BUCKETS, "order": order}
-        try:
-            folder.create(_file(0), {**table, "parts": [], "writers": {}})
-        except CommitConflict:                   # made by another writer meanwhile
-            table = _table(folder)
-    wanted = {"key": key, "order": order, "buckets": buckets or table["buckets"]}
-    for what, value in wanted.items():
-        if table[what] != value:
-            raise ValueError(f"{table_path}: the table has {what}={table[what]!r}, not {value!r}")
-    last = folder.read(_file(max(_commits(folder))))
-    if written_by and last["writers"].get(written_by[0], -1) >= written_by[1]:
-        return UpsertResult(0, 0, 0)
-    n = max(_commits(folder)) + 1
-    name = _write_part(_reduced(updates, key, order, table["buckets"]), folder, n)
-    stats = spark.read.parquet(f"{folder.path}/{name}").groupBy(BUCKET).agg(F.sum(COUNT).alias(COUNT)).collect()
-    counts = {r[BUCKET]: r[COUNT] for r in stats}              # at most buckets + 1 rows
-    columns = [c for c in updates.columns if c != key]
-    while True:
-        parts = last["parts"] + [{"name": name, "commit": n, "columns": columns}]
-        writers = {**last["writers"], **({written_by[0]: written_by[1]} if written_by else {})}
-        try:
-            folder.create(_file(n), {"parts": parts, "writers": writers})
-            break
-        except CommitConflict:                   # the part stays as it is, only its number moves on
-            n = max(max(_commits(folder)), n) + 1
-            last = folder.read(_file(max(_commits(folder))))
-    if len(parts) >= MAX_PARTS:
-        compact(spark, table_path)
-    return UpsertResult(sum(counts.values()), counts.get(NULL_KEYS, 0), len(set(counts) - {NULL_KEYS}))
-
-
-def _merged(spark: SparkSession, folder: Folder, table: dict, parts: list[dict]) -> DataFrame:
-    """All parts as one table with a row per key, still with its bucket."""
-    key, order = table["key"], table["order"]
-    frames = [spark.read.parquet(f"{folder.path}/{p['name']}").where(F.col(BUCKET) >= 0).drop(COUNT) for p in parts]
+           order_cols: list[str] | None = None) -> UpsertResult:
+    """Put all rows of ``updates``.  Without ``order_cols`` the later put wins;
+    within one put a key then has one row, or any of its rows wins."""
+    folder, table = Folder(spark, table_path), {"key": key, "order": list(order_cols or [])}
+    if folder.exists(TABLE):
+        for what, value in folder.read(TABLE).items():
+            if table[what] != value:
+                raise ValueError(f"{table_path}: the table has {what}={value!r}, not {table[what]!r}")
+    else:
+        folder.write(TABLE, table)               # first writers at the same time write the same
+    latest = max((int(n.split("-")[2]) for n in _puts(folder)), default=0)
+    at = max(int(time.time() * 1e6), latest + 1)
+    counted = Observation()
+    rows = updates.observe(counted, F.count(F.lit(1)).alias("rows_in"),
+                           F.count(F.when(F.col(key).isNull(), 1)).alias("rejected"))
+    _write_put(rows.where(F.col(key).isNotNull()).withColumn(PUT, F.lit(at)), folder, at)
+    return UpsertResult(counted.get["rows_in"], counted.get["rejected"])
+
+
+def _by_columns(spark: SparkSession, folder: Folder, puts: list[str]) -> list[DataFrame]:
+    """All rows of the puts, one frame per set of columns."""
+    sets: dict[str, list[str]] = {}
+    for n in puts:
+        own = [f"{folder.path}/{n}/{f}" for f in folder.read(f"{n}/{MARKER}")["files"]]
+        sets.setdefault(n.split("-")[1], []).extend(own)
+    return [spark.read.parquet(*files) for files in sets.values()]
+
+
+def _newest(rows: DataFrame, table: dict) -> DataFrame:
+    """The newest row per key.  The rank limit is applied in the map tasks
+    too, so a key with many versions is reduced before the exchange."""
+    version = [F.col(c).desc_nulls_last() for c in (*table["order"], PUT)]
+    rank = F.row_number().over(Window.partitionBy(table["key"]).orderBy(*version))
+    return rows.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+
+
+def _merged(frames: list[DataFrame], table: dict) -> DataFrame:
+    """One row per key: each column from the newest put that carries it."""
     if len(frames) == 1:
-        return frames[0]
+        return _newest(frames[0], table)
+    key, order = table["key"], [*table["order"], PUT]
+    columns = list(dict.fromkeys(c for f in frames for c in f.columns if c not in (key, *order)))
+    holders: dict[tuple, list[str]] = {}         # columns that the same frames carry
+    for c in columns:
+        holders.setdefault(tuple(k for k, f in enumerate(frames) if c in f.columns), []).append(c)
     rows = None
-    for p, frame in zip(parts, frames):
-        frame = frame.withColumn(COMMIT, F.lit(p["commit"]))
+    for k, frame in enumerate(frames):
+        frame = _newest(frame, table).withColumn("_set", F.lit(k))
         rows = frame if rows is None else rows.unionByName(frame, allowMissingColumns=True)
-    holders: dict[tuple, list[str]] = {}         # columns that the same parts carry
-    for c in dict.fromkeys(c for p in parts for c in p["columns"]):
-        holders.setdefault(tuple(p["commit"] for p in parts if c in p["columns"]), []).append(c)
-    newest = F.struct(*order, COMMIT)
-    groups = []
-    for k, (commits, columns) in enumerate(holders.items()):
-        at = newest if len(commits) == len(parts) else F.when(F.col(COMMIT).isin(list(commits)), newest)
-        groups.append(F.max_by(F.struct(*columns), at).alias(f"_g{k}"))
-    one = rows.groupBy(BUCKET, key).agg(*groups)
-    return one.select(key, *[F.col(f"_g{k}")[c].alias(c) for k, columns in enumerate(holders.values())
-                             for c in columns], BUCKET)
-
-
-def _newest(folder: Folder) -> tuple[dict, dict]:
-    table = _table(folder)
-    if table is None:
-        raise FileNotFoundError(f"no keyed table at {folder.path}")
-    return table, folder.read(_file(max(_commits(folder))))
+    at = F.struct(*order)
+    newest = [F.max(at).alias("_at"), *[
+        F.max_by(F.struct(*own), F.when(F.col("_set").isin(list(sets)), at)).alias(f"_g{k}")
+        for k, (sets, own) in enumerate(holders.items())]]
+    one = rows.groupBy(key).agg(*newest)
+    return one.select(key, *[F.col("_at")[c].alias(c) for c in order],
+                      *[F.col(f"_g{k}")[c].alias(c) for k, own in enumerate(holders.values()) for c in own])
 
 
-def read_table(spark: SparkSession, table_path: str, keys_like: list | None = None) -> DataFrame:
-    """The table's current rows.  With ``keys_like`` only those keys, read
-    from their buckets alone."""
+def _state(spark: SparkSession, table_path: str) -> tuple[Folder, dict, list[str]]:
     folder = Folder(spark, table_path)
-    table, last = _newest(folder)
-    if not last["parts"]:
-        raise FileNotFoundError(f"nothing was committed to {table_path}")
-    rows = _merged(spark, folder, table, last["parts"])
+    if not folder.exists(TABLE) or not (puts := _puts(folder)):
+        raise FileNotFoundError(f"nothing was put into {table_path}")
+    return folder, folder.read(TABLE), puts
+
+
+def read_table(spark: SparkSession, table_path: str, keys_like: list | None = None) -> DataFrame:
+    """The table's current rows; with ``keys_like`` those keys' only, a filter
+    that reaches the scan of every put."""
+    folder, table, puts = _state(spark, table_path)
+    frames = _by_columns(spark, folder, puts)
     if keys_like is not None:
-        of = spark.createDataFrame([(k,) for k in keys_like], rows.select(table["key"]).schema)
-        bucket = F.pmod(F.xxhash64(table["key"]), F.lit(table["buckets"])).cast("int").alias(BUCKET)
-        wanted = sorted({r[0] for r in of.select(bucket).collect()})
-        rows = rows.where(F.col(BUCKET).isin(wanted) & F.col(table["key"]).isin(list(keys_like)))
-    return rows.drop(BUCKET)
+        frames = [f.where(F.col(table["key"]).isin(list(keys_like))) for f in frames]
+    return _merged(frames, table).drop(PUT)
 
 
 def compact(spark: SparkSession, table_path: str) -> None:
-    """Write the table as one part; parts that neither of the two newest
-    commits names are removed."""
-    folder = Folder(spark, table_path)
-    table, last = _newest(folder)
-    if len(last["parts"]) < 2:
-        return
-    n = max(_commits(folder)) + 1
-    merged = _merged(spark, folder, table, last["parts"])
-    name = _write_part(merged.withColumn(COUNT, F.lit(0)), folder, n)
-    columns = list(dict.fromkeys(c for p in last["parts"] for c in p["columns"]))
-    try:
-        folder.create(_file(n), {"parts": [{"name": name, "commit": n, "columns": columns}],
-                                 "writers": last["writers"]})
-    except CommitConflict:                       # a commit came in between: the next upsert tries again
-        folder.delete(name)
-        return
-    live = {p["name"] for c in _commits(folder)[-2:] for p in folder.read(_file(c))["parts"]}
-    for old in folder.names():
-        if old.startswith("part-") and old not in live and old < f"part-{n:020d}":
-            folder.delete(old)
+    """Merge the puts of every set of columns into one.  The merged rows keep
+    their versions, so a put that arrives meanwhile is neither lost nor hidden."""
+    folder, table, puts = _state(spark, table_path)
+    sets: dict[str, list[str]] = {}
+    for n in puts:
+        sets.setdefault(n.split("-")[1], []).append(n)
+    for own in sets.values():
+        if len(own) < 2:
+            continue
+        rows = _newest(_by_columns(spark, folder, own)[0], table)
+        _write_put(rows, folder, max(int(n.split("-")[2]) for n in own))
+        for n in own:
+            folder.delete(n)

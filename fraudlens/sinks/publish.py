@@ -8,47 +8,33 @@ small job instead of N.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlens.sinks.store_log import Folder
-from fraudlens.sources.envelope import Transport, encode
+from fraudlens.folder import Folder
+from fraudlens.sources.envelope import RECORDS_PER_FILE, Transport, encode
 
 DEFAULT_PARTITIONS = 3
 
 
-OFFSET_LOG = "_offsets"          # underscore folders are skipped by file listing
 TASK_STRIDE = 1 << 20            # more than the tasks of any write
 NULL_KEY = "\u0000"              # message key of the group whose report key is null
 
 
-class OffsetRange:
-    """One write's offsets on the file transport.
-
-    The log holds one file per write, created exclusively, with the next free
-    offset and the writers' last numbers.  A write claims its file before it
-    writes and publishes it afterwards; an unreadable log is an error, never
-    "the first write"."""
-
-    def __init__(self, spark: SparkSession, transport: Transport, written_by=None):
-        self.spark, self.transport, self.written_by = spark, transport, written_by
-        self.folder = Folder(spark, f"{transport.root.rstrip('/')}/{OFFSET_LOG}")
-        done = [int(x[:-5]) for x in self.folder.names() if x.endswith(".json")]
-        last = self.folder.read(f"{max(done):020d}.json") if done else {"next": 0, "writers": {}}
-        self.base, self.writers, self.number = last["next"], last["writers"], max(done, default=-1) + 1
-
-    @property
-    def replayed(self) -> bool:
-        return bool(self.written_by) and self.writers.get(self.written_by[0], -1) >= self.written_by[1]
+def next_offset(spark: SparkSession, transport: Transport, topics) -> int:
+    """One more than the largest offset in the topics' files (one pruned
+    column), 0 for new topics.  Only this file transport needs it: a broker
+    numbers messages itself, and orders writers that publish at the same time;
+    here their messages may share offsets, but none is lost."""
+    paths = [transport.topic_path(t) for t in topics if _has_files(spark, transport.topic_path(t))]
+    if not paths:
+        return 0
+    top = spark.read.schema("offset long").parquet(*paths).agg(F.max("offset")).first()[0]
+    return 0 if top is None else top + 1
 
-    def claim(self) -> None:
-        self.folder.claim(f"{self.number:020d}.json")
 
-    def publish(self, top: int | None) -> None:
-        """``top``: the largest offset written, None if nothing was."""
-        writers = {**self.writers, **({self.written_by[0]: self.written_by[1]} if self.written_by else {})}
-        after = self.base if top is None else top + 1
-        self.folder.publish(f"{self.number:020d}.json", {"next": after, "writers": writers})
+def _has_files(spark: SparkSession, path: str) -> bool:
+    return any(n.startswith("part-") for n in Folder(spark, path).names())
 
 
 def to_envelope(encoded: DataFrame, partitions: int = DEFAULT_PARTITIONS,
@@ -81,20 +67,23 @@ def write_envelopes(spark: SparkSession, envelopes: DataFrame, transport: Transp
             w = w.option(k, v)
         w.save()
         return
-    envelopes.write.mode(mode).partitionBy("topic").parquet(transport.root)
+    w = envelopes.write.mode(mode).partitionBy("topic")
+    if rows := transport.options.get(RECORDS_PER_FILE):
+        w = w.option("maxRecordsPerFile", int(rows))
+    w.parquet(transport.root)
 
 
 def publish_many(spark: SparkSession, frames: dict[str, DataFrame], transport: Transport,
-                 partitions: int = DEFAULT_PARTITIONS, key_cols: dict | None = None,
-                 written_by: tuple[str, int] | None = None) -> int | None:
-    """Publish several DataFrames, each to its own topic, in one write.
+                 partitions: int = DEFAULT_PARTITIONS, key_cols: dict | None = None) -> int:
+    """Publish several DataFrames, each to its own topic, in one write, and
+    return the number of messages, observed in the write itself.
 
     ``key_cols`` names per topic the column whose text is the message key (a
     null key gets ``NULL_KEY``), so that all versions of a row share a
-    partition.  File transport: returns the number of messages, taken from the
-    footers of the files written; ``written_by`` = (writer, number) skips a
-    number that the writer has already published.  Kafka: returns None; the
-    connector is not part of this repository, so that branch is untested."""
+    partition.  A write that fails leaves nothing behind (Spark's own commit
+    protocol) and blocks nobody; one that is repeated publishes again, as a
+    broker's at-least-once sink does.  The Kafka connector is not part of
+    this repository, so that branch is untested."""
     key_cols = key_cols or {}
     parts = []
     for topic, df in frames.items():
@@ -104,30 +93,16 @@ def publish_many(spark: SparkSession, frames: dict[str, DataFrame], transport: T
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
-    if transport.kind == "kafka":
-        write_envelopes(spark, union, transport)
-        return None
-    offsets = OffsetRange(spark, transport, written_by)
-    if offsets.replayed:
-        return 0
-    offsets.claim()
-    before = _files(spark, transport, frames)
-    write_envelopes(spark, to_envelope(union, partitions, offsets.base), transport)
-    new = sorted(_files(spark, transport, frames) - before)
-    written = spark.read.parquet(*new) if new else None
-    n = written.count() if new else 0                          # from the footers
-    offsets.publish(written.agg(F.max("offset")).first()[0] if n else None)
-    return n
-
-
-def _files(spark: SparkSession, transport: Transport, topics) -> set[str]:
-    return {f"{transport.topic_path(t)}/{name}" for t in topics
-            for name in Folder(spark, transport.topic_path(t)).names() if name.startswith("part-")}
+    counted = Observation()
+    union = union.observe(counted, F.count(F.lit(1)).alias("messages"))
+    if transport.kind != "kafka":
+        union = to_envelope(union, partitions, next_offset(spark, transport, frames))
+    write_envelopes(spark, union, transport)
+    return counted.get["messages"]
 
 
 def publish(spark: SparkSession, df: DataFrame, transport: Transport, topic: str,
-            partitions: int = DEFAULT_PARTITIONS, key_col: str | None = None,
-            written_by: tuple[str, int] | None = None):
-    """Publish one DataFrame as JSON messages to ``topic``."""
-    return publish_many(spark, {topic: df}, transport, partitions,
-                        {topic: key_col} if key_col else None, written_by)
+            partitions: int = DEFAULT_PARTITIONS, key_col: str | None = None) -> int:
+    """Publish one DataFrame as JSON messages to ``topic``; the number of
+    messages."""
+    return publish_many(spark, {topic: df}, transport, partitions, {topic: key_col} if key_col else None)

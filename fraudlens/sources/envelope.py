@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from fraudlens.folder import Folder
 from fraudlens.functions import try_double, try_int_legacy
 from fraudlens.schemas import (
     ENVELOPE_SCHEMA,
@@ -32,6 +33,7 @@ from fraudlens.schemas import (
 )
 
 EARLIEST, LATEST = -2, -1
+RECORDS_PER_FILE = "records_per_file"            # option of the file transport: most messages in one file
 
 
 @dataclass(frozen=True)
@@ -48,8 +50,8 @@ class Transport:
         return f"{self.root.rstrip('/')}/topic={topic}"
 
 
-def files(root: str) -> Transport:
-    return Transport("files", root=root)
+def files(root: str, **options) -> Transport:
+    return Transport("files", root=root, options=options)
 
 
 def kafka(bootstrap_servers: str, **options) -> Transport:
@@ -127,20 +129,50 @@ def read_batch(spark: SparkSession, transport: Transport, topic: str,
     return df.where(offset_filter(topic, starting, ending))
 
 
-def read_stream(spark: SparkSession, transport: Transport, topic: str,
-                starting="latest", max_per_trigger: int | None = None) -> DataFrame:
-    """Unbounded read.  Kafka streams start at ``latest`` by default; a file
-    topic streams every file not yet seen by the query's checkpoint."""
+def latest_offsets(spark: SparkSession, transport: Transport, topic: str) -> dict:
+    """Where a file topic ends now: the next offset per partition (one row per
+    partition), as a bound for ``starting``."""
+    ends = spark.read.schema(_FILE_SCHEMA).parquet(transport.topic_path(topic)).groupBy("partition").agg(
+        F.max("offset").alias("top")).collect()
+    return {topic: {str(r["partition"]): r["top"] + 1 for r in ends}}
+
+
+def _starting(spark: SparkSession, transport: Transport, topic: str, checkpoint: str | None) -> dict:
+    """The bound of a stream that starts at ``latest``, fixed when its
+    checkpoint first asks for it: a restart goes on from the same bound."""
+    if checkpoint is None:
+        raise ValueError("a file topic starts at latest only with the checkpoint that keeps the bound")
+    folder, name = Folder(spark, checkpoint), f"starting-{topic}.json"
+    if not folder.exists(name):
+        folder.write(name, latest_offsets(spark, transport, topic))
+    return folder.read(name)
+
+
+def read_stream(spark: SparkSession, transport: Transport, topic: str, starting=None,
+                max_per_trigger: int | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Unbounded read.  Kafka streams start at ``latest`` by default.  A file
+    topic streams every file not yet seen by the query's checkpoint;
+    ``starting`` (offsets per partition, or ``latest`` with the ``checkpoint`` the
+    query will use) leaves earlier messages out.
+
+    ``max_per_trigger`` limits a micro-batch: to so many records on Kafka and on
+    a file topic whose transport bounds the records of a file, otherwise to so
+    many files."""
     if transport.kind == "kafka":
-        r = _kafka_reader(spark.readStream, transport, topic,
-                          spark.sparkContext.defaultParallelism).option("startingOffsets", starting)
+        start = starting or "latest"
+        r = _kafka_reader(spark.readStream, transport, topic, spark.sparkContext.defaultParallelism).option(
+            "startingOffsets", start if isinstance(start, str) else json.dumps(start))
         if max_per_trigger:
             r = r.option("maxOffsetsPerTrigger", int(max_per_trigger))
         return r.load()
+    if starting == "latest":
+        starting = _starting(spark, transport, topic, checkpoint)
     r = spark.readStream.schema(_FILE_SCHEMA)
     if max_per_trigger:
-        r = r.option("maxFilesPerTrigger", int(max_per_trigger))
-    return _with_topic(r.parquet(transport.topic_path(topic)), topic)
+        per_file = int(transport.options.get(RECORDS_PER_FILE, 1))
+        r = r.option("maxFilesPerTrigger", max(1, int(max_per_trigger) // per_file))
+    env = _with_topic(r.parquet(transport.topic_path(topic)), topic)
+    return env if starting in (None, "earliest") else env.where(offset_filter(topic, starting))
 
 
 # ---------------------------------------------------------------------------
@@ -185,20 +217,23 @@ def decode_supply(env: DataFrame, fields=None, keep: tuple[str, ...] = ()) -> Da
     # tell apart: the parsed struct's fields are renamed by position.
     place = {s: f"_{k}" for k, s in enumerate(wire.fieldNames())}
     plain = StructType([StructField(place[s], StringType()) for s in wire.fieldNames()])
-    text = F.col("value").cast("string")
-    spelled = F.when(text.rlike(_SPELLED_KEY), F.from_json(text, wire).cast(plain))
-    canonical = F.when(~text.rlike(_SPELLED_KEY), F.from_json(text, wanted))
+    text, is_spelled = F.col("_text"), F.col("_is_spelled")
+    spelled = F.when(is_spelled, F.from_json(text, wire).cast(plain))
+    canonical = F.when(~is_spelled, F.from_json(text, wanted))
 
     def value(f):
         found = F.coalesce(*[F.col("_spelled")[place[s]] for s in names[f.name]])
         found = try_double(found) if isinstance(f.dataType, DoubleType) else found
         return F.coalesce(F.col("_data")[f.name], found).alias(f.name)
-    return env.select(*[F.col(k) for k in keep], canonical.alias("_data"), spelled.alias("_spelled")).select(
+    tested = env.select(*[F.col(k) for k in keep], F.col("value").cast("string").alias("_text")).select(
+        *keep, "_text", F.col("_text").rlike(_SPELLED_KEY).alias("_is_spelled"))       # one test per record
+    return tested.select(*keep, canonical.alias("_data"), spelled.alias("_spelled")).select(
         *keep, *[value(f) for f in wanted])
 
 
-# A JSON key with the column family prefix or an upper-case first letter.
-_SPELLED_KEY = '"(cf1:[^"]*|[A-Z][^"]*)"\\s*:'
+# A JSON key with the column family prefix or an upper-case first letter.  The
+# quantifier is possessive: a value that starts like such a key is left at once.
+_SPELLED_KEY = '"(?:cf1:|[A-Z])[^"]*+"\\s*:'
 
 
 def encode(df: DataFrame, key: Column | None = None) -> DataFrame:

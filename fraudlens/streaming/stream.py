@@ -106,15 +106,40 @@ def run_to_end(q: StreamingQuery, timeout_s: float | None = None) -> None:
         raise RuntimeError(str(q.exception()))
 
 
+def counted(df: DataFrame, name: str, **columns) -> DataFrame:
+    """``df`` whose rows and non-null values of the named columns are counted
+    while they pass (``alias="column"``); no second pass, no state."""
+    return df.observe(name, F.count(F.lit(1)).alias("rows"),
+                      *[F.count(c).alias(alias) for alias, c in columns.items()])
+
+
+def observed_totals(query: StreamingQuery, name: str) -> dict[str, int]:
+    """Sums of a ``counted`` metric over the query's reported micro-batches
+    (Spark keeps the last ``spark.sql.streaming.numRecentProgressUpdates``)."""
+    totals: dict[str, int] = {}
+    for progress in query.recentProgress:
+        row = progress["observedMetrics"].get(name)
+        for k, v in (row.asDict() if hasattr(row, "asDict") else row or {}).items():
+            totals[k] = totals.get(k, 0) + v
+    return totals
+
+
+def batch_sizes(query: StreamingQuery) -> list[int]:
+    """Input rows of the reported micro-batches that had any."""
+    return [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+
+
 def checkpoint_dir(spark: SparkSession, name: str) -> str:
     return shared_dir(spark, f"stream-{name}")
 
 
 def to_topic(df: DataFrame, transport, topic: str, checkpoint: str, mode: str = "append",
-             trigger: dict | None = None) -> StreamingQuery:
+             trigger: dict | None = None, key_col: str | None = None) -> StreamingQuery:
     """Publish a streaming DataFrame as JSON messages.  Kafka: the native
     streaming sink; file transport: each micro-batch is published by
-    ``foreachBatch`` (complete mode republishes the full current result)."""
+    ``foreachBatch`` (complete mode republishes the full current result).  A
+    micro-batch that is replayed after a failure is published again: at least
+    once, as the native sink."""
     from fraudlens.sinks.publish import publish
     from fraudlens.sources.envelope import encode
     _bounded(df.columns if mode == "complete" else (), mode)
@@ -129,17 +154,17 @@ def to_topic(df: DataFrame, transport, topic: str, checkpoint: str, mode: str =
     spark = df.sparkSession
 
     def write(batch: DataFrame, epoch: int) -> None:
-        publish(spark, batch, transport, topic, written_by=(checkpoint, int(epoch)))   # a replay is skipped
+        publish(spark, batch, transport, topic, key_col=key_col)
     return _writer(df, checkpoint, mode, trigger).foreachBatch(write).start()
 
 
 def to_keyed_table(df: DataFrame, spec: ReportSpec | str, table_path: str, checkpoint: str,
-                   trigger: dict | None = None, buckets: int = 8) -> StreamingQuery:
+                   trigger: dict | None = None) -> StreamingQuery:
     """Update mode: each micro-batch emits only the keys whose aggregate
     changed, and ``foreachBatch`` upserts them into the keyed table (row key as
-    in ``report_row_key``; the later commit wins, so a new run with a fresh
-    checkpoint replaces what an older one left).  A replayed epoch of the same
-    checkpoint is skipped by the table."""
+    in ``report_row_key``; the later put wins, so a new run with a fresh
+    checkpoint replaces what an older one left).  A replayed micro-batch puts the
+    same rows again, which changes nothing."""
     from fraudlens.plans.jobs import report_row_key
     from fraudlens.sinks.keyed import upsert
     spec = REPORTS[spec] if isinstance(spec, str) else spec
@@ -147,5 +172,5 @@ def to_keyed_table(df: DataFrame, spec: ReportSpec | str, table_path: str, check
 
     def write(batch: DataFrame, epoch: int) -> None:
         rows = batch.select(report_row_key(spec.name, spec.key).alias("_row_key"), *batch.columns)
-        upsert(spark, rows, table_path, "_row_key", buckets=buckets, written_by=(checkpoint, int(epoch)))
+        upsert(spark, rows, table_path, "_row_key")
     return _writer(df, checkpoint, "update", trigger).foreachBatch(write).start()

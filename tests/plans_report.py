@@ -41,7 +41,7 @@ def main(argv) -> int:
         path = shared_dir(spark, "plans-table")
         rows = Q.sc(spark, sf).select("pq", "country", F.lit(1).alias("v"))
         for _ in range(2):
-            keyed.upsert(spark, rows, path, "pq", ["v"], buckets=8)
+            keyed.upsert(spark, rows, path, "pq", ["v"])
         return keyed.read_table(spark, path, ["PQ-1-1", "PQ-2-1"])
 
     sections = [
@@ -57,15 +57,11 @@ def main(argv) -> int:
         ("Dashboard: freight histogram with known bounds",
          "Bin edges enter as literals; one partial and one final aggregate.",
          dashboard.histogram(Q.sc(spark, sf), "freight_cost_usd", 20, (18.0364, 2099.9576))),
-        ("Upsert: the batch that is written (stored rows are not read)",
-         "One exchange by key reduces the batch, a rebalance sizes the files per bucket.",
-         keyed._reduced(Q.sc(spark, sf).select("pq", "country", F.lit(1).alias("v")), "pq", ["v"], 8).hint(
-             "rebalance", F.col("_bucket"))),
-        ("Keyed table: lookup of two keys in a table of two commits",
-         "Only the keys' buckets are read (PartitionFilters); the merge aggregates those rows alone.",
+        ("Keyed table: lookup of two keys in a table of two puts",
+         "The keys reach the scan of every put (PushedFilters); the rank limit runs before the exchange.",
          keyed_lookup(spark, sf)),
         ("Area under the curve of the risk score",
-         "Ties collapse in the partial aggregate; one range exchange; running sums per partition.",
+         "Ties collapse in the partial aggregate; ranges of scores are stored; windows per range, in the JVM.",
          auc_frame(with_label(Q.sc(spark, sf)).select(fraud_probability().alias("s"), LABEL), "s", LABEL)),
     ]
     out = ["# PLANS", "", f"Generated by `python tests/plans_report.py` on `{sf}` "

@@ -35,30 +35,49 @@ def test_line_items_and_orders_meet_in_shuffle_join(spark):
         assert not any("lineitem" in line for line in head)
 
 
-def test_upsert_neither_reads_nor_shuffles_the_stored_rows(spark, scratch, monkeypatch):
-    """The plans of an upsert's writes hold no scan of the table, and the
-    batch is exchanged once by key and once to size the files."""
+def test_upsert_neither_reads_nor_shuffles_anything(spark, scratch, monkeypatch):
+    """A put's write holds no scan of the table and no exchange."""
     from fraudlens.sinks import keyed
     path = scratch("plan-table")
     df = spark.createDataFrame([(f"k{i}", i) for i in range(50)], "k string, v int")
-    keyed.upsert(spark, df, path, "k", ["v"], buckets=8)
+    keyed.upsert(spark, df, path, "k", ["v"])
     plans = []
-    write = keyed._write_part
-    monkeypatch.setattr(keyed, "_write_part", lambda rows, folder, n: (plans.append(_plan(rows)), write(rows, folder, n))[1])
-    keyed.upsert(spark, df, path, "k", ["v"], buckets=8)
-    assert len(plans) == 1 and "FileScan" not in plans[0]
-    assert plans[0].count("Exchange hashpartitioning") == 1
+    write = keyed._write_put
+    monkeypatch.setattr(keyed, "_write_put", lambda rows, *a: (plans.append(_plan(rows)), write(rows, *a))[1])
+    keyed.upsert(spark, df, path, "k", ["v"])
+    assert len(plans) == 1 and "FileScan" not in plans[0] and "Exchange" not in plans[0]
+    assert "CollectMetrics" in plans[0]                       # rows are counted by the write itself
 
 
-def test_keyed_lookup_reads_only_its_buckets(spark, scratch):
+def test_keyed_lookup_pushes_its_keys_to_the_scan(spark, scratch):
     from fraudlens.sinks.keyed import read_table, upsert
     path = scratch("plan-table")
     df = spark.createDataFrame([(f"k{i}", i) for i in range(50)], "k string, v int")
-    upsert(spark, df, path, "k", ["v"], buckets=8)
-    upsert(spark, df.where("v < 5").withColumn("v", F.col("v") + 100), path, "k", ["v"], buckets=8)
+    upsert(spark, df, path, "k", ["v"])
+    upsert(spark, df.where("v < 5").withColumn("v", F.col("v") + 100), path, "k", ["v"])
     found = read_table(spark, path, ["k1", "k40", "none"])
     assert {r.k: r.v for r in found.collect()} == {"k1": 101, "k40": 40}
-    assert all(re.search(r"_bucket#\d+", p) for p in re.findall(r"PartitionFilters: \[(.*?)\]", _plan(found)))
+    assert re.search(r"PushedFilters: \[.*In\(k, \[k1,k40,none\]\)", _plan(found))
+    assert "WindowGroupLimit" in _plan(read_table(spark, path))            # a hot key is cut down before the exchange
+
+
+def test_ingest_counts_in_its_one_pass(spark, scratch, monkeypatch):
+    """One scan of the CSV, the count observed in the write, no footer read."""
+    from fraudlens.plans import jobs
+    from fraudlens.sinks import publish
+    from fraudlens.sinks.files import write_csv
+    from fraudlens.sources.envelope import files
+    path, plans = scratch("csv"), []
+    write_csv(spark.range(25).selectExpr("concat('P', id) AS `Project Code`", "id AS `PQ#`"), path)
+    write = publish.write_envelopes
+    monkeypatch.setattr(publish, "write_envelopes", lambda s, df, *a: (plans.append(_plan(df)), write(s, df, *a))[1])
+    assert jobs.ingest_csv(spark, path, files(scratch("t")), "supply") == 25
+    assert len(plans) == 1 and plans[0].count("CollectMetrics") and plans[0].count("FileScan csv") == 1
+
+
+def test_auc_stays_in_the_jvm(spark):
+    plan = _plan(Q.QUERIES["auc_fraud_probability"](spark, SF_SMALL))
+    assert "Python" not in plan and "InPandas" not in plan and "InArrow" not in plan
 
 
 def test_label_share_does_not_pay_for_the_second_pass(spark):
@@ -113,7 +132,7 @@ def test_hot_key_is_preaggregated_and_exact(spark, scratch):
     assert rep["HOT"].fraud_count == sum(1 for i in hot if i % 4 == 0)
     assert "partial_count" in _plan(report("fraud_category", df))
     path = scratch("hot-table")
-    res = upsert(spark, df.select(F.col("category").alias("k"), "v"), path, "k", ["v"], buckets=8)
+    res = upsert(spark, df.select(F.col("category").alias("k"), "v"), path, "k", ["v"])
     assert res.rows_in == n
     got = {r.k: r.v for r in read_table(spark, path).collect()}
     assert got["HOT"] == max(i for i in range(n) if i % 5 < 2)

@@ -21,14 +21,14 @@ def test_upsert_latest_wins(spark, scratch):
     order = ["ts", "p", "o"]
     b1 = spark.createDataFrame([("k1", "x", 1.0, 1, 0, 1), ("k2", "y", 2.0, 1, 0, 2),
                                 (None, "z", 0.0, 1, 0, 3)], ROWS)
-    r1 = upsert(spark, b1, path, "k", order, buckets=4)
+    r1 = upsert(spark, b1, path, "k", order)
     assert r1.rows_in == 3 and r1.rejected_null_keys == 1
     b2 = spark.createDataFrame([("k1", "x2", 5.0, 2, 0, 5), ("k1", "x3", None, 2, 0, 6),
                                 ("k2", "old", 9.0, 0, 0, 1)], ROWS)
-    upsert(spark, b2, path, "k", order, buckets=4)
+    upsert(spark, b2, path, "k", order)
     got = {r.k: (r.a, r.b) for r in read_table(spark, path).collect()}
     assert got == {"k1": ("x3", None), "k2": ("y", 2.0)}   # null cell of the winner kept
-    upsert(spark, b2, path, "k", order, buckets=4)          # rerun changes nothing
+    upsert(spark, b2, path, "k", order)          # rerun changes nothing
     again = {r.k: (r.a, r.b) for r in read_table(spark, path).collect()}
     assert again == got
 
@@ -37,12 +37,11 @@ def _stored(spark, path, key="k"):
     return {r[key]: r for r in read_table(spark, path).collect()}
 
 
-def test_bucket_count_key_and_order_belong_to_the_table(spark, scratch):
+def test_key_and_order_belong_to_the_table(spark, scratch):
     path = scratch("table")
     df = spark.createDataFrame([(f"k{i}", i) for i in range(20)], "k string, v int")
-    upsert(spark, df, path, "k", ["v"], buckets=64)
-    for other in (dict(key="k", order_cols=["v"], buckets=8), dict(key="v", order_cols=["v"]),
-                  dict(key="k", order_cols=[])):
+    upsert(spark, df, path, "k", ["v"])
+    for other in (dict(key="v", order_cols=["v"]), dict(key="k", order_cols=[])):
         with pytest.raises(ValueError):
             upsert(spark, df, path, **other)
     upsert(spark, df, path, "k", ["v"])
@@ -52,7 +51,7 @@ def test_bucket_count_key_and_order_belong_to_the_table(spark, scratch):
 def test_absent_columns_keep_their_value(spark, scratch):
     path = scratch("table")
     full = spark.createDataFrame([(f"k{i}", 1, f"a{i}", f"b{i}") for i in range(20)], "k string, v int, a string, b string")
-    upsert(spark, full, path, "k", ["v"], buckets=4)
+    upsert(spark, full, path, "k", ["v"])
     upsert(spark, spark.createDataFrame([("k3", 2, "new")], "k string, v int, a string"), path, "k", ["v"])
     upsert(spark, spark.createDataFrame([("k4", 3, None)], "k string, v int, b string"), path, "k", ["v"])
     got = _stored(spark, path)
@@ -62,19 +61,18 @@ def test_absent_columns_keep_their_value(spark, scratch):
 
 
 def test_unreadable_table_is_an_error_and_loses_nothing(spark, scratch):
-    import glob
+    import os
     path = scratch("table")
     local = path.removeprefix("file:")
     df = spark.createDataFrame([(f"k{i}", i) for i in range(20)], "k string, v int")
-    upsert(spark, df, path, "k", ["v"], buckets=4)
-    log = glob.glob(f"{local}/_log/*1.json")[0]
-    good = open(log).read()
-    import os
-    os.remove(f"{local}/_log/.{os.path.basename(log)}.crc")
-    open(log, "w").write("{broken")
+    upsert(spark, df, path, "k", ["v"])
+    good = open(f"{local}/_table.json").read()
+    if os.path.exists(f"{local}/._table.json.crc"):
+        os.remove(f"{local}/._table.json.crc")
+    open(f"{local}/_table.json", "w").write("{broken")
     with pytest.raises(Exception):
         upsert(spark, df.limit(2), path, "k", ["v"])
-    open(log, "w").write(good)
+    open(f"{local}/_table.json", "w").write(good)
     assert read_table(spark, path).count() == 20
 
 
@@ -88,54 +86,96 @@ def test_null_and_empty_report_keys_stay_apart(spark, scratch):
     assert set(_stored(spark, path, "row_key")) == {"fraud_category", "fraud_category#", "fraud_category#x"}
 
 
-def test_failed_writer_leaves_no_trace_and_compaction_keeps_rows(spark, scratch, monkeypatch):
+def test_failed_task_leaves_nothing(spark, scratch):
+    from fraudlens.folder import Folder
+    path = scratch("table")
+    good = spark.createDataFrame([("k", 1)], "k string, v int")
+    upsert(spark, good, path, "k", ["v"])
+    bad = spark.range(40).repartition(8).selectExpr(
+        "concat('k', id) AS k", "CAST(IF(id = 17, raise_error('lost'), id) AS INT) AS v")
+    with pytest.raises(Exception, match="lost"):
+        upsert(spark, bad, path, "k", ["v"])
+    assert [tuple(r) for r in read_table(spark, path).collect()] == [("k", 1)]
+    assert len([n for n in Folder(spark, path).names() if n.startswith("put-")]) == 1
+    upsert(spark, good.selectExpr("k", "v + 1 AS v"), path, "k", ["v"])
+    assert _stored(spark, path)["k"].v == 2
+
+
+def test_files_of_uncommitted_attempts_are_not_read(spark, scratch):
+    import glob
+    import shutil
+    path = scratch("table")
+    upsert(spark, spark.createDataFrame([("k", 1)], "k string, v int"), path, "k", ["v"])
+    (own,) = glob.glob(f"{path.removeprefix('file:')}/put-*/part-*.parquet")
+    shutil.copy(own, own.replace("part-", "part-9"))                # a lost attempt's file beside the named one
+    assert read_table(spark, path).count() == 1
+    other = path.removeprefix("file:") + "/put-0123456789ab-" + "9" * 20 + "-x"
+    shutil.copytree(own.rsplit("/", 1)[0], other, ignore=shutil.ignore_patterns("_committed*"))
+    assert read_table(spark, path).count() == 1
+
+
+def test_two_writers_lose_no_row(spark, scratch):
+    """Both start from the same table, and the one that started first ends last."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from fraudlens.sinks import keyed
+    path = scratch("table")
+    upsert(spark, spark.createDataFrame([("k0", 0, 0)], "k string, v int, at int"), path, "k", ["at"])
+    rows = {w: [(f"k{i}", w, 10 * i + w) for i in range(w, 30, w)] for w in (1, 2, 3)}
+    with ThreadPoolExecutor(3) as pool:
+        for f in [pool.submit(upsert, spark, spark.createDataFrame(r, "k string, v int, at int"), path, "k", ["at"])
+                  for r in rows.values()]:
+            f.result()
+    want = {"k0": 0}
+    for own in rows.values():
+        for k, v, at in own:
+            want[k] = max(want.get(k, 0), at)
+    assert {k: r.at for k, r in _stored(spark, path).items()} == want
+    # Interleaved by hand: the version is taken before another writer's whole put.
+    folder, late = keyed.Folder(spark, path), spark.createDataFrame([("k1", 9, 1_000, 1)], "k string, v int, at int, _put long")
+    upsert(spark, spark.createDataFrame([("k1", 8, 900), ("new", 8, 1)], "k string, v int, at int"), path, "k", ["at"])
+    keyed._write_put(late, folder, 1)
+    got = _stored(spark, path)
+    assert (got["k1"].v, got["new"].v, len(got)) == (9, 8, len(want) + 1)
+
+
+def test_compaction_keeps_rows_and_versions(spark, scratch):
     from fraudlens.sinks import keyed
     path = scratch("table")
-    put = lambda i: upsert(spark, spark.createDataFrame([("k", i, "x")], "k string, v int, a string"), path, "k", ["v"],
-                           buckets=2)
-    put(1)
-    with monkeypatch.context() as m:
-        m.setattr(keyed.Folder, "create", lambda *a: (_ for _ in ()).throw(OSError("disk gone")))
-        with pytest.raises(OSError):
-            put(2)
-    assert _stored(spark, path)["k"].v == 1
-    monkeypatch.setattr(keyed, "MAX_PARTS", 3)
     for i in (3, 5, 4):
-        put(i)
-    assert _stored(spark, path)["k"].v == 5
-    folder = keyed.Folder(spark, path)
-    assert len(keyed._newest(folder)[1]["parts"]) < 3
-
-
-def test_concurrent_commit_is_refused_or_moved_on(spark, scratch):
-    from fraudlens.sinks.store_log import CommitConflict, Folder
-    f = Folder(spark, scratch("log"))
-    f.create("1.json", {"a": 1})
-    with pytest.raises(CommitConflict):
-        f.create("1.json", {"a": 2})
-    f.claim("2.json")
-    with pytest.raises(CommitConflict):
-        f.create("2.json", {"a": 2})
-    assert f.read("1.json") == {"a": 1} and f.names("absent") == []
-
-
-def test_offsets_go_on_and_stay_small(spark, scratch):
-    from fraudlens.sinks.publish import OFFSET_LOG, publish
+        upsert(spark, spark.createDataFrame([("k", i, f"a{i}"), (f"only{i}", i, "x")], "k string, v int, a string"),
+               path, "k", ["v"])
+    upsert(spark, spark.createDataFrame([("k", 6)], "k string, v int"), path, "k", ["v"])
+    before = sorted(map(tuple, read_table(spark, path).select("k", "v", "a").collect()))
+    assert before[0] == ("k", 6, "a5")
+    keyed.compact(spark, path)
+    assert sorted(map(tuple, read_table(spark, path).select("k", "v", "a").collect())) == before
+    assert len(keyed._puts(keyed.Folder(spark, path))) == 2                      # one per set of columns
+    upsert(spark, spark.createDataFrame([("k", 2, "old")], "k string, v int, a string"), path, "k", ["v"])
+    assert _stored(spark, path)["k"].a == "a5"
+
+
+def test_without_order_the_later_put_wins(spark, scratch):
+    path = scratch("table")
+    for v in (7, 3, 5):
+        upsert(spark, spark.createDataFrame([("k", v), (f"o{v}", v)], "k string, v int"), path, "k")
+    assert {k: r.v for k, r in _stored(spark, path).items()} == {"k": 5, "o7": 7, "o3": 3, "o5": 5}
+
+
+def test_offsets_go_on_and_a_failed_publish_blocks_nobody(spark, scratch):
+    from fraudlens.sinks.publish import publish
     t = files(scratch("offsets"))
     df = spark.range(30).selectExpr("cast(id as string) as x").repartition(3)
     tops = []
-    for _ in range(3):
+    for k in range(3):
         assert publish(spark, df, t, "a") == 30
         tops.append(read_batch(spark, t, "a").agg(F.max("offset")).first()[0])
+        if k == 1:
+            with pytest.raises(Exception, match="lost"):
+                publish(spark, df.selectExpr("IF(x = '17', raise_error('lost'), x) AS x"), t, "a")
+            assert read_batch(spark, t, "a").count() == 60
     assert read_batch(spark, t, "a").select("offset").distinct().count() == 90
     assert tops == sorted(set(tops)) and tops[-1] < 3 * 31 * (1 << 21)      # far from 2^63
-    import glob
-    import os
-    last = sorted(glob.glob(f"{t.root.removeprefix('file:')}/{OFFSET_LOG}/*.json"))[-1]
-    os.remove(f"{os.path.dirname(last)}/.{os.path.basename(last)}.crc")
-    open(last, "w").write("junk")
-    with pytest.raises(Exception):
-        publish(spark, df, t, "a")                     # not taken for "the first write"
 
 
 def test_report_messages_share_a_partition_by_key(spark, scratch):
@@ -187,7 +227,7 @@ def test_supply_records_in_every_spelling(spark):
 
 def test_shared_folders_can_be_removed(spark, monkeypatch):
     from fraudlens import session
-    from fraudlens.sinks.store_log import Folder
+    from fraudlens.folder import Folder
     monkeypatch.setattr(session, "_MADE", [])
     path = session.shared_dir(spark, "gone")
     spark.range(3).write.parquet(path)

@@ -83,11 +83,47 @@ def test_open_key_streams_in_update_mode_and_replays_change_nothing(spark, scrat
 
     first = scratch("st6-ckpt")
     assert run(first) == {0: 2.5, 1: 2.5, 2: 2.5}
-    stale = spark.createDataFrame([("income_analytics#0", 0, -1.0)], "_row_key string, user_income int, "
-                                  "avg_transaction_amount double")
-    replay = upsert(spark, stale, table, "_row_key", buckets=8, written_by=(first, 0))
-    assert replay.rows_in == 0                          # epoch 0 of that run is already in the table
-    assert run(scratch("st6-ckpt2"))[0] == 2.5          # a new run restarts at epoch 0 and still wins
+    again = read_table(spark, table)
+    upsert(spark, again, table, "_row_key")             # a replayed micro-batch puts the same rows again
+    assert run(scratch("st6-ckpt2")) == {0: 2.5, 1: 2.5, 2: 2.5}
+
+
+def test_rate_limit_by_records(spark, scratch):
+    from fraudlens.sinks.publish import write_envelopes
+    from fraudlens.sources.fixtures import transaction_envelope
+    from tables import SF_SMALL
+    t = files(scratch("st7"), records_per_file=100)
+    write_envelopes(spark, transaction_envelope(spark, SF_SMALL, "tx").limit(1_500), t)
+    q = st.to_files(st.raw_values(read_stream(spark, t, "tx", max_per_trigger=300)), scratch("o"), scratch("c"))
+    st.run_to_end(q)
+    sizes = st.batch_sizes(q)
+    assert sum(sizes) == 1_500 and len(sizes) >= 5 and max(sizes) <= 300
+
+
+def test_latest_is_fixed_when_the_checkpoint_first_asks(spark, scratch):
+    t, out, ckpt = files(scratch("st8")), scratch("o"), scratch("c")
+    _write_file(spark, t, [_rec(i, "A", 0) for i in range(4)], 0)
+    with pytest.raises(ValueError, match="checkpoint"):
+        read_stream(spark, t, "tx", starting="latest")
+    seen = []
+    for first in (10, 20):
+        env = read_stream(spark, t, "tx", starting="latest", checkpoint=ckpt)
+        st.run_to_end(st.to_files(st.raw_values(env), out, ckpt))
+        seen.append(spark.read.parquet(out).count())
+        _write_file(spark, t, [_rec(i, "A", 0) for i in range(3)], first)
+    env = read_stream(spark, t, "tx", starting="latest", checkpoint=ckpt)
+    st.run_to_end(st.to_files(st.raw_values(env), out, ckpt))
+    assert [*seen, spark.read.parquet(out).count()] == [0, 3, 6]
+
+
+def test_counts_are_observed_while_a_stream_passes(spark, scratch):
+    t = files(scratch("st9"))
+    for k in range(3):
+        _write_file(spark, t, [_rec(i, "A" if i else None, 0) for i in range(5)], 10 * k)
+    rec = decode_transactions(read_stream(spark, t, "tx", max_per_trigger=1))
+    q = st.to_files(st.counted(rec, "audit", with_category="category"), scratch("o"), scratch("c"))
+    st.run_to_end(q)
+    assert st.observed_totals(q, "audit") == {"rows": 15, "with_category": 12}
 
 
 def test_run_to_end_has_no_default_limit():

@@ -122,6 +122,36 @@ def test_unseen_category_in_test_split(spark):
     train = spark.createDataFrame([("a", 1.0, 0.0), ("b", 2.0, 1.0), ("a", 1.5, 0.0)],
                                   "x string, y double, label double")
     test = spark.createDataFrame([("a", 1.0), ("zzz", 1.0), (None, 1.0)], "x string, y double")
-    model = M.build_pipeline(["x"], ["y"]).fit(train)
+    model = M.fit(train, categorical=["x"], numeric=["y"])
     got = [r.x_index for r in M.score(model, test).collect()]
     assert got == [0.0, 2.0, 2.0]          # unseen and null share the extra index
+
+
+def test_scores_in_a_session_that_has_observed(spark):
+    """A fitted model goes to the executors without the session."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get["n"] == 3
+    rows = spark.createDataFrame([("a", 1.0, 0.0), ("b", 2.0, 1.0), ("a", 1.5, 0.0)], "x string, y double, label double")
+    assert M.score(M.fit(rows, categorical=["x"], numeric=["y"]), rows).count() == 3
+
+
+def test_gradient_vanishes_at_the_optimum_only(spark):
+    import random
+
+    from pyspark.ml.classification import LogisticRegression
+    rng = random.Random(4)
+    rows = [(rng.choice("abc"), rng.gauss(3, 2) if rng.random() < .9 else None, 5.0, float(rng.random() < .3))
+            for _ in range(400)]
+    df = spark.createDataFrame(rows, "x string, y double, same double, label double")
+    frame, names = M.feature_frame(df, categorical=["x"], numeric=["y", "same"])
+    fitted = LogisticRegression(regParam=0.05, maxIter=300, tol=1e-12).fit(frame)
+    at = fitted.coefficients.toArray().tolist()
+    g = {r.feature: r.gradient for r in M.logistic_gradient(frame, names, at, fitted.intercept, 0.05).collect()}
+    assert set(g) == {"(intercept)", "y_imputed", "same_imputed", "x_index"} and all(abs(v) < 1e-6 for v in g.values())
+    off = M.logistic_gradient(frame, names, [a + .1 for a in at], fitted.intercept, 0.05).collect()
+    assert max(abs(r.gradient) for r in off) > 1e-3
+    cells = M.feature_cells(df, keep=["label"], categorical=["x"], numeric=["y", "same"])
+    assert cells.count() == 1200 and cells.columns == ["label", "feature", "value"]
