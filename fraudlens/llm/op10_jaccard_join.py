@@ -53,7 +53,7 @@ SEEN_SETS = 200_000          # of which a task remembers that they were sent
 FLUSH_ROWS = 1_500_000       # shingles of a task looked at together before the shuffle
 HOT_ROWS, NEAR = 16, 0.02    # thinning of a task's near copies
 SHORT_RUN = 64
-DIMS = 64                    # groups of the points that families are told apart by
+COARSE = 64                  # fewest groups of the points that families are told apart by
 LEAF = 32                    # points in a leaf, children of an inner node
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -196,9 +196,26 @@ def near(a: np.ndarray, b: np.ndarray) -> bool:
 def may_link(points: np.ndarray, sizes: np.ndarray, at: np.ndarray, n: int, percent: int) -> np.ndarray:
     """Whether the count-vector bound lets sets link to a set of size n at
     point ``at``, or to a set that one of the two leads."""
-    room = 4 * NEAR * np.minimum(sizes, n)       # both may be led
-    bound = np.minimum(points, at).sum(axis=1) + room
-    return bound * (100 + percent) >= percent * (sizes + n)
+    return reaches(np.minimum(points, at).sum(axis=1), sizes, n, percent)
+
+
+def reaches(bound: np.ndarray, sizes: np.ndarray, n: int, percent: int) -> np.ndarray:
+    """Whether an overlap of ``bound`` is enough.  Two leaders stand for sets
+    that differ from them in at most ``NEAR`` of their shingles each: that takes at
+    most 2 * NEAR from the overlap and adds as much to the sum of the sizes."""
+    room = 3 * NEAR * np.minimum(sizes, n)
+    return (bound + room) * (100 + percent) >= percent * (sizes + n)
+
+
+def dims_of(n: int) -> int:
+    """Groups of the point of a set of n shingles: with fewer than three
+    shingles to a group, points of unrelated sets have little in common."""
+    return int(2 ** np.clip(np.ceil(np.log2(max(1, n) / 3)), np.log2(COARSE), 14))
+
+
+def folded(points: np.ndarray, dims: int) -> np.ndarray:
+    """Points (one or a matrix of them) in fewer groups: neighbours are added."""
+    return points.reshape(*points.shape[:-1], dims, -1).sum(axis=-1)
 
 
 def point(s: np.ndarray, dims: int) -> np.ndarray:
@@ -208,13 +225,13 @@ def point(s: np.ndarray, dims: int) -> np.ndarray:
 
 
 def point_bytes(s: np.ndarray) -> bytes:
-    """The point in ``DIMS`` groups, byte planes apart (the upper ones are
-    mostly zero and compress away)."""
-    return point(s, DIMS).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """The point in ``dims_of`` groups, byte planes apart (the upper one is
+    mostly zero and compresses away; no group holds 65,536 of so few shingles)."""
+    return point(s, dims_of(len(s))).astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes()
 
 
 def point_of(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0].astype(np.int32)
+    return np.frombuffer(raw, np.uint8).reshape(2, -1).T.copy().view("<u2")[:, 0].astype(np.int32)
 
 
 def shared_keys(docs: DataFrame, text_col: str, percent: int, words: int = N) -> DataFrame:
@@ -310,26 +327,41 @@ def run_blocks(runs: DataFrame) -> DataFrame:
         "run", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node")
 
 
-def bound_links(nodes: list, sizes: np.ndarray, points: np.ndarray, blocks: np.ndarray, same: bool,
+class Points:
+    """Points of sets of different sizes, compared by the count-vector bound:
+    first by size, then in ``COARSE`` groups, then in as many as both have."""
+
+    def __init__(self, points: list[np.ndarray], sizes: np.ndarray, percent: int):
+        self.points, self.sizes, self.percent = points, sizes, percent
+        self.dims = np.array([len(p) for p in points])
+        self.coarse = np.stack([folded(p, COARSE) for p in points])
+
+    def may_link(self, i: int, other: np.ndarray) -> np.ndarray:
+        """Which of the sets ``other`` the bound does not keep apart from set i."""
+        n, sizes = self.sizes[i], self.sizes
+        other = other[reaches(np.minimum(sizes[other], n), sizes[other], n, self.percent)]
+        other = other[may_link(self.coarse[other], sizes[other], self.coarse[i], n, self.percent)]
+        found = []
+        for dims in np.unique(self.dims[other]):
+            own = other[self.dims[other] == dims]
+            common = min(dims, self.dims[i])
+            rows = np.stack([folded(self.points[k], common) for k in own])
+            found.append(own[may_link(rows, sizes[own], folded(self.points[i], common), n, self.percent)])
+        return np.concatenate(found) if found else other
+
+
+def bound_links(nodes: list, sizes: np.ndarray, points: list[np.ndarray], blocks: np.ndarray, same: bool,
                 percent: int) -> list:
     """Links that connect whatever the bound does not keep apart: inside one
     block, or from the smaller block number to the larger."""
-    name = list(range(len(nodes)))
-
-    def root(i):
-        while name[i] != i:
-            name[i] = name[name[i]]
-            i = name[i]
-        return i
-
-    out = []
+    label, out, known = np.arange(len(nodes)), [], Points(points, sizes, percent)
     theirs = np.arange(len(nodes)) if same else np.flatnonzero(blocks != blocks.min())
     asking = theirs[1:] if same else np.flatnonzero(blocks == blocks.min())
     for i in asking:
         other = theirs[:i] if same else theirs
-        for k in other[may_link(points[other], sizes[other], points[i], sizes[i], percent)]:
-            if root(k) != root(i):
-                name[root(k)] = root(i)
+        for k in known.may_link(i, other[label[other] != label[i]]):      # sets already joined need no comparison
+            if label[k] != label[i]:
+                label[label == label[k]] = label[i]
                 out.append((nodes[k], nodes[i]))
     return out
 
@@ -344,7 +376,7 @@ def family_links(docs: DataFrame, sets: DataFrame, text_col: str, percent: int,
             if len(rows) < 2:
                 return []
             block, nodes, sizes, points = zip(*rows)
-            return bound_links(nodes, np.array(sizes), np.stack([point_of(p) for p in points]), np.array(block),
+            return bound_links(nodes, np.array(sizes), [point_of(p) for p in points], np.array(block),
                                group[1] == group[2], percent)
 
         def batch_of():

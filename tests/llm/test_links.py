@@ -197,3 +197,25 @@ def test_maybe_in_splits_without_loss(spark):
     assert len(inside) + len(outside) == 5_000 and list(inside.columns) == ["doc_id", "word", "bits"]
     assert set(range(0, 5_000, 50)) <= set(inside["doc_id"].dropna()) and len(inside) < 130
     assert maybe_in(rows, "doc_id", ids.limit(0)).count() == 0
+
+
+def test_bound_of_families_keeps_every_link_and_parts_unrelated_sets():
+    """Near copies, also through a leader each, pass the bound at every size;
+    unrelated sets do not, however large, nor with half their content shared."""
+    rng = np.random.default_rng(8)
+    draw = lambda k: np.unique(rng.integers(0, 1 << 63, k, dtype=np.uint64))
+    for n in (40, 190, 200, 700, 1_500, 3_000, 12_000):
+        for percent in (80, 85):
+            s, passage = draw(n), draw(n // 3)
+            others = [np.sort(np.concatenate([s[:int(n * percent / 100) + 1], draw(k)])) for k in (0, n // 100)]
+            led = [np.sort(np.concatenate([x[:len(x) - int(jac.NEAR * len(x) / 2)], draw(int(jac.NEAR * len(x) / 2))]))
+                   for x in others if len(x)]
+            far = [draw(n), draw(int(n * 1.1)), np.concatenate([passage, draw(n - len(passage))])]
+            sets = [s, *others, *led, *far, np.concatenate([passage, draw(n - len(passage))])]
+            known = jac.Points([jac.point_of(jac.point_bytes(x)) for x in sets], np.array([len(x) for x in sets]), percent)
+            found = set(known.may_link(0, np.arange(1, len(sets))).tolist())
+            linked = {k for k in range(1, len(sets)) if jac.linked(s, sets[k], percent)}
+            assert linked <= found and 3 in found
+            if n >= 190:
+                assert not found & {5, 6, 7, 8}
+                assert not known.may_link(8, np.arange(8)).size          # a third is shared with one of them
