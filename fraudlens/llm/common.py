@@ -66,10 +66,26 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def give_back() -> None:
+    """Return memory that a finished task has freed to the system.  A worker
+    serves one operator after another, and what its allocators keep for later adds
+    to the next one's need."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):        # not glibc
+        return
+
+
 def arrow_map(df: DataFrame, fn, schema) -> DataFrame:
     """``df.mapInArrow(fn, schema)`` with this library on the executors."""
+    def run(batches):
+        yield from fn(batches)
+        give_back()
+
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(run, schema)
 
 
 def maybe_in(rows: DataFrame, id_col: str, ids: DataFrame, inside: bool = True) -> DataFrame:
