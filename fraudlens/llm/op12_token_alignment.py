@@ -30,6 +30,7 @@ output is replaced.
 from __future__ import annotations
 
 import hashlib
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -47,6 +48,7 @@ OUTPUTS = {"n_a": "long", "n_b": "long", "n_groups": "long", "groups": "string",
            "links": "binary", "link_times": "binary"}
 QUERY_OUTPUTS = ("n_a", "n_b", "n_groups", "groups_sha256", "links", "link_times")
 ROW = "__row"
+_UNIT = re.compile(" +[^ ]+| +")
 
 
 # -- tokenizers ---------------------------------------------------------------
@@ -60,6 +62,10 @@ class PieceEncoder:
         self.token_bytes = [self._bytes(i) for i in range(size)]
         self.sizes = np.array([len(b) for b in self.token_bytes], dtype=np.int64)
         self.digits = [str(i) for i in range(size)]
+        # No piece holds a space behind another character: then no merge reaches
+        # from one unit (spaces and what follows them) into the next, and units are encoded once each.
+        self.by_unit = not any("▁" in self.model.id_to_piece(i).lstrip("▁") for i in range(size))
+        self.ids_of = bpe.Cache(self._unit, entries=200_000)
 
     def _bytes(self, i: int) -> bytes:
         piece = self.model.id_to_piece(i)
@@ -67,8 +73,22 @@ class PieceEncoder:
             return bytes([int(piece[1:-1], 16)])
         return piece.replace("▁", " ").encode("utf-8")
 
+    def _unit(self, unit: str) -> bytes:
+        """Ids of one unit; the model adds its first space itself."""
+        rest = unit[1:]
+        ids = self.model.encode(rest) if rest else [self.model.piece_to_id("▁")]
+        return np.array(ids, dtype="<u4").tobytes()
+
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+        if not self.by_unit:
+            return self.model.encode(texts, num_threads=1)
+        out = []
+        for text in texts:
+            units = _UNIT.findall(" " + text.replace("▁", " ")) if text else []
+            out.append(np.frombuffer(b"".join(map(self.ids_of.__getitem__, units)), "<u4").tolist())
+            if len(self.ids_of) > self.ids_of.entries:
+                self.ids_of.clear()
+        return out
 
 
 class PlainEncoder:
