@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -48,6 +49,8 @@ OUTPUTS = {"n_a": "long", "n_b": "long", "n_groups": "long", "groups": "string",
            "links": "binary", "link_times": "binary"}
 QUERY_OUTPUTS = ("n_a", "n_b", "n_groups", "groups_sha256", "links", "link_times")
 ROW = "__row"
+UNITS = 300_000              # units of the piece model that a generation of its cache holds
+PROBE = 4                    # tokens of the first comparison of a stretch
 _UNIT = re.compile(" +[^ ]+| +")
 
 
@@ -65,7 +68,7 @@ class PieceEncoder:
         # No piece holds a space behind another character: then no merge reaches
         # from one unit (spaces and what follows them) into the next, and units are encoded once each.
         self.by_unit = not any("▁" in self.model.id_to_piece(i).lstrip("▁") for i in range(size))
-        self.ids_of = bpe.Cache(self._unit, entries=200_000)
+        self.ids_of, self.older = {}, {}             # two generations of at most UNITS entries
 
     def _bytes(self, i: int) -> bytes:
         piece = self.model.id_to_piece(i)
@@ -73,22 +76,27 @@ class PieceEncoder:
             return bytes([int(piece[1:-1], 16)])
         return piece.replace("▁", " ").encode("utf-8")
 
-    def _unit(self, unit: str) -> bytes:
-        """Ids of one unit; the model adds its first space itself."""
-        rest = unit[1:]
-        ids = self.model.encode(rest) if rest else [self.model.piece_to_id("▁")]
-        return np.array(ids, dtype="<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def _learn(self, units: set[str]) -> None:
+        """Ids of units that the cache lacks; the model adds a unit's first space itself."""
+        for unit in [u for u in units if u in self.older]:
+            self.ids_of[unit] = self.older[unit]
+            units.discard(unit)
+        blank = array("I", [self.model.piece_to_id("▁")]).tobytes()
+        units = list(units)
+        for unit, ids in zip(units, self.model.encode([u[1:] for u in units], num_threads=1)):
+            self.ids_of[unit] = array("I", ids).tobytes() if len(unit) > 1 else blank
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_unit:
-            return self.model.encode(texts, num_threads=1)
-        out = []
-        for text in texts:
-            units = _UNIT.findall(" " + text.replace("▁", " ")) if text else []
-            out.append(np.frombuffer(b"".join(map(self.ids_of.__getitem__, units)), "<u4").tolist())
-            if len(self.ids_of) > self.ids_of.entries:
-                self.ids_of.clear()
-        return out
+            return [np.array(ids, dtype="<u4") for ids in self.model.encode(texts, num_threads=1)]
+        cut = [_UNIT.findall(" " + t.replace("▁", " ")) if t else [] for t in texts]
+        if len(self.ids_of) > UNITS:
+            self.ids_of, self.older = {}, self.ids_of
+        self._learn(set().union(*cut).difference(self.ids_of))
+        made = [np.frombuffer(b"".join(map(self.ids_of.__getitem__, units)), "<u4") for units in cut]
+        for unit in {u for units in cut for u in units if len(u) > bpe.CACHED_CHARS}:
+            del self.ids_of[unit]
+        return made
 
 
 class PlainEncoder:
@@ -98,12 +106,14 @@ class PlainEncoder:
         self.inner = bpe.encoder(path)
         self.token_bytes, self.digits = self.inner.token_bytes, self.inner.digits
         self.sizes = np.array([len(b) for b in self.token_bytes], dtype=np.int64)
+        # Where every byte is a token, merging bytes never loses one.
+        self.lossless = len({b for b in self.token_bytes if len(b) == 1}) == 256
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         ids_of = self.inner.ids_of
         raw = b"".join(map(ids_of.__getitem__, self.inner.pretokens(text)))
         ids_of.trim()
-        return np.frombuffer(raw, "<u4").tolist()
+        return np.frombuffer(raw, "<u4")
 
 
 @lru_cache(maxsize=2)
@@ -111,15 +121,20 @@ def encoders(a: str, b: str) -> tuple[PlainEncoder, PieceEncoder]:
     return PlainEncoder(a), PieceEncoder(b)
 
 
+@lru_cache(maxsize=2)
+def written(a: PlainEncoder, b: PieceEncoder) -> list[str]:
+    """What each token writes: an id of A inside its group, at the end of A's
+    side, an id of B inside its group, at the end of the group."""
+    return [d + mark for enc, marks in ((a, ",|"), (b, ",;")) for mark in marks for d in enc.digits]
+
+
 # -- diagonal run skipping ----------------------------------------------------
-def segments(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int, int, bool]]:
-    """(a0, a1, b0, b1, one_to_one): consecutive stretches of both token
-    sequences.  A one-to-one stretch holds a1 - a0 groups of one token on either
-    side, any other stretch is one group.  Both arrays are strictly
-    ascending and end with the same number."""
+def irregular(ends_a: list[int], ends_b: list[int]) -> list[int]:
+    """a0, a1, b0, b1 of every group that is not one-to-one, one after another.
+    Both arrays are strictly ascending and end with the same number."""
     out, i, j, n = [], 0, 0, len(ends_a)
     while i < n:
-        start, step = i, 1
+        step = PROBE
         while i < n and ends_a[i:i + step] == ends_b[j:j + step]:       # jump, each time twice as far
             size = min(step, n - i)
             i, j, step = i + size, j + size, step * 2
@@ -127,8 +142,6 @@ def segments(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int,
             step //= 2
             if ends_a[i:i + step] == ends_b[j:j + step]:
                 i, j = i + step, j + step
-        if i > start:
-            out.append((start, i, j - (i - start), j, True))
         if i < n:                                                       # the shift changes in here
             a0, b0, a, b = i, j, ends_a[i], ends_b[j]
             while a != b:
@@ -139,52 +152,68 @@ def segments(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int,
                     j += 1
                     b = ends_b[j]
             i, j = i + 1, j + 1
-            out.append((a0, i, b0, j, False))
+            out += a0, i, b0, j
+    return out
+
+
+def segments(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int, int, bool]]:
+    """(a0, a1, b0, b1, one_to_one): consecutive stretches of both token
+    sequences.  A one-to-one stretch holds a1 - a0 groups of one token on either
+    side, any other stretch is one group."""
+    found = irregular(ends_a, ends_b)
+    out, a, b = [], 0, 0
+    for a0, a1, b0, b1 in zip(*(iter(found),) * 4):
+        if a0 > a:
+            out.append((a, a0, b, b0, True))
+        out.append((a0, a1, b0, b1, False))
+        a, b = a1, b1
+    if a < len(ends_a):
+        out.append((a, len(ends_a), b, len(ends_b), True))
     return out
 
 
-def groups_text(found, names_a: list[str], names_b: list[str]) -> str:
-    """``a1,a2|b1;a3|b2,b3`` of the segments of one text."""
-    out = []
-    for a0, a1, b0, b1, single in found:
-        if single:
-            out.extend(map("|".join, zip(names_a[a0:a1], names_b[b0:b1])))
-        else:
-            out.append(",".join(names_a[a0:a1]) + "|" + ",".join(names_b[b0:b1]))
-    return ";".join(out)
+def last_in_group(n: int, first: np.ndarray, past: np.ndarray) -> np.ndarray:
+    """True for the last token of every group: all ``n`` tokens but those before
+    the last one of an irregular group, ``first`` to ``past`` - 1."""
+    change = np.zeros(n, dtype=np.int32)
+    change[first] += 1
+    change[past - 1] -= 1
+    return np.cumsum(change) == 0
 
 
-def last_tokens(found) -> tuple[list[int], list[int]]:
-    """Positions of the last tokens of every group on both sides."""
-    at_a, at_b = [], []
-    for a0, a1, b0, b1, single in found:
-        if single:
-            at_a.extend(range(a0, a1))
-            at_b.extend(range(b0, b1))
-        else:
-            at_a.append(a1 - 1)
-            at_b.append(b1 - 1)
-    return at_a, at_b
+def groups_text(ids_a, ids_b, last_a, last_b, a: PlainEncoder, b: PieceEncoder) -> str:
+    """``a1,a2|b1;a3|b2,b3``: the tokens of each group side by side, each with the mark behind it."""
+    at_a, at_b = np.flatnonzero(last_a), np.flatnonzero(last_b)
+    size_a, size_b = len(ids_a), len(ids_b)
+    order = np.empty(size_a + size_b, dtype=np.int64)
+    before_b = np.concatenate([[0], at_b + 1])                # tokens of B in the groups before
+    group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+    in_a, in_b = len(a.digits), len(b.digits)
+    order[np.arange(size_a) + before_b[group_a]] = ids_a + last_a * in_a
+    order[np.arange(size_b) + (at_a + 1)[group_b]] = ids_b + (2 * in_a + last_b * in_b)
+    return "".join(map(written(a, b).__getitem__, order.tolist()))[:-1]
 
 
-def _spells(token_bytes: list[bytes], ids: list[int], raw: bytes) -> bool:
-    return b"".join(map(token_bytes.__getitem__, ids)) == raw
+def _spells(token_bytes: list[bytes], ids: np.ndarray, raw: bytes) -> bool:
+    return b"".join(map(token_bytes.__getitem__, ids.tolist())) == raw
 
 
-def align_text(a: PlainEncoder, b: PieceEncoder, text: str, ids_b: list[int], outputs) -> list:
+def align_text(a: PlainEncoder, b: PieceEncoder, text: str, ids_b: np.ndarray, outputs) -> list:
     """The wanted output values of one text and its B ids."""
     raw = (" " + text).encode("utf-8")
-    ids_a = a.encode(" " + text) if text else []
-    if not text or not _spells(a.token_bytes, ids_a, raw) or not _spells(b.token_bytes, ids_b, raw):
+    ids_a = a.encode(" " + text) if text else ()
+    whole = bool(text) and _spells(b.token_bytes, ids_b, raw) and (a.lossless or _spells(a.token_bytes, ids_a, raw))
+    if not whole:
         none = {"n_a": 0, "n_b": 0, "n_groups": 0, "groups": "", "groups_sha256": "", "links": b"", "link_times": b""}
         return [none[o] for o in outputs]
-    own_a, own_b = np.array(ids_a), np.array(ids_b)
-    found = segments(np.cumsum(a.sizes[own_a]).tolist(), np.cumsum(b.sizes[own_b]).tolist())
-    at_a, at_b = last_tokens(found)
-    links, times = np.unique(own_b[at_b].astype(np.int64) << 32 | own_a[at_a], return_counts=True)
-    names = [list(map(x.digits.__getitem__, ids)) for x, ids in ((a, ids_a), (b, ids_b))]
-    text = groups_text(found, *names) if {"groups", "groups_sha256"} & set(outputs) else ""
-    made = {"n_a": lambda: len(ids_a), "n_b": lambda: len(ids_b), "n_groups": lambda: len(at_a),
+    ids_a, ids_b = ids_a.astype(np.int64), ids_b.astype(np.int64)
+    found = irregular(np.cumsum(a.sizes[ids_a]).tolist(), np.cumsum(b.sizes[ids_b]).tolist())
+    found = np.array(found, dtype=np.int64).reshape(-1, 4)
+    last_a = last_in_group(len(ids_a), found[:, 0], found[:, 1])
+    last_b = last_in_group(len(ids_b), found[:, 2], found[:, 3])
+    links, times = np.unique(ids_b[last_b] << 32 | ids_a[last_a], return_counts=True)
+    text = groups_text(ids_a, ids_b, last_a, last_b, a, b) if {"groups", "groups_sha256"} & set(outputs) else ""
+    made = {"n_a": lambda: len(ids_a), "n_b": lambda: len(ids_b), "n_groups": lambda: int(last_a.sum()),
             "groups": lambda: text, "groups_sha256": lambda: hashlib.sha256(text.encode()).hexdigest(),
             "links": lambda: links.astype("<i8").tobytes(), "link_times": lambda: times.astype("<u4").tobytes()}
     return [made[o]() for o in outputs]
