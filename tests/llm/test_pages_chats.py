@@ -38,6 +38,50 @@ def test_unmarked_page_by_surge_and_dive(menu):
     assert web.main_text(page) == "Flood " + GOLD
 
 
+@pytest.mark.parametrize("before,after", [
+    ("<div class='page has-sidebar'><article>", "</article></div>"),
+    ("<div class='layout no-comments'><main>", "</main></div>"),
+    ("<form action='/x'><article>", "</article></form>"),
+    ("<nav><a href='/'>Home</a><article>", "</article>"), ("<div>Logo</div><nav>Menu<main>", "</main>"),
+    ("<div class='social-policy-article'>", "</div>"), ("<a name=top><div>", "</div>"),
+    ("<article><p class='notice-of-claim'>", "</article>"),
+    ("<ul><li><a href='/a'>menu a</a></ul><div>", "</div><ul><li><a href='/b'>menu b</a><li><a href='/c'>c</a></ul>"),
+    ("<aside class=related><article>Teaser one</article></aside><div>", "</div>"),
+    ("<div>", "</div><div id=comments><article class=comment>" + "What a story that was, I say. " * 20 + "</article>")])
+def test_article_survives_its_surroundings(before, after):
+    page = f"<html><body>{before}{BODY}{after}"
+    assert web.main_text(page) == GOLD
+
+
+def test_sections_of_an_unmarked_page():
+    long = "<p>" + "The first part goes on about the flood for very many words. " * 40
+    late = "<p>A last section is much shorter than that, but it belongs to the article all the same, says all."
+    menu = "".join(f"<li><a href='/{i}'>Entry {i}</a>" for i in range(3))
+    page = (f"<div>{long}</div><ul>{menu}</ul><div>{late}</div><div><a href='/x'>See also</a></div>{late}"
+            "<hr><hr><hr><div>Tel. 5</div>")
+    got = web.main_text(page)
+    assert got.startswith("The first part") and "Entry" not in got                  # a window of links: no text
+    assert got.count("says all.") == 2 and " See also " in got and got.endswith("says all.")
+
+
+def windows_by_definition(lengths):
+    """The kept lines from the definition, window by window."""
+    n = len(lengths)
+    surge = [i for i in range(n) if lengths[i] and any(
+        s <= i < s + web.WINDOW and sum(lengths[s:s + web.WINDOW]) >= web.SURGE for s in range(n))]
+    if not surge:
+        return [x > 0 for x in lengths]
+    dead = {i for s in range(n - web.WINDOW + 1) if not any(lengths[s:s + web.WINDOW]) for i in range(s, s + web.WINDOW)}
+    return [surge[0] <= i <= surge[-1] and i not in dead for i in range(n)]
+
+
+def test_windows_against_definition():
+    rng = np.random.default_rng(3)
+    for _ in range(400):
+        lengths = rng.choice([0, 0, 0, 10, 30, 79, 200], size=int(rng.integers(0, 25)))
+        assert web.between(lengths).tolist() == windows_by_definition(lengths.tolist())
+
+
 @pytest.mark.parametrize("page,text", [
     (None, ""), ("", ""), ("  \n", ""), ("just text &eacute;&nbsp;here", "just text é here"),
     ("<p>a<b>b</b>c <br>d</p><p>e", "abc d e"), ("<article><p>x &am", "x &am"), ("<p class=ad>Buy<p>Read", "Read"),
