@@ -7,7 +7,8 @@ length class, last character); the hidden state is the role of the line's
 speaker and whether the line begins a turn.  Start, transition and emission
 probabilities are smoothed counts over labelled transcripts, gathered by
 Spark; Viterbi recovers the states of each transcript, and its turns are
-rendered in one canonical form, markers removed.
+rendered in one canonical form.  The marker of a turn's first line is removed;
+the other lines of a turn, blank ones between them too, stay as they are.
 
 Conversation rows become transcripts by one exchange on (conversation, chunk
 of ``CHUNK`` turn numbers), after exact repeats are reduced; so a conversation
@@ -52,17 +53,17 @@ def marker(line: str) -> tuple[str, str]:
 
 
 def observe(text: str) -> list[tuple[str, tuple]]:
-    """(line, features) of the non-blank lines."""
-    out, blank = [], False
+    """(line behind the blank lines before it, features) of the non-blank lines."""
+    out, blanks = [], ""
     for line in text.split("\n"):
         if not line.strip():
-            blank = True
+            blanks += line + "\n"
             continue
         role, body = marker(line)
         size = min(4, len(body) // 60)
         end = body.rstrip()[-1:]
-        out.append((line, (role, blank, not out, size, end if end in ".?!:," else "")))
-        blank = False
+        out.append((blanks + line, (role, bool(blanks), not out, size, end if end in ".?!:," else "")))
+        blanks = ""
     return out
 
 
@@ -111,12 +112,10 @@ class Model:
         out: list[dict] = []
         for (line, _), state in zip(observed, self.viterbi([f for _, f in observed])):
             role, first = STATES[state]
-            named, body = marker(line)
-            body = body if named else line
             if first or not out or out[-1]["role"] != role:
-                out.append({"role": role, "text": body})
-            else:
-                out[-1]["text"] += "\n" + body
+                out.append({"role": role, "text": marker(line)[1]})
+            else:                                        # whatever it starts with belongs to the turn
+                out[-1]["text"] += "\n" + line
         return [{"role": t["role"], "text": t["text"].strip()} for t in out]
 
 
@@ -151,9 +150,8 @@ def transcripts(conversations: DataFrame) -> DataFrame:
     grouped = rows.groupBy("conv_id", "chunk").agg(F.sort_array(F.collect_list("t")).alias("ts"),
                                                    F.first("gap").alias("gap"))
     return grouped.select(
-        "conv_id", "chunk", F.array_join(F.col("ts.said"), "\u0000").alias("joined"), "gap",
-        F.transform("ts", lambda t: F.coalesce(t["role"], F.lit(""))).alias("roles"), F.col("ts.lines").alias("lines")
-    ).select("conv_id", "chunk", F.expr("replace(joined, '\\u0000', gap)").alias("text"), "roles", "lines")
+        "conv_id", "chunk", F.expr("array_join(ts.said, gap)").alias("text"),
+        F.transform("ts", lambda t: F.coalesce(t["role"], F.lit(""))).alias("roles"), F.col("ts.lines").alias("lines"))
 
 
 def learn(labelled: DataFrame) -> Model:

@@ -171,6 +171,50 @@ def test_chat_edge_cases(spark):
     assert got[4].rendered.startswith("<|im_start|>user\nhi<|im_end|>\n")
 
 
+class Fixed(chat.Model):
+    """Takes the states as given."""
+    def __init__(self, states):
+        self.states = [chat.STATES.index(s) for s in states]
+
+    def viterbi(self, observed):
+        return self.states
+
+
+def test_lines_inside_a_turn_stay():
+    ask, more, reply = ("user", True), ("user", False), ("assistant", True)
+    text = "User: What is\n\n \nAnswer: 42 for?\nA\n  indented\n\nAI: Nobody knows.\n"
+    got = Fixed([ask, more, more, more, reply]).turns(text)
+    assert got == [{"role": "user", "text": "What is\n\n \nAnswer: 42 for?\nA\n  indented"},
+                   {"role": "assistant", "text": "Nobody knows."}]
+
+
+def test_texts_hold_any_character(spark):
+    rows = [(c, t, "user", f"a\0b {t}\n\nc") for c in range(8) for t in range(2)]
+    found = chat.transcripts(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(found) == 8 and all(r.text.count("\0") == 2 and r.text.count("\n\nc") == 2 for r in found)
+
+
+@needs_data
+def test_turns_come_back(spark):
+    """Of conversations whose roles are recovered, the texts are those of the
+    table unless a line of a turn reads like a marker."""
+    tables = table(spark, SF, "conversations")
+    said = {}
+    for r in tables.distinct().orderBy("conv_id", "turn").collect():
+        said.setdefault(r.conv_id, []).append((r.role, (r.text or "").strip()))
+    rows = chat.transcripts(tables)
+    model = chat.learn(rows)
+    found = chat.format_chats(rows, model, keep=["conv_id"]).collect()
+    right = 0
+    for r in found:
+        turns = [(t.role, t.text) for t in r.turns]
+        marked = any(chat.marker(line)[0] for _, text in said[r.conv_id] for line in text.split("\n"))
+        if not marked and [t[0] for t in turns] == [t[0] for t in said[r.conv_id]]:
+            right += 1
+            assert turns == said[r.conv_id]
+    assert right > 0.9 * len(found)
+
+
 def test_chat_odd_conversations(spark):
     rows = [(None, 0, "user", "a"), (1, None, None, None), (2, 0, "user", None), (2, 1, "poet", "x"),
             (3, 5_000, "user", "late"), (3, 1, "user", "early")]
