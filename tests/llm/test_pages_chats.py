@@ -218,7 +218,53 @@ def test_turns_come_back(spark):
 def test_chat_odd_conversations(spark):
     rows = [(None, 0, "user", "a"), (1, None, None, None), (2, 0, "user", None), (2, 1, "poet", "x"),
             (3, 5_000, "user", "late"), (3, 1, "user", "early")]
-    found = {(r.conv_id, r.chunk): r for r in chat.transcripts(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert set(found) == {(None, 0), (1, -1), (2, 0), (3, 0), (3, 9)}
+    made = chat.transcripts(spark.createDataFrame(rows, SCHEMA))
+    found = {(r.conv_id, r.chunk): r for r in made.collect()}
+    assert set(found) == {(None, 0), (1, 0), (2, 0), (3, 0)} and all(r.last for r in found.values())
+    assert found[1, 0].text == "" and found[3, 0].text.index("early") < found[3, 0].text.index("late")
+    got = {r.conv_id: r for r in chat.format_conversations(made, model()).collect()}
+    assert got[1].n_turns == 0 and got[1].rendered == "" and got[None].n_turns == 1
     empty = chat.transcripts(spark.createDataFrame([], SCHEMA))
     assert empty.count() == 0 and chat.format_chats(empty, chat.learn(empty)).count() == 0
+    assert chat.format_conversations(empty, chat.learn(empty)).count() == 0
+
+
+def long_talk(conv, turns, turn=lambda t: t):
+    rng = np.random.default_rng(conv)
+    said = ("Is this ok?", "Yes.\nSure.", "Why\n\nthen?", "Model: x", "word " * 20, "", None)
+    return [(conv, turn(t), "user" if t % 2 == 0 else "assistant", said[rng.integers(len(said))]) for t in range(turns)]
+
+
+def test_long_conversations_are_one_transcript(spark):
+    """Pieces joined equal one pass over the whole text, in every style and
+    at several levels of matrices."""
+    short = [row for c in range(100, 140) for row in long_talk(c, 6)]
+    rows = [row for c in range(12) for row in long_talk(c, 700)] + short
+    made = chat.transcripts(spark.createDataFrame(rows, SCHEMA).repartition(5), chunk=16).cache()
+    m = chat.learn(made)
+    pieces = {}
+    for r in made.collect():
+        pieces.setdefault(r.conv_id, {})[r.chunk] = r
+    found = {}
+    for r in chat.format_conversations(made, m, fan=3).collect():
+        found.setdefault(r.conv_id, {})[r.chunk] = r
+    assert set(found) == set(range(12)) | set(range(100, 140))
+    for conv, parts in pieces.items():
+        order = sorted(parts)
+        assert order == list(range(len(order))) and [parts[k].last for k in order] == [k == order[-1] for k in order]
+        assert conv > 50 or len(order) > 3 ** 3     # turns without a line are left out
+        assert all(len(parts[k].roles) <= 16 for k in order)
+        turns = m.turns("\n".join(parts[k].text for k in order))
+        assert "".join(found[conv][k].rendered for k in order) == chat.render(turns)
+        assert sum(found[conv][k].n_turns for k in order) == len(turns)
+
+
+def test_null_and_equal_turns_are_split(spark):
+    rows = [(c, n, "user", f"Is this line {t} ok?") for c, n in ((1, None), (2, 7)) for t in range(1_000)]
+    rows += rows[:300] + [(3, 0, "user", "again")] * 2_000
+    made = chat.transcripts(spark.createDataFrame(rows, SCHEMA), chunk=32).collect()
+    for conv in (1, 2):
+        parts = sorted((r for r in made if r.conv_id == conv), key=lambda r: r.chunk)
+        assert [r.chunk for r in parts] == list(range(len(parts))) and len(parts) >= 32
+        assert max(len(r.roles) for r in parts) <= 32 and sum(len(r.roles) for r in parts) == 1_000
+    assert [len(r.roles) for r in made if r.conv_id == 3] == [1]
