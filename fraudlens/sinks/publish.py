@@ -58,8 +58,11 @@ def to_envelope(encoded: DataFrame, partitions: int = DEFAULT_PARTITIONS,
 
 
 def write_envelopes(spark: SparkSession, envelopes: DataFrame, transport: Transport,
-                    mode: str = "append") -> None:
-    """Write envelope rows that already carry topic/partition/offset."""
+                    mode: str = "append", topic: str | None = None) -> None:
+    """Write envelope rows that already carry topic/partition/offset.  Rows
+    that all belong to one ``topic`` go straight into its folder: a write that
+    is partitioned by a column sorts every task's rows by it first.  JSON
+    repeats its field names, so files are compressed by zstandard."""
     if transport.kind == "kafka":
         w = envelopes.select("key", "value", "topic").write.format("kafka").option(
             "kafka.bootstrap.servers", transport.bootstrap_servers)
@@ -67,10 +70,10 @@ def write_envelopes(spark: SparkSession, envelopes: DataFrame, transport: Transp
             w = w.option(k, v)
         w.save()
         return
-    w = envelopes.write.mode(mode).partitionBy("topic")
+    w = envelopes.write.partitionBy("topic") if topic is None else envelopes.drop("topic").write
     if rows := transport.options.get(RECORDS_PER_FILE):
         w = w.option("maxRecordsPerFile", int(rows))
-    w.parquet(transport.root)
+    w.mode(mode).option("compression", "zstd").parquet(transport.root if topic is None else transport.topic_path(topic))
 
 
 def publish_many(spark: SparkSession, frames: dict[str, DataFrame], transport: Transport,
@@ -97,7 +100,7 @@ def publish_many(spark: SparkSession, frames: dict[str, DataFrame], transport: T
     union = union.observe(counted, F.count(F.lit(1)).alias("messages"))
     if transport.kind != "kafka":
         union = to_envelope(union, partitions, next_offset(spark, transport, frames))
-    write_envelopes(spark, union, transport)
+    write_envelopes(spark, union, transport, "append", next(iter(frames)) if len(frames) == 1 else None)
     return counted.get["messages"]
 
 

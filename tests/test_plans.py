@@ -136,3 +136,28 @@ def test_hot_key_is_preaggregated_and_exact(spark, scratch):
     assert res.rows_in == n
     got = {r.k: r.v for r in read_table(spark, path).collect()}
     assert got["HOT"] == max(i for i in range(n) if i % 5 < 2)
+
+
+def test_only_the_topic_that_is_read_is_written_and_unsorted(spark, monkeypatch):
+    """A write partitioned by the topic sorts whole messages, and commits in the root folder."""
+    from fraudlens.folder import Folder
+    monkeypatch.setattr(Q, "_TOPICS", {})
+    t = Q.fixture_topics(spark, SF_SMALL, Q.TX_TOPIC)
+    assert Folder(spark, t.root).names() == [f"topic={Q.TX_TOPIC}"]
+    assert "_SUCCESS" in Folder(spark, t.topic_path(Q.TX_TOPIC)).names()
+    lines = Q.tx(spark, SF_SMALL).count()
+    assert read_batch(spark, t, Q.TX_TOPIC).count() == lines
+    assert Q.fixture_topics(spark, SF_SMALL).root == t.root                # the other topic joins it
+    assert read_batch(spark, t, Q.SC_TOPIC).count() == read_batch(spark, t, Q.TX_TOPIC).count() == lines
+
+
+def test_one_topic_is_published_without_a_sort(spark, scratch):
+    from fraudlens.folder import Folder
+    from fraudlens.sinks.publish import publish, publish_many
+    from fraudlens.sources.envelope import files
+    t, df = files(scratch("t")), spark.range(10)
+    assert publish(spark, df, t, "one") == 10 and publish(spark, df, t, "one") == 10
+    assert Folder(spark, t.root).names() == ["topic=one"]
+    assert publish_many(spark, {"one": df, "two": df}, t) == 20
+    assert read_batch(spark, t, "one").select("offset").distinct().count() == 30
+    assert read_batch(spark, t, "two").count() == 10
