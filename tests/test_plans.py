@@ -161,3 +161,14 @@ def test_one_topic_is_published_without_a_sort(spark, scratch):
     assert publish_many(spark, {"one": df, "two": df}, t) == 20
     assert read_batch(spark, t, "one").select("offset").distinct().count() == 30
     assert read_batch(spark, t, "two").count() == 10
+
+
+def test_oversample_partitions_grow_with_the_input(spark, monkeypatch):
+    """The distinct ids of a task are bounded by input bytes; only the ids before copying are exchanged."""
+    from fraudlens.plans import joins
+    counted = lambda: _plan(Q.QUERIES["oversample"](spark, SF_SMALL))
+    few = int(re.search(r"hashpartitioning\(pq#\d+, (\d+)\)", counted()).group(1))
+    monkeypatch.setattr(joins, "PARTITION_BYTES", 1000)
+    plan = counted()
+    assert int(re.search(r"hashpartitioning\(pq#\d+, (\d+)\)", plan).group(1)) > few
+    assert not re.search(r"hashpartitioning\([^)]*copy[^)]*pq", plan)
