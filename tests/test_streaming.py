@@ -3,10 +3,14 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
+from tables import SF_SMALL
+from fraudlens.folder import Folder
 from fraudlens.operators.reports import report
+from fraudlens.plans.queries import QUERIES
 from fraudlens.schemas import ENVELOPE_SCHEMA
-from fraudlens.sinks.publish import write_envelopes
+from fraudlens.sinks.publish import publish, write_envelopes
 from fraudlens.sources.envelope import decode_transactions, files, read_batch, read_stream
 from fraudlens.streaming import stream as st
 
@@ -158,3 +162,33 @@ def test_console_sink_runs(spark, scratch):
     q = st.to_console(st.raw_values(read_stream(spark, t, "tx")), checkpoint=scratch("st5-ckpt"))
     st.run_to_end(q)
     assert q.lastProgress["numInputRows"] == 1
+
+
+def test_shares_of_a_file_topic_are_disjoint_and_whole(spark, scratch):
+    root = scratch("shares")
+    t = files(root, records_per_file=10)
+    publish(spark, spark.range(235).select(F.col("id").cast("string").alias("v")).coalesce(2), t, "tx")
+    outs, running = [], []
+    for k in range(10):
+        env = read_stream(spark, t, "tx", max_per_trigger=20, share=(k, 10))
+        outs.append(scratch(f"share-{k}"))
+        running.append(st.to_files(st.raw_values(env), outs[-1], scratch(f"share-c{k}")))
+    st.run_all_to_end(running)
+    assert sum(len(st.batch_sizes(q)) for q in running) > 5
+    assert all(n <= 20 for q in running for n in st.batch_sizes(q))
+    schema = "topic string, partition int, offset long, value string"
+    found = [r.value for out in outs for r in spark.read.schema(schema).parquet(out).collect()]
+    assert sorted(found) == sorted('{"v":"%d"}' % i for i in range(235))
+    spark.range(1).selectExpr("cast(null as binary) AS value").write.option("compression", "lz4_raw").mode(
+        "append").parquet(t.topic_path("tx"))                        # a later part of the name ends in no digit
+    read_stream(spark, t, "tx", share=(1, 2))
+    Folder(spark, t.topic_path("tx")).write("foreign.parquet", {})
+    with pytest.raises(ValueError, match="foreign.parquet"):
+        read_stream(spark, t, "tx", share=(1, 2))
+
+
+def test_rate_limited_readers_write_one_file_a_batch(spark):
+    found = QUERIES["stream_rate_limited"](spark, SF_SMALL)
+    names = {r.f for r in found.select(F.input_file_name().alias("f")).distinct().collect()}
+    assert len({n.rsplit("/", 1)[0] for n in names}) > 1                 # several readers shared the topic
+    assert found.where("bounded AND several").count() == found.count() > 0
