@@ -35,8 +35,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fraudlens.folder import Folder
+from fraudlens.plans.joins import join_dimension
+from fraudlens.session import cut_lineage
 
 FORMAT, MARKER, TABLE, PUT = "keyed_puts", "_committed.json", "_table.json", "_put"
+NARROW = 12                      # rows of at most so many columns are ranked as a whole
 
 
 @dataclass
@@ -72,7 +75,7 @@ def put_source():
                     continue
                 if out is None:
                     store.create_dir(folder)
-                    out = pq.ParquetWriter(f"{folder}/{done.file}", batch.schema, filesystem=store, compression="snappy")
+                    out = pq.ParquetWriter(f"{folder}/{done.file}", batch.schema, filesystem=store, compression="zstd")
                 out.write_batch(batch)
                 done.rows += batch.num_rows
             if out is not None:
@@ -174,10 +177,32 @@ def _newest(rows: DataFrame, table: dict) -> DataFrame:
     return rows.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
-def _merged(frames: list[DataFrame], table: dict) -> DataFrame:
+def _newest_wide(rows: DataFrame, table: dict) -> DataFrame:
+    """``_newest`` for rows of many columns in the files of puts.  Keys and
+    versions alone are ranked, with each row's place (its file and number); the
+    places of the newest rows become bitmaps, an eighth of a byte per row, and
+    a second read keeps the rows whose bit is set.  While the bitmaps are small
+    enough to broadcast, whole rows are neither exchanged nor sorted."""
+    if len(rows.columns) <= NARROW:
+        return _newest(rows, table)
+    path, number = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    if rows.select(path.alias("p")).distinct().groupBy(F.xxhash64("p")).count().where("count > 1").count():
+        return _newest(rows, table)              # a file is told by the hash of its path
+    places = _newest(rows.select(table["key"], *table["order"], PUT, F.xxhash64(path).alias("_file"),
+                                 number.alias("_row")), table)
+    bits = cut_lineage(places.groupBy("_file", F.bitmap_bucket_number("_row").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_row")).alias("_bits")))
+    placed = rows.select("*", F.xxhash64(path).alias("_of"), F.bitmap_bucket_number(number).alias("_in"),
+                         F.bitmap_bit_position(number).cast("int").alias("_bit"))
+    met = join_dimension(placed, bits, (F.col("_of") == F.col("_file")) & (F.col("_in") == F.col("_bucket")))
+    byte = F.conv(F.hex(F.expr("substring(_bits, _bit div 8 + 1, 1)")), 16, 10).cast("int").alias("_byte")
+    return met.select(*rows.columns, "_bit", byte).where("shiftright(_byte, _bit % 8) % 2 = 1").select(*rows.columns)
+
+
+def _merged(frames: list[DataFrame], table: dict, newest=_newest_wide) -> DataFrame:
     """One row per key: each column from the newest put that carries it."""
     if len(frames) == 1:
-        return _newest(frames[0], table)
+        return newest(frames[0], table)
     key, order = table["key"], [*table["order"], PUT]
     columns = list(dict.fromkeys(c for f in frames for c in f.columns if c not in (key, *order)))
     holders: dict[tuple, list[str]] = {}         # columns that the same frames carry
@@ -185,13 +210,13 @@ def _merged(frames: list[DataFrame], table: dict) -> DataFrame:
         holders.setdefault(tuple(k for k, f in enumerate(frames) if c in f.columns), []).append(c)
     rows = None
     for k, frame in enumerate(frames):
-        frame = _newest(frame, table).withColumn("_set", F.lit(k))
+        frame = newest(frame, table).withColumn("_set", F.lit(k))
         rows = frame if rows is None else rows.unionByName(frame, allowMissingColumns=True)
     at = F.struct(*order)
-    newest = [F.max(at).alias("_at"), *[
+    values = [F.max(at).alias("_at"), *[
         F.max_by(F.struct(*own), F.when(F.col("_set").isin(list(sets)), at)).alias(f"_g{k}")
         for k, (sets, own) in enumerate(holders.items())]]
-    one = rows.groupBy(key).agg(*newest)
+    one = rows.groupBy(key).agg(*values)
     return one.select(key, *[F.col("_at")[c].alias(c) for c in order],
                       *[F.col(f"_g{k}")[c].alias(c) for k, own in enumerate(holders.values()) for c in own])
 
@@ -210,7 +235,7 @@ def read_table(spark: SparkSession, table_path: str, keys_like: list | None = No
     frames = _by_columns(spark, folder, puts)
     if keys_like is not None:
         frames = [f.where(F.col(table["key"]).isin(list(keys_like))) for f in frames]
-    return _merged(frames, table).drop(PUT)
+    return _merged(frames, table, _newest_wide if keys_like is None else _newest).drop(PUT)
 
 
 def compact(spark: SparkSession, table_path: str) -> None:
@@ -223,7 +248,7 @@ def compact(spark: SparkSession, table_path: str) -> None:
     for own in sets.values():
         if len(own) < 2:
             continue
-        rows = _newest(_by_columns(spark, folder, own)[0], table)
+        rows = _newest_wide(_by_columns(spark, folder, own)[0], table)
         _write_put(rows, folder, max(int(n.split("-")[2]) for n in own))
         for n in own:
             folder.delete(n)
