@@ -192,3 +192,21 @@ def test_rate_limited_readers_write_one_file_a_batch(spark):
     names = {r.f for r in found.select(F.input_file_name().alias("f")).distinct().collect()}
     assert len({n.rsplit("/", 1)[0] for n in names}) > 1                 # several readers shared the topic
     assert found.where("bounded AND several").count() == found.count() > 0
+
+
+def test_reports_of_few_keys_take_few_tasks_and_state_stores(spark, scratch, monkeypatch):
+    """State stores and tasks of a micro-batch do not follow the session's shuffle partitions."""
+    t = files(scratch("few"))
+    _write_file(spark, t, [_rec(i, f"c{i % 3}", i % 2) for i in range(30)], 0)
+    before, sliced = spark.conf.get("spark.sql.shuffle.partitions"), []
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        rec = decode_transactions(read_stream(spark, t, "tx"))
+        q = st.fan_out(rec, ["fraud_category", "fraud_device"], lambda e, frames: sliced.extend(
+            (df.rdd.getNumPartitions(), df.count()) for df in frames.values()), scratch("few-c"))
+        st.run_to_end(q)
+        assert sliced == [(1, 3), (1, 1)]
+        assert q.lastProgress["stateOperators"][0]["numShufflePartitions"] == st.STATE_PARTITIONS
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
