@@ -82,6 +82,42 @@ def test_windows_against_definition():
         assert web.between(lengths).tolist() == windows_by_definition(lengths.tolist())
 
 
+LINKS = "<ul>" + "".join(f"<li><a href='/{i}'>Entry {i}</a>" for i in range(4)) + "</ul>"
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<main><h1>Flood</h1>{LINKS}<p>By me<p>Today{BODY}<p>The end.</p>{LINKS}<p>Tel. 555</main>",
+     f"Flood By me Today {GOLD} The end."),                                          # from dive to dive, and headings
+    (f"<article>{BODY}{LINKS}{BODY}</article>", f"{GOLD} {GOLD}"),                   # a window of links
+    (f"<div>{BODY}</div><article><h2>More</h2><p>Teaser</article>", f"{GOLD} More Teaser"),  # the mark is on a teaser
+    (f"<article><p>Brief news.</article><div>{BODY}</div>", f"Brief news. {GOLD}"),
+    (f"<article>{BODY}<p>Read <a href='/x'>this{BODY}{BODY}</article>", f"{GOLD} Read this {GOLD} {GOLD}"),
+    ("<article><p>Brief news.</article><div>Imprint</div>", "Brief news."),
+    (f"<article>{LINKS}</article>", "Entry 0 Entry 1 Entry 2 Entry 3")])
+def test_windows_decide_in_marked_articles(page, text):
+    assert web.main_text(page) == text
+
+
+def marked_by_definition(lengths):
+    """The kept lines of a marked article, window by window."""
+    n = len(lengths)
+    if not any(lengths):
+        return [True] * n
+    surge = [i for i in range(n) if lengths[i] and any(
+        s <= i < s + web.WINDOW and sum(lengths[s:s + web.WINDOW]) >= web.SURGE for s in range(n))]
+    dead = {i for s in range(n - web.WINDOW + 1) if not any(lengths[s:s + web.WINDOW]) for i in range(s, s + web.WINDOW)}
+    first = max([i for i in dead if surge and i < surge[0]], default=-1)
+    last = min([i for i in dead if surge and i > surge[-1]], default=n)
+    return [first < i < last and i not in dead for i in range(n)]
+
+
+def test_article_windows_against_definition():
+    rng = np.random.default_rng(4)
+    for _ in range(400):
+        lengths = rng.choice([0, 0, 0, 0, 10, 30, 79, 200], size=int(rng.integers(0, 25)))
+        assert web.dive_to_dive(lengths).tolist() == marked_by_definition(lengths.tolist())
+
+
 @pytest.mark.parametrize("page,text", [
     (None, ""), ("", ""), ("  \n", ""), ("just text &eacute;&nbsp;here", "just text é here"),
     ("<p>a<b>b</b>c <br>d</p><p>e", "abc d e"), ("<article><p>x &am", "x &am"), ("<p class=ad>Buy<p>Read", "Read"),
