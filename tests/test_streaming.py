@@ -194,6 +194,46 @@ def test_rate_limited_readers_write_one_file_a_batch(spark):
     assert found.where("bounded AND several").count() == found.count() > 0
 
 
+def test_rate_limited_topic_is_listed_once_and_logs_are_light(spark, monkeypatch):
+    """Ten readers look at the names of a topic of many files once, and their
+    logs are renamed without a process for every path."""
+    listed, managers = [], []
+    names, to_files = Folder.names, st.to_files
+    monkeypatch.setattr(Folder, "names", lambda self, name="": (listed.append(self.path), names(self, name))[1])
+    monkeypatch.setattr(st, "to_files", lambda *a: (managers.append(spark.conf.get(st._MANAGER, None)), to_files(*a))[1])
+    assert QUERIES["stream_rate_limited"](spark, SF_SMALL).count() > 0
+    assert len([p for p in listed if p.endswith("topic=transactions")]) == 1
+    assert len(managers) > 1 and all(m and m.endswith(".FileSystemBasedCheckpointFileManager") for m in managers)
+    assert spark.conf.get(st._MANAGER, None) is None
+
+
+def test_light_logs_are_read_without_them(spark, scratch):
+    t, out, checkpoint = files(scratch("light")), scratch("light-out"), scratch("light-c")
+    with st.light_logs(spark, t.root):
+        for k in range(12):                                          # more than one rewrite of the logs
+            publish(spark, spark.range(k, k + 1), t, "tx")
+            st.run_to_end(st.to_files(st.raw_values(read_stream(spark, t, "tx")), out, checkpoint))
+    publish(spark, spark.range(12, 13), t, "tx")
+    st.run_to_end(st.to_files(st.raw_values(read_stream(spark, t, "tx")), out, checkpoint))
+    assert sorted(r.value for r in spark.read.parquet(out).collect()) == sorted('{"id":%d}' % i for i in range(13))
+    spark.conf.set(st._MANAGER, "named.Manager")                     # the session's own choice stays
+    try:
+        with st.light_logs(spark, t.root):
+            assert spark.conf.get(st._MANAGER) == "named.Manager"
+        assert spark.conf.get(st._MANAGER) == "named.Manager"
+    finally:
+        spark.conf.unset(st._MANAGER)
+
+
+def test_names_of_a_folder(spark, scratch):
+    folder = Folder(spark, scratch("names"))
+    assert folder.names() == [] and folder.names("none") == []
+    wanted = ["a b.json", "part-1 é%20.json", "z,y.json"]
+    for name in wanted:
+        folder.write(f"sub/{name}", {})
+    assert folder.names("sub") == wanted and folder.names() == ["sub"] and folder.is_local
+
+
 def test_reports_of_few_keys_take_few_tasks_and_state_stores(spark, scratch, monkeypatch):
     """State stores and tasks of a micro-batch do not follow the session's shuffle partitions."""
     t = files(scratch("few"))
