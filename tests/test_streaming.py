@@ -216,6 +216,15 @@ def test_light_logs_are_read_without_them(spark, scratch):
     publish(spark, spark.range(12, 13), t, "tx")
     st.run_to_end(st.to_files(st.raw_values(read_stream(spark, t, "tx")), out, checkpoint))
     assert sorted(r.value for r in spark.read.parquet(out).collect()) == sorted('{"id":%d}' % i for i in range(13))
+    later = scratch("light-later")
+    for _ in range(2):                                               # a restart with the same number goes on
+        with st.light_logs(spark, t.root, rewrite_every=5):
+            q = st.to_files(st.raw_values(read_stream(spark, t, "tx", max_per_trigger=1)), out + "-5", later)
+            st.run_to_end(q)
+    assert spark.read.parquet(out + "-5").count() == 13
+    rewritten = [int(n.split(".")[0]) for n in Folder(spark, later).names("sources/0") if n.endswith(".compact")]
+    assert len(rewritten) > 1 and all(batch % 5 == 4 for batch in rewritten)
+    assert spark.conf.get(st._REWRITE) == "10"
     spark.conf.set(st._MANAGER, "named.Manager")                     # the session's own choice stays
     try:
         with st.light_logs(spark, t.root):
